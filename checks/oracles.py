@@ -153,7 +153,7 @@ ORACLES: dict[str, str] = {
     "absent_datasets": f"WITH {KNOWN} SELECT dataset, grp FROM known WHERE dataset NOT IN (SELECT source FROM documents)",
     "resolve_specs": """SELECT source || ':chat' AS spec, source AS dataset, 'chat' AS split,
           CASE WHEN bool_or(lang = 'en') THEN 'ok' ELSE 'split_not_found' END AS status FROM documents GROUP BY source
-        UNION ALL SELECT DISTINCT source, NULL, NULL, 'bad_format' FROM documents
+        UNION ALL SELECT DISTINCT source, '-', '-', 'bad_format' FROM documents
         UNION ALL SELECT DISTINCT 'no-' || source || ':chat', 'no-' || source, 'chat', 'unknown_dataset' FROM documents
         UNION ALL SELECT DISTINCT source || '-next:chat', source || '-next', 'chat', 'not_downloaded' FROM documents
         UNION ALL SELECT DISTINCT source || ':code:main', source, 'code:main', 'split_not_found' FROM documents""",
@@ -191,7 +191,7 @@ ORACLES: dict[str, str] = {
         JOIN vec ON s.doc_id = vec.doc_id AND component = 0 ANTI JOIN done USING (dataset, split, shard_id)""",
     "embedding_report": f"""WITH {RUN}, files AS (SELECT dataset, split, shard_id, count(text) AS n FROM sharded
           GROUP BY ALL HAVING count(text) > 0)
-        SELECT dataset, split, CASE grouping(dataset, split) WHEN 0 THEN 'split' WHEN 1 THEN 'dataset' ELSE 'all' END AS level,
+        SELECT coalesce(dataset, '-') AS dataset, coalesce(split, '-') AS split, CASE grouping(dataset, split) WHEN 0 THEN 'split' WHEN 1 THEN 'dataset' ELSE 'all' END AS level,
           sum(n)::BIGINT AS samples, count(*) AS files, 0::BIGINT AS invalid FROM files GROUP BY ROLLUP (dataset, split)""",
     "text_messages": """SELECT conv_id, coalesce(string_agg(text, chr(10) || chr(10) ORDER BY turn)
           FILTER ((conv_id + turn) % 17 <> 0), '') AS text FROM conversations GROUP BY conv_id""",
@@ -215,7 +215,7 @@ ORACLES: dict[str, str] = {
           true AS valid, '' AS errors,
           concat_ws('; ', CASE WHEN nan_n > 0 THEN 'Found ' || nan_n || ' NaN values' END,
             CASE WHEN inf_n > 0 THEN 'Found ' || inf_n || ' Inf values' END) AS warnings FROM files""",
-    "validate_rollup": f"""WITH {FILES} SELECT dataset, split,
+    "validate_rollup": f"""WITH {FILES} SELECT coalesce(dataset, '-') AS dataset, coalesce(split, '-') AS split,
           CASE grouping(dataset, split) WHEN 0 THEN 'split' WHEN 1 THEN 'dataset' ELSE 'all' END AS level,
           sum(rows)::BIGINT AS samples, count(*) AS files, round(count(*) * {MB}, 6) AS size_mb, 0::BIGINT AS invalid
         FROM files GROUP BY ROLLUP (dataset, split)""",
@@ -227,13 +227,13 @@ ORACLES: dict[str, str] = {
     "split_dims": f"WITH {FILES} SELECT dataset, split, arg_max(dim, file) AS dim FROM files WHERE dim > 0 GROUP BY ALL",
     "size_labels": f"""WITH {TREE}, files AS (SELECT DISTINCT dataset, split, file FROM tree),
         sized AS (SELECT dataset, split, count(*) * {MB} AS mb FROM files GROUP BY ROLLUP (dataset, split))
-        SELECT dataset, split, CASE WHEN mb >= 1024 THEN printf('%.2f GB', mb / 1024) ELSE printf('%.2f MB', mb) END AS label
+        SELECT coalesce(dataset, '-') AS dataset, coalesce(split, '-') AS split, CASE WHEN mb >= 1024 THEN printf('%.2f GB', mb / 1024) ELSE printf('%.2f MB', mb) END AS label
         FROM sized""",
     "compare_source": f"""WITH {COUNTS}, embedded AS (SELECT dataset, split, count(*) AS embedded FROM samples
           WHERE doc_id IN (SELECT doc_id FROM labels) GROUP BY ALL),
         source AS (SELECT dataset, split, n AS source FROM counts WHERE dataset <> 'src1')
-        SELECT dataset, split, embedded, source, embedded - source AS diff, round(embedded / source * 100, 6) AS pct,
-          abs(embedded - source) <= 1 AS matches FROM embedded LEFT JOIN source USING (dataset, split)""",
+        SELECT dataset, split, embedded, coalesce(source, -1) AS source, coalesce(embedded - source, -1) AS diff,
+          coalesce(round(embedded / source * 100, 6), -1) AS pct, coalesce(abs(embedded - source) <= 1, false) AS matches FROM embedded LEFT JOIN source USING (dataset, split)""",
     "vector_stats": f"""WITH {TREE} SELECT original_index, len(v) AS dim, round(list_min(v), 6) AS min,
           round(list_max(v), 6) AS max, round(list_avg(v), 6) AS mean, round(list_stddev_pop(v), 6) AS std,
           round(sqrt(list_dot_product(v, v)), 6) AS norm FROM tree""",
@@ -293,12 +293,12 @@ ORACLES: dict[str, str] = {
         FROM documents WHERE doc_id % 10 NOT IN (0, 1)""",
     "extraction_totals": """SELECT count(*) FILTER (doc_id % 10 NOT IN (0, 1)) AS ok,
           count(*) FILTER (doc_id % 10 IN (0, 1)) AS failed FROM documents""",
-    "landing_link": f"""WITH {LANDED} SELECT page_id, method, link, CASE WHEN contains(link, 'widen.net') THEN 'viewer'
-          WHEN link IS NOT NULL THEN 'document' END AS route FROM found""",
+    "landing_link": f"""WITH {LANDED} SELECT page_id, coalesce(method, '-') AS method, coalesce(link, '-') AS link,
+          CASE WHEN contains(link, 'widen.net') THEN 'viewer' WHEN link IS NOT NULL THEN 'document' ELSE '-' END AS route FROM found""",
     "quarantine": f"WITH {LANDED} SELECT page_id, url, length(html) AS n_chars FROM found WHERE link IS NULL",
     "viewer_link": """SELECT page_id, CASE WHEN page_id % 5 = 0 THEN '/v/' || page_id
           WHEN regexp_matches(html, 'href="(/[^"]+)"') THEN regexp_extract(url, '^([a-z]+://[^/?#]+)', 1)
-            || replace(regexp_extract(html, 'href="(/[^"]+)"', 1), '&amp;', '&') END AS link FROM pages""",
+            || replace(regexp_extract(html, 'href="(/[^"]+)"', 1), '&amp;', '&') ELSE '-' END AS link FROM pages""",
     "classify_fetch": f"WITH {FETCHED} SELECT page_id, url, first_class, second_class, route FROM fetched",
     "fetch_summary": f"""WITH {FETCHED}, outcome AS (SELECT CASE WHEN page_id % 7 = 0 THEN 'skipped'
           WHEN second_class = 'accepted' THEN 'downloaded' ELSE 'failed' END AS status, n_bytes FROM fetched)

@@ -49,6 +49,11 @@ def _long(*names: str) -> list[Column]:
     return [F.col(n).cast("long").alias(n) for n in names]
 
 
+def _shown(*names: str) -> list[Column]:
+    """Text columns with a dash where there is no value."""
+    return [F.coalesce(n, F.lit("-")).alias(n) for n in names]
+
+
 # Catalogue
 
 
@@ -72,7 +77,8 @@ def absent_datasets(spark, sf_dir):
 @registered
 def resolve_specs(spark, sf_dir):
     splits = catalog.list_splits(inputs.samples(spark, sf_dir))
-    return catalog.resolve_specs(inputs.specs(spark, sf_dir), inputs.known_datasets(spark, sf_dir), splits)
+    found = catalog.resolve_specs(inputs.specs(spark, sf_dir), inputs.known_datasets(spark, sf_dir), splits)
+    return found.select("spec", *_shown("dataset", "split"), "status")
 
 
 @registered
@@ -186,7 +192,7 @@ def embed_shards(spark, sf_dir):
 def embedding_report(spark, sf_dir):
     name = F.concat_ws("-", "dataset", "split", "shard_id")
     rows = _sharded_run(spark, sf_dir, resume=False).embeddings.withColumn("file", name)
-    return embedding_run.validation_report(rows).select("dataset", "split", "level", "samples", "files", "invalid")
+    return embedding_run.validation_report(rows).select(*_shown("dataset", "split"), "level", "samples", "files", "invalid")
 
 
 # Texts
@@ -275,7 +281,7 @@ def validate_files(spark, sf_dir):
 @registered
 def validate_rollup(spark, sf_dir):
     return validation.report(_checked(spark, sf_dir)).select(
-        "dataset", "split", "level", "samples", "files", *_rounded("size_mb"), "invalid"
+        *_shown("dataset", "split"), "level", "samples", "files", *_rounded("size_mb"), "invalid"
     )
 
 
@@ -298,7 +304,7 @@ def split_dims(spark, sf_dir):
 @registered
 def size_labels(spark, sf_dir):
     sized = validation.report(_checked(spark, sf_dir, broken=False))
-    return sized.select("dataset", "split", size_label(F.col("size_mb")).alias("label"))
+    return sized.select(*_shown("dataset", "split"), size_label(F.col("size_mb")).alias("label"))
 
 
 @registered
@@ -308,8 +314,11 @@ def compare_source(spark, sf_dir):
     embedded = catalog.split_counts(labelled).withColumnRenamed("n", "embedded")
     source = catalog.split_counts(rows).filter("dataset <> 'src1'").withColumnRenamed("n", "source")
     return validation.compare_source(embedded, source).select(
-        "dataset", "split", "embedded", "source", "diff", *_rounded("pct"), "matches"
-    )
+        "dataset", "split", "embedded",
+        *[F.coalesce(c, F.lit(-1)).cast("long").alias(c) for c in ("source", "diff")],
+        F.round(F.coalesce("pct", F.lit(-1.0)), DIGITS).alias("pct"),
+        F.coalesce("matches", F.lit(False)).alias("matches"),
+    )
 
 
 @registered
@@ -444,7 +453,9 @@ def extraction_totals(spark, sf_dir):
 
 @registered
 def landing_link(spark, sf_dir):
-    return fetch.landing_links(inputs.landing_pages(spark, sf_dir)).select("page_id", "method", "link", "route")
+    return fetch.landing_links(inputs.landing_pages(spark, sf_dir)).select(
+        "page_id", *_shown("method", "link", "route")
+    )
 
 
 @registered
@@ -456,7 +467,7 @@ def quarantine(spark, sf_dir):
 @registered
 def viewer_link(spark, sf_dir):
     rules = fetch.LinkRules(download_link=r'href="(/[^"]+)"')
-    return fetch.viewer_links(inputs.viewer_pages(spark, sf_dir), rules).select("page_id", "link")
+    return fetch.viewer_links(inputs.viewer_pages(spark, sf_dir), rules).select("page_id", *_shown("link"))
 
 
 @registered
