@@ -10,6 +10,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from corpusflow.session import spread
 from corpusflow.sources.archives import MEMBER
 
 BLOCK_TYPES = (
@@ -179,7 +180,7 @@ def archives(spark: SparkSession, sf_dir: str) -> DataFrame:
             yield pd.DataFrame({"document": batch["doc_id"].astype(str), "content": contents})
 
     rows = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return rows.mapInPandas(zipped, "document string, content binary")
+    return spread(rows).mapInPandas(zipped, "document string, content binary")
 
 
 # Landing page additions by page_id % 6, shared with the SQL counterparts.

@@ -23,7 +23,7 @@ from corpusflow.operators import (
     validation,
 )
 from corpusflow.plans import embedding_run
-from corpusflow.session import fresh_path
+from corpusflow.session import fresh_path, spread
 from corpusflow.sources import archives, responses, samples as sources, writers
 from corpusflow.streaming import jobs
 
@@ -256,7 +256,7 @@ def attach_source(spark, sf_dir):
     rows = inputs.some_blank(inputs.samples(spark, sf_dir))
     k = shards.shard_count(F.col("_n"), ROWS_PER_SHARD)
     texts = embedding_run.sharded_texts(rows, "doc_id", k)
-    vectors = encode.embed(texts, "text", keep=list(provenance.POSITION))
+    vectors = encode.embed(texts.filter("has_text"), "text", keep=list(provenance.POSITION))
     return provenance.attach_source(vectors, texts).select(
         "dataset", "split", *_long("shard_id"), "original_index", "text",
         F.round(F.get("embeddings", F.lit(0)), DIGITS).alias("x0"),
@@ -433,7 +433,7 @@ def parse_totals(spark, sf_dir):
 
 @registered
 def decode_responses(spark, sf_dir):
-    found = responses.decode(inputs.responses(spark, sf_dir))
+    found = responses.decode(spread(inputs.responses(spark, sf_dir)))
     return found.select("page", *_long("block_id"), "type", "text", F.round("bbox.xmin", DIGITS).alias("xmin"))
 
 
@@ -453,14 +453,14 @@ def extraction_totals(spark, sf_dir):
 
 @registered
 def landing_link(spark, sf_dir):
-    return fetch.landing_links(inputs.landing_pages(spark, sf_dir)).select(
+    return fetch.landing_links(spread(inputs.landing_pages(spark, sf_dir))).select(
         "page_id", *_shown("method", "link", "route")
     )
 
 
 @registered
 def quarantine(spark, sf_dir):
-    found = fetch.landing_links(inputs.landing_pages(spark, sf_dir))
+    found = fetch.landing_links(spread(inputs.landing_pages(spark, sf_dir)))
     return fetch.quarantine(found).select("page_id", "url", F.length("html").cast("long").alias("n_chars"))
 
 

@@ -29,9 +29,14 @@ class LinkRules:
     viewer_link: str = r"viewerPdfUrl\s*=\s*'([^']*)'"
 
 
-def _found(html: Column, pattern: str) -> Column:
-    """First group of the first match, NULL without a match."""
-    return F.when(html.rlike(pattern), F.regexp_extract(html, pattern, 1))
+def _found(html: Column, pattern: str, mark: str | None = None) -> Column:
+    """First group of the first match, NULL when there is none or it is empty.
+
+    ``mark`` is a plain word every match holds, in any case; pages without it are spared the
+    pattern.
+    """
+    match = F.nullif(F.regexp_extract(html, pattern, 1), F.lit(""))
+    return F.when(F.lower(html).contains(mark.lower()), match) if mark else match
 
 
 def _unescaped(value: Column) -> Column:
@@ -42,44 +47,41 @@ def _unescaped(value: Column) -> Column:
 
 def _attribute(tag: str, name: str, inside: str = "") -> str:
     """Pattern for a quoted attribute value of a tag; group 1 is the value."""
-    value = rf"[^\"'>]*{inside}[^\"'>]*"
+    value = rf"[^\"'>]*(?-i:{inside})[^\"'>]*"
     return rf"(?is)<{tag}\b[^>]*?\s{re.escape(name)}\s*=\s*[\"']({value})[\"']"
 
 
-def landing_link(html: Column, rules: LinkRules = LinkRules()) -> tuple[Column, Column]:
-    """``(method, link)`` of a landing page.
+def embedded_items(html: Column, rules: LinkRules = LinkRules()) -> Column:
+    """Struct with the current item and the list of the embedded JSON, NULL if unreadable."""
+    pattern = rf"(?s){re.escape(rules.blob_variable)}\s*=\s*(\{{.*?\}});"
+    return F.from_json(_found(html, pattern, rules.blob_variable), _BLOB, _STRICT)["global"]
 
-    In this order: current item of the embedded JSON, first titled list item that has the
-    key (its value decides, even when empty), frame on the asset host, source attribute.
-    JSON that cannot be read falls through to the frame.
-    """
-    blob = _found(html, rf"(?s){re.escape(rules.blob_variable)}\s*=\s*(\{{.*?\}});")
-    content = F.from_json(blob, _BLOB, _STRICT)["global"]
-    current = F.nullif(F.try_element_at(content["currentContent"], F.lit("sourceUrl")), F.lit(""))
-    titled = F.get(
-        F.filter(
-            content["experienceContent"],
-            lambda item: F.map_contains_key(item, "sourceUrl")
-            & F.lower(F.try_element_at(item, F.lit("title"))).contains(rules.title_word),
-        ),
-        F.lit(0),
-    )
-    frame = F.nullif(_found(html, _attribute("iframe", "src", re.escape(rules.asset_host))), F.lit(""))
-    attribute = _found(html, _attribute(r"[a-z][\w-]*", rules.source_attribute))
-    method = (
-        F.when(current.isNotNull(), F.lit("current"))
-        .when(titled.isNotNull(), F.lit("listed"))
-        .when(frame.isNotNull(), F.lit("frame"))
-        .when(attribute.isNotNull(), F.lit("attribute"))
-    )
-    link = (
-        F.when(method == "current", current)
-        .when(method == "listed", F.try_element_at(titled, F.lit("sourceUrl")))
-        .when(method == "frame", _unescaped(frame))
-        .when(method == "attribute", _unescaped(attribute))
-    )
-    link = F.nullif(link, F.lit(""))
-    return F.when(link.isNotNull(), method), link
+
+def current_item_link(items: Column) -> Column:
+    return F.nullif(F.try_element_at(items["currentContent"], F.lit("sourceUrl")), F.lit(""))
+
+
+def titled_item(items: Column, rules: LinkRules = LinkRules()) -> Column:
+    """First list item that has the link key and the wanted word in its title."""
+
+    def wanted(item: Column) -> Column:
+        title = F.lower(F.try_element_at(item, F.lit("title")))
+        return F.map_contains_key(item, "sourceUrl") & title.contains(rules.title_word)
+
+    return F.get(F.filter(items["experienceContent"], wanted), F.lit(0))
+
+
+def item_link(item: Column) -> Column:
+    return F.try_element_at(item, F.lit("sourceUrl"))
+
+
+def frame_link(html: Column, rules: LinkRules = LinkRules()) -> Column:
+    """Address of the first frame on the asset host."""
+    return _unescaped(_found(html, _attribute("iframe", "src", re.escape(rules.asset_host)), rules.asset_host))
+
+
+def attribute_link(html: Column, rules: LinkRules = LinkRules()) -> Column:
+    return _unescaped(_found(html, _attribute(r"[a-z][\w-]*", rules.source_attribute), rules.source_attribute))
 
 
 def viewer_link(html: Column, url: Column, rules: LinkRules = LinkRules()) -> Column:

@@ -41,28 +41,27 @@ def mean_of(vectors: Column) -> Column:
     return F.transform(added, lambda x: x / F.size(vectors))
 
 
-def moments(v: Column) -> Column:
-    """``n, s, ss`` of the components in one pass over the array."""
-    start = F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("ss"))
-    return F.aggregate(
-        _doubles(v),
-        start,
-        lambda acc, x: F.struct((acc["s"] + x).alias("s"), (acc["ss"] + x * x).alias("ss")),
-    )
+def _with(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, also where a lambda refers to it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def deviation(v: Column) -> Column:
+    """Population standard deviation."""
+    n = F.size(v)
+    squares = _with(_sum(v, lambda x: x) / n, lambda mean: _sum(v, lambda x: (x - mean) * (x - mean)))
+    return F.sqrt(squares / n)
 
 
 def stats(v: Column) -> dict[str, Column]:
     """Minimum, maximum, mean, population standard deviation, norm and first components."""
-    m, n = moments(v), F.size(v)
-    mean = m["s"] / n
-    spread = F.aggregate(_doubles(v), F.lit(0.0), lambda acc, x: acc + (x - mean) * (x - mean))
     return {
-        "dim": n,
+        "dim": F.size(v),
         "min": F.array_min(v).cast("double"),
         "max": F.array_max(v).cast("double"),
-        "mean": mean,
-        "std": F.sqrt(spread / n),
-        "norm": F.sqrt(m["ss"]),
+        "mean": _sum(v, lambda x: x) / F.size(v),
+        "std": deviation(v),
+        "norm": norm(v),
         "head": head(v),
     }
 

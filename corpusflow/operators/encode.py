@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from corpusflow.session import spread
+
 # An encoder maps texts to a matrix of unit vectors, one row per text. A factory builds it.
 Encoder = Callable[[Sequence[str]], np.ndarray]
 EncoderFactory = Callable[[], Encoder]
@@ -40,30 +43,38 @@ class TokenHashEncoder:
         if not 1 <= dim <= 16:
             raise ValueError("an md5 digest has 16 bytes")
         self.dim, self.max_tokens = dim, max_tokens
+        self._forget()
+
+    def _forget(self) -> None:
         self._rows: dict[str, int] = {}
-        self._matrix = np.zeros((1024, dim), dtype=np.int64)
-
-    def _row(self, token: str) -> int:
-        at = self._rows.get(token)
-        if at is None:
-            at = len(self._rows)
-            if at == len(self._matrix):
-                self._matrix = np.vstack([self._matrix, np.zeros_like(self._matrix)])
-            digest = hashlib.md5(token.encode()).digest()[: self.dim]
-            self._matrix[at] = 2 * np.frombuffer(digest, dtype=np.uint8).astype(np.int64) - 255
-            self._rows[token] = at
-        return at
+        self._components = np.zeros((0, self.dim), dtype=np.int16)
+
+    def _learn(self, tokens: list[str]) -> None:
+        digests = b"".join([hashlib.md5(t.encode()).digest()[: self.dim] for t in tokens])
+        components = 2 * np.frombuffer(digests, dtype=np.uint8).astype(np.int16).reshape(-1, self.dim) - 255
+        start = len(self._rows)
+        while start + len(tokens) > len(self._components):
+            more = np.zeros((max(4096, len(self._components)), self.dim), dtype=np.int16)
+            self._components = np.vstack([self._components, more])
+        self._components[start : start + len(tokens)] = components
+        self._rows.update(zip(tokens, range(start, start + len(tokens))))
 
     def __call__(self, texts: Sequence[str]) -> np.ndarray:
         if len(self._rows) > _VOCABULARY_LIMIT:
-            self._rows.clear()
-        sums = np.zeros((len(texts), self.dim))
-        for i, text in enumerate(texts):
-            tokens = text.split()[: self.max_tokens]
-            if tokens:
-                at = [self._row(t) for t in tokens]
-                sums[i] = self._matrix[at].sum(axis=0) / len(at)
-        return unit_rows(sums)
+            self._forget()
+        words = [t.split()[: self.max_tokens] for t in texts]
+        flat = list(chain.from_iterable(words))
+        unseen = list(set(flat).difference(self._rows))
+        if unseen:
+            self._learn(unseen)
+        at = np.fromiter(map(self._rows.__getitem__, flat), dtype=np.int64, count=len(flat))
+        counts = np.array([len(w) for w in words])
+        means = np.zeros((len(words), self.dim))
+        if len(flat):
+            starts = (np.cumsum(counts) - counts)[counts > 0]
+            sums = np.add.reduceat(self._components[at], starts, axis=0, dtype=np.int64)
+            means[counts > 0] = sums / counts[counts > 0][:, None]
+        return unit_rows(means)
 
 
 class TokenHash:
@@ -118,9 +129,10 @@ def embed(
     batch_size: int = 32,
     keep: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Columns ``keep`` with ``embeddings`` and ``error`` added; no shuffle.
+    """Columns ``keep`` with ``embeddings`` and ``error`` added.
 
-    Rows stream through as Arrow batches, so memory does not grow with the partition. The
+    Inputs of many files are encoded where they are read, without a shuffle; a few files are
+    spread over the cores first. Rows stream through as Arrow batches, so memory does not grow with the partition. The
     text itself stays behind unless ``keep`` names it.
     """
     factory = factory or TokenHash()
@@ -143,7 +155,7 @@ def embed(
             out["error"] = pd.Series(errors, index=batch.index, dtype=object)
             yield out[[*keep, "embeddings", "error"]]
 
-    present = df.filter(F.col(text).isNotNull())
+    present = spread(df.filter(F.col(text).isNotNull()))
     return present.select(*carried, F.col(text).alias("_text")).mapInPandas(run, schema)
 
 

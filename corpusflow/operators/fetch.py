@@ -10,9 +10,38 @@ from corpusflow.functions.text import decoded, megabytes
 
 
 def landing_links(pages: DataFrame, rules: LinkRules = LinkRules(), html: str = "html") -> DataFrame:
-    """Pages with the document link found in them, how it was found and where it leads."""
-    method, link = links.landing_link(decoded(pages, html), rules)
-    return pages.withColumns({"method": method, "link": link}).withColumn("route", links.route(F.col("link"), rules))
+    """Pages with the document link found in them, how it was found and where it leads.
+
+    In this order: current item of the embedded JSON, first titled list item that has the
+    key (its value decides, even when empty), frame on the asset host, source attribute.
+    JSON that cannot be read falls through to the frame. Each step is its own projection, so
+    that no pattern runs twice on a page.
+    """
+    text = F.col("_html")
+    staged = (
+        pages.withColumn("_html", decoded(pages, html))
+        .withColumn("_items", links.embedded_items(text, rules))
+        .withColumn("_current", links.current_item_link(F.col("_items")))
+        .withColumn("_titled", links.titled_item(F.col("_items"), rules))
+    )
+    in_json = F.coalesce(F.col("_current").isNotNull() | F.col("_titled").isNotNull(), F.lit(False))
+    staged = staged.withColumn("_frame", F.when(~in_json, links.frame_link(text, rules)))
+    open_still = ~in_json & F.col("_frame").isNull()
+    staged = staged.withColumn("_attribute", F.when(open_still, links.attribute_link(text, rules)))
+    method = (
+        F.when(F.col("_current").isNotNull(), "current")
+        .when(F.col("_titled").isNotNull(), "listed")
+        .when(F.col("_frame").isNotNull(), "frame")
+        .when(F.col("_attribute").isNotNull(), "attribute")
+    )
+    listed = F.nullif(links.item_link(F.col("_titled")), F.lit(""))
+    link = F.coalesce("_current", listed, "_frame", "_attribute")
+    return (
+        staged.withColumn("link", link)
+        .withColumn("method", F.when(F.col("link").isNotNull(), method))
+        .withColumn("route", links.route(F.col("link"), rules))
+        .select(*pages.columns, "method", "link", "route")
+    )
 
 
 def viewer_links(pages: DataFrame, rules: LinkRules = LinkRules(), html: str = "html") -> DataFrame:

@@ -46,7 +46,7 @@ def _bucket(df: DataFrame, column: str, cuts: list[float], out: str) -> DataFram
         return df.withColumn(out, F.lit(0))
     borders = [-math.inf, *cuts, math.inf]
     cut = Bucketizer(splits=borders, inputCol=column, outputCol=out, handleInvalid="keep")
-    return cut.transform(df).withColumn(out, F.col(out).cast("int"))
+    return cut.transform(df).withColumn(out, F.coalesce(F.col(out).cast("int"), F.lit(len(cuts) + 1)))
 
 
 def bucketed(df: DataFrame, order: Sequence[str], rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:

@@ -23,12 +23,13 @@ class ShardRun:
 def sharded_texts(
     samples: DataFrame, key: str, total_shards: Column, rows_per_bucket: int = ordering.ROWS_PER_BUCKET
 ) -> DataFrame:
-    """``dataset, split, key, shard_id, original_index, text`` with NULL for samples without text.
+    """``dataset, split, key, shard_id, original_index, text, has_text`` of every sample.
 
-    The position counts all samples of a shard, those without text included.
+    The position counts all samples of a shard, those without text included. A job that only
+    needs ``has_text`` does not shuffle the texts.
     """
     texts = with_text(samples, exclude=("dataset", "split", key), out="_text")
-    slim = texts.select("dataset", "split", key, F.when(has_text(F.col("_text")), F.col("_text")).alias("text"))
+    slim = texts.select("dataset", "split", key, F.col("_text").alias("text"), has_text(F.col("_text")).alias("has_text"))
     return shards.assign(slim, key, total_shards, rows_per_bucket)
 
 
@@ -39,7 +40,7 @@ def shard_status(sharded: DataFrame, done: DataFrame, failed: DataFrame | None =
     rows the encoder refused as ``errors``.
     """
     key = list(shards.SHARD_KEY)
-    found = sharded.groupBy(*key).agg(F.count("text").alias("_texts"))
+    found = sharded.groupBy(*key).agg(F.count_if("has_text").alias("_texts"))
     found = found.join(done.select(*key, F.col("samples").alias("_stored")), key, "left")
     if failed is not None:
         found = found.join(failed.select(*key, "errors"), key, "left")
@@ -72,7 +73,7 @@ def embed_shards(
     the only one on the way to the encoder.
     """
     sharded = sharded_texts(samples, key, total_shards)
-    todo = shards.pending(sharded, done).filter(F.col("text").isNotNull())
+    todo = shards.pending(sharded, done).filter("has_text")
     keep = [*shards.SHARD_KEY, "original_index", key]
     return ShardRun(encode.embed(todo, "text", factory, prefix, keep=keep), shard_status(sharded, done))
 

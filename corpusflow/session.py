@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from collections.abc import Sequence
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
+FEW_FILES = 32
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -54,3 +58,29 @@ def stored(df: DataFrame, name: str = "table") -> DataFrame:
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread rows that come from a handful of files over all cores, for costly work per row.
+
+    A file that is one row group is one task, however many cores wait. Inputs of more files
+    keep their tasks and are not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.isStreaming or len(df.inputFiles()) >= min(cores, FEW_FILES):
+        return df
+    return df.repartition(cores)
+
+
+def ship(spark: SparkSession, root: Path, packages: Sequence[str]) -> None:
+    """Send packages below ``root`` to the Python workers, once per Spark application."""
+    sc = spark.sparkContext
+    name = f"{packages[0]}-{sc.applicationId}.zip"
+    if any(path.endswith(name) for path in sc.listFiles):
+        return
+    bundle = Path(tempfile.mkdtemp(prefix="corpusflow-")) / name  # Spark copies it to the executors
+    with zipfile.ZipFile(bundle, "w") as archive:
+        for package in packages:
+            for source in sorted((root / package).rglob("*.py")):
+                archive.write(source, source.relative_to(root))
+    sc.addPyFile(str(bundle))
