@@ -3,7 +3,7 @@
 The search visits blocks of vectors, not pairs of rows. Every vector joins the cell of its
 nearest pivot; a cell is cut into blocks of bounded size. Neighbours within its own block give
 each vector a first search radius. By the triangle inequality a cell whose distance range from
-its pivot lies outside that radius cannot hold a nearer vector; the vector is sent, packed
+its pivot lies outside that radius, or that begins beyond it, cannot hold a nearer vector; the vector is sent, packed
 with others into one matrix, only to the blocks of the cells that remain. Nothing is left
 out, so the result is exact on any data; how many blocks can be skipped depends on it.
 """
@@ -135,6 +135,9 @@ def _within(blocks: DataFrame, k: int, dim: int) -> DataFrame:
 def _probes(blocks: DataFrame, k: int, dim: int, pivots: np.ndarray, low: np.ndarray, high: np.ndarray, chunks: np.ndarray) -> DataFrame:
     """Per block the vectors each other block has to be searched for, packed into one row."""
     schema = "cell int, chunk int, ids array<long>, probe binary, radius array<double>"
+    # Vectors of another cell lie beyond the plane halfway between the two pivots.
+    apart = 2.0 * _distances(pivots, pivots)
+    apart[apart == 0.0] = np.inf
 
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -143,6 +146,8 @@ def _probes(blocks: DataFrame, k: int, dim: int, pivots: np.ndarray, low: np.nda
                 radius = _own_radius(_distances(m, m), ids, k)
                 to_pivot = _distances(m, pivots)
                 nearest = np.maximum(np.maximum(to_pivot - high, low - to_pivot), 0.0)
+                beyond = to_pivot**2 - to_pivot[:, [cell]] ** 2
+                nearest = np.maximum(nearest, beyond / apart[cell])
                 for target in range(len(pivots)):
                     wanted = nearest[:, target] <= radius + _SLACK
                     if not wanted.any():

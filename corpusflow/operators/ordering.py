@@ -99,7 +99,8 @@ def running(
     )
     ranked = [F.asc_nulls_last(c) for c in order]
     within = Window.partitionBy(*cells).orderBy(*ranked).rowsBetween(Window.unboundedPreceding, 0)
-    summed = work.join(offsets, cells, "left")
+    # A hash table of the few cells of a partition; a merge join would sort the rows twice.
+    summed = work.join(offsets.hint("shuffle_hash"), cells, "left")
     return summed.select(
         *df.columns,
         *[(F.col(f"_o_{n}") + F.sum(e).over(within)).alias(n) for n, e in totals.items()],

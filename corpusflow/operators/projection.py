@@ -66,19 +66,18 @@ def curve(min_dist: float, spread: float = 1.0) -> tuple[float, float]:
     return float(p[0]), float(p[1])
 
 
-def _clipped(x: Column) -> Column:
-    return F.greatest(F.lit(-MAX_FORCE), F.least(F.lit(MAX_FORCE), x))
+def _clipped(x: str) -> str:
+    return f"greatest(-{MAX_FORCE}D, least({MAX_FORCE}D, {x}))"
 
 
-def _forces(a: float, b: float) -> tuple[Column, Column]:
-    """Pull along an edge of weight ``w`` and push between random partners."""
-    dx, dy = F.col("x") - F.col("xj"), F.col("y") - F.col("yj")
-    d2 = dx * dx + dy * dy
-    powered = F.pow(d2, F.lit(b))
-    pull = F.when(d2 > 0, -2 * a * b * F.pow(d2, F.lit(b - 1)) / (1 + a * powered)).otherwise(0.0) * F.col("w")
-    push = 2 * b / ((0.001 + d2) * (1 + a * powered)) * F.col("w")
-    strength = F.when(F.col("push"), push).otherwise(pull)
-    return _clipped(strength * dx), _clipped(strength * dy)
+def _forces(a: float, b: float) -> tuple[str, str]:
+    """Pull along an edge of weight ``w`` and push between random partners, as SQL."""
+    d2 = "((x - xj) * (x - xj) + (y - yj) * (y - yj))"
+    fall = f"(1 + {a}D * pow({d2}, {b}D))"
+    pull = f"if({d2} > 0, {-2 * a * b}D * pow({d2}, {b - 1}D) / {fall}, 0D)"
+    push = f"{2 * b}D / ((0.001D + {d2}) * {fall})"
+    strength = f"w * if(push, {push}, {pull})"
+    return _clipped(f"{strength} * (x - xj)"), _clipped(f"{strength} * (y - yj)")
 
 
 def layout_2d(
@@ -113,11 +112,12 @@ def layout_2d(
             (F.col("y") * scale).alias("y"),
             F.coalesce("degree", F.lit(0.0)).alias("degree"),
             F.coalesce("parts", F.lit(1)).alias("parts"),
+            F.lit(0).alias("epoch"),
         ),
         "layout",
     )
-    for epoch in range(epochs):
-        at = stored(_moved(at, edges, n, epoch, 1.0 - epoch / epochs, seed, _forces(a, b)), "layout")
+    for _ in range(epochs):
+        at = stored(_moved(at, edges, n, epochs, seed, _forces(a, b)), "layout")
     return numbered.join(at, "v").select(F.col("id").alias(id_col), "x", "y")
 
 
@@ -154,34 +154,33 @@ def _split_edges(graph: DataFrame) -> tuple[DataFrame, DataFrame]:
     return stored(edges, "layout-edges"), parts
 
 
-def _moved(at: DataFrame, edges: DataFrame, n: int, epoch: int, alpha: float, seed: int, forces: tuple[Column, Column]) -> DataFrame:
-    """Positions after one epoch."""
-    drawn = [F.pmod(F.xxhash64(F.lit(seed), F.lit(epoch), F.lit(s), F.col("v")), F.lit(n)) for s in range(PARTNERS)]
-    pushes = at.select(
-        F.col("v").alias("vi"),
-        F.lit(0).alias("pi"),
-        F.explode(F.array(*drawn)).alias("vj"),
-        F.lit(0).alias("pj"),
-        (F.col("degree") * REPULSION / PARTNERS).alias("w"),
-        F.lit(True).alias("push"),
-    ).filter(F.col("vi") != F.col("vj"))
-    each = at.select("v", "x", "y", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("p"))
-    far = each.select(F.col("v").alias("vj"), F.col("p").alias("pj"), F.col("x").alias("xj"), F.col("y").alias("yj"))
-    near = each.select(F.col("v").alias("vi"), F.col("p").alias("pi"), "x", "y")
+def _moved(at: DataFrame, edges: DataFrame, n: int, epochs: int, seed: int, forces: tuple[str, str]) -> DataFrame:
+    """Positions after one more epoch.
+
+    The epoch is a column, not a literal, so that every epoch runs the same compiled code.
+    """
+    drawn = ", ".join(f"pmod(xxhash64({seed}, epoch, {s}, v), {n}L)" for s in range(PARTNERS))
+    share = f"degree * {REPULSION / PARTNERS}D AS w"
+    pushes = at.selectExpr("v AS vi", "0 AS pi", f"explode(array({drawn})) AS vj", "0 AS pj", share, "true AS push")
+    each = at.selectExpr("v", "x", "y", "explode(sequence(0, parts - 1)) AS p")
+    far = each.selectExpr("v AS vj", "p AS pj", "x AS xj", "y AS yj")
+    near = each.selectExpr("v AS vi", "p AS pi", "x", "y")
     fx, fy = forces
     pulled = (
-        edges.unionByName(pushes)
+        edges.unionByName(pushes.filter("vi <> vj"))
         .join(far, ["vj", "pj"])
         .join(near, ["vi", "pi"])
         .groupBy(F.col("vi").alias("v"))
-        .agg(F.sum(fx).alias("fx"), F.sum(fy).alias("fy"))
+        .agg(F.expr(f"sum({fx}) AS fx"), F.expr(f"sum({fy}) AS fy"))
     )
-    return at.join(pulled, "v", "left").select(
+    step = f"(1 - epoch / {float(epochs)}D) * coalesce({{}}, 0D)"
+    return at.join(pulled, "v", "left").selectExpr(
         "v",
-        (F.col("x") + alpha * F.coalesce(_clipped(F.col("fx")), F.lit(0.0))).alias("x"),
-        (F.col("y") + alpha * F.coalesce(_clipped(F.col("fy")), F.lit(0.0))).alias("y"),
+        f"x + {step.format(_clipped('fx'))} AS x",
+        f"y + {step.format(_clipped('fy'))} AS y",
         "degree",
         "parts",
+        "epoch + 1 AS epoch",
     )
 
 
