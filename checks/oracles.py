@@ -145,6 +145,36 @@ def _knn(k: int) -> str:
 knn AS (SELECT i, j, row_number() OVER (PARTITION BY i ORDER BY d, j) AS rk, d FROM pairs QUALIFY rk <= {k})"""
 
 
+# Principal components by squaring the scaled covariance matrix until one direction is left.
+_SQUARINGS = 30
+
+
+def _leading(matrix: str, name: str) -> str:
+    return f"""{name}_powers AS (
+  SELECT 0 AS step, r, c, x / (SELECT sum(x) FROM {matrix} WHERE r = c) AS x FROM {matrix}
+  UNION ALL
+  SELECT step + 1, r, c, x / sum(x) FILTER (r = c) OVER () FROM (
+    SELECT a.step AS step, a.r AS r, b.c AS c, sum(a.x * b.x) AS x
+    FROM {name}_powers a JOIN {name}_powers b ON a.c = b.r WHERE a.step < {_SQUARINGS} GROUP BY ALL)),
+{name}_column AS (SELECT r, x FROM {name}_powers WHERE step = {_SQUARINGS}
+  AND c = (SELECT c FROM {name}_powers WHERE step = {_SQUARINGS} AND r = c ORDER BY x DESC LIMIT 1)),
+{name} AS (SELECT r, x / sqrt((SELECT sum(x * x) FROM {name}_column))
+  * sign((SELECT x FROM {name}_column ORDER BY abs(x) DESC LIMIT 1)) AS x FROM {name}_column)"""
+
+
+PCA = f"""parts AS (SELECT vec_id, unnest(range(len(embedding))) AS r, unnest(embedding)::DOUBLE AS v FROM embeddings),
+centred AS (SELECT vec_id, r, v - avg(v) OVER (PARTITION BY r) AS v FROM parts),
+cov AS (SELECT a.r AS r, b.r AS c, sum(a.v * b.v) AS x FROM centred a JOIN centred b USING (vec_id) GROUP BY ALL),
+{_leading('cov', 'first')},
+rest AS (SELECT cov.r AS r, c, cov.x - (SELECT sum(m.x * p.x * q.x) FROM cov m JOIN first p ON m.r = p.r JOIN first q ON m.c = q.r)
+  * u.x * w.x AS x FROM cov JOIN first u ON cov.r = u.r JOIN first w ON cov.c = w.r),
+{_leading('rest', 'second')},
+pca AS (SELECT vec_id, round(sum(v * f.x), 5) AS x, round(sum(v * s.x), 5) AS y
+  FROM centred JOIN first f USING (r) JOIN second s USING (r) GROUP BY 1)"""
+POINTS = f"""{PCA}, {TREE}, points AS (SELECT vec_id, x, y, split, dataset, left(coalesce(text, '-'), 100) AS text
+  FROM pca JOIN tree ON vec_id = original_index LEFT JOIN documents ON doc_id = vec_id)"""
+
+
 ORACLES: dict[str, str] = {
     "registry_groups": f"""WITH {KNOWN} SELECT grp, dataset, 'hub/' || dataset AS source_name FROM known
         WHERE grp = 'next' OR dataset = 'src0'""",
@@ -267,6 +297,19 @@ ORACLES: dict[str, str] = {
         both_ways AS (SELECT i, j, w AS a, 0.0::DOUBLE AS b FROM directed UNION ALL SELECT j, i, 0.0::DOUBLE, w FROM directed),
         united AS (SELECT i, j, sum(a) AS a, sum(b) AS b FROM both_ways GROUP BY ALL)
         SELECT i, j, round(a + b - a * b, 5) AS w FROM united WHERE a + b - a * b > 0""",
+    "pca_2d": f"WITH RECURSIVE {PCA} SELECT vec_id, x, y FROM pca",
+    "plot_points": f"WITH RECURSIVE {POINTS} SELECT * FROM points",
+    "roundtrip_points": f"""WITH RECURSIVE {POINTS} SELECT dataset, split, count(*) AS n, round(sum(x), 4) AS x,
+          sum(length(text))::BIGINT AS n_chars FROM points GROUP BY ALL""",
+    "roundtrip_structured": """SELECT doc_id::VARCHAR AS document, len(string_split(text, chr(10))) AS elements
+        FROM documents WHERE doc_id % 10 NOT IN (0, 1)""",
+    "roundtrip_preview": f"""WITH {BLOCKS} SELECT document, page, count(*) AS n,
+          sum(CASE WHEN length(text) > 200 THEN 203 ELSE length(text) END)::BIGINT AS n_chars FROM blocks GROUP BY ALL""",
+    "layout_records": f"""WITH {BLOCKS}, counted AS (SELECT page, count(*) AS n FROM blocks WHERE page % 6 IN (0, 1) GROUP BY 1)
+        SELECT source AS document, count(n) AS processed, count(*) AS total, coalesce(sum(n), 0)::BIGINT AS blocks,
+          count(n) = count(*) AS success FROM documents LEFT JOIN counted ON doc_id = page GROUP BY 1""",
+    "decoded_pages": "SELECT page_id, html AS text FROM pages",
+    "data_uris": "SELECT page_id, 'data:image/png;base64,' || base64(encode(html)) AS uri FROM pages",
     "legend": f"""WITH {TREE} SELECT split, dense_rank() OVER (ORDER BY split) - 1 AS slot, count(*) AS n FROM tree GROUP BY split""",
     "legend_slots": f"WITH {TREE} SELECT original_index, split, dense_rank() OVER (ORDER BY split) - 1 AS slot FROM tree",
     "block_records": f"""WITH {BLOCKS} SELECT document, page, block_id, coalesce(type, 'DEFAULT') AS type, text,

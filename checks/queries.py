@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from checks import inputs
-from corpusflow.functions.text import size_label
+from corpusflow.functions.text import data_uri, decoded, size_label
 from corpusflow.functions.vectors import dim
 from corpusflow.operators import (
     blocks,
@@ -22,7 +22,7 @@ from corpusflow.operators import (
     text_samples,
     validation,
 )
-from corpusflow.plans import embedding_run
+from corpusflow.plans import embedding_run, layout_run
 from corpusflow.session import fresh_path, spread
 from corpusflow.sources import archives, responses, samples as sources, writers
 from corpusflow.streaming import jobs
@@ -363,16 +363,26 @@ def fuzzy_graph(spark, sf_dir):
 
 @registered
 def pca_2d(spark, sf_dir):
-    return projection.pca_2d(inputs.table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    found = projection.pca_2d(inputs.table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    return found.select("vec_id", F.round("x", 5).alias("x"), F.round("y", 5).alias("y"))
+
+
+def _described(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = inputs.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("vec_id"), "text")
+    named = inputs.vector_tree(spark, sf_dir).select(F.col("original_index").alias("vec_id"), "dataset", "split")
+    return named.join(texts, "vec_id", "left").withColumn("text", F.coalesce("text", F.lit("-")))
+
+
+@registered
+def plot_points(spark, sf_dir):
+    return projection.point_table(pca_2d(spark, sf_dir), _described(spark, sf_dir), ["vec_id"])
 
 
 @registered
 def layout_2d(spark, sf_dir):
     vectors = inputs.table(spark, sf_dir, "embeddings")
     positions = projection.layout_2d(vectors, "vec_id", "embedding", epochs=EPOCHS)
-    texts = inputs.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("vec_id"), "text")
-    named = inputs.vector_tree(spark, sf_dir).select(F.col("original_index").alias("vec_id"), "dataset", "split")
-    return projection.point_table(positions, named.join(texts, "vec_id", "left"), ["vec_id"])
+    return projection.point_table(positions, _described(spark, sf_dir), ["vec_id"])
 
 
 @registered
@@ -448,9 +458,30 @@ def extraction_totals(spark, sf_dir):
     return blocks.extraction_totals(archives.elements(inputs.archives(spark, sf_dir)))
 
 
+@registered
+def layout_records(spark, sf_dir):
+    pages = inputs.parsed_pages(spark, sf_dir).withColumn("page", F.col("page").cast("long"))
+    replies = pages.join(inputs.responses(spark, sf_dir), "page")
+    return layout_run.parse(replies).documents
+
+
 # Links and fetches
 
 
+@registered
+def decoded_pages(spark, sf_dir):
+    """Page bytes with invalid sequences put in."""
+    body = F.concat(F.unhex(F.lit("FF")), F.encode("html", "utf-8"), F.unhex(F.lit("C3")))
+    pages = inputs.table(spark, sf_dir, "pages").select("page_id", body.alias("body"))
+    return pages.select("page_id", decoded(pages, "body").alias("text"))
+
+
+@registered
+def data_uris(spark, sf_dir):
+    pages = inputs.table(spark, sf_dir, "pages")
+    return pages.select("page_id", data_uri(F.encode("html", "utf-8")).alias("uri"))
+
+
 @registered
 def landing_link(spark, sf_dir):
     return fetch.landing_links(spread(inputs.landing_pages(spark, sf_dir))).select(
@@ -538,6 +569,36 @@ def roundtrip_blocks(spark, sf_dir):
     )
 
 
+@registered
+def roundtrip_preview(spark, sf_dir):
+    root = fresh_path(spark, "preview")
+    writers.write_preview(inputs.blocks(spark, sf_dir), root)
+    schema = "document string, page long, id long, type string, text string, bbox string"
+    stored = spark.read.schema(schema).csv(root, sep="\t", header=True, escape='"')
+    return stored.groupBy("document", "page").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.length(F.coalesce("text", F.lit("")))).alias("n_chars")
+    )
+
+
+@registered
+def roundtrip_structured(spark, sf_dir):
+    root = fresh_path(spark, "structured")
+    writers.write_structured(archives.structured_json(inputs.archives(spark, sf_dir)), root)
+    elements = F.json_array_length(F.get_json_object("value", "$.data.elements")).cast("long")
+    return spark.read.text(root).select(
+        F.get_json_object("value", "$.document").alias("document"), elements.alias("elements")
+    )
+
+
+@registered
+def roundtrip_points(spark, sf_dir):
+    root = fresh_path(spark, "points")
+    writers.write_points(plot_points(spark, sf_dir), root)
+    return spark.read.parquet(root).groupBy("dataset", "split").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.sum("x"), 4).alias("x"), F.sum(F.length("text")).alias("n_chars")
+    )
+
+
 @registered
 def roundtrip_json(spark, sf_dir):
     root = fresh_path(spark, "embedding-json")

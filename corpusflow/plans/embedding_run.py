@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from corpusflow.functions.text import has_text
 from corpusflow.operators import encode, ordering, shards, validation
 from corpusflow.operators.catalog import spec_of
 from corpusflow.operators.text_samples import with_text
+from corpusflow.sources import samples as sources
 
 
 @dataclass(frozen=True)
@@ -78,6 +79,12 @@ def embed_shards(
     return ShardRun(encode.embed(todo, "text", factory, prefix, keep=keep), shard_status(sharded, done))
 
 
+def validate_tree(spark: SparkSession, root: str, check_values: bool = True) -> DataFrame:
+    """Result row of every file of ``root/dataset/split/*.parquet``, empty and broken ones included."""
+    files = validation.validate_files(sources.read_embedding_tree(spark, root), check_values=check_values)
+    return files.unionByName(sources.unread_files(spark, root, files))
+
+
 def validation_report(embeddings: DataFrame) -> DataFrame:
     """Files checked and rolled up by dataset and split."""
     return validation.report(validation.validate_files(embeddings))

@@ -70,10 +70,12 @@ def write_preview(blocks: DataFrame, root: str) -> None:
 
 
 def write_structured(archives_json: DataFrame, root: str) -> None:
-    """Extracted JSON, one line per archive that had it, one folder per document."""
+    """Extracted JSON of the archives that had it, one ``{"document", "data"}`` object per line."""
     found = archives_json.filter(F.col("json").isNotNull())
-    compact = F.regexp_replace("json", r"[\r\n]+", " ").alias("value")
-    found.select("document", compact).write.mode("overwrite").partitionBy("document").text(root)
+    compact = F.regexp_replace("json", r"[\r\n]+", " ")
+    document = F.to_json(F.struct("document"))
+    line = F.concat(F.regexp_replace(document, r"\}$", ',"data":'), compact, F.lit("}"))
+    found.select(line.alias("value")).write.mode("overwrite").text(root)
 
 
 def write_points(points: DataFrame, root: str, fmt: str = "parquet") -> None:

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusflow.operators import catalog, provenance, validation
-from corpusflow.sources import samples as sources
+from corpusflow.plans.embedding_run import validate_tree
 
 ROWS = [
     ("v1", "hub/one", None, "one", "old"),
@@ -98,9 +98,7 @@ def test_tree_with_every_kind_of_file(spark, tmp_path):
     (tmp_path / "e" / "s" / "broken.parquet").write_bytes(b"PAR1 this is no parquet PAR1")
     (tmp_path / "e" / "none").mkdir()
 
-    rows = sources.read_embedding_tree(spark, str(tmp_path))
-    files = validation.validate_files(rows)
-    files = files.unionByName(sources.unread_files(spark, str(tmp_path), files))
+    files = validate_tree(spark, str(tmp_path))
     found = {r["file"]: r for r in files.collect()}
     assert {f: (r["valid"], r["rows"], r["dim"]) for f, r in found.items()} == {
         "a.parquet": (True, 2, 2),

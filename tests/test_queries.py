@@ -6,7 +6,7 @@ from __spark_entry__ import entry, oracle_sql, queries
 from tools.compare import connect, differences
 
 QUERIES, SQL = queries(), oracle_sql()
-WITHOUT_SQL = {"pca_2d", "layout_2d"}
+WITHOUT_SQL = {"layout_2d"}
 
 
 @pytest.fixture(scope="module")

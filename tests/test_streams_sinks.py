@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from checks import inputs
 from corpusflow.operators import encode, runlog, shards
+from corpusflow.plans import layout_run
+from corpusflow.plans.projection_run import points_of_json
 from corpusflow.sources import samples as sources, writers
 from corpusflow.streaming import jobs
 
@@ -82,6 +84,28 @@ def test_embedding_json(spark, tmp_path, multi_line):
     assert (row["embedding"], row["text"], row["metadata"]["model"]) == ([1.0, 2.0], "é" * 100, "m")
 
 
+def test_points_of_json(spark, tmp_path):
+    items = [
+        {"embedding": [float(i % 5), float(i), 1.0] if i % 6 else None, "split": f"s{i % 2}", "text": f"t{i}", "dataset": "d"}
+        for i in range(30)
+    ]
+    (tmp_path / "e.json").write_text(json.dumps({"embeddings": items, "metadata": {}}), encoding="utf-8")
+    points = points_of_json(spark, str(tmp_path), n_neighbors=5, epochs=2)
+    assert points.columns == ["x", "y", "split", "dataset", "text"]
+    assert {r["text"] for r in points.collect()} == {f"t{i}" for i in range(30) if i % 6}
+
+
+def test_layout_run(spark):
+    flat = json.dumps([{"type": "Text", "text": "a", "bbox": {"xmin": 0, "ymin": 0, "xmax": 0.5, "ymax": 0.5}}])
+    reply = json.dumps({"choices": [{"message": {"tool_calls": [{"function": {"arguments": flat}}]}}]})
+    rows = [("a", 1, reply), ("a", 2, "{}"), ("b", 1, reply)]
+    run = layout_run.parse(spark.createDataFrame(rows, "document string, page int, response string"))
+    assert [tuple(r["bbox_pixels"]) for r in run.records.collect()] == [(0, 0, 768, 1024)] * 2
+    assert {r["document"]: (r["processed"], r["total"], r["blocks"], r["success"]) for r in run.documents.collect()} == {
+        "a": (1, 2, 1, False), "b": (1, 1, 1, True),
+    }
+
+
 def test_latest_state_and_run_totals(spark):
     rows = [
         (0, 10, 1, "w", "success", 5, 1.0, "saving", "f" * 41, 1, 4),
