@@ -299,7 +299,7 @@ ORACLES: dict[str, str] = {
         SELECT i, j, round(a + b - a * b, 5) AS w FROM united WHERE a + b - a * b > 0""",
     "pca_2d": f"WITH RECURSIVE {PCA} SELECT vec_id, x, y FROM pca",
     "plot_points": f"WITH RECURSIVE {POINTS} SELECT * FROM points",
-    "roundtrip_points": f"""WITH RECURSIVE {POINTS} SELECT dataset, split, count(*) AS n, round(sum(x), 4) AS x,
+    "roundtrip_points": f"""WITH RECURSIVE {POINTS} SELECT dataset, split, count(*) AS n, round(sum(x), 5) AS x,
           sum(length(text))::BIGINT AS n_chars FROM points GROUP BY ALL""",
     "roundtrip_structured": """SELECT doc_id::VARCHAR AS document, len(string_split(text, chr(10))) AS elements
         FROM documents WHERE doc_id % 10 NOT IN (0, 1)""",

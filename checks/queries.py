@@ -595,7 +595,7 @@ def roundtrip_points(spark, sf_dir):
     root = fresh_path(spark, "points")
     writers.write_points(plot_points(spark, sf_dir), root)
     return spark.read.parquet(root).groupBy("dataset", "split").agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.sum("x"), 4).alias("x"), F.sum(F.length("text")).alias("n_chars")
+        F.count(F.lit(1)).alias("n"), F.round(F.sum("x"), 5).alias("x"), F.sum(F.length("text")).alias("n_chars")
     )
 
 
