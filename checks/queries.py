@@ -23,7 +23,7 @@ from corpusflow.operators import (
     validation,
 )
 from corpusflow.plans import embedding_run, layout_run
-from corpusflow.session import fresh_path, spread
+from corpusflow.session import few_files, fresh_path, spread
 from corpusflow.sources import archives, responses, samples as sources, writers
 from corpusflow.streaming import jobs
 
@@ -620,10 +620,11 @@ def roundtrip_json(spark, sf_dir):
 
 @registered
 def stream_embed(spark, sf_dir):
-    schema = inputs.table(spark, sf_dir, "documents").schema
+    stored = inputs.table(spark, sf_dir, "documents")
     out, checkpoint = fresh_path(spark, "stream-embed"), fresh_path(spark, "stream-embed-state")
-    docs = jobs.file_stream(spark, sf_dir, schema, "documents.parquet")
-    jobs.run(lambda: jobs.embed_new_files(docs, out, checkpoint, ["doc_id"]))
+    docs = jobs.file_stream(spark, sf_dir, stored.schema, "documents.parquet")
+    tasks = spark.sparkContext.defaultParallelism if few_files(stored) else None
+    jobs.run(lambda: jobs.embed_new_files(docs, out, checkpoint, ["doc_id"], tasks=tasks))
     return _components(spark.read.parquet(out), "doc_id")
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from corpusflow.operators import ordering
 from corpusflow.operators.neighbors import fuzzy_graph
 from corpusflow.operators.provenance import TEXT_CHARS
-from corpusflow.session import stored
+from corpusflow.session import checkpointed, stored
 
 # Fixed values of the layout: weight of repulsion, random partners per vertex and epoch,
 # longest step of one force, extent of the first positions.
@@ -94,7 +94,7 @@ def layout_2d(
 
     Starts from the principal components. Each epoch is a join of the edge table with the
     positions of both ends, summed per vertex; vertices with very many edges are cut into
-    parts. The positions are written once per epoch. Partners come from a hash of seed,
+    parts. The positions are checkpointed every epoch. Partners come from a hash of seed,
     epoch and vertex, so that a run repeats.
     """
     a, b = curve(min_dist)
@@ -117,7 +117,7 @@ def layout_2d(
         "layout",
     )
     for _ in range(epochs):
-        at = stored(_moved(at, edges, n, epochs, seed, _forces(a, b)), "layout")
+        at = checkpointed(_moved(at, edges, n, epochs, seed, _forces(a, b)))
     return numbered.join(at, "v").select(F.col("id").alias(id_col), "x", "y")
 
 

@@ -50,3 +50,13 @@ def pending(work: DataFrame, done: DataFrame, keys: Sequence[str] = SHARD_KEY) -
 def skipped(work: DataFrame, done: DataFrame, keys: Sequence[str] = SHARD_KEY) -> DataFrame:
     """Rows of ``work`` whose key is already in ``done``."""
     return work.join(done.select(*keys), list(keys), "left_semi")
+
+
+def done_from_files(files: DataFrame) -> DataFrame:
+    """Shards whose ``…-00003-of-00010.parquet`` file was found valid, with their samples.
+
+    Files that cannot be read are not listed, so their shards are done again.
+    """
+    shard = F.regexp_extract("file", r"-(\d+)-of-\d+\.parquet$", 1)
+    named = files.filter(F.col("valid") & (shard != ""))
+    return named.groupBy("dataset", "split", shard.cast("int").alias("shard_id")).agg(F.sum("rows").alias("samples"))

@@ -60,6 +60,12 @@ def shard_status(sharded: DataFrame, done: DataFrame, failed: DataFrame | None =
     )
 
 
+def refused(encoded: DataFrame) -> DataFrame:
+    """Rows per shard the encoder refused, as ``errors``; pass a stored table, not a plan that encodes again."""
+    bad = encoded.filter(F.col("error").isNotNull())
+    return bad.groupBy(*shards.SHARD_KEY).agg(F.count(F.lit(1)).alias("errors"))
+
+
 def embed_shards(
     samples: DataFrame,
     key: str,
@@ -71,7 +77,8 @@ def embed_shards(
     """Embed every shard that is not done yet.
 
     One pass: text, position, resume filter, encoder. The shuffle that numbers the rows is
-    the only one on the way to the encoder.
+    the only one on the way to the encoder. Once the embeddings are stored,
+    ``shard_status(…, failed=refused(stored))`` tells which shards hold refused rows.
     """
     sharded = sharded_texts(samples, key, total_shards)
     todo = shards.pending(sharded, done).filter("has_text")

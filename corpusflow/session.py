@@ -26,6 +26,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
 
@@ -61,16 +63,31 @@ def stored(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Checkpoint of an iteration's state in the shared folder.
+
+    With ``spark.cleaner.referenceTracking.cleanCheckpoints`` Spark deletes the checkpoints of
+    earlier iterations by itself.
+    """
+    workspace(df.sparkSession)
+    return df.checkpoint()
+
+
+def few_files(df: DataFrame) -> bool:
+    """Whether the rows come from fewer files than there are cores to read them."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return len(df.inputFiles()) < min(cores, FEW_FILES)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Spread rows that come from a handful of files over all cores, for costly work per row.
 
     A file that is one row group is one task, however many cores wait. Inputs of more files
     keep their tasks and are not shuffled.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.isStreaming or len(df.inputFiles()) >= min(cores, FEW_FILES):
+    if df.isStreaming or not few_files(df):
         return df
-    return df.repartition(cores)
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 def ship(spark: SparkSession, root: Path, packages: Sequence[str]) -> None:

@@ -15,11 +15,12 @@ def write_embeddings(rows: DataFrame, root: str, rows_per_file: int = ROWS_PER_F
     """One folder per dataset, split and shard; only the folders written now are replaced.
 
     Rows are spread by shard and by stretch of the shard, so a shard of any size is written
-    by as many tasks as it has files.
+    by as many tasks as it has files. Rows the encoder refused have no vector and are not written.
     """
     stretch = F.expr(f"original_index div {int(rows_per_file)}")
     (
-        rows.select(*SHARD_KEY, "embeddings", "original_index")
+        rows.filter(F.col("embeddings").isNotNull())
+        .select(*SHARD_KEY, "embeddings", "original_index")
         .repartition(*SHARD_KEY, stretch)
         .sortWithinPartitions(*SHARD_KEY, "original_index")
         .write.mode("overwrite")

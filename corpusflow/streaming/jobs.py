@@ -27,12 +27,16 @@ def embed_new_files(
     checkpoint: str,
     key: Sequence[str],
     factory: encode.EncoderFactory | None = None,
+    tasks: int | None = None,
 ) -> StreamingQuery:
     """Embed what arrived since the last run and stop.
 
-    The file sink commits each batch once, so a restart neither repeats nor loses rows.
+    The file sink commits each batch once, so a restart neither repeats nor loses rows. Name
+    ``tasks`` where batches are few large files, to spread the rows before encoding.
     """
     texts = only_with_text(with_text(samples, exclude=key, out="_sample_text"), "_sample_text")
+    if tasks:
+        texts = texts.select(*key, "_sample_text").repartition(tasks)
     vectors = encode.embed(texts, "_sample_text", factory, keep=list(key))
     return (
         vectors.writeStream.format("parquet")

@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from corpusflow.operators import ordering, runlog, shards
 from corpusflow.plans import embedding_run
+from corpusflow.session import stored
+from test_encode import Picky
 
 
 def contiguous(n, k):
@@ -85,6 +87,24 @@ def test_run_skips_done_shards_and_keeps_gaps_in_positions(spark):
     assert positions == [(0, 0), (0, 2), (1, 0), (1, 1), (1, 2)]
 
 
+def test_refused_rows_mark_their_shard(spark):
+    rows = [("d", "s", i, "bad" if i == 5 else "good") for i in range(9)]
+    samples = spark.createDataFrame(rows, "dataset string, split string, id long, text string")
+    none = spark.createDataFrame([], "dataset string, split string, shard_id int, samples long")
+    run = embedding_run.embed_shards(samples, "id", F.lit(3), none, Picky())
+    sharded = embedding_run.sharded_texts(samples, "id", F.lit(3))
+    status = embedding_run.shard_status(sharded, none, embedding_run.refused(stored(run.embeddings)))
+    assert {r["shard_id"]: (r["status"], r["samples"]) for r in status.collect()} == {
+        0: ("success", 3), 1: ("error", 2), 2: ("success", 3),
+    }
+
+
+def test_only_valid_files_count_as_done(spark):
+    files = [("d", "s", "d-s-00000-of-00002.parquet", True, 5), ("d", "s", "d-s-00001-of-00002.parquet", False, 4), ("d", "s", "x.parquet", True, 1)]
+    df = spark.createDataFrame(files, "dataset string, split string, file string, valid boolean, rows long")
+    assert [tuple(r) for r in shards.done_from_files(df).collect()] == [("d", "s", 0, 5)]
+
+
 def test_running_totals_across_buckets(spark):
     kinds = ["success", "skipped", "no_text", "error"]
     rows = [(i % 2, 1000 + i // 5, i, kinds[i % 4], i) for i in range(400)]
