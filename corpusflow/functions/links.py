@@ -7,6 +7,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, functions as F
 
+from corpusflow.functions.once import once
+
 # First bytes of a PDF, and the five entities that attribute values may carry.
 PDF_MAGIC = b"%PDF"
 ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
@@ -35,7 +37,7 @@ def _found(html: Column, pattern: str, mark: str | None = None) -> Column:
     ``mark`` is a plain word every match holds, in any case; pages without it are spared the
     pattern.
     """
-    match = F.nullif(F.regexp_extract(html, pattern, 1), F.lit(""))
+    match = once(F.regexp_extract(html, pattern, 1), lambda found: F.nullif(found, F.lit("")))
     return F.when(F.lower(html).contains(mark.lower()), match) if mark else match
 
 
@@ -58,7 +60,9 @@ def embedded_items(html: Column, rules: LinkRules = LinkRules()) -> Column:
 
 
 def current_item_link(items: Column) -> Column:
-    return F.nullif(F.try_element_at(items["currentContent"], F.lit("sourceUrl")), F.lit(""))
+    return once(
+        F.try_element_at(items["currentContent"], F.lit("sourceUrl")), lambda link: F.nullif(link, F.lit(""))
+    )
 
 
 def titled_item(items: Column, rules: LinkRules = LinkRules()) -> Column:

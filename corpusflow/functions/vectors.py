@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from corpusflow.functions.once import once
+
 _EPS = 1e-12
 
 
@@ -41,15 +43,10 @@ def mean_of(vectors: Column) -> Column:
     return F.transform(added, lambda x: x / F.size(vectors))
 
 
-def _with(value: Column, use) -> Column:
-    """``use(value)`` with the value computed once, also where a lambda refers to it."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def deviation(v: Column) -> Column:
     """Population standard deviation."""
     n = F.size(v)
-    squares = _with(_sum(v, lambda x: x) / n, lambda mean: _sum(v, lambda x: (x - mean) * (x - mean)))
+    squares = once(_sum(v, lambda x: x) / n, lambda mean: _sum(v, lambda x: (x - mean) * (x - mean)))
     return F.sqrt(squares / n)
 
 

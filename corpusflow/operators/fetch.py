@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from corpusflow.functions import links
 from corpusflow.functions.links import LinkRules
+from corpusflow.functions.once import computed
 from corpusflow.functions.text import decoded, megabytes
 
 
@@ -14,8 +15,9 @@ def landing_links(pages: DataFrame, rules: LinkRules = LinkRules(), html: str =
 
     In this order: current item of the embedded JSON, first titled list item that has the
     key (its value decides, even when empty), frame on the asset host, source attribute.
-    JSON that cannot be read falls through to the frame. Each step is its own projection, so
-    that no pattern runs twice on a page.
+    JSON that cannot be read falls through to the frame. Each step is its own projection and
+    the result comes from a generator, so that no pattern runs twice on a page, whatever is
+    filtered later.
     """
     text = F.col("_html")
     staged = (
@@ -36,11 +38,12 @@ def landing_links(pages: DataFrame, rules: LinkRules = LinkRules(), html: str =
     )
     listed = F.nullif(links.item_link(F.col("_titled")), F.lit(""))
     link = F.coalesce("_current", listed, "_frame", "_attribute")
-    return (
-        staged.withColumn("link", link)
-        .withColumn("method", F.when(F.col("link").isNotNull(), method))
-        .withColumn("route", links.route(F.col("link"), rules))
-        .select(*pages.columns, "method", "link", "route")
+    found = staged.select(*pages.columns, computed(_method=method, link=link))
+    return found.select(
+        *pages.columns,
+        F.when(F.col("link").isNotNull(), F.col("_method")).alias("method"),
+        "link",
+        links.route(F.col("link"), rules).alias("route"),
     )
 
 

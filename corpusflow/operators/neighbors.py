@@ -17,6 +17,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
+from corpusflow.functions.vectors import inf_count, nan_count
 from corpusflow.session import stored
 
 # Distances are compared after rounding, so that both ways to compute one agree.
@@ -212,10 +213,18 @@ def knn_graph(
     rows = rows.filter(F.col("vec").isNotNull())
     distinct = stored(_distinct(rows, k), "knn-distinct")
     n_rows = rows.count()
-    size = distinct.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("dim")).first()
+    vec = F.col("vec")
+    size = distinct.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min(F.size(vec)).alias("shortest"),
+        F.max(F.size(vec)).alias("dim"),
+        F.count_if((nan_count(vec) > 0) | (inf_count(vec) > 0)).alias("odd"),
+    ).first()
     if not n_rows:
         return vectors.sparkSession.createDataFrame([], "i long, j long, rk int, d double")
     dim = size["dim"]
+    if size["odd"] or size["shortest"] != dim:
+        raise ValueError("vectors must be finite and of one length; see validation.validate_files")
     found = _search(distinct, size["n"], dim, k, block_rows or rows_per_block(dim))
     if size["n"] == n_rows:
         return found

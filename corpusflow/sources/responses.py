@@ -11,28 +11,28 @@ _ARGUMENTS = "$.choices[0].message.tool_calls[0].function.arguments"
 _ENTRY = "map<string,string>"
 
 
-def blocks_of(response: Column) -> Column:
-    """Array of block entries in a reply, empty when there is none to be read.
+def blocks_of(arguments: Column) -> Column:
+    """Array of block entries in a tool call's arguments, empty when there is none to be read.
 
-    The arguments of the first tool call hold the list, possibly wrapped in one more list.
+    The list may be wrapped in one more list, whose first entry then counts.
     """
-    arguments = F.get_json_object(response, _ARGUMENTS)
     listed = F.when(F.ltrim(arguments).startswith("["), arguments)
-    wrapped = F.when(F.regexp_like(listed, F.lit(r"^\s*\[\s*\[")), listed)
-    inner = F.get(F.from_json(wrapped, f"array<array<{_ENTRY}>>"), F.lit(0))
-    flat = F.from_json(F.when(wrapped.isNull(), listed), f"array<{_ENTRY}>")
+    wrapped = F.regexp_like(listed, F.lit(r"^\s*\[\s*\["))
+    inner = F.get(F.from_json(F.when(wrapped, listed), f"array<array<{_ENTRY}>>"), F.lit(0))
+    flat = F.from_json(F.when(~wrapped, listed), f"array<{_ENTRY}>")
     return F.coalesce(inner, flat, F.array().cast(f"array<{_ENTRY}>"))
 
 
 def decode(responses: DataFrame, response: str = "response") -> DataFrame:
-    """One row per block; absent type and text get their defaults, explicit nulls stay."""
+    """One row per block of the first tool call of the first choice; absent type and text get their defaults, explicit nulls stay."""
     keep = [c for c in responses.columns if c != response]
     block = F.col("_block")
 
     def field(name: str, default: str) -> Column:
         return F.when(F.map_contains_key(block, name), F.try_element_at(block, F.lit(name))).otherwise(F.lit(default))
 
-    rows = responses.select(*keep, F.posexplode(blocks_of(F.col(response))).alias("block_id", "_block"))
+    replies = responses.select(*keep, F.get_json_object(response, _ARGUMENTS).alias("_arguments"))
+    rows = replies.select(*keep, F.posexplode(blocks_of(F.col("_arguments"))).alias("block_id", "_block"))
     return rows.select(
         *keep,
         "block_id",

@@ -59,6 +59,13 @@ def test_fewer_vectors_than_neighbours(spark):
     assert neighbors.knn_graph(frame(spark, [1], np.eye(1)).limit(0), "id", "v").count() == 0
 
 
+@pytest.mark.parametrize("odd", [[1.0, float("nan")], [float("inf"), 0.0], [1.0]])
+def test_vectors_that_cannot_be_compared_are_refused(spark, odd):
+    df = spark.createDataFrame([(1, [1.0, 2.0]), (2, odd)], "id long, v array<double>")
+    with pytest.raises(ValueError):
+        neighbors.knn_graph(df, "id", "v")
+
+
 def test_blocks_far_away_are_not_visited(spark):
     """Two far clusters: no probe crosses from one to the other."""
     rng = np.random.default_rng(3)
