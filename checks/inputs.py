@@ -64,15 +64,16 @@ def specs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversations as lists of messages, some contents missing."""
+    """Stretches of conversations as lists of messages, some contents missing."""
     content = F.when((F.col("conv_id") + F.col("turn")) % 17 != 0, F.col("text"))
     turn = F.struct("turn", "role", content.alias("content"))
     return (
         table(spark, sf_dir, "conversations")
-        .groupBy("conv_id")
+        .groupBy("conv_id", F.expr("turn div 64").alias("stretch"))
         .agg(F.array_sort(F.collect_list(turn)).alias("turns"))
         .select(
             "conv_id",
+            "stretch",
             F.transform("turns", lambda t: F.struct(t["role"].alias("role"), t["content"].alias("content"))).alias(
                 "messages"
             ),

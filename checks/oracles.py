@@ -223,8 +223,8 @@ ORACLES: dict[str, str] = {
           GROUP BY ALL HAVING count(text) > 0)
         SELECT coalesce(dataset, '-') AS dataset, coalesce(split, '-') AS split, CASE grouping(dataset, split) WHEN 0 THEN 'split' WHEN 1 THEN 'dataset' ELSE 'all' END AS level,
           sum(n)::BIGINT AS samples, count(*) AS files, 0::BIGINT AS invalid FROM files GROUP BY ROLLUP (dataset, split)""",
-    "text_messages": """SELECT conv_id, coalesce(string_agg(text, chr(10) || chr(10) ORDER BY turn)
-          FILTER ((conv_id + turn) % 17 <> 0), '') AS text FROM conversations GROUP BY conv_id""",
+    "text_messages": """SELECT conv_id, turn // 64 AS stretch, coalesce(string_agg(text, chr(10) || chr(10) ORDER BY turn)
+          FILTER ((conv_id + turn) % 17 <> 0), '') AS text FROM conversations GROUP BY ALL""",
     "text_turns": "SELECT conv_id, string_agg(text, chr(10) || chr(10) ORDER BY turn) AS text FROM conversations GROUP BY conv_id",
     "text_field": "SELECT doc_id, text FROM documents WHERE doc_id % 13 NOT IN (0, 1) AND regexp_matches(text, '[^ \\n]')",
     "text_fallback": "SELECT page_id, concat_ws(chr(10) || chr(10), CASE WHEN length(url) > 10 THEN url END, CASE WHEN length(html) > 10 THEN html END) AS text FROM pages",

@@ -201,7 +201,7 @@ def embedding_report(spark, sf_dir):
 @registered
 def text_messages(spark, sf_dir):
     chats = inputs.messages(spark, sf_dir)
-    return text_samples.with_text(chats, exclude=["conv_id"]).select("conv_id", "text")
+    return text_samples.with_text(chats, exclude=["conv_id", "stretch"]).select("conv_id", "stretch", "text")
 
 
 @registered

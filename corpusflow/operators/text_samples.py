@@ -6,11 +6,16 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from corpusflow.functions.once import computed
 from corpusflow.functions.text import BLANK_LINE, has_text, sample_text
 
 
 def with_text(samples: DataFrame, exclude: Sequence[str] = ("dataset", "split"), out: str = "text") -> DataFrame:
-    return samples.withColumn(out, sample_text(samples, exclude))
+    """Samples with their text. Joined message lists are computed once, also when filtered on."""
+    text = sample_text(samples, exclude)
+    if any(f.name in ("messages", "conversation") and f.name not in exclude for f in samples.schema):
+        return samples.select(*[c for c in samples.columns if c != out], computed(**{out: text}))
+    return samples.withColumn(out, text)
 
 
 def only_with_text(samples: DataFrame, text: str = "text") -> DataFrame:
