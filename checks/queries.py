@@ -23,6 +23,7 @@ from corpusflow.operators import (
     validation,
 )
 from corpusflow.plans import embedding_run, layout_run
+from corpusflow.schemas import BBOX
 from corpusflow.session import few_files, fresh_path, spread
 from corpusflow.sources import archives, responses, samples as sources, writers
 from corpusflow.streaming import jobs
@@ -414,8 +415,8 @@ def block_records(spark, sf_dir):
 @registered
 def block_preview(spark, sf_dir):
     found = blocks.preview(inputs.blocks(spark, sf_dir))
-    box = [F.get_json_object("bbox", f"$.{c}").cast("double").alias(c) for c in ("xmin", "ymin", "xmax", "ymax")]
-    return found.select("document", *_long("page", "id"), "type", "text", *box)
+    parsed = found.withColumn("box", F.from_json("bbox", BBOX.simpleString()))
+    return parsed.select("document", *_long("page", "id"), "type", "text", "box.*")
 
 
 @registered

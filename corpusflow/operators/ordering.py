@@ -26,7 +26,7 @@ _B, _S = "_bucket", "_sub"
 def _number(df: DataFrame, column: str) -> Column:
     kind = df.schema[column].dataType.simpleString()
     if kind in ("timestamp", "timestamp_ntz"):
-        return micros(F.col(column)).cast("double")
+        return micros(df, column).cast("double")
     if kind == "string":
         raise TypeError(f"order column {column} must be a number or a timestamp")
     return F.col(column).cast("double")

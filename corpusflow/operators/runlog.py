@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from corpusflow.functions.text import keep_tail, percent
-from corpusflow.functions.times import seconds_between
+from corpusflow.functions.times import micros, seconds
 from corpusflow.operators import ordering
 
 # Fixed value: statuses whose samples count towards the totals.
@@ -51,11 +51,11 @@ def status_summary(log: DataFrame) -> DataFrame:
 
 def run_totals(log: DataFrame) -> DataFrame:
     """Per run: finished shards, samples with and without skipped ones, elapsed time, speed."""
-    done = log.groupBy("run").agg(
+    done = log.withColumn("_us", micros(log, "ts")).groupBy("run").agg(
         F.count(F.lit(1)).alias("shards"),
         F.sum(counted_samples()).alias("samples"),
         F.sum(F.when(F.col("status") == "success", F.col("samples")).otherwise(0)).alias("new_samples"),
-        seconds_between(F.min("ts"), F.max("ts")).alias("elapsed"),
+        seconds(F.min("_us"), F.max("_us")).alias("elapsed"),
     )
     return done.withColumn("rate", _rate(F.col("samples"), F.col("elapsed")))
 
@@ -63,11 +63,12 @@ def run_totals(log: DataFrame) -> DataFrame:
 def progress(log: DataFrame, rows_per_bucket: int = ordering.ROWS_PER_BUCKET) -> DataFrame:
     """Running shard count, samples and average speed of each run, in order of completion."""
     sums = {"done": F.lit(1), "total_samples": counted_samples()}
+    timed = log.withColumn("_us", micros(log, "ts"))
     summed = ordering.running(
-        log, ["run"], ["ts", "event_id"], sums, rows_per_bucket, group_mins={"_start": F.col("ts")}
+        timed, ["run"], ["_us", "event_id"], sums, rows_per_bucket, group_mins={"_start": F.col("_us")}
     )
-    elapsed = seconds_between(F.col("_start"), F.col("ts"))
-    return summed.withColumn("avg_rate", _rate(F.col("total_samples"), elapsed)).drop("_start")
+    elapsed = seconds(F.col("_start"), F.col("_us"))
+    return summed.withColumn("avg_rate", _rate(F.col("total_samples"), elapsed)).drop("_start", "_us")
 
 
 def latest(log: DataFrame, key: str = "worker") -> DataFrame:

@@ -152,3 +152,12 @@ def test_attach_and_legend(spark):
     assert row["text"] == "é" * 100
     labels = spark.createDataFrame([("b",), ("a",), ("b",)], "split string")
     assert {(r["split"], r["slot"]) for r in provenance.with_slots(labels).collect()} == {("a", 0), ("b", 1)}
+
+
+def test_tree_of_single_precision_vectors_and_of_nothing(spark, tmp_path):
+    vectors = pa.array([[0.5, 1.5], [2.5, float("inf")]], pa.list_(pa.float32()))
+    _write(tmp_path / "tree", "d", "s", "a.parquet", pa.table({"embeddings": vectors, "original_index": pa.array([0, 1], pa.int64())}))
+    (row,) = validate_tree(spark, str(tmp_path / "tree")).collect()
+    assert (row["valid"], row["rows"], row["dim"], row["warnings"]) == (True, 2, 2, ["Found 1 Inf values"])
+    (tmp_path / "none" / "d" / "s").mkdir(parents=True)
+    assert validate_tree(spark, str(tmp_path / "none")).count() == 0

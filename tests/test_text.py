@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusflow.functions import text as T
-from corpusflow.functions.times import seconds_between
+from corpusflow.functions.times import micros, seconds
 from corpusflow.operators import text_samples
 
 
@@ -103,11 +103,15 @@ def test_turns_in_order_across_parts(spark):
     assert found == {1: "\n\n".join(f"t{t}" for t in range(10)), 2: "only", 3: ""}
 
 
-def test_seconds_between_both_kinds_of_timestamps(spark):
-    at = datetime.datetime(2024, 1, 1, 0, 0, 1, 500000)
-    df = spark.createDataFrame([(at, at)], "a timestamp, b timestamp_ntz")
-    row = df.select(
-        seconds_between(F.col("a"), F.col("a") + F.expr("interval 2 seconds")).alias("x"),
-        seconds_between(F.col("b"), F.col("b") + F.expr("interval 250 milliseconds")).alias("y"),
-    ).first()
-    assert (row["x"], row["y"]) == (2.0, 0.25)
+def test_micros_do_not_depend_on_the_zone_of_the_session(spark):
+    text = "2024-03-10 02:30:00.250001"  # this hour is missing in New York
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.sql(f"SELECT TIMESTAMP_NTZ'{text}' AS a, TIMESTAMP'{text}Z' AS b")
+        row = df.select(micros(df, "a").alias("a"), micros(df, "b").alias("b")).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    expected = datetime.datetime(2024, 3, 10, 2, 30, 0, 250001, datetime.timezone.utc)
+    at = int(expected.timestamp()) * 1_000_000 + 250001
+    assert (row["a"], row["b"]) == (at, at)
+    assert value(spark, seconds(F.lit(at), F.lit(at + 1_500_000))) == 1.5
