@@ -38,25 +38,28 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(squared, 0.0))
 
 
-def _nearest(d: np.ndarray, left: np.ndarray, right: np.ndarray, k: int, radius: np.ndarray) -> pd.DataFrame:
-    """Per row of ``d`` the k nearest columns within the row's radius, its own id left out.
+def _among_themselves(m: np.ndarray) -> np.ndarray:
+    d = _distances(m, m)
+    np.fill_diagonal(d, np.inf)
+    return d
 
-    ``right`` is sorted, so among equal rounded distances the first columns have the lowest ids.
-    """
-    d = np.where(left[:, None] == right[None, :], np.inf, np.round(d, DISTANCE_DIGITS))
+
+def _nearest(d: np.ndarray, left: np.ndarray, right: np.ndarray, k: int, radius: np.ndarray) -> pd.DataFrame:
+    """Per row of ``d`` the k nearest columns within the row's radius, by rounded distance, then id."""
     limit = np.partition(d, k - 1, axis=1)[:, k - 1] if d.shape[1] > k else np.full(len(d), np.inf)
-    limit = np.minimum(limit, radius)[:, None]
-    nearer, level = d < limit, d == limit
-    level &= np.cumsum(level, axis=1) <= k - nearer.sum(axis=1)[:, None]
-    row, col = np.nonzero((nearer | level) & np.isfinite(d))
-    return pd.DataFrame({"i": left[row], "j": right[col], "d": d[row, col]})
+    row, col = np.nonzero(d <= np.minimum(limit + _SLACK, radius)[:, None])
+    found, j = np.round(d[row, col], DISTANCE_DIGITS), right[col]
+    order = np.lexsort((j, found, row))
+    row, found, j = row[order], found[order], j[order]
+    rank = np.arange(len(row)) - np.searchsorted(row, np.arange(len(d)))[row]
+    keep = (rank < k) & np.isfinite(found)
+    return pd.DataFrame({"i": left[row[keep]], "j": j[keep], "d": found[keep]})
 
 
-def _own_radius(d: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+def _own_radius(d: np.ndarray, k: int) -> np.ndarray:
     """Distance within which every row has k neighbours in its own block."""
-    if len(ids) <= k:
-        return np.full(len(ids), np.inf)
-    d = np.where(ids[:, None] == ids[None, :], np.inf, d)
+    if len(d) <= k:
+        return np.full(len(d), np.inf)
     return np.partition(d, k - 1, axis=1)[:, k - 1] + _SLACK
 
 
@@ -128,7 +131,7 @@ def _within(blocks: DataFrame, k: int, dim: int) -> DataFrame:
         for batch in batches:
             for ids, data in zip(batch["ids"], batch["data"]):
                 ids, m = np.asarray(ids), _matrix(data, dim)
-                yield _nearest(_distances(m, m), ids, ids, k, np.full(len(ids), np.inf))
+                yield _nearest(_among_themselves(m), ids, ids, k, np.full(len(ids), np.inf))
 
     return blocks.mapInPandas(search, _EDGE)
 
@@ -144,7 +147,7 @@ def _probes(blocks: DataFrame, k: int, dim: int, pivots: np.ndarray, low: np.nda
         for batch in batches:
             for cell, chunk, ids, data in zip(batch["cell"], batch["chunk"], batch["ids"], batch["data"]):
                 ids, m = np.asarray(ids), _matrix(data, dim)
-                radius = _own_radius(_distances(m, m), ids, k)
+                radius = _own_radius(_among_themselves(m), k)
                 to_pivot = _distances(m, pivots)
                 nearest = np.maximum(np.maximum(to_pivot - high, low - to_pivot), 0.0)
                 beyond = to_pivot**2 - to_pivot[:, [cell]] ** 2
