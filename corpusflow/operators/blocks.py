@@ -25,16 +25,11 @@ def block_record(block: Column, page: Column, block_id: Column, width: int, heig
     )
 
 
-def _one(blocks: DataFrame) -> Column:
-    return F.struct("type", "text", "bbox")
-
-
 def records(blocks: DataFrame, canvas: tuple[int, int] = boxes.CANVAS, carry: tuple[str, ...] = ("document",)) -> DataFrame:
     """Block rows ``(document, page, block_id, type, text, bbox)`` as records."""
-    record = block_record(_one(blocks), F.col("page"), F.col("block_id"), *canvas)
-    return blocks.select(*[c for c in carry if c in blocks.columns], record.alias("_r")).select(
-        *[c for c in carry if c in blocks.columns], "_r.*"
-    )
+    kept = [c for c in carry if c in blocks.columns]
+    record = block_record(F.struct("type", "text", "bbox"), F.col("page"), F.col("block_id"), *canvas)
+    return blocks.select(*kept, record.alias("_r")).select(*kept, "_r.*")
 
 
 def preview(blocks: DataFrame, carry: tuple[str, ...] = ("document", "page")) -> DataFrame:

@@ -91,7 +91,13 @@ def test_vector_columns(spark):
     s = V.stats(v)
     rows = {
         r["id"]: r
-        for r in df.select("id", V.l2_normalised(v).alias("u"), V.nan_count(v).alias("nan"), V.inf_count(v).alias("inf"), s["std"].alias("std"), s["mean"].alias("mean"), s["norm"].alias("norm")).collect()
+        for r in df.select(
+            "id",
+            V.l2_normalised(v).alias("u"),
+            V.nan_count(v).alias("nan"),
+            V.inf_count(v).alias("inf"),
+            *[s[name].alias(name) for name in ("std", "mean", "norm")],
+        ).collect()
     }
     assert rows[1]["u"] == [0.6, 0.8] and (rows[1]["mean"], rows[1]["std"], rows[1]["norm"]) == (3.5, 0.5, 5.0)
     assert rows[2]["u"] == [0.0, 0.0]
