@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from corpusflow.llm import bpe, token_counts
+from corpusflow.llm import bpe, language_model, simhash, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -32,3 +32,15 @@ def op1_token_counts(spark, sf_dir):
 def op8_bpe(spark, sf_dir):
     path = public_tokenizers.path("word_bpe_49k.json")
     return bpe.encode_decode(_table(spark, sf_dir, "documents"), path, digests=True)
+
+
+@registered
+def op6_language_model(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    learn = F.coalesce(F.crc32(F.col("doc_id").cast("string")), F.lit(0)) % 7 != 2
+    return language_model.train_and_score(docs, learn)[1]
+
+
+@registered
+def op10_simhash(spark, sf_dir):
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
