@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from corpusflow.llm import bpe, language_model, simhash, token_counts
+from corpusflow.llm import bpe, imatch, language_model, line_rules, quality, simhash, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -44,3 +44,19 @@ def op6_language_model(spark, sf_dir):
 @registered
 def op10_simhash(spark, sf_dir):
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+@registered
+def op3_quality(spark, sf_dir):
+    return quality.classify(_table(spark, sf_dir, "documents"))
+
+
+@registered
+def op4_imatch(spark, sf_dir):
+    return imatch.fingerprints(_table(spark, sf_dir, "documents"))
+
+
+@registered
+def op5_line_rules(spark, sf_dir):
+    judged = line_rules.judge(_table(spark, sf_dir, "documents"))
+    return judged.drop("host", "text_key", "removed")
