@@ -145,10 +145,10 @@ def clean(docs: DataFrame, host: str = "source") -> DataFrame:
     key = F.struct(
         F.col("doc_id"), F.coalesce(F.col(host).cast("string"), F.lit("")).alias("host"), F.xxhash64("text").alias("text_key")
     )
-    rows = docs.select(F.struct("*").alias("_row"), key.alias("_key"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), key.alias("_own"))
     text = F.col("_row.text")
     rest = F.array_join(F.filter(F.split(text, "\n"), lambda l: ~F.array_contains("removed", line_key(l))), "\n")
     text = F.when(F.size("removed") > 0, rest).otherwise(text)
-    joined = rows.join(verdicts, F.col("_key").eqNullSafe(verdicts["_key"])).select("_row", text.alias("_text"))
+    joined = rows.join(verdicts, F.col("_own").eqNullSafe(F.col("_key"))).select("_row", text.alias("_text"))
     new = {"text": F.col("_text"), "n_chars": F.char_length("_text").cast("long")}
     return joined.select(*[new.get(c, F.col("_row")[c]).alias(c) for c in docs.columns])

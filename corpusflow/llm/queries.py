@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from corpusflow.llm import bpe, imatch, language_model, line_rules, quality, simhash, token_counts
+from corpusflow.llm import bpe, imatch, language_model, line_dedup, line_rules, mixing, quality, secrets, simhash, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -43,7 +43,7 @@ def op6_language_model(spark, sf_dir):
 
 @registered
 def op10_simhash(spark, sf_dir):
-    return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents")).drop("text_key", "root")
 
 
 @registered
@@ -60,3 +60,24 @@ def op4_imatch(spark, sf_dir):
 def op5_line_rules(spark, sf_dir):
     judged = line_rules.judge(_table(spark, sf_dir, "documents"))
     return judged.drop("host", "text_key", "removed")
+
+
+@registered
+def op2_mixing(spark, sf_dir):
+    return mixing.positions(_table(spark, sf_dir, "documents"))
+
+
+ORACLES["op2_mixing"] = mixing.ORACLE
+
+
+@registered
+def op9_secrets(spark, sf_dir):
+    return secrets.find_secrets(_table(spark, sf_dir, "documents"))
+
+
+@registered
+def op7_line_dedup(spark, sf_dir):
+    return line_dedup.report(_table(spark, sf_dir, "documents"))
+
+
+ORACLES["op7_line_dedup"] = line_dedup.ORACLE

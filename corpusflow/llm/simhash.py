@@ -55,13 +55,15 @@ def majority(found: np.ndarray, rows: int = 65536) -> int:
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = np.fromiter((fingerprint(t.as_py()) for t in batch.column(1)), np.uint64, batch.num_rows)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], names=["doc_id", "bits"])
+        arrays = [batch.column(0), batch.column(2), pa.array(found.view(np.int64))]
+        yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "text_key", "bits"])
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """``doc_id, bits`` per row; NULL texts count as empty."""
+    """``doc_id, text_key, bits`` per row, with the hash of the text; NULL texts count as empty."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(_fingerprints, f"doc_id {kind}, bits long")
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
+    return rows.mapInArrow(_fingerprints, f"doc_id {kind}, text_key long, bits long")
 
 
 def pivots() -> list[int]:
@@ -206,7 +208,7 @@ def _components(links: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``doc_id, fingerprint, component_id, root`` per row.
+    """``doc_id, text_key, fingerprint, component_id, root`` per row.
 
     Fingerprints of four-word shingles (A-Z in lower case, repeats included) are linked if they
     differ in at most four bits. ``component_id`` is the least ``doc_id`` that links reach,
@@ -226,7 +228,26 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = of.select("bits", "root").join(ids, "root")
     return found.join(classes, "bits").select(
         "doc_id",
+        "text_key",
         F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"),
         "component_id",
         F.lower(F.lpad(F.hex("root"), 16, "0")).alias("root"),
     )
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, with one row for each component: the one with the
+    least id, of equal ids the one with the least hash of its text, of equal rows any."""
+    keep = (
+        near_duplicates(docs)
+        .filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+        .groupBy("root")
+        .agg(F.min(F.struct("doc_id", "text_key")).alias("_key"))
+        .select("_key")
+    )
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
+        F.struct(F.col("doc_id"), F.xxhash64("text").alias("text_key")).alias("_own"),
+    )
+    kept = rows.join(keep, F.col("_own").eqNullSafe(F.col("_key")), "left_semi").dropDuplicates(["_own"])
+    return kept.select(*[F.col("_row")[c].alias(c) for c in docs.columns])
