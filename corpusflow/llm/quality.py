@@ -13,10 +13,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from corpusflow.llm.blocks import arrow_type, blocks
 from corpusflow.llm.line_rules import SYMBOLS, repeated_words
+from corpusflow.llm.sampling import sample
 
 LABELLERS = ("symbols", "plain", "capitals", "ends", "windows", "variety", "again", "lines", "pauses")
 #: Rows that train the scorer, chosen by the hash of their ids.
@@ -139,7 +140,7 @@ def classify(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
     patterns, counts = [r["votes"] for r in counted], np.array([r["count"] for r in counted], float)
     _, posterior = accuracies(patterns, counts)
 
-    chosen = texts.orderBy(F.xxhash64(F.col("doc_id"), F.lit("train")), F.xxhash64("text")).limit(train_rows)
+    chosen = sample(texts, train_rows)
 
     def trained(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = pd.concat(list(frames))
