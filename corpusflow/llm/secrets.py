@@ -12,6 +12,8 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from corpusflow.llm.sampling import sample
+
 # The rules that every scan has, in the order of their kinds.
 ASSIGN = (
     r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -92,7 +94,7 @@ def train(docs: DataFrame, rows: int = TRAIN_ROWS) -> list[float]:
     The labelled samples come from at most ``rows`` documents: values that the fixed rules find
     and digests of the ids, which are random by construction, against the other identifiers.
     """
-    chosen = docs.orderBy(F.xxhash64(F.col("doc_id"), F.lit("train")), F.xxhash64("text")).limit(rows)
+    chosen = sample(docs, rows)
     digest = F.sha2(F.concat(F.lit("key:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 256)
     made = F.array(F.base64(F.unhex(digest)), F.upper(F.base64(F.unhex(digest))), digest)
     caught = F.transform(_base(F.col("text")), lambda s: s["value"])
