@@ -43,12 +43,14 @@ def votes(text: str | None) -> str:
     if n == 0:
         return "b" * len(LABELLERS)
     lines = [line for line in text.split("\n") if line.strip()]
-    letters = sum(map(str.isalpha, text)) or 1
+    codes = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
+    upper = np.count_nonzero((codes - 65 < 26) | ((codes - 0xC0 < 31) & (codes != 0xD7)))
+    letters = upper + np.count_nonzero((codes - 97 < 26) | (codes > 0xDE))
     bare = [w.rstrip(".,;:?") for w in words]
     faults = (
         sum(map(text.count, SYMBOLS + "!")) > 0.02 * len(text),
         sum(map(str.isalpha, bare)) < 0.7 * n,
-        sum(map(str.isupper, text)) > 0.4 * letters,
+        upper > 0.4 * letters,  # A-Z and the capitals of Latin-1
         sum(w[-1] in "!*#$%&" for w in words) > 0.2 * n,
         repeated_words(text.encode().split()) > 0.3 * n,
         n >= 10 and len(set(words)) < 0.2 * min(n, 500),
@@ -114,19 +116,18 @@ def _fit(doc: np.ndarray, bucket: np.ndarray, value: np.ndarray, label: np.ndarr
 
 
 def classify(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
-    """``doc_id, votes, posterior, score, kept`` of each whole text.
+    """``doc_id, score, kept`` of each whole text.
 
-    ``posterior`` is the probability of a good document from the labellers' votes, ``score``
-    that of the scorer, which decides. Votes and patterns cover all documents; at most
-    ``train_rows`` rows train the scorer.
+    ``score`` is the scorer's probability of a good document. The labellers vote on all
+    documents; at most ``train_rows`` rows, with the posteriors of their votes, train the scorer.
 
-    One row per input row, repeated rows and NULL ids included; a NULL or blank text has
-    every vote against it, gets score 0 and isn't kept. An empty table gives no rows; other
+    One row per input row, repeated rows and NULL ids included; a NULL or blank text
+    has every vote against it, gets score 0 and isn't kept. An empty table gives no rows; other
     columns are ignored.
     """
     spark = docs.sparkSession
     kind = docs.schema["doc_id"].dataType.simpleString()
-    with_type = arrow_type(docs)
+    id_type = arrow_type(docs)
     texts = docs.select("doc_id", "text")
 
     def voted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,7 +137,7 @@ def classify(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
 
     counted = texts.select("text").mapInArrow(voted, "votes string").groupBy("votes").count().collect()
     if not counted:
-        return spark.createDataFrame([], f"doc_id {kind}, votes string, posterior double, score double, kept boolean")
+        return spark.createDataFrame([], f"doc_id {kind}, score double, kept boolean")
     patterns, counts = [r["votes"] for r in counted], np.array([r["count"] for r in counted], float)
     _, posterior = accuracies(patterns, counts)
 
@@ -154,29 +155,14 @@ def classify(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
     model = chosen.coalesce(1).mapInPandas(trained, "bucket long, weight double").toPandas()
     weights = np.zeros(BUCKETS + 1)
     weights[model["bucket"]] = model["weight"]
-    shared = spark.sparkContext.broadcast((weights, posterior))
+    shared = spark.sparkContext.broadcast(weights)  # BUCKETS numbers
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, posterior = shared.value
-        with_votes = (
-            pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([votes(t.as_py()) for t in b.column(1)], pa.string()), b.column(1)],
-                names=["doc_id", "votes", "text"],
-            )
-            for b in batches
-        )
-        for block in blocks(with_votes, words_of, size=8_000_000):
+        for block in blocks(batches, words_of, size=8_000_000):
             doc, bucket, value = _matrix(block)
-            z = np.bincount(doc, weights=weights[bucket] * value, minlength=len(block.ends)) + weights[-1]
+            z = np.bincount(doc, weights=shared.value[bucket] * value, minlength=len(block.ends)) + shared.value[-1]
             score = np.where(np.diff(block.ends, prepend=0) > 0, 1 / (1 + np.exp(-z)), 0.0)
-            said = [v for _, v in block.rows]
-            arrays = [
-                pa.array([d for d, _ in block.rows], with_type),
-                pa.array(said, pa.string()),
-                pa.array([posterior[v] for v in said], pa.float64()),
-                pa.array(score),
-                pa.array(score >= 0.5),
-            ]
-            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "votes", "posterior", "score", "kept"])
-
-    return texts.mapInArrow(scored, f"doc_id {kind}, votes string, posterior double, score double, kept boolean")
+            arrays = [pa.array([d for d, in block.rows], id_type), pa.array(score), pa.array(score >= 0.5)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "score", "kept"])
+
+    return texts.mapInArrow(scored, f"doc_id {kind}, score double, kept boolean")
