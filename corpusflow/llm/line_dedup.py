@@ -19,19 +19,33 @@ from corpusflow.session import stored
 #: One edit in five words is a similarity of 0.8.
 MIN_WORDS = 5
 
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Buckets of line hashes that go on to the second scan: a bound for what is broadcast.
+BUCKETS = 1 << 20
 _LINE = ["k1", "k2"]
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _words(line: Column) -> Column:
+    # Only characters that are neither ASCII nor lower case keep lower() from changing just A-Z.
+    other = line.rlike(r"[^\x00-\x7F\p{Ll}]")
+    lower = F.when(other, F.translate(line, _UPPER, _LOWER)).otherwise(F.lower(line))
+    return F.array_remove(F.split(lower, " "), "")
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """A row per line: its document, its number and its words. Empty texts have one empty line."""
+    """A row per line: its document, its number and its words. Empty texts have one empty line.
+
+    The words are made before the rows, so that later columns do not make them again.
+    """
     text = F.coalesce("text", F.lit(""))
-    norm = F.trim(F.regexp_replace(F.translate("line", _UPPER, _LOWER), r"[\x20\x09-\x0D]+", " "))
-    return (
-        docs.select("doc_id", F.xxhash64("text").alias("text_key"), F.posexplode(F.split(text, "\n")).alias("no", "line"))
-        .select("doc_id", "text_key", "no", norm.alias("norm"))
-        .withColumns({"k1": F.xxhash64("norm"), "k2": F.xxhash64(F.lit("line"), "norm")})
-    )
+    text = F.when(text.rlike(r"[\t\x0B-\r]"), F.regexp_replace(text, r"[\t\x0B-\r]", " ")).otherwise(text)
+    lines = F.posexplode(F.transform(F.split(text, "\n"), _words)).alias("no", "words")
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_key"), lines)
+    return rows.withColumn("k1", F.xxhash64("words"))
+
+
+def _second_key() -> Column:
+    return F.xxhash64(F.lit("line"), "words").alias("k2")
 
 
 def _halves(words: Column) -> Column:
@@ -49,61 +63,68 @@ def _halves(words: Column) -> Column:
     return F.when(n >= MIN_WORDS, F.when(half == less, keys(half)).otherwise(F.concat(keys(half), keys(less))))
 
 
-def _without(words: Column, at: Column) -> tuple[Column, Column]:
-    return F.slice(words, 1, at), F.slice(words, at + 2, F.size(words))
+def _neighbourhood() -> Column:
+    """Keys of a line's words: without the one at each place (``cut``), and split at each place.
 
+    A line without its word at ``cut`` has the key of a line that is split there, if it is what
+    remains. So the members of a group, by key and place, are one edit from each other.
+    """
 
-def _near_earlier(docs: DataFrame, distinct: DataFrame) -> DataFrame:
-    """Keys of the distinct lines that are one edit away from an earlier line."""
-    halves = distinct.select(*_LINE, F.explode("halves").alias("half"))
-    shared = halves.groupBy("half").agg(F.count("*").alias("n")).filter("n > 1").select("half")
-    wanted = halves.join(shared, "half").select(*_LINE).distinct()
-    wanted = distinct.select(*_LINE, "first").join(wanted, _LINE)
-
-    # The words of the first copy of each wanted line.
-    again = _lines(docs).select(F.struct("doc_id", "text_key", "no").alias("at"), *_LINE, "norm")
-    firsts = again.join(wanted, _LINE).filter(F.expr("at <=> first")).dropDuplicates(_LINE)
-    lines = stored(firsts.select(*_LINE, "first", F.split("norm", " ").alias("words")), "lines")
-
-    key = F.transform(
-        F.sequence(F.lit(0), F.size("words") - 1), lambda i: F.xxhash64(*_without(F.col("words"), i))
-    )
-    variants = lines.select(*_LINE, _rank("first").alias("rank"), F.posexplode(key).alias("cut", "variant"))
-    variants = stored(variants, "variants")
-    whole = lines.select(
-        F.col("k1").alias("w1"), F.col("k2").alias("w2"), _rank("first").alias("w_rank"), F.xxhash64("words").alias("variant")
-    )
+    def running(words: Column) -> Column:
+        start = F.array(F.lit(0).cast("long"))
+        return F.aggregate(words, start, lambda a, w: F.concat(a, F.array(F.xxhash64(F.element_at(a, -1), w))))
 
-    groups = variants.groupBy("variant", "cut").agg(F.count("*").alias("n"), F.min(F.struct("rank", *_LINE)).alias("least"))
-    groups = groups.filter("n > 1").select("variant", "cut", "least")
-    replaced = variants.join(groups, ["variant", "cut"]).filter(F.col("least.rank") < F.col("rank")).select(
-        *_LINE, F.col("least.k1").alias("o1"), F.col("least.k2").alias("o2"), "cut", F.lit("replaced").alias("edit")
-    )
-    met = variants.join(whole, "variant").select(*_LINE, "rank", "cut", "w1", "w2", "w_rank")
-    longer = met.filter("w_rank < rank").select(*_LINE, F.col("w1").alias("o1"), F.col("w2").alias("o2"), "cut", F.lit("longer").alias("edit"))
-    shorter = met.filter("rank < w_rank").groupBy("w1", "w2").agg(F.min(F.struct("rank", *_LINE, "cut")).alias("least"))
-    shorter = shorter.select(
-        F.col("w1").alias("k1"), F.col("w2").alias("k2"), F.col("least.k1").alias("o1"), F.col("least.k2").alias("o2"),
-        F.col("least.cut").alias("cut"), F.lit("shorter").alias("edit"),
-    )
-    candidates = replaced.unionByName(longer).unionByName(shorter).distinct()
-
-    own = lines.select(*_LINE, "words")
-    other = lines.select(F.col("k1").alias("o1"), F.col("k2").alias("o2"), F.col("words").alias("others"))
-    joined = candidates.join(own, _LINE).join(other, ["o1", "o2"])
-    mine, theirs = (F.concat(*_without(F.col(c), F.col("cut"))) for c in ("words", "others"))
-    verified = (
-        F.when(F.col("edit") == "replaced", (mine == theirs) & (F.size("words") == F.size("others")))
-        .when(F.col("edit") == "longer", mine == F.col("others"))
-        .otherwise(F.col("words") == theirs)
+    n = F.size("words")
+    whole = F.struct(running(F.col("words")).alias("from_start"), running(F.reverse("words")).alias("from_end"))
+
+    def keys(h: Column) -> Column:
+        def key(first: Column, last: Column, cut: Column, longer: bool) -> Column:
+            return F.struct(
+                F.xxhash64(h["from_start"][first], h["from_end"][last]).alias("key"),
+                cut.alias("cut"),
+                F.lit(longer).alias("longer"),
+            )
+
+        without = F.transform(F.sequence(F.lit(0), n - 1), lambda i: key(i, n - 1 - i, i, True))
+        split = F.transform(F.sequence(F.lit(0), n), lambda i: key(i, n - i, i, False))
+        return F.concat(without, split)
+
+    return F.explode(F.transform(F.array(whole), keys)[0])
+
+
+def _near_earlier(docs: DataFrame, lines: DataFrame, distinct: DataFrame) -> DataFrame:
+    """Keys of the distinct lines that are one edit away from an earlier line."""
+    halves = lines.select(*_LINE, F.explode("halves").alias("half"))
+    shared = halves.groupBy("half").agg(F.min("k1").alias("a"), F.max("k1").alias("b")).filter("a <> b").select("half")
+    wanted = stored(halves.join(shared, "half", "left_semi").select(*_LINE).distinct(), "wanted")
+
+    # The words of wanted lines. Most others fall into buckets without any, of which there are few.
+    def bucket() -> Column:
+        return F.pmod(F.col("k1"), F.lit(BUCKETS)).alias("bucket")
+
+    buckets = F.broadcast(wanted.select(bucket()).distinct())  # at most BUCKETS rows
+    again = _lines(docs).select("k1", "words", bucket()).join(buckets, "bucket", "left_semi")
+    again = again.select("k1", _second_key(), "words").join(wanted, _LINE, "left_semi").dropDuplicates(_LINE)
+    known = stored(again.select(*_LINE, "words").join(distinct.select(*_LINE, "rank"), _LINE), "words")
+
+    members = stored(known.select("rank", _neighbourhood().alias("m")).select("rank", "m.key", "m.cut", "m.longer"), "members")
+    met = members.groupBy("key", "cut").agg(F.count("*").alias("n")).filter("n > 1").select("key", "cut")
+    met = stored(members.join(met, ["key", "cut"]), "met")
+    groups = met.groupBy("key", "cut").agg(F.min(F.struct("rank", "longer")).alias("least"))
+    candidates = (
+        met.join(groups, ["key", "cut"])
+        .filter(F.col("least.rank") < F.col("rank"))
+        .select("rank", "cut", "longer", F.col("least.rank").alias("other"), F.col("least.longer").alias("other_longer"))
     )
-    return joined.filter(verified).select(*_LINE).distinct()
+    own = known.select(*_LINE, "rank", "words")
+    other = known.select(F.col("rank").alias("other"), F.col("words").alias("other_words"))
+    joined = candidates.join(own, "rank").join(other, "other")
 
+    def rest(words: str, longer: str) -> Column:
+        without = F.concat(F.slice(words, 1, F.col("cut")), F.slice(words, F.col("cut") + 2, F.size(words)))
+        return F.when(F.col(longer), without).otherwise(F.col(words))
 
-def _rank(first: str) -> Column:
-    """Order of lines in the corpus; NULL ids come last."""
-    at = F.col(first)
-    return F.struct(at["doc_id"].isNull().alias("none"), at["doc_id"].alias("doc_id"), at["text_key"].alias("text_key"), at["no"].alias("no"))
+    return joined.filter(rest("words", "longer") == rest("other_words", "other_longer")).select(*_LINE).distinct()
 
 
 def dropped_lines(docs: DataFrame) -> DataFrame:
@@ -113,33 +134,20 @@ def dropped_lines(docs: DataFrame) -> DataFrame:
     if an earlier one, by id and number, equals it or is one edit away. Lines without a word
     stay. ``text_key`` is the hash of the text.
 
-    Rows with equal id and text are one document, with one row; NULL ids come last in the
+    Rows with equal id and text are one document, with one row; NULL ids come first in the
     order, ids that are equal in the order of the hashes of their texts; a NULL or empty text
     has one line, without a word. An empty table gives no rows; other columns are ignored.
     """
-    kept = ["doc_id", "text_key", "no", *_LINE]
-    words = F.when(F.col("norm") != "", F.split("norm", " "))
-    lines = _lines(docs).withColumn("words", words)
-    lines = lines.select(*kept, F.col("words").isNotNull().alias("any"), _halves(F.col("words")).alias("halves"))
+    lines = _lines(docs)
+    lines = lines.select("doc_id", "text_key", "no", "k1", _second_key(), (F.size("words") > 0).alias("any"), _halves(F.col("words")).alias("halves"))
     lines = stored(lines, "lines")
 
-    at = F.struct("doc_id", "text_key", "no")
-    full = lines.filter("any").withColumn("first", at)
-    distinct = stored(
-        full.groupBy(*_LINE).agg(
-            F.min(_rank("first")).alias("rank"), F.count("*").alias("n"), F.first("halves").alias("halves")
-        ).select(
-            *_LINE, F.struct("rank.doc_id", "rank.text_key", "rank.no").alias("first"), "n", "halves"
-        ),
-        "distinct",
-    )
-    near = _near_earlier(docs, distinct.filter("halves IS NOT NULL")).withColumn("near", F.lit(True))
-    concerned = distinct.select(*_LINE, "first", "n").join(near, _LINE, "left").filter("n > 1 OR near")
-    gone = (
-        full.select("doc_id", "text_key", "no", *_LINE, at.alias("at"))
-        .join(concerned.select(*_LINE, F.col("first").alias("least"), "near"), _LINE)
-        .filter(F.col("near") | ~F.expr("at <=> least"))
-    )
+    rank = F.struct("doc_id", "text_key", "no")
+    full = lines.filter("any").select(rank.alias("at"), *_LINE)
+    distinct = stored(full.groupBy(*_LINE).agg(F.min("at").alias("rank"), F.count("*").alias("n")), "distinct")
+    near = _near_earlier(docs, lines.filter("halves IS NOT NULL"), distinct).withColumn("near", F.lit(True))
+    concerned = distinct.join(near, _LINE, "left").filter("n > 1 OR near")
+    gone = full.join(concerned, _LINE).filter(F.col("near") | ~F.expr("at <=> rank")).select("at.*")
     gone = gone.select("doc_id", "text_key", "no", F.lit(True).alias("gone"))
     rows = lines.select("doc_id", "text_key", "no", F.lit(False).alias("gone")).unionByName(gone)
     return rows.groupBy("doc_id", "text_key").agg(
