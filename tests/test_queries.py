@@ -3,9 +3,13 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from checks.oracles import ORACLES
+from checks.queries import QUERIES as OWN
 from tools.compare import connect, differences
 
-QUERIES, SQL = queries(), oracle_sql()
+#: Optional queries have tests of their own.
+QUERIES = {name: query for name, query in queries().items() if name in OWN}
+SQL = {name: sql for name, sql in oracle_sql().items() if name in ORACLES}
 WITHOUT_SQL = {"layout_2d"}
 
 
