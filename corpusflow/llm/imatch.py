@@ -28,7 +28,8 @@ RARE, COMMON = 0.0005, 0.1
 LEAST_DOCUMENTS = 2
 #: Random parts that the lexicon is cut into, and hexadecimal digits of the hash of each.
 SUBSETS = 64
-_HEX = 8
+_HEX = 4
+_HEXADECIMAL = ("edited_sha256", "fingerprint", "edited_fingerprint")
 
 
 def terms(text: str) -> list[bytes]:
@@ -98,7 +99,7 @@ class Fingerprints:
         ends = np.cumsum(np.bincount(subset.astype(np.int64), minlength=SUBSETS)).tolist()
         digest, data = xxhash.xxh32_hexdigest, own.tobytes()
         return "".join(
-            digest(data[8 * a : 8 * b]) if b > a else "0" * _HEX for a, b in zip([0, *ends[:-1]], ends)
+            digest(data[8 * a : 8 * b])[:_HEX] if b > a else "0" * _HEX for a, b in zip([0, *ends[:-1]], ends)
         )
 
 
@@ -176,7 +177,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     whole = ranges.withColumn("range", F.spark_partition_id().cast("long")).mapInArrow(
         lambda batches: _neighbours(batches, known, kind), f"{result}, range long, end string, text string"
     )
-    whole = stored(whole, "fingerprints")
+    whole = stored(whole.withColumns({c: F.unhex(c) for c in _HEXADECIMAL}), "fingerprints")  # half the bytes
+    whole = whole.withColumns({c: F.lower(F.hex(c)) for c in _HEXADECIMAL})
     done = whole.filter("end IS NULL").select(_COLUMNS)
 
     ends = whole.filter("end IS NOT NULL").select("range", "end", "doc_id", "text")
