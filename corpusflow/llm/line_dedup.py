@@ -71,8 +71,18 @@ def _neighbourhood() -> Column:
     """
 
     def running(words: Column) -> Column:
-        start = F.array(F.lit(0).cast("long"))
-        return F.aggregate(words, start, lambda a, w: F.concat(a, F.array(F.xxhash64(F.element_at(a, -1), w))))
+        # Appending copies an array: blocks of about the root of the length keep the copies short.
+        n = F.size(words)
+        size = F.ceil(F.sqrt(n)).cast("int")
+
+        def block(done: Column, start: Column) -> Column:
+            carry = F.array(F.element_at(F.element_at(done, -1), -1))
+            part = F.slice(words, start + 1, size)
+            hashes = F.aggregate(part, carry, lambda a, w: F.concat(a, F.array(F.xxhash64(F.element_at(a, -1), w))))
+            return F.concat(done, F.array(F.slice(hashes, 2, size)))
+
+        start = F.array(F.array(F.lit(0).cast("long")))
+        return F.flatten(F.aggregate(F.sequence(F.lit(0), n - 1, size), start, block))
 
     n = F.size("words")
     whole = F.struct(running(F.col("words")).alias("from_start"), running(F.reverse("words")).alias("from_end"))
@@ -92,6 +102,18 @@ def _neighbourhood() -> Column:
     return F.explode(F.transform(F.array(whole), keys)[0])
 
 
+def _one_edit(a: Column, b: Column) -> Column:
+    """Whether the words before and after one place are all the same, for distinct lines."""
+
+    def common(x: Column, y: Column) -> Column:
+        differs = F.array_position(F.zip_with(x, y, lambda v, w: ~v.eqNullSafe(w)), True)
+        return F.when(differs > 0, differs - 1).otherwise(F.size(x))
+
+    longest = F.greatest(F.size(a), F.size(b))
+    same = common(a, b) + common(F.reverse(a), F.reverse(b))
+    return (F.abs(F.size(a) - F.size(b)) <= 1) & (same >= longest - 1)
+
+
 def _near_earlier(docs: DataFrame, lines: DataFrame, distinct: DataFrame) -> DataFrame:
     """Keys of the distinct lines that are one edit away from an earlier line."""
     halves = lines.select(*_LINE, F.explode("halves").alias("half"))
@@ -111,20 +133,17 @@ def _near_earlier(docs: DataFrame, lines: DataFrame, distinct: DataFrame) -> Dat
     met = members.groupBy("key", "cut").agg(F.count("*").alias("n")).filter("n > 1").select("key", "cut")
     met = stored(members.join(met, ["key", "cut"]), "met")
     groups = met.groupBy("key", "cut").agg(F.min(F.struct("rank", "longer")).alias("least"))
+    # Lines of repeated words meet at many places: a pair is verified once.
     candidates = (
         met.join(groups, ["key", "cut"])
         .filter(F.col("least.rank") < F.col("rank"))
-        .select("rank", "cut", "longer", F.col("least.rank").alias("other"), F.col("least.longer").alias("other_longer"))
+        .select("rank", F.col("least.rank").alias("other"))
+        .distinct()
     )
     own = known.select(*_LINE, "rank", "words")
     other = known.select(F.col("rank").alias("other"), F.col("words").alias("other_words"))
     joined = candidates.join(own, "rank").join(other, "other")
-
-    def rest(words: str, longer: str) -> Column:
-        without = F.concat(F.slice(words, 1, F.col("cut")), F.slice(words, F.col("cut") + 2, F.size(words)))
-        return F.when(F.col(longer), without).otherwise(F.col(words))
-
-    return joined.filter(rest("words", "longer") == rest("other_words", "other_longer")).select(*_LINE).distinct()
+    return joined.filter(_one_edit(F.col("words"), F.col("other_words"))).select(*_LINE).distinct()
 
 
 def dropped_lines(docs: DataFrame) -> DataFrame:
