@@ -30,6 +30,8 @@ CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])[A-Za-z0-9+/_=-]{20,}
 IDENTIFIER = r"[A-Za-z0-9+/_=-]{4,}"
 #: Documents whose identifiers train the second model, chosen by the hash of their ids.
 TRAIN_ROWS = 2000
+#: Weight, in transitions, of the frequencies of single characters in a model.
+BACKOFF = 5.0
 #: Mean logarithm of the likelihood ratio per character.
 THRESHOLD = 0.5
 
@@ -93,6 +95,7 @@ def train(docs: DataFrame, rows: int = TRAIN_ROWS) -> list[float]:
 
     The labelled samples come from at most ``rows`` documents: values that the fixed rules find
     and digests of the ids, which are random by construction, against the other identifiers.
+    Runs that the models are to judge train neither.
     """
     chosen = sample(docs, rows)
     digest = F.sha2(F.concat(F.lit("key:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 256)
@@ -101,19 +104,31 @@ def train(docs: DataFrame, rows: int = TRAIN_ROWS) -> list[float]:
     labelled = chosen.select(caught.alias("caught"), made.alias("made"), "text").select(
         F.explode(F.concat("caught", "made")).alias("value"), F.lit(1).alias("random")
     )
-    words = chosen.select(
-        F.array_except(F.regexp_extract_all("text", F.lit(IDENTIFIER), 0), F.transform(_base(F.col("text")), lambda s: s["value"])).alias("words")
-    ).select(F.explode("words").alias("value"), F.lit(0).alias("random"))
+    known = F.array_except(F.regexp_extract_all("text", F.lit(IDENTIFIER), 0), F.transform(_base(F.col("text")), lambda s: s["value"]))
+    words = chosen.select(F.explode(known).alias("value"), F.lit(0).alias("random")).filter(~F.col("value").rlike(CANDIDATE))
     pairs = labelled.unionByName(words).select("random", F.explode(_steps(F.col("value"))).alias("pair"))
     counted = pairs.groupBy("random", "pair").count().collect()  # at most two for each pair of characters
 
     n = len(ALPHABET) + 1
-    counts = [[0.5] * (n * n), [0.5] * (n * n)]
+    counts = [[0] * (n * n), [0] * (n * n)]
     for row in counted:
-        counts[row["random"]][row["pair"]] += row["count"]
-    sums = [[sum(c[k * n : (k + 1) * n]) for k in range(n)] for c in counts]
+        counts[row["random"]][row["pair"]] = row["count"]
+    ordinary, random = map(_logarithms, counts)
+    return [round(r - o, 6) for r, o in zip(random, ordinary)]
+
+
+def _logarithms(counts: list[int]) -> list[float]:
+    """Logarithms of a model's transition probabilities.
+
+    Few or no transitions out of a character leave it the frequencies of the characters that
+    follow any: capitals stay rare after capitals in a model that has seen none.
+    """
+    n = len(ALPHABET) + 1
+    total = sum(counts)
+    follows = [(sum(counts[b::n]) + 0.5) / (total + 0.5 * n) for b in range(n)]
+    leaves = [sum(counts[a * n : (a + 1) * n]) for a in range(n)]
     return [
-        round(math.log(counts[1][p] / sums[1][p // n]) - math.log(counts[0][p] / sums[0][p // n]), 6) for p in range(n * n)
+        math.log((counts[a * n + b] + BACKOFF * follows[b]) / (leaves[a] + BACKOFF)) for a in range(n) for b in range(n)
     ]
 
 
