@@ -331,11 +331,11 @@ ORACLES: dict[str, str] = {
           CASE WHEN block_id % 7 <> 0 THEN 'T' || block_id % 11 ELSE 'DEFAULT' END AS type,
           CASE WHEN block_id % 5 <> 0 THEN text ELSE '' END AS text, round(block_id / 100.0::DOUBLE, 6) AS xmin
         FROM lines WHERE page % 6 IN (0, 1)""",
-    "archive_elements": """SELECT doc_id::VARCHAR AS document, len(string_split(text, chr(10))) AS elements,
-          (len(string_split(text, chr(10))) + 3) // 4 AS text_n, (len(string_split(text, chr(10))) + 1) // 4 AS table_n
-        FROM documents WHERE doc_id % 10 NOT IN (0, 1)""",
-    "extraction_totals": """SELECT count(*) FILTER (doc_id % 10 NOT IN (0, 1)) AS ok,
-          count(*) FILTER (doc_id % 10 IN (0, 1)) AS failed FROM documents""",
+    "archive_elements": """WITH counted AS (SELECT doc_id, CASE WHEN doc_id % 10 = 0 THEN 0 ELSE len(string_split(text, chr(10))) END AS n
+        FROM documents WHERE doc_id % 10 <> 1)
+        SELECT doc_id::VARCHAR AS document, n AS elements, (n + 3) // 4 AS text_n, (n + 1) // 4 AS table_n FROM counted""",
+    "extraction_totals": """SELECT count(*) FILTER (doc_id % 10 <> 1) AS ok,
+          count(*) FILTER (doc_id % 10 = 1) AS failed FROM documents""",
     "landing_link": f"""WITH {LANDED} SELECT page_id, coalesce(method, '-') AS method, coalesce(link, '-') AS link,
           CASE WHEN contains(link, 'widen.net') THEN 'viewer' WHEN link IS NOT NULL THEN 'document' ELSE '-' END AS route FROM found""",
     "quarantine": f"WITH {LANDED} SELECT page_id, url, length(html) AS n_chars FROM found WHERE link IS NULL",

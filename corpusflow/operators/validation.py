@@ -73,6 +73,18 @@ def validate_files(
     )
 
 
+def whole_files(files: DataFrame, stored: DataFrame) -> DataFrame:
+    """Result rows, invalid where a file holds more rows (``stored``) than were read."""
+    lost = F.coalesce("stored", F.lit(0)) > F.col("rows")
+    error = F.format_string("Only %d of %d rows can be read", "rows", "stored")
+    return files.join(stored, list(FILE_KEY), "left").select(
+        *[c for c in files.columns if c not in ("valid", "errors", "warnings")],
+        (F.col("valid") & ~lost).alias("valid"),
+        F.when(lost, F.concat("errors", F.array(error))).otherwise(F.col("errors")).alias("errors"),
+        "warnings",
+    )
+
+
 def report(files: DataFrame) -> DataFrame:
     """Samples, files and megabytes per split, per dataset and in total."""
     return (

@@ -10,6 +10,7 @@ from corpusflow.functions.text import has_text
 from corpusflow.operators import encode, ordering, shards, validation
 from corpusflow.operators.catalog import spec_of
 from corpusflow.operators.text_samples import with_text
+from corpusflow.session import stored
 from corpusflow.sources import samples as sources
 
 
@@ -87,9 +88,14 @@ def embed_shards(
 
 
 def validate_tree(spark: SparkSession, root: str, check_values: bool = True) -> DataFrame:
-    """Result row of every file of ``root/dataset/split/*.parquet``, empty and broken ones included."""
-    files = validation.validate_files(sources.read_embedding_tree(spark, root), check_values=check_values)
-    return files.unionByName(sources.unread_files(spark, root, files))
+    """Result row of every file of ``root/dataset/split/*.parquet``, empty and broken ones included.
+
+    A file that gave fewer rows than its footer states is invalid. The results, a row per file,
+    are stored: a later choice of columns would skip damaged pages and count their rows.
+    """
+    files = stored(validation.validate_files(sources.read_embedding_tree(spark, root), check_values=check_values), "files")
+    every = files.unionByName(sources.unread_files(spark, root, files))
+    return validation.whole_files(every, sources.stored_rows(spark, root))
 
 
 def validation_report(embeddings: DataFrame) -> DataFrame:

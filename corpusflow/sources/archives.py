@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import json
 import zipfile
 from collections.abc import Iterator
 
@@ -27,27 +28,37 @@ def read_archives(spark: SparkSession, root: str) -> DataFrame:
     return files.select(F.regexp_replace(name, r"\.zip$", "").alias("document"), "content")
 
 
-def _member(content: bytes | None) -> str | None:
+def _member(content: bytes | None) -> tuple[str, str | None]:
+    """Status and text of the member: an archive without it is in order, an unreadable one is not."""
     try:
         with zipfile.ZipFile(io.BytesIO(content)) as archive:
-            if MEMBER in archive.namelist():
-                return archive.read(MEMBER).decode("utf-8")
-    except (zipfile.BadZipFile, UnicodeDecodeError, TypeError):
-        pass
-    return None
+            if MEMBER not in archive.namelist():
+                return "no_member", None
+            data = archive.read(MEMBER)
+    except Exception:  # damaged in any way: the archive's own failure, not the job's
+        return "bad_zip", None
+    try:
+        text = data.decode("utf-8")
+        json.loads(text)
+    except (ValueError, RecursionError):
+        return "bad_json", None
+    return "ok", text
 
 
 def structured_json(archives: DataFrame) -> DataFrame:
-    """``(document, json)`` per archive, NULL where the member is absent or the ZIP is broken."""
+    """``(document, status, json)`` per archive; status is ok, no_member, bad_zip or bad_json, json NULL unless ok."""
 
     def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"document": batch["document"], "json": batch["content"].map(_member)})
+            found = [_member(content) for content in batch["content"]]
+            status, text = ([f[i] for f in found] for i in (0, 1))
+            yield pd.DataFrame({"document": batch["document"], "status": status, "json": text}, dtype=object)
 
-    return archives.select("document", "content").mapInPandas(unpack, "document string, json string")
+    return archives.select("document", "content").mapInPandas(unpack, "document string, status string, json string")
 
 
 def elements(archives: DataFrame) -> DataFrame:
-    """Parsed archives ``(document, ok, elements)``."""
+    """Parsed archives ``(document, ok, status, elements)``; those without the member are ok, with no elements."""
     parsed = structured_json(archives).withColumn("_data", F.from_json("json", ARCHIVE))
-    return parsed.select("document", F.col("json").isNotNull().alias("ok"), F.col("_data.elements").alias("elements"))
+    ok = F.col("status").isin("ok", "no_member")
+    return parsed.select("document", ok.alias("ok"), "status", F.col("_data.elements").alias("elements"))

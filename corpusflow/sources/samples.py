@@ -43,17 +43,29 @@ def _names(path: Column) -> list[Column]:
     return [_path_part(path, 3).alias("dataset"), _path_part(path, 2).alias("split"), file]
 
 
-def read_embedding_tree(spark: SparkSession, root: str) -> DataFrame:
-    """Embedding rows of ``root/dataset/split/*.parquet``, tagged with their file and its size."""
-    rows = (
+def _embedding_tree(spark: SparkSession, root: str) -> DataFrame:
+    return (
         spark.read.schema(schemas.EMBEDDING)
         .option("ignoreCorruptFiles", "true")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.parquet")
         .parquet(root)
     )
+
+
+def stored_rows(spark: SparkSession, root: str) -> DataFrame:
+    """Rows that each readable footer of a tree states, as ``stored``: a scan of no column reads no page."""
+    files = _embedding_tree(spark, root).groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count(F.lit(1)).alias("stored"))
+    return files.select(*_names(F.col("path")), "stored")
+
+
+def read_embedding_tree(spark: SparkSession, root: str) -> DataFrame:
+    """Embedding rows of ``root/dataset/split/*.parquet``, tagged with their file and its size.
+
+    A damaged file gives the rows before the damage only: hold them against :func:`stored_rows`.
+    """
     path = F.col("_metadata.file_path")
-    return rows.select(
+    return _embedding_tree(spark, root).select(
         *_names(path),
         F.col("_metadata.file_size").alias("file_size"),
         "embeddings",

@@ -105,12 +105,26 @@ def test_archives(spark, tmp_path):
         with zipfile.ZipFile(tmp_path / f"{name}.zip", "w") as z:
             z.writestr(member, json.dumps({"elements": found}))
     (tmp_path / "broken.zip").write_bytes(b"no zip")
+    with zipfile.ZipFile(tmp_path / "bad.zip", "w") as z:
+        z.writestr(archives.MEMBER, '{"elements": [')
+    with zipfile.ZipFile(tmp_path / "stream.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr(archives.MEMBER, json.dumps({"elements": found * 50}))
+    damaged = bytearray((tmp_path / "stream.zip").read_bytes())
+    start = 30 + len(archives.MEMBER)
+    damaged[start : start + 20] = b"\xff" * 20
+    (tmp_path / "stream.zip").write_bytes(damaged)
     content = archives.read_archives(spark, str(tmp_path))
     parsed = archives.elements(content)
-    assert {r["document"]: r["ok"] for r in parsed.collect()} == {"good": True, "other": False, "broken": False}
+    assert {r["document"]: (r["ok"], r["status"]) for r in parsed.collect()} == {
+        "good": (True, "ok"),
+        "other": (True, "no_member"),
+        "broken": (False, "bad_zip"),
+        "bad": (False, "bad_json"),
+        "stream": (False, "bad_zip"),
+    }
     counts = {r["document"]: tuple(r)[1:] for r in blocks.element_counts(parsed).collect()}
-    assert counts == {"good": (5, 2, 1), "other": (0, 0, 0), "broken": (0, 0, 0)}
-    assert tuple(blocks.extraction_totals(parsed).first()) == (1, 2)
+    assert counts == {"good": (5, 2, 1)} | dict.fromkeys(["other", "broken", "bad", "stream"], (0, 0, 0))
+    assert tuple(blocks.extraction_totals(parsed).first()) == (2, 3)
     out = str(tmp_path / "out")
     writers.write_structured(archives.structured_json(content), out)
     lines = [json.loads(r["value"]) for r in spark.read.text(out).collect()]

@@ -3,7 +3,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from corpusflow.operators import catalog, provenance, validation
+from corpusflow.operators import catalog, provenance, shards, validation
 from corpusflow.plans.embedding_run import validate_tree
 
 ROWS = [
@@ -123,6 +123,29 @@ def test_tree_with_every_kind_of_file(spark, tmp_path):
     assert validation.first_valid_file(files).first()["file"] == "a.parquet"
 
 
+@pytest.mark.parametrize("group", [0, 1, 2])
+def test_a_damaged_row_group_makes_its_file_invalid(spark, tmp_path, group):
+    n = 6000
+    vectors = pa.array([[float(i), i / 3] for i in range(n)], pa.list_(pa.float64()))
+    table = pa.table({"embeddings": vectors, "original_index": pa.array(range(n), pa.int64())})
+    for shard in (0, 1):
+        name = f"x-0000{shard}-of-00002.parquet"
+        _write(tmp_path, "d", "s", name, table.slice(0, 100))
+        pq.write_table(table, tmp_path / "d" / "s" / name, row_group_size=n // 3, compression="snappy", use_dictionary=False)
+    path = tmp_path / "d" / "s" / "x-00001-of-00002.parquet"
+    column = pq.ParquetFile(path).metadata.row_group(group).column(0)
+    data = bytearray(path.read_bytes())
+    data[column.data_page_offset : column.data_page_offset + column.total_compressed_size] = b"\xff" * column.total_compressed_size
+    path.write_bytes(data)
+
+    files = validate_tree(spark, str(tmp_path))
+    found = {r["file"]: r for r in files.collect()}
+    assert found["x-00000-of-00002.parquet"]["valid"] and found["x-00000-of-00002.parquet"]["rows"] == n
+    broken = found[path.name]
+    assert not broken["valid"] and broken["rows"] < n and f"of {n} rows" in broken["errors"][-1]
+    assert [r["shard_id"] for r in shards.done_from_files(files).collect()] == [0]
+
+
 def test_ragged_vectors_and_first_row(spark):
     rows = [("d", "s", "f", [1.0], 5), ("d", "s", "f", [1.0, 2.0, 3.0], 2), ("d", "s", "g", None, 0), ("d", "s", "g", [1.0], 1)]
     df = spark.createDataFrame(rows, "dataset string, split string, file string, embeddings array<double>, original_index long")
