@@ -24,7 +24,7 @@ from corpusflow.operators import (
 )
 from corpusflow.plans import embedding_run, layout_run
 from corpusflow.schemas import BBOX
-from corpusflow.session import few_files, fresh_path, spread
+from corpusflow.session import fresh_path
 from corpusflow.sources import archives, responses, samples as sources, writers
 from corpusflow.streaming import jobs
 
@@ -34,6 +34,9 @@ QUERIES: dict[str, Query] = {}
 DIGITS = 6
 SHARDS = 7
 ROWS_PER_SHARD = 30
+#: Small, so that numbering runs over many buckets at every size of the tables.
+ROWS_PER_BUCKET = 100
+LOG_ROWS_PER_BUCKET = 1000
 EPOCHS = 10
 
 
@@ -145,7 +148,16 @@ def union_catalog(spark, sf_dir):
 @registered
 def shard_assign(spark, sf_dir):
     rows = inputs.samples(spark, sf_dir).drop("text")
-    return shards.assign(rows, "doc_id", F.lit(SHARDS)).select("doc_id", *_long("shard_id"), "original_index")
+    found = shards.assign(rows, "doc_id", F.lit(SHARDS), ROWS_PER_BUCKET)
+    return found.select("doc_id", *_long("shard_id"), "original_index")
+
+
+@registered
+def shard_assign_text(spark, sf_dir):
+    """Samples with a text for a key, here a digest of the id."""
+    rows = inputs.samples(spark, sf_dir).select("dataset", "split", F.md5(F.col("doc_id").cast("string")).alias("uuid"))
+    found = shards.assign(rows, "uuid", F.lit(SHARDS), ROWS_PER_BUCKET)
+    return found.select("uuid", *_long("shard_id"), "original_index")
 
 
 @registered
@@ -444,7 +456,7 @@ def parse_totals(spark, sf_dir):
 
 @registered
 def decode_responses(spark, sf_dir):
-    found = responses.decode(spread(inputs.responses(spark, sf_dir)))
+    found = responses.decode(inputs.responses(spark, sf_dir))
     return found.select("page", *_long("block_id"), "type", "text", F.round("bbox.xmin", DIGITS).alias("xmin"))
 
 
@@ -485,14 +497,14 @@ def data_uris(spark, sf_dir):
 
 @registered
 def landing_link(spark, sf_dir):
-    return fetch.landing_links(spread(inputs.landing_pages(spark, sf_dir))).select(
+    return fetch.landing_links(inputs.landing_pages(spark, sf_dir)).select(
         "page_id", *_shown("method", "link", "route")
     )
 
 
 @registered
 def quarantine(spark, sf_dir):
-    found = fetch.landing_links(spread(inputs.landing_pages(spark, sf_dir)))
+    found = fetch.landing_links(inputs.landing_pages(spark, sf_dir))
     return fetch.quarantine(found).select("page_id", "url", F.length("html").cast("long").alias("n_chars"))
 
 
@@ -535,7 +547,7 @@ def run_totals(spark, sf_dir):
 
 @registered
 def run_progress(spark, sf_dir):
-    found = runlog.progress(inputs.run_log(spark, sf_dir))
+    found = runlog.progress(inputs.run_log(spark, sf_dir), LOG_ROWS_PER_BUCKET)
     return found.select("run", "event_id", "done", "total_samples", *_rounded("avg_rate"))
 
 
@@ -624,8 +636,7 @@ def stream_embed(spark, sf_dir):
     stored = inputs.table(spark, sf_dir, "documents")
     out, checkpoint = fresh_path(spark, "stream-embed"), fresh_path(spark, "stream-embed-state")
     docs = jobs.file_stream(spark, sf_dir, stored.schema, "documents.parquet")
-    tasks = spark.sparkContext.defaultParallelism if few_files(stored) else None
-    jobs.run(lambda: jobs.embed_new_files(docs, out, checkpoint, ["doc_id"], tasks=tasks))
+    jobs.run(lambda: jobs.embed_new_files(docs, out, checkpoint, ["doc_id"]))
     return _components(spark.read.parquet(out), "doc_id")
 
 

@@ -10,8 +10,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from corpusflow.session import spread
-
 # An encoder maps texts to a matrix of unit vectors, one row per text. A factory builds it.
 Encoder = Callable[[Sequence[str]], np.ndarray]
 EncoderFactory = Callable[[], Encoder]
@@ -128,12 +126,13 @@ def embed(
     prefix: str = "",
     batch_size: int = 32,
     keep: Sequence[str] | None = None,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Columns ``keep`` with ``embeddings`` and ``error`` added.
 
-    Inputs of many files are encoded where they are read, without a shuffle; a few files are
-    spread over the cores first. Rows stream through as Arrow batches, so memory does not grow with the partition. The
-    text itself stays behind unless ``keep`` names it.
+    Rows are encoded where they are read, without a shuffle, unless ``tasks`` says over how
+    many tasks to spread them first. Rows stream through as Arrow batches, so memory does not
+    grow with the partition. The text itself stays behind unless ``keep`` names it.
     """
     factory = factory or TokenHash()
     keep = list(keep if keep is not None else [c for c in df.columns if c != text])
@@ -155,7 +154,8 @@ def embed(
             out["error"] = pd.Series(errors, index=batch.index, dtype=object)
             yield out[[*keep, "embeddings", "error"]]
 
-    present = spread(df.filter(F.col(text).isNotNull()))
+    present = df.filter(F.col(text).isNotNull())
+    present = present.repartition(tasks) if tasks else present
     return present.select(*carried, F.col(text).alias("_text")).mapInPandas(run, schema)
 
 

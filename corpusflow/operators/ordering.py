@@ -1,10 +1,10 @@
 """Positions and running totals over ordered groups of any size.
 
 A window over a whole group would sort that group in one task. Here the order is cut into
-buckets first: quantiles of the first order column give the cuts, a value that alone fills
-buckets is cut again by the second order column, and each (group, bucket) becomes its own
-window. What precedes a bucket comes from a small table of per-bucket totals. Buckets depend
-only on the row's own values, so retried tasks agree.
+buckets first: a range partitioning of the order columns alone, by all of them, gives the
+borders, and each (group, bucket) becomes its own window. What precedes a bucket comes from a
+small table of per-bucket totals. Buckets depend only on the borders and the row's own values,
+so retried tasks agree. Order columns may be of any type that sorts, texts included.
 """
 
 from __future__ import annotations
@@ -12,58 +12,44 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from corpusflow.functions.times import micros
-
 ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 10_000
-_MAX_SUB_BUCKETS = 256
-_B, _S = "_bucket", "_sub"
-
-
-def _number(df: DataFrame, column: str) -> Column:
-    kind = df.schema[column].dataType.simpleString()
-    if kind in ("timestamp", "timestamp_ntz"):
-        return micros(df, column).cast("double")
-    if kind == "string":
-        raise TypeError(f"order column {column} must be a number or a timestamp")
-    return F.col(column).cast("double")
+_B = "_bucket"
 
 
-def _cuts(df: DataFrame, column: str, n: int) -> tuple[list[float], list[float]]:
-    """Strictly rising bucket borders, and those that start a bucket of one single value."""
-    found = df.stat.approxQuantile(column, [i / n for i in range(1, n)], 1 / (4 * n))
-    heavy = sorted({a for a, b in zip(found, found[1:]) if a == b})
-    cuts = sorted(set(found) | {math.nextafter(v, math.inf) for v in heavy})
-    return [c for c in cuts if math.isfinite(c)], heavy
+def _key(order: Sequence[str]) -> Column:
+    """The order columns as one value that compares like them, rows without a value last."""
+    parts = [(F.col(f"`{c}`").isNull().alias(f"n{i}"), F.col(f"`{c}`").alias(f"v{i}")) for i, c in enumerate(order)]
+    return F.struct(*[c for part in parts for c in part])
 
 
-def _bucket(df: DataFrame, column: str, cuts: list[float], out: str) -> DataFrame:
-    """Bucket number of each row; rows without a value come last."""
-    if not cuts:
-        return df.withColumn(out, F.lit(0))
-    borders = [-math.inf, *cuts, math.inf]
-    cut = Bucketizer(splits=borders, inputCol=column, outputCol=out, handleInvalid="keep")
-    return cut.transform(df).withColumn(out, F.coalesce(F.col(out).cast("int"), F.lit(len(cuts) + 1)))
+def _borders(df: DataFrame, order: Sequence[str], n: int) -> list[str]:
+    """The least keys of ``n`` ranges of about the same number of rows, as JSON, in order."""
+    ranges = df.select(_key(order).alias("key")).repartitionByRange(n, "key")
+    least = ranges.groupBy(F.spark_partition_id().alias("p")).agg(F.min("key").alias("key"))
+    rows = least.select("p", F.to_json("key", {"ignoreNullFields": "false"}).alias("border")).collect()  # one for each bucket
+    return [row["border"] for row in sorted(rows, key=lambda row: row["p"])]
 
 
 def bucketed(df: DataFrame, order: Sequence[str], rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """``df`` with ``_bucket`` and ``_sub``, which rise with the order columns."""
-    n = min(MAX_BUCKETS, math.ceil(df.count() / rows_per_bucket))
-    if n <= 1:
-        return df.withColumn(_B, F.lit(0)).withColumn(_S, F.lit(0))
-    work = df.withColumn("_k0", _number(df, order[0]))
-    cuts, heavy = _cuts(work.select("_k0"), "_k0", n)
-    work = _bucket(work, "_k0", cuts, _B)
-    if not heavy or len(order) < 2:
-        return work.withColumn(_S, F.lit(0)).drop("_k0")
-    work = work.withColumn("_k1", _number(df, order[1]))
-    crowd = work.filter(F.col("_k0").isin(heavy)).select("_k1")
-    sub_cuts, _ = _cuts(crowd, "_k1", min(n, _MAX_SUB_BUCKETS))
-    work = _bucket(work, "_k1", sub_cuts, _S)
-    return work.withColumn(_S, F.when(F.col("_k0").isin(heavy), F.col(_S)).otherwise(0)).drop("_k0", "_k1")
+    """``df`` with ``_bucket``, which rises with the order columns.
+
+    One value of the first column may fill many buckets, since the borders hold all columns.
+    The driver holds one border for each bucket; a row finds its bucket by bisection.
+    """
+    n = math.ceil(df.count() / rows_per_bucket)
+    if n == 0:
+        return df.withColumn(_B, F.lit(0))
+    borders = _borders(df, order, n)
+    kind = df.select(_key(order).alias("key")).schema["key"].dataType.simpleString()
+    listed = F.from_json(F.lit(f"[{','.join(borders)}]"), f"array<{kind}>")
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(len(borders).bit_length()))])
+    key = _key(order)
+    bucket = F.aggregate(
+        steps, F.lit(0), lambda at, step: F.when(F.get(listed, at + step - 1) <= key, at + step).otherwise(at)
+    )
+    return df.withColumn(_B, bucket)
 
 
 def running(
@@ -83,14 +69,14 @@ def running(
     together must be unique within a group.
     """
     mins = group_mins or {}
-    cells = [*groups, _B, _S]
+    cells = [*groups, _B]
     work = bucketed(df, order, rows_per_bucket)
     per_cell = work.groupBy(*cells).agg(
         *[F.sum(e).alias(f"_t_{n}") for n, e in totals.items()],
         *[F.min(e).alias(f"_m_{n}") for n, e in mins.items()],
     )
     by_group = Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))
-    before = by_group.orderBy(_B, _S).rowsBetween(Window.unboundedPreceding, -1)
+    before = by_group.orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_cell.select(
         *cells,
         *[F.coalesce(F.sum(f"_t_{n}").over(before), F.lit(0)).alias(f"_o_{n}") for n in totals],

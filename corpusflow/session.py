@@ -11,7 +11,6 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
-FEW_FILES = 32
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -73,23 +72,6 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def few_files(df: DataFrame) -> bool:
-    """Whether the rows come from fewer files than there are cores to read them."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return len(df.inputFiles()) < min(cores, FEW_FILES)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Spread rows that come from a handful of files over all cores, for costly work per row.
-
-    A file that is one row group is one task, however many cores wait. Inputs of more files
-    keep their tasks and are not shuffled.
-    """
-    if df.isStreaming or not few_files(df):
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
-
-
 def ship(spark: SparkSession, root: Path, packages: Sequence[str]) -> None:
     """Send packages below ``root`` to the Python workers, once per Spark application."""
     sc = spark.sparkContext

@@ -36,7 +36,7 @@ def test_one_value_with_a_third_of_all_rows_is_cut_by_the_second_column(spark):
         F.lit(1).alias("g"), F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), (3000 - F.col("id")).alias("t")
     )
     buckets = ordering.bucketed(df, ["k", "t"], rows_per_bucket=100)
-    largest = buckets.groupBy("_bucket", "_sub").count().agg(F.max("count")).first()[0]
+    largest = buckets.groupBy("_bucket").count().agg(F.max("count")).first()[0]
     assert largest < 400
     found = ordering.positions(df, ["g"], ["k", "t"], rows_per_bucket=100).collect()
     expected = sorted((r["k"], r["t"]) for r in found)
@@ -50,9 +50,37 @@ def test_rows_without_order_value_are_kept_last(spark):
     assert all((r["k"] is None) == (r["idx"] >= 75) for r in found)
 
 
-def test_text_order_is_refused(spark):
-    with pytest.raises(TypeError):
-        ordering.positions(spark.createDataFrame([("a",)] * 30, "k string"), [], ["k"], rows_per_bucket=5)
+@pytest.mark.parametrize("rows_per_bucket", [5, 1_000_000])
+def test_text_keys_are_numbered_at_any_size(spark, rows_per_bucket):
+    keys = ["", "é", "Z", 'quo"te', "back\\slash", "line\nbreak", *[f"http://host/{i}" for i in range(40)]]
+    df = spark.createDataFrame([(k,) for k in [*keys, None]], "k string")
+    found = ordering.positions(df, [], ["k"], rows_per_bucket=rows_per_bucket).collect()
+    ranked = [r["k"] for r in sorted(found, key=lambda r: r["idx"])]
+    assert ranked == [*sorted(keys, key=str.encode), None]
+
+
+def test_odd_numbers_and_times_find_their_buckets(spark):
+    rows = [(float(i),) for i in range(30)] + [(float("inf"),), (float("-inf"),), (float("nan"),), (None,)]
+    found = ordering.positions(spark.createDataFrame(rows, "k double"), [], ["k"], rows_per_bucket=3).collect()
+    ranked = [r["k"] for r in sorted(found, key=lambda r: r["idx"])]
+    assert ranked[:2] == [float("-inf"), 0.0] and ranked[30:32] == [29.0, float("inf")]
+    assert math.isnan(ranked[32]) and ranked[33] is None
+    times = spark.range(50).select(F.timestamp_micros(F.col("id") * 7 + 1).alias("k"), "id")
+    found = ordering.positions(times, [], ["k"], rows_per_bucket=4).collect()
+    assert all(r["idx"] == r["id"] for r in found)
+
+
+def test_no_rows_have_no_positions(spark):
+    assert ordering.positions(spark.range(0), [], ["id"]).count() == 0
+
+
+def test_run_shuffles_texts_once(spark):
+    rows = [("d", "s", i, f"text {i}") for i in range(30)]
+    samples = spark.createDataFrame(rows, "dataset string, split string, id long, text string")
+    none = spark.createDataFrame([], "dataset string, split string, shard_id int, samples long")
+    run = embedding_run.embed_shards(samples, "id", F.lit(3), none)
+    plan = run.embeddings._jdf.queryExecution().optimizedPlan().toString()
+    assert "Repartition" not in plan
 
 
 @pytest.mark.parametrize(("n", "k"), [(20, 7), (3, 5), (14, 7), (1, 1), (0, 3)])
