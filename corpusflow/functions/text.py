@@ -63,9 +63,11 @@ def _decode_ignoring(body: pd.Series) -> pd.Series:
 
 def decoded(df: DataFrame, column: str) -> Column:
     """UTF-8 text of a column, invalid bytes left out. Strings pass through."""
-    if isinstance(df.schema[column].dataType, T.BinaryType):
-        return _decode_ignoring(F.col(column))
-    return F.col(column)
+    if not isinstance(df.schema[column].dataType, T.BinaryType):
+        return F.col(column)
+    text = F.col(column).cast("string")
+    damaged = F.when(~F.is_valid_utf8(text), F.col(column))  # only these bytes go to Python
+    return F.when(F.is_valid_utf8(text), text).otherwise(_decode_ignoring(damaged))
 
 
 def _contents(df: DataFrame, column: str) -> Column:

@@ -57,6 +57,21 @@ def drawable(blocks: DataFrame, canvas: tuple[int, int] = boxes.CANVAS, carry: t
     )
 
 
+def with_class(blocks: DataFrame, classes: DataFrame) -> DataFrame:
+    """Blocks with the columns of ``classes(type, …)``; unknown and missing types take those of the default class.
+
+    ``type`` must be unique in ``classes``; the block keeps the type it has.
+    """
+    extra = [c for c in classes.columns if c != "type"]
+    known = classes.select(F.col("type").alias("_class"), *extra)
+    named = blocks.join(known.select(F.col("_class").alias("_known")), boxes.block_type(F.col("type")) == F.col("_known"), "left")
+    return (
+        named.withColumn("_class", F.coalesce("_known", F.lit(boxes.DEFAULT_TYPE)))
+        .join(known, "_class", "left")
+        .select(*blocks.columns, *extra)
+    )
+
+
 def page_results(pages: DataFrame, blocks: DataFrame) -> DataFrame:
     """Blocks per page of ``pages(document, page)``; a page without blocks has failed."""
     counted = blocks.groupBy("document", "page").agg(F.count(F.lit(1)).alias("_blocks"))

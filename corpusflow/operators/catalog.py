@@ -160,7 +160,26 @@ def shards_from_files(splits: DataFrame, files: DataFrame) -> DataFrame:
 
 
 def preview(samples: DataFrame, order: Sequence[str], limit: int = 500) -> DataFrame:
-    """Fields of the first sample as rows, long strings cut."""
-    first = samples.orderBy(*order).limit(1)
-    shown = first.select(*[cut(F.col(c).cast("string"), limit).alias(c) for c in samples.columns])
-    return shown.unpivot([], list(samples.columns), "field", "value")
+    """Fields of the first sample as rows, long strings cut.
+
+    The least key is found on the order columns alone; only its row is read whole.
+    """
+    least = samples.agg(F.min(F.struct(*order)).alias("least")).first()["least"]  # one row
+    first = samples.limit(0)
+    if least is not None:
+        found = samples
+        for column, value in zip(order, least):
+            found = found.filter(F.col(column).eqNullSafe(F.lit(value)))
+        first = found.limit(1)
+    return first.select(*_shown(samples.columns, limit)).unpivot([], list(samples.columns), "field", "value")
+
+
+def _shown(columns: Sequence[str], limit: int) -> list[Column]:
+    return [cut(F.col(c).cast("string"), limit).alias(c) for c in columns]
+
+
+def split_previews(samples: DataFrame, order: Sequence[str], by: Sequence[str] = ("dataset", "split"), limit: int = 500) -> DataFrame:
+    """Fields of the first sample of every split as rows, long strings cut before they are shuffled."""
+    fields = [c for c in samples.columns if c not in by]
+    first = F.min_by(F.struct(*_shown(fields, limit)), F.struct(*order))
+    return samples.groupBy(*by).agg(first.alias("_first")).select(*by, "_first.*").unpivot(list(by), fields, "field", "value")

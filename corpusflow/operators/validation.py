@@ -149,10 +149,12 @@ def first_valid_file(files: DataFrame) -> DataFrame:
 
 
 def sample_vectors(rows: DataFrame, files: DataFrame, n: int = 3, vector: str = "embeddings") -> DataFrame:
-    """Statistics of the first vectors of the first valid file."""
-    one_file = F.broadcast(first_valid_file(files))  # a single row
-    picked = rows.join(one_file, list(FILE_KEY), "left_semi").orderBy("original_index").limit(n)
-    return vector_stats(picked, [*FILE_KEY, "original_index"], vector)
+    """Statistics of the first vectors of the first valid file, whose names become a filter of the scan."""
+    one_file = first_valid_file(files).first()  # a single row
+    picked = rows if one_file else rows.limit(0)
+    for column in FILE_KEY if one_file else ():
+        picked = picked.filter(F.col(column).eqNullSafe(F.lit(one_file[column])))
+    return vector_stats(picked.orderBy("original_index").limit(n), [*FILE_KEY, "original_index"], vector)
 
 
 def vector_stats(rows: DataFrame, keep: Sequence[str], vector: str = "embeddings") -> DataFrame:

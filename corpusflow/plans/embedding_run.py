@@ -78,13 +78,14 @@ def embed_shards(
     """Embed every shard that is not done yet.
 
     One pass: text, position, resume filter, encoder. The shuffle that numbers the rows is
-    the only one on the way to the encoder. Once the embeddings are stored,
-    ``shard_status(…, failed=refused(stored))`` tells which shards hold refused rows.
+    the only one on the way to the encoder. The vectors are stored before the status is made,
+    which counts the rows the encoder refused without encoding twice.
     """
     sharded = sharded_texts(samples, key, total_shards)
     todo = shards.pending(sharded, done).filter("has_text")
     keep = [*shards.SHARD_KEY, "original_index", key]
-    return ShardRun(encode.embed(todo, "text", factory, prefix, keep=keep), shard_status(sharded, done))
+    encoded = stored(encode.embed(todo, "text", factory, prefix, keep=keep), "encoded")
+    return ShardRun(encoded, shard_status(sharded, done, refused(encoded)))
 
 
 def validate_tree(spark: SparkSession, root: str, check_values: bool = True) -> DataFrame:

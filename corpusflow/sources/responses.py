@@ -9,17 +9,24 @@ from corpusflow.schemas import BBOX
 
 _ARGUMENTS = "$.choices[0].message.tool_calls[0].function.arguments"
 _ENTRY = "map<string,string>"
+_STRICT = {"allowSingleQuotes": "false", "allowUnquotedFieldNames": "false"}
 
 
 def blocks_of(arguments: Column) -> Column:
-    """Array of block entries in a tool call's arguments, empty when there is none to be read.
+    """Array of block entries in a tool call's arguments, empty when they are not one JSON list.
 
     The list may be wrapped in one more list, whose first entry then counts.
     """
     listed = F.when(F.ltrim(arguments).startswith("["), arguments)
     wrapped = F.regexp_like(listed, F.lit(r"^\s*\[\s*\["))
-    inner = F.get(F.from_json(F.when(wrapped, listed), f"array<array<{_ENTRY}>>"), F.lit(0))
-    flat = F.from_json(F.when(~wrapped, listed), f"array<{_ENTRY}>")
+
+    def read(text: Column, kind: str) -> Column:
+        # As the one entry of a list: a parser stops at the end of a list and does not see what follows it.
+        entries = F.from_json(F.concat(F.lit("["), text, F.lit("]")), f"array<{kind}>", _STRICT)
+        return F.when(F.size(entries) == 1, F.get(entries, F.lit(0)))
+
+    inner = F.get(read(F.when(wrapped, listed), f"array<array<{_ENTRY}>>"), F.lit(0))
+    flat = read(F.when(~wrapped, listed), f"array<{_ENTRY}>")
     return F.coalesce(inner, flat, F.array().cast(f"array<{_ENTRY}>"))
 
 

@@ -49,15 +49,17 @@ def write_blocks(records: DataFrame, root: str, folder_per_page: bool = False, p
     )
 
 
-def write_embedding_json(rows: DataFrame, root: str, metadata: Column, rows_per_object: int = 10_000) -> None:
+def write_embedding_json(rows: DataFrame, root: str, metadata: Column, rows_per_object: int = 1_000) -> None:
     """Rows ``(dataset, split, text, embedding, original_index)`` as ``{embeddings, metadata}`` objects.
 
-    Each object holds a stretch of one split, so none grows with the data.
+    Each object holds a stretch of one split, or of one of its shards where rows have a
+    ``shard_id``, so none grows with the data.
     """
     item = F.struct("embedding", "split", "text", "dataset")
     stretch = F.expr(f"original_index div {int(rows_per_object)}")
     ordered = F.array_sort(F.collect_list(F.struct("original_index", item.alias("item"))))
-    objects = rows.groupBy("dataset", "split", stretch.alias("_stretch")).agg(ordered.alias("_items"))
+    shard = [c for c in ("shard_id",) if c in rows.columns]  # positions start again in each
+    objects = rows.groupBy("dataset", "split", *shard, stretch.alias("_stretch")).agg(ordered.alias("_items"))
     objects.select(
         F.transform("_items", lambda i: i["item"]).alias("embeddings"), metadata.alias("metadata")
     ).write.mode("overwrite").option("ignoreNullFields", "false").json(root)

@@ -4,7 +4,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from corpusflow.functions.links import LinkRules
+from corpusflow.functions.links import LinkRules, route
 from corpusflow.operators import blocks, fetch
 from corpusflow.sources import archives, responses, samples as sources, writers
 
@@ -149,6 +149,13 @@ LISTED = '{"global":{"currentContent":{"sourceUrl":""},"experienceContent":[{"ti
         (blob('{"global": nonsense}') + FRAME, "frame", "https://x.widen.net/s?a=1&b=2"),
         (blob('{"global":{"currentContent":{"sourceUrl":"a};b"}}}') + ATTRIBUTE, "attribute", "https://a.example/x.pdf"),
         ('<iframe src="https://other.example/"></iframe>' + ATTRIBUTE + FRAME, "frame", "https://x.widen.net/s?a=1&b=2"),
+        ("<!-- <iframe src='https://x.widen.net/old'></iframe> -->" + FRAME, "frame", "https://x.widen.net/s?a=1&b=2"),
+        ("<script>'<iframe src=\"https://x.widen.net/old\">'</script>" + ATTRIBUTE, "attribute", "https://a.example/x.pdf"),
+        ('<iframe title="a > b" src="https://x.widen.net/q"></iframe>', "frame", "https://x.widen.net/q"),
+        ("<iframe src=https://x.widen.net/u width=9></iframe>", "frame", "https://x.widen.net/u"),
+        ('<iframe src="https://x.widen.net/it\'s"></iframe>', "frame", "https://x.widen.net/it's"),
+        ('<iframe title="src=\'https://x.widen.net/no\'" data-src="https://x.widen.net/no"></iframe>', None, None),
+        ('<iframe src="https://x.widen.net/?a&#x26;b&#38;c&amp;lt;&#8364;&copy;"></iframe>', "frame", "https://x.widen.net/?a&b&c&lt;€&copy;"),
         ('<div data-source-url=""></div>', None, None),
         ("<p>window</p>", None, None),
         (blob('{"other": 1}'), None, None),
@@ -168,6 +175,8 @@ def test_landing_links(spark, html, method, link):
     [
         ('<a href="/content/a/x.pdf?u=1&amp;download=true">', "https://h.example:8080/content/a/x.pdf?u=1&download=true"),
         ('<a href="/content/a/x.pdf?u=1">', None),
+        ('<a href="/content/a/../b/./x.pdf?u=../1&amp;download=true">', "https://h.example:8080/content/b/x.pdf?u=../1&download=true"),
+        ('<a href="/content/../../x.pdf?download=true">', "https://h.example:8080/x.pdf?download=true"),
         ("viewerPdfUrl = '/v/p.pdf'", "/v/p.pdf"),
         ("viewerPdfUrl = ''", None),
     ],
@@ -202,6 +211,22 @@ def test_other_sites_have_other_rules(spark):
     assert (row["link"], row["route"]) == ("https://cdn.example/1", "viewer")
 
 
+def test_frames_and_routes_have_a_host_each(spark):
+    rules = LinkRules(frame_host="own.widen.net")
+    html = '<iframe src="https://x.widen.net/1"></iframe><iframe src="https://own.widen.net/2"></iframe>'
+    df = spark.createDataFrame([("https://x.widen.net/v", html)], "url string, html string")
+    row = fetch.landing_links(df, rules).first()
+    assert (row["link"], row["route"]) == ("https://own.widen.net/2", "viewer")
+    assert df.select(route(F.col("url"), rules)).first()[0] == "viewer"
+
+
+def test_unknown_classes_take_the_default(spark):
+    classes = spark.createDataFrame([("DEFAULT", 0), ("Text", 1)], "type string, slot int")
+    found = spark.createDataFrame([(1, "Text"), (2, "Odd"), (3, None)], "block_id int, type string")
+    rows = blocks.with_class(found, classes).orderBy("block_id").collect()
+    assert [tuple(r) for r in rows] == [(1, "Text", 1), (2, "Odd", 0), (3, None, 0)]
+
+
 def test_fetch_summary_and_failures(spark):
     data = [("downloaded", "a", "u", 1024 * 1024), ("skipped", "b", "u", 512 * 1024), ("failed", "c", "u3", None)]
     df = spark.createDataFrame(data, "status string, name string, url string, n_bytes long")

@@ -3,9 +3,8 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from corpusflow.operators import ordering, runlog, shards
+from corpusflow.operators import encode, ordering, runlog, shards
 from corpusflow.plans import embedding_run
-from corpusflow.session import stored
 from test_encode import Picky
 
 
@@ -77,9 +76,8 @@ def test_no_rows_have_no_positions(spark):
 def test_run_shuffles_texts_once(spark):
     rows = [("d", "s", i, f"text {i}") for i in range(30)]
     samples = spark.createDataFrame(rows, "dataset string, split string, id long, text string")
-    none = spark.createDataFrame([], "dataset string, split string, shard_id int, samples long")
-    run = embedding_run.embed_shards(samples, "id", F.lit(3), none)
-    plan = run.embeddings._jdf.queryExecution().optimizedPlan().toString()
+    texts = embedding_run.sharded_texts(samples, "id", F.lit(3)).filter("has_text")
+    plan = encode.embed(texts, "text", keep=["id"])._jdf.queryExecution().optimizedPlan().toString()
     assert "Repartition" not in plan
 
 
@@ -120,9 +118,7 @@ def test_refused_rows_mark_their_shard(spark):
     samples = spark.createDataFrame(rows, "dataset string, split string, id long, text string")
     none = spark.createDataFrame([], "dataset string, split string, shard_id int, samples long")
     run = embedding_run.embed_shards(samples, "id", F.lit(3), none, Picky())
-    sharded = embedding_run.sharded_texts(samples, "id", F.lit(3))
-    status = embedding_run.shard_status(sharded, none, embedding_run.refused(stored(run.embeddings)))
-    assert {r["shard_id"]: (r["status"], r["samples"]) for r in status.collect()} == {
+    assert {r["shard_id"]: (r["status"], r["samples"]) for r in run.status.collect()} == {
         0: ("success", 3), 1: ("error", 2), 2: ("success", 3),
     }
 
