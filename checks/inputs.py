@@ -10,8 +10,10 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from corpusflow.operators.encode import TokenHashEncoder
 from corpusflow.sources.archives import MEMBER
 
+# Labels that the page parser gives.
 BLOCK_TYPES = (
     "Text", "Section-header", "List-item", "Picture", "Caption", "Page-footer",
     "Page-header", "Title", "Table", "TOC", "Footnote",
@@ -63,16 +65,15 @@ def specs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stretches of conversations as lists of messages, some contents missing."""
+    """Conversations as lists of messages, some contents missing."""
     content = F.when((F.col("conv_id") + F.col("turn")) % 17 != 0, F.col("text"))
     turn = F.struct("turn", "role", content.alias("content"))
     return (
         table(spark, sf_dir, "conversations")
-        .groupBy("conv_id", F.expr("turn div 64").alias("stretch"))
+        .groupBy("conv_id")
         .agg(F.array_sort(F.collect_list(turn)).alias("turns"))
         .select(
             "conv_id",
-            "stretch",
             F.transform("turns", lambda t: F.struct(t["role"].alias("role"), t["content"].alias("content"))).alias(
                 "messages"
             ),
@@ -161,7 +162,10 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def archives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A ZIP per document; its elements are the lines. Every tenth lacks the member, the next is broken."""
+    """A ZIP per document; its elements are the lines.
+
+    Of ten, one lacks the member and three are broken: no ZIP, no whole JSON, a damaged stream.
+    """
 
     def zipped(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         endings = ("/P", "/P[2]", "/Table", None)
@@ -175,15 +179,35 @@ def archives(spark: SparkSession, sf_dir: str) -> DataFrame:
                 buffer = io.BytesIO()
                 with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
                     name = "other.json" if doc_id % 10 == 0 else MEMBER
-                    archive.writestr(name, json.dumps({"elements": found}))
-                contents.append(b"no zip" if doc_id % 10 == 1 else buffer.getvalue())
+                    archive.writestr(name, json.dumps({"elements": found})[: 14 if doc_id % 10 == 2 else None])
+                content = bytearray(buffer.getvalue())
+                if doc_id % 10 == 3:
+                    start = 30 + len(MEMBER)  # behind the member's header
+                    content[start : start + 20] = b"\xff" * 20
+                contents.append(b"no zip" if doc_id % 10 == 1 else bytes(content))
             yield pd.DataFrame({"document": batch["doc_id"].astype(str), "content": contents})
 
     rows = table(spark, sf_dir, "documents").select("doc_id", "text")
     return rows.mapInPandas(zipped, "document string, content binary")
 
 
-# Landing page additions by page_id % 6, shared with the SQL counterparts.
+class Choosy:
+    """Factory of an encoder that refuses texts whose number of characters 97 divides."""
+
+    cache_key = "choosy"
+
+    def __call__(self):
+        encoder = TokenHashEncoder()
+
+        def encode(texts):
+            if any(len(text) % 97 == 0 for text in texts):
+                raise ValueError("refused")
+            return encoder(texts)
+
+        return encode
+
+
+# Landing page additions by page_id % 8, shared with the SQL counterparts.
 LANDING = {
     0: '<script>window.__PATHFACTORY__ = {"global":{"currentContent":{"sourceUrl":"https://a.example/p{id}.pdf"}}};</script>',
     1: '<script>window.__PATHFACTORY__={"global":{"currentContent":{},"experienceContent":['
@@ -194,6 +218,8 @@ LANDING = {
     3: '<iframe src="https://other.example/{id}"></iframe><IFRAME width="9" src="https://y.widen.net/f/{id}"></IFRAME>',
     4: '<div class="d" data-source-url="https://a.example/d/{id}.pdf">x</div>',
     5: "",
+    6: '<!-- <iframe src="https://x.widen.net/old/{id}"></iframe> --><iframe title="a > b" src=https://x.widen.net/u/{id}></iframe>',
+    7: '<iframe src="https://x.widen.net/it\'s/{id}?a&#x26;b"></iframe>',
 }
 
 
@@ -202,18 +228,27 @@ def landing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = F.lit("")
     for rest, mark in LANDING.items():
         filled = F.replace(F.lit(mark), F.lit("{id}"), F.col("page_id").cast("string"))
-        extra = F.when(F.col("page_id") % 6 == rest, filled).otherwise(extra)
+        extra = F.when(F.col("page_id") % len(LANDING) == rest, filled).otherwise(extra)
     pages = table(spark, sf_dir, "pages")
     return pages.select("page_id", "url", F.concat("html", extra).alias("html"))
 
 
 def viewer_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Web pages as viewer pages; every fifth has no anchor but the viewer's own link."""
+    """Web pages as viewer pages.
+
+    Of five, one has no anchor but the viewer's own link, two have a download link, one of them
+    with a path to be resolved.
+    """
     bare = F.concat(
         F.replace("html", F.lit('href="'), F.lit('ref="')), F.lit("<script>var viewerPdfUrl = '/v/"), "page_id", F.lit("';</script>")
     )
-    pages = table(spark, sf_dir, "pages")
-    return pages.select("page_id", "url", F.when(F.col("page_id") % 5 == 0, bare).otherwise(F.col("html")).alias("html"))
+    kind = F.col("page_id") % 5
+    extra = F.when(kind == 1, '<a href="/content/p{id}/../q.pdf?u={id}&amp;download=true">').when(
+        kind == 2, '<a href="/content/p{id}.pdf?download=true">'
+    )
+    filled = F.replace(F.coalesce(extra, F.lit("")), F.lit("{id}"), F.col("page_id").cast("string"))
+    html = F.when(kind == 0, bare).otherwise(F.concat("html", filled))
+    return table(spark, sf_dir, "pages").select("page_id", "url", html.alias("html"))
 
 
 def fetched(spark: SparkSession, sf_dir: str) -> DataFrame:

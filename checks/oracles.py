@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from checks.inputs import BLOCK_TYPES, LANDING
-from checks.queries import ROWS_PER_SHARD, SHARDS
+from checks.queries import ITEMS_PER_OBJECT, ROWS_PER_SHARD, SHARDS
 
 SPLIT = "CASE lang WHEN 'en' THEN 'chat' ELSE 'multilingual_' || lang END"
 SAMPLES = f"samples AS (SELECT source AS dataset, {SPLIT} AS split, doc_id, text FROM documents)"
@@ -16,10 +16,10 @@ BLANKED = f"""{SAMPLES}, blanked AS (
     CASE WHEN doc_id % 13 IN (0, 1) THEN NULL ELSE text END AS text FROM samples)"""
 
 
-def _sharded(source: str, k: str) -> str:
-    """Contiguous shards and positions of ``source(dataset, split, doc_id, …)``."""
+def _sharded(source: str, k: str, key: str = "doc_id") -> str:
+    """Contiguous shards and positions of ``source(dataset, split, key, …)``."""
     return f"""numbered AS (
-  SELECT *, row_number() OVER (PARTITION BY dataset, split ORDER BY doc_id) - 1 AS idx,
+  SELECT *, row_number() OVER (PARTITION BY dataset, split ORDER BY {key}) - 1 AS idx,
     count(*) OVER (PARTITION BY dataset, split) AS n FROM {source}),
 sized AS (SELECT *, {k} AS k FROM numbered),
 cut AS (SELECT *, n // k AS base, n % k AS extra FROM sized),
@@ -97,16 +97,17 @@ docs AS (SELECT source AS document, count(*) FILTER (n > 0) AS processed, count(
   UNION ALL SELECT source || '-empty', 0, 0, 0 FROM documents GROUP BY 1)"""
 
 _MARK = " ".join(
-    f"WHEN {rest} THEN replace('{mark}', '{{id}}', page_id::VARCHAR)" for rest, mark in LANDING.items()
+    f"WHEN {rest} THEN replace('{mark.replace(chr(39), 2 * chr(39))}', '{{id}}', page_id::VARCHAR)" for rest, mark in LANDING.items()
 )
-LANDED = f"""landed AS (SELECT page_id, url, html || CASE page_id % 6 {_MARK} END AS html FROM pages),
-found AS (SELECT *, CASE page_id % 6 WHEN 0 THEN 'current' WHEN 1 THEN 'listed' WHEN 2 THEN 'frame'
-    WHEN 3 THEN 'frame' WHEN 4 THEN 'attribute' END AS method,
-  CASE page_id % 6 WHEN 0 THEN regexp_extract(html, '"sourceUrl":"(https://a[^"]*)"', 1)
+LANDED = f"""landed AS (SELECT page_id, url, html || CASE page_id % 8 {_MARK} END AS html FROM pages),
+found AS (SELECT *, CASE page_id % 8 WHEN 0 THEN 'current' WHEN 1 THEN 'listed' WHEN 2 THEN 'frame'
+    WHEN 3 THEN 'frame' WHEN 4 THEN 'attribute' WHEN 6 THEN 'frame' WHEN 7 THEN 'frame' END AS method,
+  CASE page_id % 8 WHEN 0 THEN regexp_extract(html, '"sourceUrl":"(https://a[^"]*)"', 1)
     WHEN 1 THEN regexp_extract(html, 'DATASHEET [0-9]+","sourceUrl":"([^"]*)"', 1)
     WHEN 2 THEN replace(regexp_extract(html, 'src="(https://x.widen.net/v/[^"]*)"', 1), '&amp;', '&')
     WHEN 3 THEN regexp_extract(html, 'src="(https://y.widen.net/[^"]*)"', 1)
-    WHEN 4 THEN regexp_extract(html, 'data-source-url="([^"]*)"', 1) END AS link FROM landed)"""
+    WHEN 4 THEN regexp_extract(html, 'data-source-url="([^"]*)"', 1) WHEN 6 THEN 'https://x.widen.net/u/' || page_id
+    WHEN 7 THEN 'https://x.widen.net/it''s/' || page_id || '?a&b' END AS link FROM landed)"""
 
 FETCHED = """raw AS (SELECT page_id,
   CASE page_id % 5 WHEN 4 THEN url || '.pdf' WHEN 3 THEN 'https://x.widen.net/' || page_id ELSE url END AS url,
@@ -210,12 +211,15 @@ ORACLES: dict[str, str] = {
     "union_catalog": f"""WITH {COUNTS} SELECT dataset, split, n FROM counts
         UNION ALL SELECT 'benchmark', 'part' || item_id % 3, count(*) FROM benchmark GROUP BY 2""",
     "shard_assign": f"WITH {SAMPLES}, {_sharded('samples', str(SHARDS))} SELECT doc_id, shard_id, original_index FROM sharded",
+    "shard_assign_text": f"""WITH {SAMPLES}, keyed AS (SELECT dataset, split, md5(doc_id::VARCHAR) AS uuid FROM samples),
+        {_sharded('keyed', str(SHARDS), 'uuid')} SELECT uuid, shard_id, original_index FROM sharded""",
     "resume_pending": f"WITH {SAMPLES} SELECT dataset, split, doc_id FROM samples WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
     "resume_skipped": f"WITH {SAMPLES} SELECT dataset, split, doc_id FROM samples WHERE doc_id IN (SELECT doc_id FROM labels)",
-    "shard_status": f"""WITH {RUN}, per_shard AS (SELECT dataset, split, shard_id, count(text) AS n FROM sharded GROUP BY ALL)
+    "shard_status": f"""WITH {RUN}, per_shard AS (SELECT dataset, split, shard_id, count(text) AS n,
+          count(*) FILTER (length(text) % 97 = 0) AS e FROM sharded GROUP BY ALL)
         SELECT p.dataset, p.split, p.shard_id, p.dataset || ':' || p.split || ':shard' || p.shard_id AS shard,
-          CASE WHEN d.samples IS NOT NULL THEN 'skipped' WHEN n = 0 THEN 'no_text' ELSE 'success' END AS status,
-          coalesce(d.samples, n) AS samples FROM per_shard p LEFT JOIN done d USING (dataset, split, shard_id)""",
+          CASE WHEN d.samples IS NOT NULL THEN 'skipped' WHEN n = 0 THEN 'no_text' WHEN e > 0 THEN 'error' ELSE 'success' END AS status,
+          coalesce(d.samples, n - e) AS samples FROM per_shard p LEFT JOIN done d USING (dataset, split, shard_id)""",
     "embed_shards": f"""WITH {RUN}, {_embedding('blanked')}
         SELECT dataset, split, shard_id, original_index, s.doc_id, round(x, 6) AS x0 FROM sharded s
         JOIN vec ON s.doc_id = vec.doc_id AND component = 0 ANTI JOIN done USING (dataset, split, shard_id)""",
@@ -223,11 +227,25 @@ ORACLES: dict[str, str] = {
           GROUP BY ALL HAVING count(text) > 0)
         SELECT coalesce(dataset, '-') AS dataset, coalesce(split, '-') AS split, CASE grouping(dataset, split) WHEN 0 THEN 'split' WHEN 1 THEN 'dataset' ELSE 'all' END AS level,
           sum(n)::BIGINT AS samples, count(*) AS files, 0::BIGINT AS invalid FROM files GROUP BY ROLLUP (dataset, split)""",
-    "text_messages": """SELECT conv_id, turn // 64 AS stretch, coalesce(string_agg(text, chr(10) || chr(10) ORDER BY turn)
+    "text_messages": """SELECT conv_id, coalesce(string_agg(text, chr(10) || chr(10) ORDER BY turn)
           FILTER ((conv_id + turn) % 17 <> 0), '') AS text FROM conversations GROUP BY ALL""",
     "text_turns": "SELECT conv_id, string_agg(text, chr(10) || chr(10) ORDER BY turn) AS text FROM conversations GROUP BY conv_id",
     "text_field": "SELECT doc_id, text FROM documents WHERE doc_id % 13 NOT IN (0, 1) AND regexp_matches(text, '[^ \\n]')",
     "text_fallback": "SELECT page_id, concat_ws(chr(10) || chr(10), CASE WHEN length(url) > 10 THEN url END, CASE WHEN length(html) > 10 THEN html END) AS text FROM pages",
+    "split_previews": f"""WITH {SAMPLES}, f AS (SELECT * FROM samples QUALIFY row_number() OVER (PARTITION BY dataset, split ORDER BY doc_id) = 1)
+        SELECT dataset, split, 'doc_id' AS field, doc_id::VARCHAR AS value FROM f
+        UNION ALL SELECT dataset, split, 'text', CASE WHEN length(text) > 500 THEN left(text, 500) || '...' ELSE text END FROM f""",
+    "read_samples": f"""WITH {SAMPLES}, read AS (SELECT *, CASE WHEN split = 'chat' THEN 4 ELSE 2 END AS times FROM samples)
+        SELECT dataset, split, sum(times)::BIGINT AS n, sum(times * length(text))::BIGINT AS n_chars FROM read GROUP BY ALL""",
+    "validate_tree": f"""WITH {FILES}, odd AS (SELECT sum(rows)::BIGINT AS rows, sum(nan_n)::BIGINT AS nan_n, sum(inf_n)::BIGINT AS inf_n FROM files)
+        SELECT 'odd' AS dataset, 's0' AS split, rows, nan_n, inf_n, true AS valid, '' AS errors, true AS warned FROM odd
+        UNION ALL SELECT 'good', 's0', count(*), 0, 0, true, '', false FROM embeddings
+        UNION ALL SELECT 'bare', 's0', count(*), 0, 0, false, 'Missing ''embeddings'' column', false FROM embeddings
+        UNION ALL SELECT 'empty', 's0', 0, 0, 0, true, '', false""",
+    "block_classes": f"""WITH {BLOCKS}, shown AS (SELECT document, page, block_id, type, coalesce(type, 'DEFAULT') AS class FROM blocks),
+        classes AS (SELECT class, count(*) AS n FROM shown GROUP BY 1)
+        SELECT document, page, block_id, coalesce(type, '-') AS type, n AS class_n
+        FROM shown s JOIN classes c ON c.class = CASE WHEN s.class IN ('TOC', 'Footnote') THEN 'DEFAULT' ELSE s.class END""",
     "sample_preview": """WITH f AS (SELECT * FROM documents ORDER BY doc_id LIMIT 1),
         u AS (SELECT 'doc_id' AS field, doc_id::VARCHAR AS value FROM f UNION ALL SELECT 'text', text FROM f
           UNION ALL SELECT 'lang', lang FROM f UNION ALL SELECT 'source', source FROM f
@@ -302,7 +320,7 @@ ORACLES: dict[str, str] = {
     "roundtrip_points": f"""WITH RECURSIVE {POINTS} SELECT dataset, split, count(*) AS n, round(sum(x), 5) AS x,
           sum(length(text))::BIGINT AS n_chars FROM points GROUP BY ALL""",
     "roundtrip_structured": """SELECT doc_id::VARCHAR AS document, len(string_split(text, chr(10))) AS elements
-        FROM documents WHERE doc_id % 10 NOT IN (0, 1)""",
+        FROM documents WHERE doc_id % 10 NOT IN (0, 1, 2, 3)""",
     "roundtrip_preview": f"""WITH {BLOCKS} SELECT document, page, count(*) AS n,
           sum(CASE WHEN length(text) > 200 THEN 203 ELSE length(text) END)::BIGINT AS n_chars FROM blocks GROUP BY ALL""",
     "layout_records": f"""WITH {BLOCKS}, counted AS (SELECT page, count(*) AS n FROM blocks WHERE page % 6 IN (0, 1) GROUP BY 1)
@@ -332,16 +350,17 @@ ORACLES: dict[str, str] = {
           CASE WHEN block_id % 5 <> 0 THEN text ELSE '' END AS text, round(block_id / 100.0::DOUBLE, 6) AS xmin
         FROM lines WHERE page % 6 IN (0, 1)""",
     "archive_elements": """WITH counted AS (SELECT doc_id, CASE WHEN doc_id % 10 = 0 THEN 0 ELSE len(string_split(text, chr(10))) END AS n
-        FROM documents WHERE doc_id % 10 <> 1)
+        FROM documents WHERE doc_id % 10 NOT IN (1, 2, 3))
         SELECT doc_id::VARCHAR AS document, n AS elements, (n + 3) // 4 AS text_n, (n + 1) // 4 AS table_n FROM counted""",
-    "extraction_totals": """SELECT count(*) FILTER (doc_id % 10 <> 1) AS ok,
-          count(*) FILTER (doc_id % 10 = 1) AS failed FROM documents""",
+    "extraction_totals": """SELECT count(*) FILTER (doc_id % 10 NOT IN (1, 2, 3)) AS ok,
+          count(*) FILTER (doc_id % 10 IN (1, 2, 3)) AS failed FROM documents""",
     "landing_link": f"""WITH {LANDED} SELECT page_id, coalesce(method, '-') AS method, coalesce(link, '-') AS link,
           CASE WHEN contains(link, 'widen.net') THEN 'viewer' WHEN link IS NOT NULL THEN 'document' ELSE '-' END AS route FROM found""",
     "quarantine": f"WITH {LANDED} SELECT page_id, url, length(html) AS n_chars FROM found WHERE link IS NULL",
-    "viewer_link": """SELECT page_id, CASE WHEN page_id % 5 = 0 THEN '/v/' || page_id
-          WHEN regexp_matches(html, 'href="(/[^"]+)"') THEN regexp_extract(url, '^([a-z]+://[^/?#]+)', 1)
-            || replace(regexp_extract(html, 'href="(/[^"]+)"', 1), '&amp;', '&') ELSE '-' END AS link FROM pages""",
+    "viewer_link": """SELECT page_id, CASE page_id % 5 WHEN 0 THEN '/v/' || page_id
+          WHEN 1 THEN regexp_extract(url, '^([a-z]+://[^/?#]+)', 1) || '/content/q.pdf?u=' || page_id || '&download=true'
+          WHEN 2 THEN regexp_extract(url, '^([a-z]+://[^/?#]+)', 1) || '/content/p' || page_id || '.pdf?download=true'
+          ELSE '-' END AS link FROM pages""",
     "classify_fetch": f"WITH {FETCHED} SELECT page_id, url, first_class, second_class, route FROM fetched",
     "fetch_summary": f"""WITH {FETCHED}, outcome AS (SELECT CASE WHEN page_id % 7 = 0 THEN 'skipped'
           WHEN second_class = 'accepted' THEN 'downloaded' ELSE 'failed' END AS status, n_bytes FROM fetched)
@@ -363,9 +382,12 @@ ORACLES: dict[str, str] = {
           round(sum(v[1]), 6) AS x0 FROM tree GROUP BY ALL""",
     "roundtrip_blocks": f"""WITH {BLOCKS} SELECT document, page, count(*) AS n,
           count(*) FILTER (xmax > xmin AND ymax > ymin) AS valid, sum(length(text))::BIGINT AS n_chars FROM boxed GROUP BY ALL""",
-    "roundtrip_json": f"""WITH {TREE} SELECT dataset, split, count(*) AS n, sum(length(left(text, 100)))::BIGINT AS n_chars,
-          round(sum(v[2]), 6) AS x1 FROM tree LEFT JOIN documents ON doc_id = original_index
-        WHERE original_index % 6 <> 0 GROUP BY ALL""",
+    "roundtrip_json": f"""WITH {TREE}, cut AS (SELECT dataset, split, count(*) AS items FROM tree
+          GROUP BY dataset, split, original_index % 4, original_index // 4 // {ITEMS_PER_OBJECT}),
+        objects AS (SELECT dataset, split, count(*) AS objects, max(items) AS largest FROM cut GROUP BY ALL)
+        SELECT dataset, split, any_value(objects) AS objects, any_value(largest) AS largest, count(*) AS n, sum(length(left(text, 100)))::BIGINT AS n_chars,
+          round(sum(v[2]), 6) AS x1 FROM tree JOIN objects USING (dataset, split) LEFT JOIN documents ON doc_id = original_index
+        WHERE original_index % 6 <> 0 GROUP BY dataset, split""",
     "stream_embed": f"WITH {_embedding('documents')} SELECT doc_id, component, round(x, 6) AS x FROM vec",
     "stream_totals": STATUS,
     "stream_latest": f"WITH {WORKERS}",

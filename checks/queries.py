@@ -37,6 +37,7 @@ ROWS_PER_SHARD = 30
 #: Small, so that numbering runs over many buckets at every size of the tables.
 ROWS_PER_BUCKET = 100
 LOG_ROWS_PER_BUCKET = 1000
+ITEMS_PER_OBJECT = 5
 EPOCHS = 10
 
 
@@ -179,16 +180,17 @@ def _done_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("shard_id", F.lit(0))
 
 
-def _sharded_run(spark: SparkSession, sf_dir: str, resume: bool) -> embedding_run.ShardRun:
+def _sharded_run(spark: SparkSession, sf_dir: str, resume: bool, factory=None) -> embedding_run.ShardRun:
     rows = inputs.some_blank(inputs.samples(spark, sf_dir))
     done = _done_shards(spark, sf_dir)
     k = shards.shard_count(F.col("_n"), ROWS_PER_SHARD)
-    return embedding_run.embed_shards(rows, "doc_id", k, done if resume else done.limit(0))
+    return embedding_run.embed_shards(rows, "doc_id", k, done if resume else done.limit(0), factory)
 
 
 @registered
 def shard_status(spark, sf_dir):
-    status = _sharded_run(spark, sf_dir, resume=True).status
+    """Shards done, without text, and with texts that the encoder refuses."""
+    status = _sharded_run(spark, sf_dir, resume=True, factory=inputs.Choosy()).status
     return status.select("dataset", "split", *_long("shard_id"), "shard", "status", "samples")
 
 
@@ -214,7 +216,7 @@ def embedding_report(spark, sf_dir):
 @registered
 def text_messages(spark, sf_dir):
     chats = inputs.messages(spark, sf_dir)
-    return text_samples.with_text(chats, exclude=["conv_id", "stretch"]).select("conv_id", "stretch", "text")
+    return text_samples.with_text(chats, exclude=["conv_id"]).select("conv_id", "text")
 
 
 @registered
@@ -240,6 +242,26 @@ def sample_preview(spark, sf_dir):
     return catalog.preview(inputs.table(spark, sf_dir, "documents"), ["doc_id"])
 
 
+@registered
+def split_previews(spark, sf_dir):
+    return catalog.split_previews(inputs.samples(spark, sf_dir), ["doc_id"])
+
+
+@registered
+def read_samples(spark, sf_dir):
+    """Samples staged in folders and read back, in two formats."""
+    found = []
+    for fmt in ("parquet", "json"):
+        root = fresh_path(spark, "staged")
+        rows = inputs.samples(spark, sf_dir)
+        rows.write.format(fmt).partitionBy("dataset", "split").save(root)
+        schema = rows.select("doc_id", "text").schema
+        found += [sources.read_samples(spark, root, schema, fmt), sources.read_samples(spark, root, schema, fmt, "chat")]
+    return catalog.union_samples(found).groupBy("dataset", "split").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("n_chars")
+    )
+
+
 # Embedding
 
 
@@ -291,6 +313,23 @@ def validate_files(spark, sf_dir):
     )
 
 
+@registered
+def validate_tree(spark, sf_dir):
+    """A tree of good, odd and empty files and of files without vectors, written and checked."""
+    root = fresh_path(spark, "tree")
+    kept = ["embeddings", "original_index"]
+    inputs.vector_tree(spark, sf_dir).select(*kept).write.parquet(f"{root}/good/s0")
+    inputs.vector_tree(spark, sf_dir, broken=True).select(*kept).write.parquet(f"{root}/odd/s0")
+    inputs.vector_tree(spark, sf_dir).select(*kept).filter("false").write.parquet(f"{root}/empty/s0")
+    inputs.vector_tree(spark, sf_dir).select("original_index").write.parquet(f"{root}/bare/s0")
+    files = embedding_run.validate_tree(spark, root)
+    return files.groupBy("dataset", "split").agg(
+        F.sum("rows").alias("rows"), *[F.sum(c).cast("long").alias(c) for c in ("nan_n", "inf_n")],
+        F.bool_and("valid").alias("valid"), F.array_join(F.array_sort(F.collect_set(F.get("errors", F.lit(0)))), "; ").alias("errors"),
+        F.bool_or(F.size("warnings") > 0).alias("warned"),
+    )
+
+
 @registered
 def validate_rollup(spark, sf_dir):
     return validation.report(_checked(spark, sf_dir)).select(
@@ -437,6 +476,15 @@ def drawable_blocks(spark, sf_dir):
     return found.select("document", *_long("page", "block_id"), *_rounded("x0", "y0", "x1", "y1"), "label")
 
 
+@registered
+def block_classes(spark, sf_dir):
+    """Blocks with the size of their class, two classes being unknown."""
+    found = inputs.blocks(spark, sf_dir)
+    classes = found.groupBy(F.coalesce("type", F.lit("DEFAULT")).alias("type")).agg(F.count(F.lit(1)).alias("class_n"))
+    known = classes.filter("type NOT IN ('TOC', 'Footnote')")
+    return blocks.with_class(found, known).select("document", *_long("page", "block_id"), *_shown("type"), "class_n")
+
+
 def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = inputs.blocks(spark, sf_dir).filter("page % 11 <> 0")
     results = blocks.page_results(inputs.parsed_pages(spark, sf_dir), kept)
@@ -505,13 +553,14 @@ def landing_link(spark, sf_dir):
 @registered
 def quarantine(spark, sf_dir):
     found = fetch.landing_links(inputs.landing_pages(spark, sf_dir))
-    return fetch.quarantine(found).select("page_id", "url", F.length("html").cast("long").alias("n_chars"))
+    root = fresh_path(spark, "quarantine")
+    writers.write_quarantine(found, root)
+    return sources.read_pages(spark, root).select("page_id", "url", F.length("html").cast("long").alias("n_chars"))
 
 
 @registered
 def viewer_link(spark, sf_dir):
-    rules = fetch.LinkRules(download_link=r'href="(/[^"]+)"')
-    return fetch.viewer_links(inputs.viewer_pages(spark, sf_dir), rules).select("page_id", *_shown("link"))
+    return fetch.viewer_links(inputs.viewer_pages(spark, sf_dir)).select("page_id", *_shown("link"))
 
 
 @registered
@@ -618,42 +667,64 @@ def roundtrip_json(spark, sf_dir):
     texts = inputs.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("original_index"), "text")
     kept = F.when(F.col("original_index") % 6 != 0, F.col("embeddings"))
     rows = inputs.vector_tree(spark, sf_dir).withColumn("embedding", kept).join(texts, "original_index", "left")
+    rows = rows.withColumns({"shard_id": F.col("original_index") % 4, "original_index": F.expr("original_index div 4")})
     metadata = F.struct(F.lit("token-hash").alias("model"), F.lit(16).alias("embedding_dimension"))
-    writers.write_embedding_json(rows, root, metadata)
+    writers.write_embedding_json(rows, root, metadata, ITEMS_PER_OBJECT)
+    first = F.from_json(F.get_json_object("value", "$.embeddings[0]"), "dataset string, split string")
+    items = F.json_array_length(F.get_json_object("value", "$.embeddings")).cast("long")
+    objects = spark.read.text(root).select(first.alias("f"), items.alias("items")).groupBy("f.dataset", "f.split")
+    objects = objects.agg(F.count(F.lit(1)).alias("objects"), F.max("items").alias("largest"))
     stored = sources.read_embedding_json(spark, root, multi_line=False)
     return stored.groupBy("dataset", "split").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(F.length("text")).alias("n_chars"),
         F.round(F.sum(F.get("embedding", F.lit(1))), DIGITS).alias("x1"),
-    )
+    ).join(objects, ["dataset", "split"])
 
 
 # Streams
 
 
+def _arriving(spark: SparkSession, sf_dir: str, name: str, key: str, consume: Callable[[str], None]) -> None:
+    """A table that arrives in two parts of several files; ``consume`` runs after each."""
+    root = fresh_path(spark, f"arriving-{name}")
+    rows = inputs.table(spark, sf_dir, name)
+    for part in (0, 1):
+        rows.filter(F.pmod(F.xxhash64(key), F.lit(2)) == part).repartition(2).write.mode("append").parquet(root)
+        consume(root)
+
+
 @registered
 def stream_embed(spark, sf_dir):
-    stored = inputs.table(spark, sf_dir, "documents")
+    schema = inputs.table(spark, sf_dir, "documents").schema
     out, checkpoint = fresh_path(spark, "stream-embed"), fresh_path(spark, "stream-embed-state")
-    docs = jobs.file_stream(spark, sf_dir, stored.schema, "documents.parquet")
-    jobs.run(lambda: jobs.embed_new_files(docs, out, checkpoint, ["doc_id"]))
+
+    def consume(root: str) -> None:
+        docs = jobs.file_stream(spark, root, schema, files_per_batch=1)
+        jobs.run(lambda: jobs.embed_new_files(docs, out, checkpoint, ["doc_id"]))
+
+    _arriving(spark, sf_dir, "documents", "doc_id", consume)
     return _components(spark.read.parquet(out), "doc_id")
 
 
-def _log_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _streamed_log(spark: SparkSession, sf_dir: str, start: Callable, name: str) -> DataFrame:
     schema = inputs.table(spark, sf_dir, "events").schema
-    return inputs.as_run_log(jobs.file_stream(spark, sf_dir, schema, "events.parquet"))
+    out, checkpoint = fresh_path(spark, name), fresh_path(spark, f"{name}-state")
+
+    def consume(root: str) -> None:
+        log = inputs.as_run_log(jobs.file_stream(spark, root, schema, files_per_batch=1))
+        jobs.run(lambda: start(log, out, checkpoint))
+
+    _arriving(spark, sf_dir, "events", "event_id", consume)
+    return jobs.latest_batch(spark, out)
 
 
 @registered
 def stream_totals(spark, sf_dir):
-    out, checkpoint = fresh_path(spark, "stream-totals"), fresh_path(spark, "stream-totals-state")
-    jobs.run(lambda: jobs.stream_totals(_log_stream(spark, sf_dir), out, checkpoint))
-    return jobs.latest_batch(spark, out)
+    return _streamed_log(spark, sf_dir, jobs.stream_totals, "stream-totals")
 
 
 @registered
 def stream_latest(spark, sf_dir):
-    out, checkpoint = fresh_path(spark, "stream-latest"), fresh_path(spark, "stream-latest-state")
-    jobs.run(lambda: jobs.stream_latest(_log_stream(spark, sf_dir), out, checkpoint))
-    return jobs.latest_batch(spark, out).select("worker", "stage", "filename", "current", "total", *_rounded("pct"))
+    found = _streamed_log(spark, sf_dir, jobs.stream_latest, "stream-latest")
+    return found.select("worker", "stage", "filename", "current", "total", *_rounded("pct"))

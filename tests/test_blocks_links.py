@@ -85,6 +85,9 @@ FLAT = '[{"type": "Title", "text": "a", "bbox": {"xmin": 0.25, "ymax": 1}}, {"te
         (reply("[[]]"), []),
         (reply('{"type": "Title"}'), []),
         (reply("[{"), []),
+        (reply(FLAT + " oops"), []),
+        (reply(FLAT + ", []"), []),
+        (reply("[" + FLAT + "] ]"), []),
         (json.dumps({"choices": [{"message": {"tool_calls": []}}]}), []),
         (json.dumps({"choices": []}), []),
         (json.dumps({}), []),
