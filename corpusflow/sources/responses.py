@@ -21,9 +21,10 @@ def blocks_of(arguments: Column) -> Column:
     wrapped = F.regexp_like(listed, F.lit(r"^\s*\[\s*\["))
 
     def read(text: Column, kind: str) -> Column:
-        # As the one entry of a list: a parser stops at the end of a list and does not see what follows it.
-        entries = F.from_json(F.concat(F.lit("["), text, F.lit("]")), f"array<{kind}>", _STRICT)
-        return F.when(F.size(entries) == 1, F.get(entries, F.lit(0)))
+        # Between two fields: a parser stops at the end of a list and does not see what follows it.
+        framed = F.concat(F.lit('{"_list":'), text, F.lit(',"_end":true}'))
+        entries = F.from_json(framed, f"_list {kind}, _end boolean", _STRICT)
+        return F.when(entries["_end"], entries["_list"])
 
     inner = F.get(read(F.when(wrapped, listed), f"array<array<{_ENTRY}>>"), F.lit(0))
     flat = read(F.when(~wrapped, listed), f"array<{_ENTRY}>")
