@@ -290,6 +290,45 @@ def test_mixing_keeps_every_row(docs):
     assert all(len({r["src"] for r in places if r["slot"] == s}) == 1 for s in {r["slot"] for r in places})
 
 
+def most_off(plan, sizes, weights, block_rows):
+    """The most blocks that a source is off its target weight, up to the first source that runs out."""
+    seen = sorted({(r["slot"], r["src"]) for r in plan})
+    assert len({t for t, _ in seen}) == len(seen)
+    whole = {s: -(-n // block_rows) for s, n in sizes.items()}
+    total, got, worst = sum(weights.values()), Counter(), 0.0
+    for at, (slot, src) in enumerate(seen, 1):
+        assert slot == at - 1
+        got[src] += 1
+        worst = max([worst, *(abs(got[s] - at * w / total) for s, w in weights.items())])
+        if got[src] == whole[src]:
+            return worst
+
+
+def test_mixing_follows_the_weights_themselves(spark):
+    sizes = {"hot": 30_000, **{f"s{i:02}": 3158 for i in range(19)}}
+    docs = spark.range(sum(sizes.values())).select(
+        F.col("id").alias("doc_id"),
+        F.expr("if(id < 30000, 'hot', concat('s', lpad(string((id - 30000) div 3158), 2, '0')))").alias("source"),
+    )
+    given = {"hot": 0.5003, **{f"s{i:02}": 0.4997 / 19 for i in range(19)}}
+    plans = [(None, {s: math.sqrt(n) for s, n in sizes.items()})]
+    plans += [(spark.createDataFrame(list(given.items()), "src string, weight double"), given)]
+    for weights, target in plans:
+        found = mixing.mix(docs, weights=weights, block_rows=1).select("src", "slot", "place").collect()
+        assert len(found) == docs.count() and most_off(found, sizes, target, 1) < 1.25
+
+
+def test_mixing_gives_small_weights_no_more_than_theirs(spark):
+    given = {"a": 0.9, "b": 0.0998, "c": 0.0002}
+    docs = spark.range(60_000).select(
+        F.col("id").alias("doc_id"), F.expr("case when id < 40000 then 'a' when id < 59900 then 'b' else 'c' end").alias("source")
+    )
+    weights = spark.createDataFrame(list(given.items()), "src string, weight double")
+    found = mixing.mix(docs, weights=weights, block_rows=1).filter("src = 'c'").select("slot").collect()
+    places = sorted(r["slot"] for r in found)
+    assert all(abs(k + 1 - 0.0002 * (t + 1)) <= 1.25 for k, t in enumerate(places)) and len(places) == 100
+
+
 def test_line_dedup_is_the_sql(spark, docs):
     short = [r for r in rows() if r[0] is not None and len(r[1] or "") < 2000]
     table = pd.DataFrame(short, columns=docs.columns)
