@@ -329,6 +329,18 @@ def test_mixing_gives_small_weights_no_more_than_theirs(spark):
     assert all(abs(k + 1 - 0.0002 * (t + 1)) <= 1.25 for k, t in enumerate(places)) and len(places) == 100
 
 
+def test_mixing_takes_any_number_of_sources(spark):
+    docs = spark.range(9000).select(
+        F.col("id").alias("doc_id"), F.expr("if(id < 4000, 'hot', concat('s', id % 2500))").alias("source")
+    )
+    found = mixing.mix(docs, block_rows=1).select("src", "slot", "place").collect()
+    sizes = Counter(r["src"] for r in found)
+    assert len(sizes) == 2501 and sum(sizes.values()) == 9000
+    assert most_off(found, sizes, {s: math.sqrt(n) for s, n in sizes.items()}, 1) < 1.25
+    zero = spark.createDataFrame([("hot", 1.0), *((f"s{i}", 0.0) for i in range(2500))], "src string, weight double")
+    assert mixing.mix(docs, weights=zero).count() == 9000
+
+
 def test_line_dedup_is_the_sql(spark, docs):
     short = [r for r in rows() if r[0] is not None and len(r[1] or "") < 2000]
     table = pd.DataFrame(short, columns=docs.columns)
