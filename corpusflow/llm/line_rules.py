@@ -20,8 +20,10 @@ SEED = 42
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\f\r"
 MIN_WORDS, REPEAT_PERCENT = 50, 50
-#: A line is removed if more documents of its host hold it than this number and this share.
+#: A line is removed if more documents of its host hold it than this number or this share.
 MIN_DOCUMENTS, HOST_SHARE = 50, 0.05
+#: The share counts in more documents than this: in a few documents a line is shared by chance.
+FEW_DOCUMENTS = 5
 #: A document is rejected if it loses more than this share of the characters of its words.
 DEPLETED = 0.8
 
@@ -112,9 +114,11 @@ def judge(docs: DataFrame, host: str = "source") -> DataFrame:
     lines = found.select("row", "host", "text_key", F.explode(F.arrays_zip("lines", "chars")).alias("l")).select(
         "row", "host", "text_key", F.col("l.lines").alias("line"), F.col("l.chars").alias("chars")
     )
-    counts = lines.groupBy("host", "line").agg(F.count_distinct("text_key").alias("n")).filter(F.col("n") > MIN_DOCUMENTS)
+    counts = lines.groupBy("host", "line").agg(F.count_distinct("text_key").alias("n"))
+    counts = counts.filter(F.col("n") > min(MIN_DOCUMENTS, FEW_DOCUMENTS))
     sizes = found.groupBy("host").agg(F.count_distinct("text_key").alias("documents"))
-    frequent = counts.join(sizes, "host").filter(F.col("n") > HOST_SHARE * F.col("documents")).select("host", "line")
+    share = (F.col("n") > FEW_DOCUMENTS) & (F.col("n") > HOST_SHARE * F.col("documents"))
+    frequent = counts.join(sizes, "host").filter((F.col("n") > MIN_DOCUMENTS) | share).select("host", "line")
     lost = (
         lines.join(frequent, ["host", "line"])
         .groupBy("row")

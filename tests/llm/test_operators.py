@@ -226,6 +226,22 @@ def test_line_rules_remove_lines_of_many_documents(spark, monkeypatch):
     assert line_rules.clean(docs).count() == 12 and line_rules.clean(docs).columns == docs.columns
 
 
+def test_line_rules_limits_hold_in_small_and_hot_hosts(spark):
+    shared = {("small", "twelve of forty"): 12, ("small", "five of forty"): 5, ("middle", "six of a hundred"): 6}
+    shared |= {("middle", "five of a hundred"): 5, ("hot", "fifty one of many"): 51, ("hot", "fifty of many"): 50}
+    made = []
+    for host, n in (("small", 40), ("middle", 100), ("hot", 3000)):
+        for i in range(n):
+            lines = [line for (h, line), times in shared.items() if h == host and i < times]
+            text = "\n".join([*lines, " ".join(f"{host}{i}x{k}" for k in range(60))])
+            made.append((len(made), text, "en", host, len(text), "k", 1, "r", 2))
+    docs = spark.createDataFrame(made, SCHEMA)
+    gone = Counter()
+    for r in line_rules.clean(docs).collect():
+        gone.update((r["source"], line) for line in set(made[r["doc_id"]][1].split("\n")) - set(r["text"].split("\n")))
+    assert gone == {k: n for k, n in shared.items() if "twelve" in k[1] or "six" in k[1] or "one" in k[1]}
+
+
 def test_imatch_texts_and_likeness(docs):
     found = collected(imatch.fingerprints(docs))
     ordered = sorted(rows(), key=lambda r: (r[0] is None, -(r[0] or 0)))
