@@ -1,8 +1,8 @@
 """Secrets in texts: fixed rules, and strings that look random to Markov models.
 
 Two models of characters, one of random strings and one of ordinary identifiers, are counted
-from labelled samples. A run of key characters is a secret if the logarithm of the likelihood
-ratio, per character, is over a threshold. Only DataFrame functions are used.
+from labelled samples. A run of key characters, or what the fixed rules leave of it, is a secret
+if the logarithm of the likelihood ratio, per character, is over a threshold. Only DataFrame functions are used.
 """
 
 from __future__ import annotations
@@ -25,15 +25,23 @@ KINDS = ("assign", "access", "hex")
 
 MARKOV = "random"
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
-#: Whole runs of key characters, twenty or more with a digit; linear, since it starts at a run's start only.
-CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])[A-Za-z0-9+/_=-]{20,}"
+#: Characters of the least run, or rest of a run, that is judged.
+RUN_CHARS = 12
+#: Whole runs of key characters; linear, since it starts at a run's start only.
+CANDIDATE = rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{RUN_CHARS},}}"
+#: Runs that train neither model: the long ones with a digit, of which most keys are.
+UNLEARNED = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])[A-Za-z0-9+/_=-]{20,}"
 IDENTIFIER = r"[A-Za-z0-9+/_=-]{4,}"
+#: Other runs that are judged train the second model if so many documents hold them.
+LEARNED_IN = 3
 #: Documents whose identifiers train the second model, chosen by the hash of their ids.
 TRAIN_ROWS = 2000
 #: Weight, in transitions, of the frequencies of single characters in a model.
 BACKOFF = 5.0
-#: Mean logarithm of the likelihood ratio per character.
-THRESHOLD = 0.5
+#: Mean logarithm of the likelihood ratio per character, for runs of so many characters or more.
+THRESHOLD, SURE_CHARS = 0.5, 20
+#: What each character less adds: words in capitals reach 1.7 in 13 characters, 0.6 in 15.
+STRICTER = 0.2
 
 
 def _spans(text: Column, rule: str, kind: str, rank: int, value: int | None = None, least: int = 0) -> Column:
@@ -79,15 +87,14 @@ def _base(text: Column) -> Column:
 
 def _steps(value: Column) -> Column:
     """Numbers of the pairs of neighbouring characters; characters outside the alphabet are one."""
-    n = len(ALPHABET) + 1
-    pairs = F.transform(
-        F.sequence(F.lit(1), F.char_length(value) - 1), lambda i: _index(value, i) * n + _index(value, i + 1)
-    )
-    return F.when(F.char_length(value) > 1, pairs).otherwise(F.array().cast("array<int>"))
+    numbers = F.transform(F.split(value, ""), lambda c: F.call_function("instr", F.lit(ALPHABET), c))
 
+    def pairs(x: Column) -> Column:
+        n = F.size(x) - 1
+        return F.zip_with(F.slice(x, 1, n), F.slice(x, 2, n), lambda a, b: a * (len(ALPHABET) + 1) + b)
 
-def _index(value: Column, i: Column) -> Column:
-    return F.call_function("instr", F.lit(ALPHABET), value.substr(i, F.lit(1)))
+    found = F.transform(F.array(numbers), pairs)[0]
+    return F.when(F.char_length(value) > 1, found).otherwise(F.array().cast("array<int>"))
 
 
 def train(docs: DataFrame, rows: int = TRAIN_ROWS) -> list[float]:
@@ -95,24 +102,27 @@ def train(docs: DataFrame, rows: int = TRAIN_ROWS) -> list[float]:
 
     The labelled samples come from at most ``rows`` documents: values that the fixed rules find
     and digests of the ids, which are random by construction, against the other identifiers.
-    Runs that the models are to judge train neither.
+    Of the runs that the models are to judge, only those train the second that several documents
+    hold, and none that are long and have a digit.
     """
     chosen = sample(docs, rows)
     digest = F.sha2(F.concat(F.lit("key:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 256)
     made = F.array(F.base64(F.unhex(digest)), F.upper(F.base64(F.unhex(digest))), digest)
     caught = F.transform(_base(F.col("text")), lambda s: s["value"])
     labelled = chosen.select(caught.alias("caught"), made.alias("made"), "text").select(
-        F.explode(F.concat("caught", "made")).alias("value"), F.lit(1).alias("random")
+        F.explode(F.concat("caught", "made")).alias("value"), F.lit(1).alias("random"), F.lit(1).cast("long").alias("n")
     )
     known = F.array_except(F.regexp_extract_all("text", F.lit(IDENTIFIER), 0), F.transform(_base(F.col("text")), lambda s: s["value"]))
-    words = chosen.select(F.explode(known).alias("value"), F.lit(0).alias("random")).filter(~F.col("value").rlike(CANDIDATE))
-    pairs = labelled.unionByName(words).select("random", F.explode(_steps(F.col("value"))).alias("pair"))
-    counted = pairs.groupBy("random", "pair").count().collect()  # at most two for each pair of characters
+    words = chosen.select(F.explode(known).alias("value"), F.lit(0).alias("random")).groupBy("value", "random").agg(F.count("*").alias("n"))
+    learned = (F.col("n") >= LEARNED_IN) & ~F.col("value").rlike(UNLEARNED)
+    words = words.filter(~F.col("value").rlike(CANDIDATE) | learned)
+    pairs = labelled.unionByName(words).select("random", "n", F.explode(_steps(F.col("value"))).alias("pair"))
+    counted = pairs.groupBy("random", "pair").agg(F.sum("n").alias("n")).collect()  # at most two for each pair of characters
 
     n = len(ALPHABET) + 1
     counts = [[0] * (n * n), [0] * (n * n)]
     for row in counted:
-        counts[row["random"]][row["pair"]] = row["count"]
+        counts[row["random"]][row["pair"]] = row["n"]
     ordinary, random = map(_logarithms, counts)
     return [round(r - o, 6) for r, o in zip(random, ordinary)]
 
@@ -140,6 +150,31 @@ def ratio(value: Column, table: list[float]) -> Column:
     return total / F.greatest(F.lit(1), F.char_length(value) - 1)
 
 
+def _looks_random(value: Column, table: list[float]) -> Column:
+    short = F.greatest(F.lit(0), SURE_CHARS - F.char_length(value))
+    return ratio(value, table) > THRESHOLD + STRICTER * short
+
+
+def _rest(run: Column, base: Column) -> Column:
+    """The parts of a run that none of ``base``, sorted, covers, if they are long enough."""
+
+    def part(start: Column, end: Column) -> Column:
+        value = run["value"].substr(start - run["start"] + 1, end - start)
+        return F.array(F.struct(start.alias("start"), run["rank"].alias("rank"), run["kind"].alias("kind"), end.alias("end"), value.alias("value")))
+
+    def step(state: Column, b: Column) -> Column:
+        out = F.when(b["start"] - state["at"] >= RUN_CHARS, F.concat(state["out"], part(state["at"], b["start"])))
+        return F.struct(F.greatest(state["at"], b["end"]).alias("at"), out.otherwise(state["out"]).alias("out"))
+
+    def last(state: Column) -> Column:
+        out = F.when(run["end"] - state["at"] >= RUN_CHARS, F.concat(state["out"], part(state["at"], run["end"])))
+        return out.otherwise(state["out"])
+
+    none = F.array().cast("array<struct<start:int,rank:int,kind:string,end:int,value:string>>")
+    met = F.filter(base, lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"]))
+    return F.aggregate(met, F.struct(run["start"].alias("at"), none.alias("out")), step, last)
+
+
 def _joined(spans: Column) -> Column:
     shown = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
     return F.array_join(shown, ",")
@@ -149,7 +184,9 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     """``doc_id, n_assign, n_access, n_hex, n_random, base_sha256, base_spans, spans`` of each whole text.
 
     Spans are ``kind:start:end`` in code points, the end exclusive, by start and then by kind.
-    The models add spans of kind ``random`` where no span of the fixed rules overlaps.
+    The models judge runs of ``RUN_CHARS`` key characters or more, with or without digits, and
+    the parts as long that spans of the fixed rules leave of them; spans of kind ``random`` never
+    overlap those. The fewer characters, the surer the models must be.
 
     One row per input row, repeated rows and NULL ids included; a NULL text counts as empty,
     without spans. An empty table gives no rows; other columns are ignored.
@@ -158,10 +195,8 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     table = train(texts)
     found = texts.select("doc_id", F.array_sort(_base(F.col("text"))).alias("base"), _spans(F.col("text"), CANDIDATE, MARKOV, 3).alias("runs"))
 
-    def overlaps(run: Column) -> Column:
-        return F.exists("base", lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"]))
-
-    random = F.filter("runs", lambda r: ~overlaps(r) & (ratio(r["value"], table) > THRESHOLD))
+    parts = F.flatten(F.transform("runs", lambda r: _rest(r, F.col("base"))))
+    random = F.filter(parts, lambda r: _looks_random(r["value"], table))
     found = found.select("doc_id", "base", random.alias("random"))
 
     def of(kind: str) -> Column:

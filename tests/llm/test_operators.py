@@ -409,3 +409,27 @@ def test_secrets_of_the_models(spark):
     docs = spark.createDataFrame(rows([f"{t} {words}" for t in texts])[: len(texts)], SCHEMA)
     found = {r["doc_id"] // 3: r["n_random"] for r in secrets.find_secrets(docs).collect()}
     assert sum(found[i] == 1 for i in range(40)) >= 36 and sum(found[i] for i in range(40, 80)) == 0
+
+
+def test_secrets_of_short_keys_letters_and_rests(spark, sf):
+    import random
+    import string
+
+    draw = random.Random(3)
+
+    def key(n, alphabet):
+        return "".join(draw.choice(alphabet) for _ in range(n))
+
+    plain = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").filter("text IS NOT NULL")
+    mixed = [key(n, string.ascii_letters + string.digits) for n in range(12, 20) for _ in range(5)]
+    letters = [key(n, string.ascii_letters) for n in range(12, 33, 4) for _ in range(5)]
+    beside = string.ascii_letters[6:26] + string.ascii_uppercase  # no hex digits
+    around = [key(14, beside) + "deadbeefdeadbeef" + key(13, beside) for _ in range(10)]
+    planted = spark.createDataFrame([(10**9 + i, f"see {k} now") for i, k in enumerate(mixed + letters + around)], "doc_id long, text string")
+    found = {r["doc_id"]: r for r in secrets.find_secrets(plain.unionByName(planted)).collect()}
+    got = [found[10**9 + i] for i in range(planted.count())]
+    whole = [r["spans"] == f"random:4:{4 + len(k)}" for r, k in zip(got, mixed + letters)]
+    assert sum(whole[:40]) >= 36 and sum(whole[40:]) >= 27
+    assert sum(r["spans"] == "random:4:18,hex:18:34,random:34:47" for r in got[70:]) >= 9
+    # So few documents teach little of words in capitals: one repeats a word that is taken for a key.
+    assert sum(r["n_random"] > 0 for d, r in found.items() if d < 10**9) <= 1
