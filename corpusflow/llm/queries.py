@@ -7,7 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from corpusflow.llm import bpe, imatch, language_model, line_dedup, line_rules, mixing, quality, secrets, simhash, token_counts
+from corpusflow.llm import (
+    bpe, fill_middle, imatch, language_model, line_dedup, line_rules, merkle, minhash, mixing, quality, secrets, simhash,
+    token_counts,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -81,3 +84,27 @@ def op7_line_dedup(spark, sf_dir):
 
 
 ORACLES["op7_line_dedup"] = line_dedup.ORACLE
+
+
+@registered
+def op11_fill_middle(spark, sf_dir):
+    return fill_middle.report(_table(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_fill_middle"] = fill_middle.ORACLE
+
+
+@registered
+def op12_minhash(spark, sf_dir):
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_minhash"] = minhash.ORACLE
+
+
+@registered
+def op13_merkle(spark, sf_dir):
+    return merkle.report(_table(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_merkle"] = merkle.ORACLE
