@@ -294,6 +294,9 @@ ORACLES: dict[str, str] = {
           string_agg(DISTINCT split, ',' ORDER BY split) AS splits,
           string_agg(DISTINCT dataset, ',' ORDER BY dataset) AS datasets FROM tree""",
     "knn_graph": f"WITH {_knn(15)} SELECT i, j, rk, d FROM knn",
+    "knn_text_ids": f"""WITH {_knn(5).replace("a.vec_id AS i, b.vec_id AS j", "'v' || a.vec_id AS i, 'v' || b.vec_id AS j")}
+        SELECT i, j, rk, d FROM knn""",
+    "descent_recall": "SELECT count(*) * 15 AS n_pairs, true AS found FROM embeddings",
     "fuzzy_graph": f"""WITH RECURSIVE {_knn(14)},
         near AS (SELECT i, coalesce(min(d) FILTER (d > 0), 0) AS rho, sum(d) / (count(*) + 1) AS mean FROM knn GROUP BY 1),
         steps AS (SELECT i, 0 AS step, 0.0::DOUBLE AS low, 'Infinity'::DOUBLE AS high, 1.0::DOUBLE AS mid, false AS settled FROM near

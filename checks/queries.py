@@ -39,6 +39,8 @@ ROWS_PER_BUCKET = 100
 LOG_ROWS_PER_BUCKET = 1000
 ITEMS_PER_OBJECT = 5
 EPOCHS = 10
+#: Small, so that neighbours are searched over many blocks at every size of the tables.
+BLOCK_ROWS = 64
 
 
 def registered(fn: Query) -> Query:
@@ -403,13 +405,38 @@ def set_metadata(spark, sf_dir):
 
 @registered
 def knn_graph(spark, sf_dir):
-    found = neighbors.knn_graph(inputs.table(spark, sf_dir, "embeddings"), "vec_id", "embedding", k=15)
+    found = neighbors.knn_graph(inputs.table(spark, sf_dir, "embeddings"), "vec_id", "embedding", k=15, block_rows=BLOCK_ROWS)
     return found.select("i", "j", *_long("rk"), "d")
 
 
+@registered
+def knn_text_ids(spark, sf_dir):
+    """The graph between documents that have a vector, by names that sort as text."""
+    named = inputs.table(spark, sf_dir, "embeddings").select(F.concat(F.lit("v"), "vec_id").alias("name"), "embedding")
+    found = neighbors.knn_graph(named, "name", "embedding", k=5, block_rows=BLOCK_ROWS)
+    return found.select("i", "j", *_long("rk"), "d")
+
+
+@registered
+def knn_descent(spark, sf_dir):
+    return _descent(spark, sf_dir).select("i", "j", *_long("rk"), "d")
+
+
+def _descent(spark, sf_dir):
+    return neighbors.knn_descent(inputs.table(spark, sf_dir, "embeddings"), "vec_id", "embedding", k=15, block_rows=BLOCK_ROWS)
+
+
+@registered
+def descent_recall(spark, sf_dir):
+    """Whether the descent finds nine tenths of the exact neighbours."""
+    exact = neighbors.knn_graph(inputs.table(spark, sf_dir, "embeddings"), "vec_id", "embedding", k=15, block_rows=BLOCK_ROWS)
+    hits = exact.join(_descent(spark, sf_dir).select("i", "j", F.lit(1).alias("hit")), ["i", "j"], "left")
+    return hits.agg(F.count("*").alias("n_pairs"), (F.count("hit") >= 0.9 * F.count("*")).alias("found"))
+
+
 @registered
 def fuzzy_graph(spark, sf_dir):
-    found = neighbors.fuzzy_graph(inputs.table(spark, sf_dir, "embeddings"), "vec_id", "embedding", n_neighbors=15)
+    found = neighbors.fuzzy_graph(inputs.table(spark, sf_dir, "embeddings"), "vec_id", "embedding", n_neighbors=15, block_rows=BLOCK_ROWS)
     return found.select("i", "j", F.round("w", 5).alias("w"))
 
 

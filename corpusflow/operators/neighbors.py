@@ -1,23 +1,27 @@
-"""Exact nearest neighbours and the weighted neighbour graph.
-
-The search visits blocks of vectors, not pairs of rows. Every vector joins the cell of its
-nearest pivot; a cell is cut into blocks of bounded size. Neighbours within its own block give
-each vector a first search radius. By the triangle inequality a cell whose distance range from
-its pivot lies outside that radius, or that begins beyond it, cannot hold a nearer vector; the vector is sent, packed
-with others into one matrix, only to the blocks of the cells that remain. Nothing is left
-out, so the result is exact on any data; how many blocks can be skipped depends on it.
+"""Nearest neighbours, exact or by descent, and the weighted neighbour graph.
+
+The exact search visits blocks of vectors, not pairs of rows. Every vector joins the cell of its
+nearest pivot; a cell is cut into blocks of bounded size, and the blocks are dealt into strips.
+Neighbours within its own block give each vector a first search radius. By the triangle
+inequality a cell whose distance range from its pivot lies outside that radius, or that begins
+beyond it, cannot hold a nearer vector. A vector is sent, packed with others into one matrix, to
+the strips with cells that remain, and meets their blocks in a task for its own strip and the
+other: a cell of a grid whose sides are about the square root of the number of blocks. Nothing
+is left out, so the result is exact on any data; how much can be skipped depends on it.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from corpusflow.functions.vectors import inf_count, nan_count
+from corpusflow.operators import ordering
 from corpusflow.session import stored
 
 # Distances are compared after rounding, so that both ways to compute one agree.
@@ -25,6 +29,10 @@ DISTANCE_DIGITS = 6
 _SLACK = 10.0**-DISTANCE_DIGITS
 MAX_PIVOTS = 1024
 BLOCK_BYTES = 16 * 1024 * 1024
+#: Sets of blocks that a descent starts from. Blocks of one set alone would never meet.
+STARTS = 2
+#: Vectors that one task of the grid holds of a strip.
+STRIP_BYTES = 256 * 1024 * 1024
 _BLOCK = "cell int, chunk int, ids array<long>, data binary"
 _EDGE = "i long, j long, d double"
 
@@ -57,8 +65,8 @@ def _nearest(d: np.ndarray, left: np.ndarray, right: np.ndarray, k: int, radius:
 
 
 def _own_radius(d: np.ndarray, k: int) -> np.ndarray:
-    """Distance within which every row has k neighbours in its own block."""
-    if len(d) <= k:
+    """Distance within which every row has k neighbours among the columns."""
+    if d.shape[1] <= k:
         return np.full(len(d), np.inf)
     return np.partition(d, k - 1, axis=1)[:, k - 1] + _SLACK
 
@@ -96,9 +104,9 @@ def _to_copies(found: DataFrame, rows: DataFrame, distinct: DataFrame, k: int) -
     )
 
 
-def _pivots(vectors: DataFrame, n: int) -> np.ndarray:
+def _pivots(vectors: DataFrame, n: int, seed: int) -> np.ndarray:
     """A bounded set of vectors picked by the hash of their id."""
-    rows = vectors.orderBy(F.xxhash64("id"), "id").limit(n).collect()
+    rows = vectors.orderBy(F.xxhash64(F.lit(seed), "id"), "id").limit(n).collect()
     return np.array([r["vec"] for r in rows], dtype=np.float64)
 
 
@@ -113,7 +121,7 @@ def _assigned(vectors: DataFrame, pivots: np.ndarray) -> DataFrame:
     return vectors.mapInPandas(assign, "id long, vec array<double>, cell int, r double")
 
 
-def _blocks(assigned: DataFrame, chunks: np.ndarray) -> DataFrame:
+def _blocks(assigned: DataFrame, chunks: np.ndarray, seed: int) -> DataFrame:
     """One row per block: its ids and its vectors as one matrix."""
 
     def pack(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
@@ -122,100 +130,172 @@ def _blocks(assigned: DataFrame, chunks: np.ndarray) -> DataFrame:
         return pd.DataFrame({"cell": [key[0]], "chunk": [key[1]], "ids": [rows["id"].to_numpy()], "data": [data]})
 
     per_cell = F.array(*[F.lit(int(c)) for c in chunks])
-    chunk = F.pmod(F.xxhash64("id"), F.element_at(per_cell, F.col("cell") + 1)).cast("int")
+    chunk = F.pmod(F.xxhash64(F.lit(seed), "id"), F.element_at(per_cell, F.col("cell") + 1)).cast("int")
     return assigned.withColumn("chunk", chunk).groupBy("cell", "chunk").applyInPandas(pack, _BLOCK)
 
 
-def _within(blocks: DataFrame, k: int, dim: int) -> DataFrame:
-    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for ids, data in zip(batch["ids"], batch["data"]):
-                ids, m = np.asarray(ids), _matrix(data, dim)
-                yield _nearest(_among_themselves(m), ids, ids, k, np.full(len(ids), np.inf))
+def _strips(pivots: np.ndarray, chunks: np.ndarray, rows: int, dim: int) -> tuple[np.ndarray, int]:
+    """The number of each cell's first block, cells that lie side by side in a row, and blocks to a strip.
 
-    return blocks.mapInPandas(search, _EDGE)
+    There are as many strips as blocks in one, unless a strip would be too large for a task.
+    """
+    centred = pivots - pivots.mean(axis=0)
+    axis = np.linalg.svd(centred, full_matrices=False)[2][0]
+    order = np.argsort(centred @ axis, kind="stable")
+    first = np.zeros(len(pivots), dtype=int)
+    first[order] = np.cumsum(chunks[order]) - chunks[order]
+    blocks = int(chunks.sum())
+    strips = max(math.isqrt(max(blocks - 1, 0)) + 1, math.ceil(blocks * rows * dim * 8 / STRIP_BYTES))
+    return first, math.ceil(blocks / strips)
 
 
-def _probes(blocks: DataFrame, k: int, dim: int, pivots: np.ndarray, low: np.ndarray, high: np.ndarray, chunks: np.ndarray) -> DataFrame:
-    """Per block the vectors each other block has to be searched for, packed into one row."""
-    schema = "cell int, chunk int, ids array<long>, probe binary, radius array<double>"
-    # Vectors of another cell lie beyond the plane halfway between the two pivots.
-    apart = 2.0 * _distances(pivots, pivots)
-    apart[apart == 0.0] = np.inf
+def _probes(blocks: DataFrame, k: int, dim: int, pivots: np.ndarray, low: np.ndarray, high: np.ndarray, strips: np.ndarray) -> DataFrame:
+    """Per block and strip the block's vectors that may have neighbours there, packed into one row.
+
+    ``strips`` tells for each cell (rows) whether a strip (columns) has a block of it. ``band``
+    is the strip of the block itself.
+    """
+    schema = "band int, strip int, cell int, chunk int, ids array<long>, data binary, radius array<double>"
+    bounds = _Bounds(pivots, low, high)
 
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for cell, chunk, ids, data in zip(batch["cell"], batch["chunk"], batch["ids"], batch["data"]):
-                ids, m = np.asarray(ids), _matrix(data, dim)
+            for block in batch.itertuples():
+                ids, m = np.asarray(block.ids), _matrix(block.data, dim)
                 radius = _own_radius(_among_themselves(m), k)
-                to_pivot = _distances(m, pivots)
-                nearest = np.maximum(np.maximum(to_pivot - high, low - to_pivot), 0.0)
-                beyond = to_pivot**2 - to_pivot[:, [cell]] ** 2
-                nearest = np.maximum(nearest, beyond / apart[cell])
-                for target in range(len(pivots)):
-                    wanted = nearest[:, target] <= radius + _SLACK
-                    if not wanted.any():
-                        continue
-                    packed = {"ids": [ids[wanted]], "probe": [m[wanted].tobytes()], "radius": [radius[wanted]]}
-                    for other in range(chunks[target]):
-                        if (target, other) != (cell, chunk):
-                            yield pd.DataFrame({"cell": [target], "chunk": [other], **packed})
+                within = bounds(m, block.cell) <= radius[:, None] + _SLACK
+                for strip in range(strips.shape[1]):
+                    wanted = within[:, strips[:, strip]].any(axis=1)
+                    if wanted.any():
+                        packed = {"ids": [ids[wanted]], "data": [m[wanted].tobytes()], "radius": [radius[wanted]]}
+                        where = {"band": [block.strip], "strip": [strip], "cell": [block.cell], "chunk": [block.chunk]}
+                        yield pd.DataFrame({**where, **packed})
 
     return blocks.mapInPandas(route, schema)
 
 
-def _across(probes: DataFrame, blocks: DataFrame, k: int, dim: int) -> DataFrame:
-    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for row in batch.itertuples():
-                d = _distances(_matrix(row.probe, dim), _matrix(row.data, dim))
-                yield _nearest(d, np.asarray(row.ids), np.asarray(row.block_ids), k, np.asarray(row.radius))
+class _Bounds:
+    """The least distance from vectors of one cell to any vector of each cell."""
+
+    def __init__(self, pivots: np.ndarray, low: np.ndarray, high: np.ndarray):
+        self.pivots, self.low, self.high = pivots, low, high
+        # Vectors of another cell lie beyond the plane halfway between the two pivots.
+        self.apart = 2.0 * _distances(pivots, pivots)
+        self.apart[self.apart == 0.0] = np.inf
+
+    def __call__(self, m: np.ndarray, cell: int) -> np.ndarray:
+        to_pivot = _distances(m, self.pivots)
+        nearest = np.maximum(np.maximum(to_pivot - self.high, self.low - to_pivot), 0.0)
+        return np.maximum(nearest, (to_pivot**2 - to_pivot[:, [cell]] ** 2) / self.apart[cell])
+
+
+def _targets(blocks: DataFrame, probes: DataFrame) -> DataFrame:
+    """The blocks of each strip, once for every band that has probes for it."""
+    found = blocks.join(probes.select("band", "strip").distinct(), "strip")
+    return found.select(*[F.col(c).alias(c) for c in found.columns])  # columns of its own, to be grouped beside the probes
+
+
+def _least(found: list[pd.DataFrame], k: int) -> pd.DataFrame:
+    """The k first neighbours of each vector."""
+    edges = pd.concat(found).sort_values(["i", "d", "j"], kind="stable")
+    return edges[edges.groupby("i").cumcount() < k]
+
 
-    targets = blocks.withColumnRenamed("ids", "block_ids")
-    return probes.join(targets, ["cell", "chunk"]).drop("cell", "chunk").mapInPandas(search, _EDGE)
+def _across(probes: DataFrame, targets: DataFrame, k: int, dim: int, bounds: _Bounds) -> DataFrame:
+    """The k nearest of every probe in each strip it is sent to. A task holds a strip and a band's probes."""
+
+    def search(probes: pd.DataFrame, targets: pd.DataFrame) -> pd.DataFrame:
+        held = [(t.cell, t.chunk, np.asarray(t.ids), _matrix(t.data, dim)) for t in targets.itertuples()]
+        out = [pd.DataFrame({"i": [], "j": [], "d": []})]
+        for probe in probes.itertuples():
+            ids, m, radius = np.asarray(probe.ids), _matrix(probe.data, dim), np.array(probe.radius)
+            away = bounds(m, probe.cell)
+            found = []
+            for cell, chunk, right, block in sorted(held, key=lambda t: (away[:, t[0]].min(), t[0], t[1])):
+                wanted = away[:, cell] <= radius + _SLACK
+                if not wanted.any():
+                    continue
+                d = _distances(m[wanted], block)
+                if (cell, chunk) == (probe.cell, probe.chunk):
+                    d[ids[wanted][:, None] == right[None, :]] = np.inf
+                found.append(_nearest(d, ids[wanted], right, k, radius[wanted]))
+                radius[wanted] = np.minimum(radius[wanted], _own_radius(d, k))
+            if found:
+                out.append(_least(found, k))
+        return pd.concat(out).astype({"i": np.int64, "j": np.int64, "d": np.float64})
+
+    where = ("band", "strip")
+    return probes.groupBy(*where).cogroup(targets.groupBy(*where)).applyInPandas(search, _EDGE)
 
 
 def rows_per_block(dim: int) -> int:
     return max(256, min(8192, BLOCK_BYTES // (8 * dim)))
 
 
+class _Cells:
+    """Blocks of the vectors ``rows(id, vec)`` around pivots, at most ``block_rows`` or so in each."""
+
+    def __init__(self, rows: DataFrame, n: int, dim: int, block_rows: int, seed: int = 0):
+        self.dim = dim
+        self.pivots = _pivots(rows, max(1, min(MAX_PIVOTS, math.ceil(n / block_rows))), seed)
+        assigned = _assigned(rows.select("id", "vec"), self.pivots)
+        # One row per pivot comes to the driver.
+        self.low, self.high = np.full(len(self.pivots), np.inf), np.full(len(self.pivots), -np.inf)
+        self.chunks = np.zeros(len(self.pivots), dtype=int)
+        ranges = assigned.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.min("r").alias("low"), F.max("r").alias("high"))
+        for cell in ranges.collect():
+            self.low[cell["cell"]], self.high[cell["cell"]] = cell["low"], cell["high"]
+            self.chunks[cell["cell"]] = math.ceil(cell["n"] / block_rows)
+        self.first, self.width = _strips(self.pivots, self.chunks, block_rows, dim)
+        number = F.element_at(F.array(*[F.lit(int(f)) for f in self.first]), F.col("cell") + 1) + F.col("chunk")
+        packed = _blocks(assigned, np.maximum(self.chunks, 1), seed)
+        self.blocks = stored(packed.withColumn("strip", F.floor(number / self.width).cast("int")), "knn-blocks")
+
+    def strips(self) -> np.ndarray:
+        """Whether a cell has blocks in a strip."""
+        strips = np.arange(math.ceil(self.chunks.sum() / self.width))
+        last = (self.first + np.maximum(self.chunks, 1) - 1) // self.width
+        held = (self.first // self.width)[:, None] <= strips
+        return held & (strips <= last[:, None]) & (self.chunks > 0)[:, None]
+
+
+def grid(cells: _Cells, k: int) -> tuple[DataFrame, DataFrame]:
+    """Probes and targets of every cell of the grid of bands and strips.
+
+    With B blocks there are about the square root of B strips and as many bands, so a vector is
+    copied that many times at most on either side, however little can be pruned.
+    """
+    probes = _probes(cells.blocks, k, cells.dim, cells.pivots, cells.low, cells.high, cells.strips())
+    probes = stored(probes, "knn-probes")
+    return probes, _targets(cells.blocks, probes)
+
+
+def _ranked(found: DataFrame, k: int) -> DataFrame:
+    nearest = Window.partitionBy("i").orderBy("d", "j")
+    return found.withColumn("rk", F.row_number().over(nearest)).filter(F.col("rk") <= k).select("i", "j", "rk", "d")
+
+
 def _search(rows: DataFrame, n: int, dim: int, k: int, block_rows: int) -> DataFrame:
     """``(i, j, rk, d)`` over ``rows(id, vec)``, whose vectors differ from each other."""
-    pivots = _pivots(rows, max(1, min(MAX_PIVOTS, math.ceil(n / block_rows))))
-    assigned = _assigned(rows.select("id", "vec"), pivots)
-
-    # One row per pivot comes to the driver.
-    low, high = np.full(len(pivots), np.inf), np.full(len(pivots), -np.inf)
-    chunks = np.zeros(len(pivots), dtype=int)
-    ranges = assigned.groupBy("cell").agg(
-        F.count(F.lit(1)).alias("n"), F.min("r").alias("low"), F.max("r").alias("high")
-    )
-    for cell in ranges.collect():
-        low[cell["cell"]], high[cell["cell"]] = cell["low"], cell["high"]
-        chunks[cell["cell"]] = math.ceil(cell["n"] / block_rows)
-
-    blocks = stored(_blocks(assigned, np.maximum(chunks, 1)), "knn-blocks")
-    found = _within(blocks, k, dim)
-    if chunks.sum() > 1:
-        probes = _probes(blocks, k, dim, pivots, low, high, chunks)
-        found = found.unionByName(_across(probes, blocks, k, dim))
-    nearest = Window.partitionBy("i").orderBy("d", "j")
-    ranked = found.withColumn("rk", F.row_number().over(nearest))
-    return ranked.filter(F.col("rk") <= k).select("i", "j", "rk", "d")
+    cells = _Cells(rows, n, dim, block_rows)
+    probes, targets = grid(cells, k)
+    return _ranked(_across(probes, targets, k, dim, _Bounds(cells.pivots, cells.low, cells.high)), k)
 
 
-def knn_graph(
-    vectors: DataFrame,
-    id_col: str,
-    vector_col: str,
-    k: int = 15,
-    block_rows: int | None = None,
-) -> DataFrame:
-    """``(i, j, rk, d)``: the k nearest other vectors of each vector, by distance, then id."""
-    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vec"))
+Search = Callable[[DataFrame, int, int], DataFrame]
+
+
+def _graph(vectors: DataFrame, id_col: str, vector_col: str, k: int, search: Search) -> DataFrame:
+    """The graph that ``search`` makes of the distinct vectors, as one of all rows, in the ids' own type."""
+    kind = vectors.schema[id_col].dataType
+    rows = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("vec"))
     rows = rows.filter(F.col("vec").isNotNull())
+    whole = isinstance(kind, T.IntegralType)
+    if not whole:  # numbers in the order of the ids take their place
+        numbers = stored(ordering.positions(rows.select("id"), [], ["id"], "number"), "knn-ids")
+        rows = rows.join(numbers, "id").select(F.col("number").alias("id"), "vec")
+    rows = rows.select(F.col("id").cast("long"), "vec")
     distinct = stored(_distinct(rows, k), "knn-distinct")
-    n_rows = rows.count()
     vec = F.col("vec")
     size = distinct.agg(
         F.count(F.lit(1)).alias("n"),
@@ -223,15 +303,137 @@ def knn_graph(
         F.max(F.size(vec)).alias("dim"),
         F.count_if((nan_count(vec) > 0) | (inf_count(vec) > 0)).alias("odd"),
     ).first()
-    if not n_rows:
-        return vectors.sparkSession.createDataFrame([], "i long, j long, rk int, d double")
-    dim = size["dim"]
-    if size["odd"] or size["shortest"] != dim:
+    if not size["n"]:
+        ids = rows.select("id") if whole else vectors.select(F.col(id_col).alias("id"))
+        none = ids.select(F.col("id").alias("i"), F.col("id").alias("j"))
+        return none.select("i", "j", F.lit(1).alias("rk"), F.lit(0.0).alias("d")).filter("false")
+    if size["odd"] or size["shortest"] != size["dim"]:
         raise ValueError("vectors must be finite and of one length; see validation.validate_files")
-    found = _search(distinct, size["n"], dim, k, block_rows or rows_per_block(dim))
-    if size["n"] == n_rows:
+    found = _to_copies(search(distinct, size["n"], size["dim"]), rows, distinct, k)
+    if whole:
         return found
-    return _to_copies(found, rows, distinct, k)
+    named = [numbers.select(F.col("number").alias(end), F.col("id").alias(f"id_{end}")) for end in ("i", "j")]
+    return found.join(named[0], "i").join(named[1], "j").select(F.col("id_i").alias("i"), F.col("id_j").alias("j"), "rk", "d")
+
+
+def knn_graph(
+    vectors: DataFrame,
+    id_col: str,
+    vector_col: str,
+    k: int = 15,
+    block_rows: int | None = None,
+) -> DataFrame:
+    """``(i, j, rk, d)``: the k nearest other vectors of each vector, by distance, then id.
+
+    Exact on any data. Whole-number ids come back as long, others in their own type; ids are unique.
+    """
+    return _graph(
+        vectors, id_col, vector_col, k, lambda rows, n, dim: _search(rows, n, dim, k, block_rows or rows_per_block(dim))
+    )
+
+
+def _within(blocks: DataFrame, k: int, dim: int) -> DataFrame:
+    """The k nearest of each vector among those of its own block."""
+
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for ids, data in zip(batch["ids"], batch["data"]):
+                ids, m = np.asarray(ids), _matrix(data, dim)
+                yield _nearest(_among_themselves(m), ids, ids, k, np.full(len(ids), np.inf))
+
+    return blocks.mapInPandas(search, _EDGE)
+
+
+def _meetings(state: DataFrame, packed: DataFrame, pool: int, turn: int) -> DataFrame:
+    """Per vector ``u`` those that may be near each other: its neighbours and some that it is a neighbour of.
+
+    Of the latter a hash picks at most ``pool``, others each turn, so a vector that is near to
+    very many others costs no more than any other.
+    """
+    ahead = state.select(F.col("i").alias("u"), F.col("j").alias("m"), "fresh")
+    behind = state.select(F.col("j").alias("u"), F.col("i").alias("m"), "fresh")
+    drawn = Window.partitionBy("u").orderBy(F.xxhash64(F.lit(turn), "m"), "m")
+    behind = behind.withColumn("_rank", F.row_number().over(drawn)).filter(F.col("_rank") <= pool).drop("_rank")
+    members = ahead.unionByName(behind).groupBy("u", "m").agg(F.max("fresh").alias("fresh"))
+    lists = state.groupBy("i").agg(F.count(F.lit(1)).alias("n"), F.max("d").alias("most"))
+    worst = lists.select(F.col("i").alias("id"), F.when(F.col("n") >= pool, F.col("most")).otherwise(F.lit(math.inf)).alias("worst"))
+    known = packed.join(worst, "id", "left").select(F.col("id").alias("m"), "data", F.coalesce("worst", F.lit(math.inf)).alias("worst"))
+    met = members.join(known, "m")
+    return met.groupBy("u").agg(F.collect_list(F.struct("m", "fresh", "worst", "data")).alias("members"))
+
+
+def _introduced(meetings: DataFrame, dim: int) -> DataFrame:
+    """Pairs of a meeting, one of them new to it, that are nearer than the worst neighbour of the first."""
+
+    def introduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(0)
+            ends = lists.offsets.to_numpy()
+            flat = lists.flatten()
+            ids, fresh, worst = (flat.field(f).to_numpy(zero_copy_only=False) for f in ("m", "fresh", "worst"))
+            vectors = np.frombuffer(b"".join(flat.field("data").to_pylist()), np.float64).reshape(-1, dim)
+            ends = ends - ends[0]
+            out = []
+            for a, b in zip(ends[:-1], ends[1:]):
+                d = np.round(_among_themselves(vectors[a:b]), DISTANCE_DIGITS)
+                news = fresh[a:b, None] | fresh[None, a:b]
+                row, col = np.nonzero(news & (d < worst[a:b, None]))
+                out.append((ids[a:b][row], ids[a:b][col], d[row, col]))
+            columns = [np.concatenate(c) for c in zip(*out)] or [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["i", "j", "d"])
+
+    return meetings.select("members").mapInArrow(introduce, _EDGE)
+
+
+def _descent(rows: DataFrame, n: int, dim: int, k: int, pool: int, turns: int, settled: float, block_rows: int) -> DataFrame:
+    starts = [_within(_Cells(rows, n, dim, block_rows, seed).blocks, pool, dim) for seed in range(STARTS)]
+    start = starts[0]
+    for more in starts[1:]:
+        start = start.unionByName(more)
+
+    def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"id": batch["id"], "data": [np.asarray(v, np.float64).tobytes() for v in batch["vec"]]})
+
+    vectors = stored(rows.select("id", "vec").mapInPandas(packed, "id long, data binary"), "descent-vectors")
+
+    def best(edges: DataFrame) -> DataFrame:
+        each = edges.groupBy("i", "j").agg(F.min("d").alias("d"), F.min("fresh").alias("fresh"))
+        rank = F.row_number().over(Window.partitionBy("i").orderBy("d", "j"))
+        return stored(each.withColumn("_rank", rank).filter(F.col("_rank") <= pool).drop("_rank"), "descent")
+
+    state = best(start.withColumn("fresh", F.lit(True)))
+    for turn in range(turns):
+        offers = _introduced(_meetings(state, vectors, pool, turn), dim).withColumn("fresh", F.lit(True))
+        state = best(offers.unionByName(state.withColumn("fresh", F.lit(False))))
+        if state.filter("fresh").count() <= settled * n * pool:
+            break
+    return _ranked(state.select("i", "j", "d"), k)
+
+
+def knn_descent(
+    vectors: DataFrame,
+    id_col: str,
+    vector_col: str,
+    k: int = 15,
+    pool: int | None = None,
+    turns: int = 12,
+    settled: float = 0.001,
+    block_rows: int = 512,
+) -> DataFrame:
+    """``(i, j, rk, d)``: k near other vectors of each vector, found by neighbour descent.
+
+    Approximate, for sets beyond an exact search: work and shuffle are in proportion to the rows.
+    Each vector starts with the nearest of two blocks of vectors around common pivots. In each turn
+    the neighbours of a vector, and a bounded number of those it is a neighbour of, are compared
+    with each other, and the nearest ``pool`` (twice k, 30 at least) are kept. It ends when no
+    more than ``settled`` of all neighbours are new, or after ``turns``. Distances are exact;
+    copies of a vector are searched once, as in ``knn_graph``.
+    """
+    size = max(pool or 2 * k, k, 30 if pool is None else 1)
+    return _graph(
+        vectors, id_col, vector_col, k, lambda rows, n, dim: _descent(rows, n, dim, k, size, turns, settled, block_rows)
+    )
 
 
 def _scales(distances: np.ndarray, target: float, floor: float) -> tuple[np.ndarray, np.ndarray]:

@@ -1,5 +1,8 @@
+import math
+
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from corpusflow.operators import neighbors, projection
 
@@ -66,19 +69,62 @@ def test_vectors_that_cannot_be_compared_are_refused(spark, odd):
         neighbors.knn_graph(df, "id", "v")
 
 
-def test_blocks_far_away_are_not_visited(spark):
+def cells_of(spark, matrix, block_rows):
+    vectors = frame(spark, range(len(matrix)), matrix).select("id", F.col("v").alias("vec"))
+    return neighbors._Cells(vectors, len(matrix), matrix.shape[1], block_rows)
+
+
+def test_strips_far_away_are_not_visited(spark):
     """Two far clusters: no probe crosses from one to the other."""
     rng = np.random.default_rng(3)
     matrix = np.concatenate([rng.normal(size=(100, 3)), rng.normal(size=(100, 3)) + 1000])
-    vectors = frame(spark, range(200), matrix).select("id", neighbors.F.col("v").alias("vec"))
-    pivots = np.array([matrix[0], matrix[150]])
-    assigned = neighbors._assigned(vectors, pivots)
-    chunks = np.array([4, 4])
-    blocks = neighbors._blocks(assigned, chunks)
-    spans = assigned.groupBy("cell").agg(neighbors.F.min("r").alias("a"), neighbors.F.max("r").alias("b")).orderBy("cell").collect()
-    low, high = np.array([s["a"] for s in spans]), np.array([s["b"] for s in spans])
-    probes = neighbors._probes(blocks, 5, 3, pivots, low, high, chunks).select("cell", "ids").collect()
-    assert probes and all((i < 100) == (p["cell"] == 0) for p in probes for i in p["ids"])
+    probes, targets = neighbors.grid(cells_of(spark, matrix, 25), 5)
+    seen, sent = {}, {}
+    bounded = F.transform(F.filter(F.arrays_zip("ids", "radius"), lambda v: v["radius"] < math.inf), lambda v: v["ids"])
+    for rows, held in ((targets, seen), (probes.withColumn("ids", bounded), sent)):
+        for r in rows.select("band", "strip", "ids").collect():
+            held.setdefault((r["band"], r["strip"]), set()).update(r["ids"])
+    assert sent.keys() == seen.keys() and sum(map(len, sent.values())) > 200
+    assert all({i < 100 for i in ids} <= {i < 100 for i in seen[where]} for where, ids in sent.items())
+
+
+def test_copies_grow_with_the_root_of_the_blocks(spark):
+    """Vectors without structure, where nothing can be skipped."""
+    matrix = np.random.default_rng(4).normal(size=(1024, 48))
+    for block_rows in (256, 64, 16):
+        cells = cells_of(spark, matrix, block_rows)
+        side = np.sqrt(cells.chunks.sum()) + 1
+        for copies in neighbors.grid(cells, 7):
+            sent = copies.agg(F.sum(F.octet_length("data"))).first()[0]
+            assert sent <= 1024 * 48 * 8 * side, block_rows
+
+
+def test_ids_of_any_type(spark):
+    rng = np.random.default_rng(7)
+    matrix, ids = rng.normal(size=(60, 4)), rng.permutation(900)[:60]
+    names = [f"id-{i}" for i in ids]
+    vectors = frame(spark, ids, matrix).select(F.concat(F.lit("id-"), "id").alias("id"), "v")
+    found = graph_of(neighbors.knn_graph(vectors, "id", "v", 5, block_rows=16))
+    d = np.round(np.sqrt(((matrix[:, None] - matrix[None]) ** 2).sum(-1)), 6)
+    for a, name in enumerate(names):
+        assert [j for j, _ in found[name]] == [j for _, j in sorted((d[a, b], n) for b, n in enumerate(names) if b != a)[:5]]
+    assert neighbors.knn_graph(vectors.limit(0), "id", "v").schema["j"].dataType.simpleString() == "string"
+
+
+@pytest.mark.parametrize("kind", ["spread", "clustered", "copies"])
+def test_descent_finds_nearly_all(spark, kind):
+    rng = np.random.default_rng(8)
+    matrix = rng.normal(size=(1500, 16))
+    if kind == "clustered":
+        matrix = np.repeat(rng.normal(size=(30, 16)) * 20, 50, axis=0) + matrix
+    if kind == "copies":
+        matrix[::3] = matrix[0]
+    exact = brute_force(range(1500), matrix, 10)
+    found = graph_of(neighbors.knn_descent(frame(spark, range(1500), matrix), "id", "v", 10, block_rows=100))
+    assert all(len(near) == 10 and i not in {j for j, _ in near} for i, near in found.items()) and len(found) == 1500
+    hits = sum(d <= exact[i][-1][1] + 1e-6 for i, near in found.items() for _, d in near)
+    assert hits >= 0.9 * 15_000
+    assert all(d == pytest.approx(np.linalg.norm(matrix[i] - matrix[j]), abs=2e-6) for i in range(0, 1500, 97) for j, d in found[i])
 
 
 def test_fuzzy_weights(spark):
