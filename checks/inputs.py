@@ -38,6 +38,13 @@ def some_blank(rows: DataFrame) -> DataFrame:
     return rows.withColumn("text", text)
 
 
+def unnamed(rows: DataFrame) -> DataFrame:
+    """Every 5th row without a split, every 7th without a dataset."""
+    return rows.withColumn("split", F.expr("if(doc_id % 5 = 0, NULL, split)")).withColumn(
+        "dataset", F.expr("if(doc_id % 7 = 0, NULL, dataset)")
+    )
+
+
 def known_datasets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Registry made of the sources, a never downloaded twin of each included."""
     source = table(spark, sf_dir, "documents").select("source").distinct()

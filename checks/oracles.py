@@ -211,6 +211,11 @@ ORACLES: dict[str, str] = {
     "union_catalog": f"""WITH {COUNTS} SELECT dataset, split, n FROM counts
         UNION ALL SELECT 'benchmark', 'part' || item_id % 3, count(*) FROM benchmark GROUP BY 2""",
     "shard_assign": f"WITH {SAMPLES}, {_sharded('samples', str(SHARDS))} SELECT doc_id, shard_id, original_index FROM sharded",
+    "shard_assign_unnamed": f"""WITH {SAMPLES}, unnamed AS (SELECT doc_id, CASE WHEN doc_id % 7 <> 0 THEN dataset END AS dataset,
+          CASE WHEN doc_id % 5 <> 0 THEN split END AS split FROM samples),
+        {_sharded('unnamed', str(SHARDS))} SELECT doc_id, shard_id, original_index FROM sharded""",
+    "numbered_instant": """SELECT event_id, row_number() OVER (PARTITION BY event_type ORDER BY event_id) - 1 AS idx,
+        true AS bounded FROM events""",
     "shard_assign_text": f"""WITH {SAMPLES}, keyed AS (SELECT dataset, split, md5(doc_id::VARCHAR) AS uuid FROM samples),
         {_sharded('keyed', str(SHARDS), 'uuid')} SELECT uuid, shard_id, original_index FROM sharded""",
     "resume_pending": f"WITH {SAMPLES} SELECT dataset, split, doc_id FROM samples WHERE doc_id NOT IN (SELECT doc_id FROM labels)",

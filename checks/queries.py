@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from checks import inputs
 from corpusflow.functions.text import data_uri, decoded, size_label
@@ -15,6 +15,7 @@ from corpusflow.operators import (
     encode,
     fetch,
     neighbors,
+    ordering,
     projection,
     provenance,
     runlog,
@@ -163,6 +164,27 @@ def shard_assign_text(spark, sf_dir):
     return found.select("uuid", *_long("shard_id"), "original_index")
 
 
+@registered
+def shard_assign_unnamed(spark, sf_dir):
+    """Samples of which some have no split, some no dataset and some neither."""
+    rows = inputs.unnamed(inputs.samples(spark, sf_dir).drop("text"))
+    found = shards.assign(rows, "doc_id", F.lit(SHARDS), ROWS_PER_BUCKET)
+    return found.select("doc_id", *_long("shard_id"), "original_index")
+
+
+@registered
+def numbered_instant(spark, sf_dir):
+    """All events at one instant, numbered in buckets of bounded size."""
+    at = F.lit("2024-01-01 00:00:00.123456").cast("timestamp")
+    events = inputs.table(spark, sf_dir, "events").select("event_id", "event_type", at.alias("ts"))
+    order = ["ts", "event_id"]
+    numbered = ordering.positions(events, ["event_type"], order, rows_per_bucket=LOG_ROWS_PER_BUCKET)
+    sizes = ordering.bucketed(events, order, LOG_ROWS_PER_BUCKET)
+    n = F.count("*").over(Window.partitionBy("_bucket"))
+    sizes = sizes.select("event_id", (n <= 4 * LOG_ROWS_PER_BUCKET).alias("bounded"))
+    return numbered.join(sizes, "event_id").select("event_id", "idx", "bounded")
+
+
 @registered
 def resume_pending(spark, sf_dir):
     done = inputs.table(spark, sf_dir, "labels")

@@ -1,7 +1,7 @@
 """Positions and running totals over ordered groups of any size.
 
 A window over a whole group would sort that group in one task. Here the order is cut into
-buckets first: a range partitioning of the order columns alone, by all of them, gives the
+buckets first: a range partitioning of the order columns alone, by all of them, gives a table of
 borders, and each (group, bucket) becomes its own window. What precedes a bucket comes from a
 small table of per-bucket totals. Buckets depend only on the borders and the row's own values,
 so retried tasks agree. Order columns may be of any type that sorts, texts included.
@@ -14,6 +14,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from corpusflow.session import stored
+
 ROWS_PER_BUCKET = 1_000_000
 _B = "_bucket"
 
@@ -24,32 +26,31 @@ def _key(order: Sequence[str]) -> Column:
     return F.struct(*[c for part in parts for c in part])
 
 
-def _borders(df: DataFrame, order: Sequence[str], n: int) -> list[str]:
-    """The least keys of ``n`` ranges of about the same number of rows, as JSON, in order."""
+def borders(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
+    """``key``: the least keys of ``n`` ranges of about the same number of rows, in their own types.
+
+    A stored table, so that every use of it sees the same borders.
+    """
     ranges = df.select(_key(order).alias("key")).repartitionByRange(n, "key")
     least = ranges.groupBy(F.spark_partition_id().alias("p")).agg(F.min("key").alias("key"))
-    rows = least.select("p", F.to_json("key", {"ignoreNullFields": "false"}).alias("border")).collect()  # one for each bucket
-    return [row["border"] for row in sorted(rows, key=lambda row: row["p"])]
+    return stored(least.select("key"), "borders")
 
 
 def bucketed(df: DataFrame, order: Sequence[str], rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """``df`` with ``_bucket``, which rises with the order columns.
 
-    One value of the first column may fill many buckets, since the borders hold all columns.
-    The driver holds one border for each bucket; a row finds its bucket by bisection.
+    One value of the first column may fill many buckets, since the borders hold all columns, and
+    hold them exactly. The sorted borders, one for each bucket, are a subquery's value;
+    a row finds the range it falls into by bisection.
     """
     n = math.ceil(df.count() / rows_per_bucket)
     if n == 0:
         return df.withColumn(_B, F.lit(0))
-    borders = _borders(df, order, n)
-    kind = df.select(_key(order).alias("key")).schema["key"].dataType.simpleString()
-    listed = F.from_json(F.lit(f"[{','.join(borders)}]"), f"array<{kind}>")
-    steps = F.array(*[F.lit(1 << i) for i in reversed(range(len(borders).bit_length()))])
-    key = _key(order)
-    bucket = F.aggregate(
-        steps, F.lit(0), lambda at, step: F.when(F.get(listed, at + step - 1) <= key, at + step).otherwise(at)
-    )
-    return df.withColumn(_B, bucket)
+    listed = borders(df, order, n).agg(F.sort_array(F.collect_list("key"))).scalar()
+    work, at = df.withColumn(_B, F.lit(0)), F.col(_B)
+    for step in (1 << i for i in reversed(range(n.bit_length()))):
+        work = work.withColumn(_B, F.when(F.get(listed, at + (step - 1)) <= _key(order), at + step).otherwise(at))
+    return work
 
 
 def running(
@@ -85,8 +86,11 @@ def running(
     )
     ranked = [F.asc_nulls_last(c) for c in order]
     within = Window.partitionBy(*cells).orderBy(*ranked).rowsBetween(Window.unboundedPreceding, 0)
-    # A hash table of the few cells of a partition; a merge join would sort the rows twice.
-    summed = work.join(offsets.hint("shuffle_hash"), cells, "left")
+    # A hash table of the few cells of a partition; a merge join would sort the rows twice. Rows
+    # without a value in a group column are a group like any other.
+    named = offsets.select(*[F.col(c).alias(f"_c_{i}") if c in cells else c for i, c in enumerate(offsets.columns)])
+    same = [F.col(c).eqNullSafe(F.col(f"_c_{i}")) for i, c in enumerate(cells)]
+    summed = work.join(named.hint("shuffle_hash"), same, "left")
     return summed.select(
         *df.columns,
         *[(F.col(f"_o_{n}") + F.sum(e).over(within)).alias(n) for n, e in totals.items()],

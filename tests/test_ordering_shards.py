@@ -145,3 +145,29 @@ def test_running_totals_across_buckets(spark):
             elapsed = s - 1000
             assert (found[event]["done"], found[event]["total_samples"]) == (done, total)
             assert math.isclose(found[event]["avg_rate"], total / elapsed if elapsed else 0.0)
+
+
+@pytest.mark.parametrize("at", ["2024-01-01 00:00:00.123456", "2024-01-01 00:00:00"])
+def test_rows_at_one_instant_fill_many_buckets(spark, at):
+    rows = spark.range(1000).select(F.lit(at).cast("timestamp").alias("ts"), F.col("id").alias("n"))
+    sizes = [r["count"] for r in ordering.bucketed(rows, ["ts", "n"], 100).groupBy("_bucket").count().collect()]
+    assert len(sizes) >= 10 and max(sizes) <= 200
+
+
+def test_borders_keep_their_types(spark):
+    exact = "decimal(30,12)"
+    rows = spark.range(400).select(
+        F.expr(f"cast(1 as {exact}) + cast(id as {exact}) / 1000000000000").alias("a"), F.expr("cast(string(id) as binary)").alias("b")
+    )
+    numbered = ordering.positions(rows, [], ["a", "b"], rows_per_bucket=20).orderBy("idx").collect()
+    assert [int(bytes(r["b"])) for r in numbered] == list(range(400))
+
+
+def test_rows_without_a_group_are_a_group(spark):
+    rows = spark.createDataFrame([(i, "a" if i % 3 else None, "x" if i % 2 else None) for i in range(60)], "id long, g string, h string")
+    found = ordering.positions(rows, ["g", "h"], ["id"], "idx", "n", rows_per_bucket=7).collect()
+    expected = {}
+    for i in range(60):
+        expected.setdefault((i % 3 > 0, i % 2 > 0), []).append(i)
+    at = {i: (k, len(ids)) for ids in expected.values() for k, i in enumerate(ids)}
+    assert {r["id"]: (r["idx"], r["n"]) for r in found} == at
