@@ -5,12 +5,12 @@ A document's set is its distinct shingles of words, as 64-bit hashes. One permut
 the k-th coordinate: the least value of the set under it. All coordinates come from these two.
 Coordinates are cut into bands; sets that agree in a band meet in its bucket.
 
-Buckets are not expanded into pairs. Round by round a few leaders of each bucket are compared
-with its members: by size, by the signatures' low bytes, then on the full sets of what is left.
-Confirmed links join components. A bucket is done when all its members outside its largest
-component have been leaders, so every pair of a bucket is either compared or in one component
-already: the components are those of all pairs that meet, with about one comparison a member
-where a bucket holds many near copies.
+Buckets are not expanded into pairs. First a leader of each bucket is compared with its members:
+by size, by the signatures' low bytes, then on the full sets of what is left. Confirmed links
+join components, so most buckets hold one component then. In those that do not, the members
+outside the largest component are compared with all members, on full sets, in tiles of bounded
+size that emit nothing but links. Every pair of a bucket is either compared or in one component
+already: the components are those of all pairs that meet.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from math import sqrt
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from corpusflow.llm.simhash import _components as components
 from corpusflow.session import stored
@@ -33,8 +33,8 @@ ROWS, BANDS = 6, 40
 #: A pair's share of equal coordinates may stray this many standard errors below its similarity:
 #: further off with a probability of 3e-6, as with the bands.
 ERRORS = 4.5
-#: Leaders of a bucket in its first round, and how many times more in each further one.
-LEADERS, MORE = 1, 8
+#: Sets on either side of a tile.
+TILE = 512
 
 _SET = "doc_id {kind}, text_1 long, text_2 long, set_1 long, set_2 long, n_shingles long, bands array<long>, sketch binary"
 
@@ -147,32 +147,85 @@ def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(i).filter(keep) for i in (0, 1)], names=["a", "b"])
 
 
-def _pairs(members: DataFrame, roots: DataFrame | None, led: DataFrame | None, leaders: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs of this round, each once, and its leaders ``key, node``.
+def _star(members: DataFrame) -> DataFrame:
+    """Pairs of each bucket's leader with its other members, each pair once."""
+    order = F.struct(F.xxhash64("node").alias("order"), "node", "n")  # one order, so buckets share their leaders
+    leaders = members.groupBy("key").agg(F.min(order).alias("l")).select("key", F.col("l.node").alias("v"), F.col("l.n").alias("nv"))
+    met = members.join(leaders, "key").filter("node <> v")
+    met = met.filter(100 * F.least("n", "nv") >= PERCENT * F.greatest("n", "nv"))
+    return met.select(F.least("node", "v").alias("a"), F.greatest("node", "v").alias("b")).distinct()
 
-    ``members`` has ``key, node, n``, ``roots`` the component of each linked node, ``led`` the
-    leaders of earlier rounds.
+
+def _tiles(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """The rows ``key, a, b, own, node, root`` of the tiles of buckets with several components.
+
+    ``own`` marks the members outside the bucket's largest component. They are dealt by a hash
+    over the tiles' rows ``a``, all members over the columns ``b``; a tile holds one of each.
     """
-    if roots is None:
-        now = members.withColumn("root", F.col("node"))
-        open_ = now
-    else:
-        now = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        sizes = now.groupBy("key", "root").agg(F.count("*").alias("size"))
-        largest = sizes.groupBy("key").agg(F.max(F.struct("size", "root")).alias("most"), F.count("*").alias("parts"))
-        unfinished = largest.filter("parts > 1").select("key", F.col("most.root").alias("largest"))
-        now = now.join(unfinished, "key")
-        open_ = now.filter("root <> largest").drop("largest").join(led, ["key", "node"], "left_anti")
-    order = Window.partitionBy("key").orderBy(F.xxhash64("node"), "node")
-    chosen = open_.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= leaders)
-    chosen = stored(chosen.select("key", "node", "n", "root"), "minhash-leaders")
-    if led is not None:
-        now = now.join(led, ["key", "node"], "left_anti")  # compared with the whole bucket already
-    one = now.select("key", F.col("node").alias("u"), F.col("n").alias("nu"), F.col("root").alias("ru"))
-    other = chosen.select("key", F.col("node").alias("v"), F.col("n").alias("nv"), F.col("root").alias("rv"))
-    met = one.join(other, "key").filter("ru <> rv")
-    met = met.filter(100 * F.least("nu", "nv") >= PERCENT * F.greatest("nu", "nv"))
-    return met.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct(), chosen.select("key", "node")
+    now = members.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+    sizes = now.groupBy("key", "root").agg(F.count("*").alias("size"))
+    most = sizes.groupBy("key").agg(F.max(F.struct("size", "root")).alias("most"), F.sum("size").alias("members"))
+    sides = most.filter(F.col("members") > F.col("most.size")).select(
+        "key",
+        F.col("most.root").alias("largest"),
+        F.ceil((F.col("members") - F.col("most.size")) / TILE).alias("rows"),
+        F.ceil(F.col("members") / TILE).alias("columns"),
+    )
+    left = now.join(sides, "key")
+
+    def dealt(side: str) -> Column:
+        return F.pmod(F.xxhash64("node"), side)
+
+    def each(side: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(side) - 1))
+
+    own = left.filter("root <> largest").select("key", dealt("rows").alias("a"), each("columns").alias("b"), F.lit(True).alias("own"), "node", "root")
+    others = left.select("key", each("rows").alias("a"), dealt("columns").alias("b"), F.lit(False).alias("own"), "node", "root")
+    return own.unionByName(others)
+
+
+def _linked(own: np.ndarray, nodes: np.ndarray, roots: np.ndarray, sets: list[np.ndarray]) -> np.ndarray:
+    """Links between the two sides of a tile, across components, as pairs of nodes."""
+    others, out = np.flatnonzero(~own), [np.empty((0, 2), np.int64)]
+    if len(others):
+        sizes = np.array([len(sets[i]) for i in others])
+        known, flat = np.unique(np.concatenate([sets[i] for i in others]), return_inverse=True)
+        starts = np.cumsum(sizes) - sizes
+        for i in np.flatnonzero(own):
+            mine = sets[i]
+            at = np.minimum(np.searchsorted(known, mine), len(known) - 1)
+            held = np.zeros(len(known), np.int64)
+            held[at[known[at] == mine]] = 1
+            common = np.add.reduceat(held[flat], starts)
+            near = (100 * common >= PERCENT * (len(mine) + sizes - common)) & (roots[others] != roots[i])
+            found = nodes[others[near]]
+            out.append(np.stack([np.minimum(found, nodes[i]), np.maximum(found, nodes[i])], axis=1))
+    return np.concatenate(out)
+
+
+def _tiled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links of all tiles, whose rows come one tile after the other."""
+
+    def links(table: pa.Table, starts: list[int], ends: list[int]) -> pa.RecordBatch:
+        own, nodes, roots = (table[c].to_numpy() for c in ("own", "node", "root"))
+        sets = [np.frombuffer(x, np.uint64) for x in table["shingles"].to_pylist()]
+        found = [np.empty((0, 2), np.int64)]
+        found += [_linked(own[a:b], nodes[a:b], roots[a:b], sets[a:b]) for a, b in zip(starts, ends)]
+        pairs = np.concatenate(found)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+    rest = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        rest = table if rest is None else pa.concat_tables([rest, table])
+        if rest.num_rows:
+            where = [rest[c].to_numpy() for c in ("key", "a", "b")]
+            cuts = np.flatnonzero(np.any([np.diff(w) != 0 for w in where], axis=0)) + 1
+            starts = [0, *cuts.tolist()]
+            yield links(rest.slice(0, starts[-1]), starts[:-1], starts[1:])
+            rest = rest.slice(starts[-1])  # the last tile may go on
+    if rest is not None and rest.num_rows:
+        yield links(rest, [0], [rest.num_rows])
 
 
 def _with_both(pairs: DataFrame, of: DataFrame, value: str) -> DataFrame:
@@ -181,6 +234,13 @@ def _with_both(pairs: DataFrame, of: DataFrame, value: str) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", f"{value}_a", f"{value}_b")
 
 
+def _full(nodes: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
+    """``node, shingles`` of the nodes, made again from a text of each."""
+    wanted = sets.select("node", "text_1", "text_2").join(nodes.distinct(), "node")
+    whole = docs.select(*_text_keys(), "text").join(wanted, ["text_1", "text_2"]).dropDuplicates(["node"])
+    return whole.select("node", "text").mapInArrow(_sets, "node long, shingles binary")
+
+
 def _roots(sets: DataFrame, docs: DataFrame) -> DataFrame:
     """``node, root`` of the nodes that links connect, over all similar pairs of all buckets.
 
@@ -189,27 +249,16 @@ def _roots(sets: DataFrame, docs: DataFrame) -> DataFrame:
     keys = sets.select("node", F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
     shared = keys.groupBy("key").agg(F.count("*").alias("rows")).filter("rows > 1").select("key")
     members = stored(keys.join(shared, "key").select("key", "node", "n"), "minhash-members")
-    sketches, texts = sets.select("node", "sketch"), sets.select("node", "text_1", "text_2")
-
-    links, led, judged, roots, leaders = None, None, None, None, LEADERS
-    while True:
-        pairs, chosen = _pairs(members, roots, led, leaders)
-        if chosen.isEmpty():
-            return roots if roots is not None else members.select("node", F.col("node").alias("root")).limit(0)
-        near = _with_both(pairs, sketches, "sketch").mapInArrow(_sketched, "a long, b long")
-        if judged is not None:
-            near = near.join(judged, ["a", "b"], "left_anti")
-        near = stored(near, "minhash-near")
-        judged = near if judged is None else judged.unionByName(near)
-        ends = near.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        wanted = texts.join(ends, "node")
-        whole = docs.select(*_text_keys(), "text").join(wanted, ["text_1", "text_2"]).dropDuplicates(["node"])
-        full = whole.select("node", "text").mapInArrow(_sets, "node long, shingles binary")
-        found = stored(_with_both(near, full, "shingles").mapInArrow(_confirmed, "a long, b long"), "minhash-links")
-        links = found if links is None else links.unionByName(found)
-        led = chosen if led is None else led.unionByName(chosen)
-        roots = components(links)
-        leaders *= MORE
+
+    near = _with_both(_star(members), sets.select("node", "sketch"), "sketch").mapInArrow(_sketched, "a long, b long")
+    near = stored(near, "minhash-near")
+    full = _full(near.select(F.explode(F.array("a", "b")).alias("node")), sets, docs)
+    links = stored(_with_both(near, full, "shingles").mapInArrow(_confirmed, "a long, b long"), "minhash-links")
+
+    tiles = stored(_tiles(members, components(links)), "minhash-tiles")
+    held = tiles.join(_full(tiles.select("node"), sets, docs), "node").repartition("key", "a", "b")
+    more = held.sortWithinPartitions("key", "a", "b").mapInArrow(_tiled, "a long, b long").distinct()
+    return components(links.unionByName(more))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
