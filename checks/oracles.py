@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from checks.inputs import BLOCK_TYPES, LANDING
-from checks.queries import ITEMS_PER_OBJECT, ROWS_PER_SHARD, SHARDS
+from checks.queries import ITEMS_PER_OBJECT, ROWS_PER_SHARD, SHARDS, STEP_EPOCH
+from corpusflow.operators.projection import GOLDEN, PARTNERS, REPULSION, curve
 
 SPLIT = "CASE lang WHEN 'en' THEN 'chat' ELSE 'multilingual_' || lang END"
 SAMPLES = f"samples AS (SELECT source AS dataset, {SPLIT} AS split, doc_id, text FROM documents)"
@@ -146,6 +147,32 @@ def _knn(k: int) -> str:
 knn AS (SELECT i, j, row_number() OVER (PARTITION BY i ORDER BY d, j) AS rk, d FROM pairs QUALIFY rk <= {k})"""
 
 
+FUZZY = f"""{_knn(14)},
+        near AS (SELECT i, coalesce(min(d) FILTER (d > 0), 0) AS rho, sum(d) / (count(*) + 1) AS mean FROM knn GROUP BY 1),
+        steps AS (SELECT i, 0 AS step, 0.0::DOUBLE AS low, 'Infinity'::DOUBLE AS high, 1.0::DOUBLE AS mid, false AS settled FROM near
+          UNION ALL
+          SELECT i, step + 1,
+            CASE WHEN settled OR hit THEN low WHEN total > log2(15) THEN low ELSE mid END,
+            CASE WHEN settled OR hit THEN high WHEN total > log2(15) THEN mid ELSE high END,
+            CASE WHEN settled OR hit THEN mid WHEN total > log2(15) THEN (low + mid) / 2
+              WHEN isinf(high) THEN mid * 2 ELSE (mid + high) / 2 END,
+            settled OR hit
+          FROM (SELECT s.i, any_value(step) AS step, any_value(low) AS low, any_value(high) AS high, any_value(mid) AS mid,
+              bool_or(settled) AS settled, sum(CASE WHEN d > rho THEN exp(-(d - rho) / mid) ELSE 1 END) AS total,
+              abs(sum(CASE WHEN d > rho THEN exp(-(d - rho) / mid) ELSE 1 END) - log2(15)) < 1e-5 AS hit
+            FROM steps s JOIN knn USING (i) JOIN near USING (i) WHERE step < 64 GROUP BY s.i)),
+        scale AS (SELECT s.i, rho, greatest(mid, 1e-3 * CASE WHEN rho > 0 THEN mean
+            ELSE (SELECT sum(d) / (count(*) + count(DISTINCT i)) FROM knn) END) AS sigma
+          FROM steps s JOIN near USING (i) WHERE step = 64),
+        directed AS (SELECT i, j, exp(-greatest(d - rho, 0) / sigma) AS w FROM knn JOIN scale USING (i)),
+        both_ways AS (SELECT i, j, w AS a, 0.0::DOUBLE AS b FROM directed UNION ALL SELECT j, i, 0.0::DOUBLE, w FROM directed),
+        united AS (SELECT i, j, sum(a) AS a, sum(b) AS b FROM both_ways GROUP BY ALL),
+        graph AS (SELECT i, j, round(a + b - a * b, 5) AS w FROM united WHERE a + b - a * b > 0)"""
+
+# One epoch of the layout.
+CURVE_A, CURVE_B = curve(0.1)
+
+
 # Principal components by squaring the scaled covariance matrix until one direction is left.
 _SQUARINGS = 30
 
@@ -302,27 +329,25 @@ ORACLES: dict[str, str] = {
     "knn_text_ids": f"""WITH {_knn(5).replace("a.vec_id AS i, b.vec_id AS j", "'v' || a.vec_id AS i, 'v' || b.vec_id AS j")}
         SELECT i, j, rk, d FROM knn""",
     "descent_recall": "SELECT count(*) * 15 AS n_pairs, true AS found FROM embeddings",
-    "fuzzy_graph": f"""WITH RECURSIVE {_knn(14)},
-        near AS (SELECT i, coalesce(min(d) FILTER (d > 0), 0) AS rho, sum(d) / (count(*) + 1) AS mean FROM knn GROUP BY 1),
-        steps AS (SELECT i, 0 AS step, 0.0::DOUBLE AS low, 'Infinity'::DOUBLE AS high, 1.0::DOUBLE AS mid, false AS settled FROM near
-          UNION ALL
-          SELECT i, step + 1,
-            CASE WHEN settled OR hit THEN low WHEN total > log2(15) THEN low ELSE mid END,
-            CASE WHEN settled OR hit THEN high WHEN total > log2(15) THEN mid ELSE high END,
-            CASE WHEN settled OR hit THEN mid WHEN total > log2(15) THEN (low + mid) / 2
-              WHEN isinf(high) THEN mid * 2 ELSE (mid + high) / 2 END,
-            settled OR hit
-          FROM (SELECT s.i, any_value(step) AS step, any_value(low) AS low, any_value(high) AS high, any_value(mid) AS mid,
-              bool_or(settled) AS settled, sum(CASE WHEN d > rho THEN exp(-(d - rho) / mid) ELSE 1 END) AS total,
-              abs(sum(CASE WHEN d > rho THEN exp(-(d - rho) / mid) ELSE 1 END) - log2(15)) < 1e-5 AS hit
-            FROM steps s JOIN knn USING (i) JOIN near USING (i) WHERE step < 64 GROUP BY s.i)),
-        scale AS (SELECT s.i, rho, greatest(mid, 1e-3 * CASE WHEN rho > 0 THEN mean
-            ELSE (SELECT sum(d) / (count(*) + count(DISTINCT i)) FROM knn) END) AS sigma
-          FROM steps s JOIN near USING (i) WHERE step = 64),
-        directed AS (SELECT i, j, exp(-greatest(d - rho, 0) / sigma) AS w FROM knn JOIN scale USING (i)),
-        both_ways AS (SELECT i, j, w AS a, 0.0::DOUBLE AS b FROM directed UNION ALL SELECT j, i, 0.0::DOUBLE, w FROM directed),
-        united AS (SELECT i, j, sum(a) AS a, sum(b) AS b FROM both_ways GROUP BY ALL)
-        SELECT i, j, round(a + b - a * b, 5) AS w FROM united WHERE a + b - a * b > 0""",
+    "fuzzy_graph": f"WITH RECURSIVE {FUZZY} SELECT i, j, w FROM graph",
+    "layout_step": f"""WITH RECURSIVE {FUZZY},
+        spots AS (SELECT vec_id AS v, embedding[1]::DOUBLE * 10 AS x, embedding[2]::DOUBLE * 10 AS y FROM embeddings),
+        degrees AS (SELECT i AS v, sum(w) AS degree FROM graph GROUP BY 1),
+        draws AS (SELECT n, (43 + {STEP_EPOCH} * {PARTNERS} + s)::DOUBLE * {GOLDEN}::DOUBLE AS k
+          FROM range({PARTNERS}) t(s), (SELECT count(*) AS n FROM embeddings)),
+        others AS (SELECT i AS v, x AS xj, y AS yj, w, false AS push FROM graph JOIN spots ON j = spots.v
+          UNION ALL SELECT (v - (1 + floor((n - 1) * (k - floor(k)))::BIGINT) + n) % n, x, y, 0, true FROM spots, draws),
+        apart AS (SELECT v, x - xj AS dx, y - yj AS dy, w, push, degree, (x - xj) * (x - xj) + (y - yj) * (y - yj) AS d2
+          FROM others JOIN spots USING (v) JOIN degrees USING (v)),
+        strengths AS (SELECT v, dx, dy, CASE
+            WHEN push THEN degree * {REPULSION / PARTNERS}::DOUBLE * {2 * CURVE_B}::DOUBLE
+              / ((0.001::DOUBLE + d2) * (1 + {CURVE_A}::DOUBLE * pow(d2, {CURVE_B}::DOUBLE)))
+            WHEN d2 > 0 THEN w * {-2 * CURVE_A * CURVE_B}::DOUBLE * pow(d2, {CURVE_B - 1}::DOUBLE)
+              / (1 + {CURVE_A}::DOUBLE * pow(d2, {CURVE_B}::DOUBLE))
+            ELSE 0 END AS f FROM apart),
+        moved AS (SELECT v, sum(greatest(-4, least(4, f * dx))) AS fx, sum(greatest(-4, least(4, f * dy))) AS fy FROM strengths GROUP BY 1)
+        SELECT v, round(x + (1 - {STEP_EPOCH}::DOUBLE / 200) * greatest(-4, least(4, fx)), 5) AS x,
+          round(y + (1 - {STEP_EPOCH}::DOUBLE / 200) * greatest(-4, least(4, fy)), 5) AS y FROM spots JOIN moved USING (v)""",
     "pca_2d": f"WITH RECURSIVE {PCA} SELECT vec_id, x, y FROM pca",
     "plot_points": f"WITH RECURSIVE {POINTS} SELECT * FROM points",
     "roundtrip_points": f"""WITH RECURSIVE {POINTS} SELECT dataset, split, count(*) AS n, round(sum(x), 5) AS x,

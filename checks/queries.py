@@ -39,7 +39,8 @@ ROWS_PER_SHARD = 30
 ROWS_PER_BUCKET = 100
 LOG_ROWS_PER_BUCKET = 1000
 ITEMS_PER_OBJECT = 5
-EPOCHS = 10
+#: The epoch that is compared with SQL.
+STEP_EPOCH = 3
 #: Small, so that neighbours are searched over many blocks at every size of the tables.
 BLOCK_ROWS = 64
 
@@ -482,10 +483,20 @@ def plot_points(spark, sf_dir):
 @registered
 def layout_2d(spark, sf_dir):
     vectors = inputs.table(spark, sf_dir, "embeddings")
-    positions = projection.layout_2d(vectors, "vec_id", "embedding", epochs=EPOCHS)
+    positions = projection.layout_2d(vectors, "vec_id", "embedding", block_rows=BLOCK_ROWS)
     return projection.point_table(positions, _described(spark, sf_dir), ["vec_id"])
 
 
+@registered
+def layout_step(spark, sf_dir):
+    """One epoch from places that both engines know."""
+    at = inputs.table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("v"), *[(F.get("embedding", F.lit(i)).cast("double") * 10).alias(c) for i, c in enumerate("xy")]
+    )
+    found = projection.layout_step(at, fuzzy_graph(spark, sf_dir), STEP_EPOCH)
+    return found.select("v", F.round("x", 5).alias("x"), F.round("y", 5).alias("y"))
+
+
 @registered
 def legend(spark, sf_dir):
     slots = provenance.legend(inputs.vector_tree(spark, sf_dir))

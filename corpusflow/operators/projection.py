@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -22,6 +23,10 @@ PARTNERS = 5
 MAX_FORCE = 4.0
 EXTENT = 10.0
 
+#: Part of a force that sums are exact to, and the golden ratio of the draws.
+UNIT = 4294967296
+GOLDEN = 0.6180339887498949
+
 EDGES_PER_PART = 10_000
 
 
@@ -71,13 +76,17 @@ def _clipped(x: str) -> str:
 
 
 def _forces(a: float, b: float) -> tuple[str, str]:
-    """Pull along an edge of weight ``w`` and push between random partners, as SQL."""
+    """Pull along an edge of weight ``w`` and push between random partners, as SQL.
+
+    Forces are whole multiples of ``2 ** -32``: their sums do not depend on the order of the rows.
+    """
     d2 = "((x - xj) * (x - xj) + (y - yj) * (y - yj))"
     fall = f"(1 + {a}D * pow({d2}, {b}D))"
     pull = f"if({d2} > 0, {-2 * a * b}D * pow({d2}, {b - 1}D) / {fall}, 0D)"
     push = f"{2 * b}D / ((0.001D + {d2}) * {fall})"
-    strength = f"w * if(push, {push}, {pull})"
-    return _clipped(f"{strength} * (x - xj)"), _clipped(f"{strength} * (y - yj)")
+    strength = f"if(push, degree * {REPULSION / PARTNERS}D * {push}, w * {pull})"
+    forces = (_clipped(f"{strength} * ({c} - {c}j)") for c in "xy")
+    return tuple(f"cast(round({force} * {UNIT}D) AS long)" for force in forces)
 
 
 def layout_2d(
@@ -94,8 +103,8 @@ def layout_2d(
 
     Starts from the principal components. Each epoch is a join of the edge table with the
     positions of both ends, summed per vertex; vertices with very many edges are cut into
-    parts. The positions are checkpointed every epoch. Partners come from a hash of seed,
-    epoch and vertex, so that a run repeats.
+    parts. Partners follow from seed and epoch and forces are summed exactly, so a run repeats
+    to the last digit, however the rows are dealt.
     """
     a, b = curve(min_dist)
     numbered = stored(_numbered(vectors, id_col, vector_col), "layout-vectors")
@@ -105,22 +114,37 @@ def layout_2d(
     start = stored(pca_2d(numbered, "v", "vec"), "layout-start")
     extent = start.agg(F.greatest(F.max(F.abs("x")), F.max(F.abs("y")), F.lit(1e-12)).alias("m")).first()["m"]
     scale = EXTENT / extent
-    at = stored(
-        start.join(parts, "v", "left").select(
-            "v",
-            (F.col("x") * scale).alias("x"),
-            (F.col("y") * scale).alias("y"),
-            F.coalesce("degree", F.lit(0.0)).alias("degree"),
-            F.coalesce("parts", F.lit(1)).alias("parts"),
-            F.lit(0).alias("epoch"),
-        ),
-        "layout",
-    )
-    for _ in range(epochs):
-        at = checkpointed(_moved(at, edges, n, epochs, seed, _forces(a, b)))
+    scaled = start.select("v", (F.col("x") * scale).alias("x"), (F.col("y") * scale).alias("y"))
+    at = _moved(_placed(scaled, parts), edges, n, epochs, seed, _forces(a, b), epochs)
     return numbered.join(at, "v").select(F.col("id").alias(id_col), "x", "y")
 
 
+def layout_step(
+    positions: DataFrame,
+    graph: DataFrame,
+    epoch: int,
+    epochs: int = 200,
+    min_dist: float = 0.1,
+    seed: int = 42,
+) -> DataFrame:
+    """``(v, x, y)`` one epoch after ``positions(v, x, y)``, vertices being numbered from 0 without gaps.
+
+    ``graph(i, j, w)`` has both directions of each edge.
+    """
+    edges, parts = _split_edges(graph)
+    at = _placed(positions.select("v", "x", "y"), parts).withColumn("epoch", F.lit(epoch))
+    n = positions.count()
+    return _moved(stored(at, "layout"), edges, n, epochs, seed, _forces(*curve(min_dist)), 1).select("v", "x", "y")
+
+
+def _placed(positions: DataFrame, parts: DataFrame) -> DataFrame:
+    """Positions before the first epoch, with degree and number of parts."""
+    return positions.join(parts, "v", "left").select(
+        "v", "x", "y", F.coalesce("degree", F.lit(0.0)).alias("degree"), F.coalesce("parts", F.lit(1)).alias("parts"),
+        F.lit(0).alias("epoch"),
+    )
+
+
 def _numbered(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """Vectors with dense numbers ``v`` in id order."""
     rows = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("vec"))
@@ -148,36 +172,65 @@ def _split_edges(graph: DataFrame) -> tuple[DataFrame, DataFrame]:
         named = many.select(F.col("v").alias(end), F.col("parts").alias("_parts"))
         part = F.pmod(F.xxhash64(other), F.coalesce("_parts", F.lit(1))).cast("int")
         cut = cut.join(named, end, "left").withColumn(f"p{end}", part).drop("_parts")
-    edges = cut.select(
-        F.col("i").alias("vi"), "pi", F.col("j").alias("vj"), "pj", "w", F.lit(False).alias("push")
-    )
-    return stored(edges, "layout-edges"), parts
+    return stored(cut.select(F.col("i").alias("vi"), "pi", F.col("j").alias("vj"), "pj", "w"), "layout-edges"), parts
+
+
+def _moved(
+    at: DataFrame, edges: DataFrame, n: int, epochs: int, seed: int, forces: tuple[str, str], turns: int
+) -> DataFrame:
+    """Positions after ``turns`` more epochs.
+
+    Edges stay where their far ends are, split over as many partitions as a shuffle has, so only
+    positions move: to the edges that start there, and along them to the vertices they pull. An
+    epoch uses the positions three times, so each one is checkpointed: a plan of several epochs
+    would grow threefold with each.
+    """
+    dealt, at = _dealt(edges), checkpointed(at)
+    for _ in range(turns):
+        at = checkpointed(_stepped(at, dealt, n, epochs, seed, forces))
+    dealt.unpersist()
+    return at
 
 
-def _moved(at: DataFrame, edges: DataFrame, n: int, epochs: int, seed: int, forces: tuple[str, str]) -> DataFrame:
+def _dealt(edges: DataFrame) -> DataFrame:
+    """The stored edges by their far ends, kept on the executors; a lost part is dealt again."""
+    width = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = edges.repartition(width, "vj", "pj").persist(StorageLevel.MEMORY_AND_DISK)
+    dealt.count()  # later plans know the partitioning of what is there
+    return dealt
+
+
+def _stepped(at: DataFrame, edges: DataFrame, n: int, epochs: int, seed: int, forces: tuple[str, str]) -> DataFrame:
     """Positions after one more epoch.
 
-    The epoch is a column, not a literal, so that every epoch runs the same compiled code.
+    The epoch is a column, not a literal, so that every epoch runs the same compiled code. In
+    each of an epoch's draws every vertex pushes the one that many numbers below it; the steps of
+    the golden ratio spread the draws evenly over all distances.
     """
-    drawn = ", ".join(f"pmod(xxhash64({seed}, epoch, {s}, v), {n}L)" for s in range(PARTNERS))
-    share = f"degree * {REPULSION / PARTNERS}D AS w"
-    pushes = at.selectExpr("v AS vi", "0 AS pi", f"explode(array({drawn})) AS vj", "0 AS pj", share, "true AS push")
-    each = at.selectExpr("v", "x", "y", "explode(sequence(0, parts - 1)) AS p")
+    draw = f"({seed + 1}D + epoch * {PARTNERS}D + s) * {GOLDEN}D"
+    shift = f"cast(1 + floor({n - 1}D * ({draw} - floor({draw}))) AS long)"
+    pushes = (
+        at.selectExpr("v", "x", "y", "epoch", f"explode(sequence(0, {PARTNERS - 1})) AS s")
+        .selectExpr(f"pmod(v - {shift}, {n}L) AS vi", "0 AS pi", "x AS xj", "y AS yj", "0D AS w", "true AS push", "v AS vj")
+        .filter("vi <> vj")
+        .drop("vj")
+    )
+    each = at.selectExpr("v", "x", "y", "degree", "explode(sequence(0, parts - 1)) AS p")
     far = each.selectExpr("v AS vj", "p AS pj", "x AS xj", "y AS yj")
-    near = each.selectExpr("v AS vi", "p AS pi", "x", "y")
+    near = each.selectExpr("v AS vi", "p AS pi", "x", "y", "degree")
+    pulls = edges.join(far, ["vj", "pj"]).select("vi", "pi", "xj", "yj", "w", F.lit(False).alias("push"))
     fx, fy = forces
-    pulled = (
-        edges.unionByName(pushes.filter("vi <> vj"))
-        .join(far, ["vj", "pj"])
-        .join(near, ["vi", "pi"])
-        .groupBy(F.col("vi").alias("v"))
-        .agg(F.expr(f"sum({fx}) AS fx"), F.expr(f"sum({fy}) AS fy"))
+    state = ["x", "y", "degree", "parts", "epoch"]
+    moves = pulls.unionByName(pushes).join(near, ["vi", "pi"]).selectExpr("vi AS v", f"{fx} AS fx", f"{fy} AS fy")
+    own = at.selectExpr("v", *state, "0L AS fx", "0L AS fy")
+    summed = own.unionByName(moves, allowMissingColumns=True).groupBy("v").agg(
+        F.sum("fx").alias("fx"), F.sum("fy").alias("fy"), *[F.max(c).alias(c) for c in state]
     )
-    step = f"(1 - epoch / {float(epochs)}D) * coalesce({{}}, 0D)"
-    return at.join(pulled, "v", "left").selectExpr(
+    step = f"(1 - epoch / {float(epochs)}D) * {{}}"
+    return summed.selectExpr(
         "v",
-        f"x + {step.format(_clipped('fx'))} AS x",
-        f"y + {step.format(_clipped('fy'))} AS y",
+        f"x + {step.format(_clipped(f'(fx / {UNIT}D)'))} AS x",
+        f"y + {step.format(_clipped(f'(fy / {UNIT}D)'))} AS y",
         "degree",
         "parts",
         "epoch + 1 AS epoch",

@@ -172,10 +172,34 @@ def test_layout_keeps_neighbours_better_than_pca_and_repeats(spark):
 
     layout = points(projection.layout_2d(vectors, "id", "v", epochs=12))
     again = points(projection.layout_2d(vectors.repartition(3), "id", "v", epochs=12))
-    assert np.allclose(layout, again, atol=1e-6)
+    assert (layout == again).all()
     assert overlap(range(200), matrix, layout) > overlap(range(200), matrix, points(projection.pca_2d(vectors, "id", "v")))
 
 
+def test_edges_stay_where_their_far_ends_are(spark, monkeypatch):
+    """An epoch shuffles positions and moves, but not the edges, and a hub's parts give what the hub gives."""
+    n = 200
+    star = [(0, j, 0.5) for j in range(1, n)] + [(j, 0, 0.5) for j in range(1, n)]
+    graph = spark.createDataFrame(star, "i long, j long, w double")
+    at = spark.range(n).select(F.col("id").alias("v"), F.sin("id").alias("x"), F.cos("id").alias("y"))
+    whole = projection.layout_step(at, graph, 2).orderBy("v").collect()
+    monkeypatch.setattr(projection, "EDGES_PER_PART", 10)
+    assert projection.layout_step(at, graph, 2).orderBy("v").collect() == whole
+
+    edges, parts = projection._split_edges(graph)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        placed = projection.checkpointed(projection._placed(at, parts))
+        dealt = projection._dealt(edges)
+        step = projection._stepped(placed, dealt, n, 200, 42, projection._forces(*projection.curve(0.1)))
+        plan = step._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # Between the edges and their join there is a sort, and no exchange.
+    near_join = plan[plan.index("SortMergeJoin [vj") : plan.index("InMemoryTableScan [vi")]
+    assert "Exchange" not in near_join and plan.count("ENSURE_REQUIREMENTS") >= 4
+
+
 def test_hubs_are_cut_into_parts(spark, monkeypatch):
     monkeypatch.setattr(projection, "EDGES_PER_PART", 10)
     star = [(0, j, 1.0) for j in range(1, 101)] + [(j, 0, 1.0) for j in range(1, 101)]
