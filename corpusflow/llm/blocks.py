@@ -7,8 +7,8 @@ into: blocks send their distinct keys to the shards, shards answer each block. B
 Spark shuffles of rows ``(to, kind, part, data)`` grouped by ``to``, with arrays packed in
 ``data``. Hashes spread evenly, and a common word comes once from each block, so no shard is hot.
 
-Blocks depend only on the rows of the scan task, in their order: a task that runs again makes
-the same block. Answers that do not fit the block of a second scan fail the query.
+Blocks depend only on the rows of the scan task, in their order. Operators scan their rows more
+than once, so the rows have to come alike each time: ``settled`` writes rows that may not.
 """
 
 from __future__ import annotations
@@ -24,6 +24,8 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
+from corpusflow.session import stored
+
 MESSAGE = "to long, kind int, part long, data binary"
 #: Code points of one block (one document at least), UTF-8 bytes of text per shard.
 BLOCK_CHARS = 32_000_000
@@ -38,6 +40,16 @@ def shard_count(docs: DataFrame, column: str = "text", shard_bytes: int = SHARD_
     return max(1, -(-total // shard_bytes))
 
 
+def settled(rows: DataFrame, stable: bool) -> DataFrame:
+    """Rows that every scan gives alike, task by task.
+
+    Rows behind a shuffle may come otherwise in a second scan or in a task that runs again, so
+    they are written to the shared folder first. ``stable`` promises that there is no need to,
+    as with a table just read from files.
+    """
+    return rows if stable else stored(rows, "texts")
+
+
 def narrow(values: np.ndarray) -> np.ndarray:
     """The same non-negative integers in the smallest type that holds them."""
     return values.astype(np.min_scalar_type(int(values.max())) if len(values) else np.uint8)
@@ -164,4 +176,5 @@ def messages(rows: Iterable[tuple[int, int, int, bytes]]) -> pa.RecordBatch:
 
 def arrow_type(docs: DataFrame) -> pa.DataType:
     """The Arrow type of ids: whole numbers or text."""
-    return {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[docs.schema["doc_id"].dataType.simpleString()]
+    whole = {"bigint": pa.int64(), "int": pa.int32(), "smallint": pa.int16(), "tinyint": pa.int8()}
+    return {**whole, "string": pa.string()}[docs.schema["doc_id"].dataType.simpleString()]

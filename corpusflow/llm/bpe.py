@@ -16,8 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from corpusflow.llm.blocks import (
-    ANSWER, MESSAGE, OWN, blocks, hashes, messages, narrow, pack, pack_object, shard_count, shard_of, unpack,
-    unpack_object, unpack_words,
+    ANSWER, MESSAGE, OWN, blocks, hashes, messages, narrow, pack, pack_object, settled, shard_count, shard_of,
+    unpack, unpack_object, unpack_words,
 )
 from corpusflow.llm.token_counts import distinct_units, encoded_once, split_messages, tokenizer, units
 
@@ -86,7 +86,7 @@ def _digests(sent: pd.DataFrame, path: str) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"], dtype=object)
 
 
-def encode_decode(docs: DataFrame, path: str, digests: bool = False) -> DataFrame:
+def encode_decode(docs: DataFrame, path: str, digests: bool = False, stable: bool = False) -> DataFrame:
     """Encode each whole text and decode it again: ``doc_id, n_tokens, ids, decoded``.
 
     ``path`` names a file of the ``tokenizers`` library without a decoder of its own: decoding
@@ -95,10 +95,11 @@ def encode_decode(docs: DataFrame, path: str, digests: bool = False) -> DataFram
     space, of the decoded text) and neither leaves the Python workers.
 
     One row per input row, repeated rows and NULL ids included; a NULL text counts as empty:
-    no ids and an empty text. An empty table gives no rows; other columns are ignored.
+    no ids and an empty text. An empty table gives no rows; other columns are ignored. ``docs``
+    are written to the shared folder first, unless they are ``stable`` (see ``blocks.settled``).
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    texts = docs.select("doc_id", "text")
+    texts = settled(docs.select("doc_id", "text"), stable)
     shards = shard_count(texts)
     encoded = (
         texts.mapInArrow(partial(distinct_units, shards=shards), MESSAGE)

@@ -20,8 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from corpusflow.llm.blocks import (
-    ANSWER, MESSAGE, OWN, blocks, hashes, messages, narrow, pack, pack_object, rising, shard_count, shard_of,
-    unpack, unpack_object,
+    ANSWER, MESSAGE, OWN, blocks, hashes, messages, narrow, pack, pack_object, rising, settled, shard_count,
+    shard_of, unpack, unpack_object,
 )
 from corpusflow.session import fresh_path, stored
 
@@ -313,7 +313,7 @@ def _run(rows: DataFrame, model: Model, build: bool) -> DataFrame:
     return told.groupBy("to").applyInPandas(lambda sent: _scores(sent, model), schema)
 
 
-def train_and_score(docs: DataFrame, learn: Column) -> tuple[Model, DataFrame]:
+def train_and_score(docs: DataFrame, learn: Column, stable: bool = False) -> tuple[Model, DataFrame]:
     """Learn from the documents where ``learn`` is true, score all of them.
 
     The scores: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score,
@@ -323,13 +323,15 @@ def train_and_score(docs: DataFrame, learn: Column) -> tuple[Model, DataFrame]:
     One row per input row, repeated rows (which count again) and NULL ids included. A NULL or
     empty text is its end alone. Where ``learn`` is NULL a document isn't learned from. With
     nothing to learn from, every word is equally likely; an empty table gives no rows. Other
-    columns of ``docs`` are ignored.
+    columns of ``docs`` are ignored. ``docs`` are written to the shared folder first, unless they
+    are ``stable`` (see ``blocks.settled``).
     """
-    rows = docs.select("doc_id", F.coalesce(learn, F.lit(False)).alias("learn"), "text")
+    rows = settled(docs.select("doc_id", F.coalesce(learn, F.lit(False)).alias("learn"), "text"), stable)
     model = Model(fresh_path(docs.sparkSession, "ngrams"), shard_count(rows))
     return model, _run(rows, model, build=True)
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
+def score(docs: DataFrame, model: Model, stable: bool = False) -> DataFrame:
     """Scores of further documents by a stored model; the columns of ``train_and_score``."""
-    return _run(docs.select("doc_id", F.lit(False).alias("learn"), "text"), model, build=False)
+    rows = settled(docs.select("doc_id", F.lit(False).alias("learn"), "text"), stable)
+    return _run(rows, model, build=False)

@@ -120,6 +120,8 @@ def classify(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
 
     ``score`` is the scorer's probability of a good document. The labellers vote on all
     documents; at most ``train_rows`` rows, with the posteriors of their votes, train the scorer.
+    Rows of one id are chosen together or not at all: with nothing chosen the scorer learns
+    nothing and gives 0.5.
 
     One row per input row, repeated rows and NULL ids included; a NULL or blank text
     has every vote against it, gets score 0 and isn't kept. An empty table gives no rows; other
@@ -144,7 +146,10 @@ def classify(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
     chosen = sample(texts, train_rows)
 
     def trained(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(frames))
+        frames = list(frames)
+        if not frames:
+            return
+        rows = pd.concat(frames)
         label = np.array([posterior[votes(t)] for t in rows["text"]])
         batch = pa.RecordBatch.from_pandas(rows[["doc_id", "text"]].astype({"text": object}), preserve_index=False)
         (block,) = blocks([batch], words_of, size=1 << 60)

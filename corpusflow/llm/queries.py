@@ -28,20 +28,20 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 @registered
 def op1_token_counts(spark, sf_dir):
-    return token_counts.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return token_counts.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), stable=True)
 
 
 @registered
 def op8_bpe(spark, sf_dir):
     path = public_tokenizers.path("word_bpe_49k.json")
-    return bpe.encode_decode(_table(spark, sf_dir, "documents"), path, digests=True)
+    return bpe.encode_decode(_table(spark, sf_dir, "documents"), path, digests=True, stable=True)
 
 
 @registered
 def op6_language_model(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
     learn = F.coalesce(F.crc32(F.col("doc_id").cast("string")), F.lit(0)) % 7 != 2
-    return language_model.train_and_score(docs, learn)[1]
+    return language_model.train_and_score(docs, learn, stable=True)[1]
 
 
 @registered

@@ -18,8 +18,8 @@ from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
 from corpusflow.llm.blocks import (
-    ANSWER, MESSAGE, OWN, blocks, hashes, messages, narrow, pack, pack_object, pack_words, rising, shard_count,
-    shard_of, unpack, unpack_object, unpack_words,
+    ANSWER, MESSAGE, OWN, blocks, hashes, messages, narrow, pack, pack_object, pack_words, rising, settled,
+    shard_count, shard_of, unpack, unpack_object, unpack_words,
 )
 
 _AFTER_SPACE = re.compile(r"\s ")
@@ -118,17 +118,19 @@ def _sums(sent: pd.DataFrame, limit: int) -> pd.DataFrame:
     return out.assign(over_limit=out["n_tokens"] > limit)
 
 
-def count_tokens(docs: DataFrame, path: str, limit: int = 1024) -> DataFrame:
+def count_tokens(docs: DataFrame, path: str, limit: int = 1024, stable: bool = False) -> DataFrame:
     """Tokens of each whole text: ``doc_id, n_bytes, n_tokens, over_limit``.
 
     The tokenizer is a file of the ``tokenizers`` library that every worker can open; special
     strings inside a text are tokens, none is added. One row per input row, repeated rows and
     NULL ids included; a NULL text counts as empty, with no tokens; an empty table gives no
-    rows; other columns of ``docs`` are ignored. Memory is bounded by a block of documents and
+    rows; other columns of ``docs`` are ignored. ``docs`` are written to the shared folder first,
+    unless they are ``stable`` (see ``blocks.settled``). Memory is bounded by a block of documents and
     a shard of units, whatever the length of the text's pieces or the number of documents.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     texts = docs.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), "text")
+    texts = settled(texts, stable)
     shards = shard_count(texts)
     counted = (
         texts.mapInArrow(partial(distinct_units, shards=shards), MESSAGE)
