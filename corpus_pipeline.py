@@ -47,7 +47,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids and decoded texts as digests, with the number of tokens."""
     _shipped(spark)
-    return bpe.encode_decode(docs, public_tokenizers.path(TOKENIZER), digests=True)
+    return bpe.encode_decode(docs, public_tokenizers.path(TOKENIZER), digests=True, stable=True)
 
 
 STAGES = [
