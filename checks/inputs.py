@@ -8,6 +8,7 @@ import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from corpusflow.operators.encode import TokenHashEncoder
@@ -198,6 +199,27 @@ def archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.mapInPandas(zipped, "document string, content binary")
 
 
+class Faulty:
+    """Factory of an encoder that gives one vector too few, one number too many or none that is finite.
+
+    Which one follows from the number of characters: 11, 13 or 17 divides it.
+    """
+
+    cache_key, dim = "faulty", 16
+
+    def __call__(self):
+        encoder = TokenHashEncoder()
+
+        def encode(texts):
+            found = encoder(texts)
+            found[[len(text) % 17 == 0 for text in texts]] = np.nan
+            if any(len(text) % 13 == 0 for text in texts):
+                found = np.hstack([found, found[:, :1]])
+            return found[1:] if any(len(text) % 11 == 0 for text in texts) else found
+
+        return encode
+
+
 class Choosy:
     """Factory of an encoder that refuses texts whose number of characters 97 divides."""
 

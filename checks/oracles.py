@@ -285,6 +285,10 @@ ORACLES: dict[str, str] = {
         SELECT field, CASE WHEN length(value) > 500 THEN left(value, 500) || '...' ELSE value END AS value FROM u""",
     "embed_documents": f"""WITH {_embedding('documents')}, n AS (SELECT doc_id, sum(c)::BIGINT AS n_tokens FROM counted GROUP BY 1)
         SELECT doc_id, n_tokens, 16::BIGINT AS dim, component, round(x, 6) AS x FROM vec JOIN n USING (doc_id)""",
+    "embed_faulty": f"""WITH {_embedding('documents')}, judged AS (SELECT doc_id,
+          length(text) % 11 = 0 OR length(text) % 13 = 0 OR length(text) % 17 = 0 AS failed FROM documents)
+        SELECT doc_id, failed, CASE WHEN NOT failed THEN round(x::FLOAT::DOUBLE, 4) END AS x0
+        FROM judged JOIN vec USING (doc_id) WHERE component = 0""",
     "embed_queries": f"""WITH asked AS (SELECT doc_id, 'query: ' || text AS text FROM documents),
         {_embedding('asked', max_tokens=8192)} SELECT doc_id, component, round(x, 6) AS x FROM vec""",
     "attach_source": f"""WITH {RUN}, {_embedding('blanked')}

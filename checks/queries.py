@@ -45,6 +45,11 @@ STEP_EPOCH = 3
 BLOCK_ROWS = 64
 
 
+def _tasks(spark: SparkSession) -> int:
+    """Tasks for rows of a few large files that each need much work."""
+    return spark.sparkContext.defaultParallelism
+
+
 def registered(fn: Query) -> Query:
     QUERIES[fn.__name__] = fn
     return fn
@@ -299,15 +304,25 @@ def _components(rows: DataFrame, *keep: str) -> DataFrame:
 @registered
 def embed_documents(spark, sf_dir):
     docs = inputs.table(spark, sf_dir, "documents").withColumn("n_tokens", encode.token_count(F.col("text")).cast("long"))
-    rows = encode.embed(docs, "text", keep=["doc_id", "n_tokens"])
+    rows = encode.embed(docs, "text", keep=["doc_id", "n_tokens"], tasks=_tasks(spark))
     return _components(rows.withColumn("dim", dim(F.col("embeddings")).cast("long")), "doc_id", "n_tokens", "dim")
 
 
+@registered
+def embed_faulty(spark, sf_dir):
+    """Single-precision vectors of an encoder whose results are short, wide or not finite for some texts."""
+    docs = inputs.table(spark, sf_dir, "documents")
+    rows = encode.embed(docs, "text", inputs.Faulty(), keep=["doc_id"], tasks=_tasks(spark), numbers="float")
+    return rows.select(
+        "doc_id", F.col("error").isNotNull().alias("failed"), F.round(F.get("embeddings", F.lit(0)).cast("double"), 4).alias("x0")
+    )
+
+
 @registered
 def embed_queries(spark, sf_dir):
     """The input-type prefix and the encoder's token limit, here its usual 8192."""
     docs = inputs.table(spark, sf_dir, "documents")
-    rows = encode.embed(docs, "text", encode.TokenHash(max_tokens=8192), prefix="query: ", keep=["doc_id"])
+    rows = encode.embed(docs, "text", encode.TokenHash(max_tokens=8192), prefix="query: ", keep=["doc_id"], tasks=_tasks(spark))
     return _components(rows, "doc_id")
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator, Sequence
 from itertools import chain
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 # An encoder maps texts to a matrix of unit vectors, one row per text. A factory builds it.
@@ -96,27 +96,61 @@ def _encoder(factory: EncoderFactory) -> Encoder:
     return _built[key]
 
 
-def _by_length(encoder: Encoder, texts: list[str], batch_size: int) -> tuple[list, list]:
+def _checked(found: object, n: int, width: int | None) -> np.ndarray:
+    """The encoder's result as a matrix of ``n`` rows; anything else is a fault of the whole batch."""
+    matrix = np.asarray(found, dtype=np.float64)
+    if matrix.ndim != 2 or len(matrix) != n:
+        raise ValueError(f"{n} texts gave an array of shape {matrix.shape}")
+    if width is not None and matrix.shape[1] != width:
+        raise ValueError(f"vectors of {matrix.shape[1]} numbers, {width} expected")
+    return matrix
+
+
+class _Vectors:
+    """Vectors and errors of one batch of rows, in input order, all of one width."""
+
+    def __init__(self, n: int, width: int | None):
+        self.width, self.matrix, self.errors = width, None, [None] * n
+
+    def put(self, rows: Sequence[int], found: object) -> None:
+        matrix = _checked(found, len(rows), self.width)
+        if self.matrix is None:
+            self.width = matrix.shape[1]
+            self.matrix = np.zeros((len(self.errors), self.width))
+        self.matrix[rows] = matrix
+        for i, fine in zip(rows, np.isfinite(matrix).all(axis=1)):
+            self.errors[i] = None if fine else "vector is not finite"
+
+    def arrow(self, kind: pa.DataType) -> pa.Array:
+        """A list per row, none where there is an error."""
+        n, width = len(self.errors), self.width or 0
+        missing = np.array([e is not None for e in self.errors], dtype=bool)
+        kept = self.matrix[~missing] if self.matrix is not None else np.zeros((0, 0))
+        offsets = np.concatenate([[0], np.cumsum(~missing) * width]).astype(np.int32)
+        values = pa.array(kept.ravel(), type=kind)
+        return pa.ListArray.from_arrays(pa.array(offsets), values, mask=pa.array(missing) if n else None)
+
+
+def _by_length(encoder: Encoder, texts: list[str], batch_size: int, width: int | None) -> _Vectors:
     """Vectors and error messages in input order.
 
-    Batches hold texts of similar length to save padding. A failing batch is tried again
-    text by text, so that one bad text does not take the others with it.
+    Batches hold texts of similar length to save padding. A batch that fails, or whose result
+    is not one vector of the right width for each text, is tried again text by text, so that one
+    bad text does not take the others with it.
     """
-    vectors: list = [None] * len(texts)
-    errors: list = [None] * len(texts)
+    out = _Vectors(len(texts), width)
     order = sorted(range(len(texts)), key=lambda i: len(texts[i]))
     for start in range(0, len(order), batch_size):
         batch = order[start : start + batch_size]
         try:
-            for i, vector in zip(batch, encoder([texts[i] for i in batch])):
-                vectors[i] = vector
+            out.put(batch, encoder([texts[i] for i in batch]))
         except Exception:
             for i in batch:
                 try:
-                    vectors[i] = encoder([texts[i]])[0]
+                    out.put([i], encoder([texts[i]]))
                 except Exception as failure:
-                    errors[i] = str(failure)
-    return vectors, errors
+                    out.errors[i] = str(failure)
+    return out
 
 
 def embed(
@@ -127,36 +161,42 @@ def embed(
     batch_size: int = 32,
     keep: Sequence[str] | None = None,
     tasks: int | None = None,
+    width: int | None = None,
+    numbers: str = "double",
 ) -> DataFrame:
     """Columns ``keep`` with ``embeddings`` and ``error`` added.
 
     Rows are encoded where they are read, without a shuffle, unless ``tasks`` says over how
-    many tasks to spread them first. Rows stream through as Arrow batches, so memory does not
-    grow with the partition. The text itself stays behind unless ``keep`` names it.
+    many tasks to spread them first. Rows stream through as Arrow batches, whose other columns
+    are passed on as they are, so memory does not grow with the partition. The text itself stays
+    behind unless ``keep`` names it.
+
+    Every row has a vector of finite numbers or an ``error``, never neither. Vectors have
+    ``width`` numbers, by default the factory's ``dim``, else as many as the first one of a batch
+    of rows. ``numbers`` is double, or float for half the bytes.
     """
     factory = factory or TokenHash()
+    width = width or getattr(factory, "dim", None)
     keep = list(keep if keep is not None else [c for c in df.columns if c != text])
+    number, arrow = {"double": (T.DoubleType(), pa.float64()), "float": (T.FloatType(), pa.float32())}[numbers]
     schema = T.StructType(
         [df.schema[c] for c in keep]
-        + [T.StructField("embeddings", T.ArrayType(T.DoubleType())), T.StructField("error", T.StringType())]
+        + [T.StructField("embeddings", T.ArrayType(number)), T.StructField("error", T.StringType())]
     )
     carried = [c for c in keep if c != text]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(factory)
         for batch in batches:
-            texts = [prefix + t for t in batch["_text"]]
-            vectors, errors = _by_length(encoder, texts, batch_size)
-            out = batch[carried].copy()
-            if text in keep:
-                out[text] = batch["_text"]
-            out["embeddings"] = pd.Series(vectors, index=batch.index, dtype=object)
-            out["error"] = pd.Series(errors, index=batch.index, dtype=object)
-            yield out[[*keep, "embeddings", "error"]]
+            texts = batch.column(len(carried))
+            found = _by_length(encoder, [prefix + t for t in texts.to_pylist()], batch_size, width)
+            others = {c: batch.column(i) for i, c in enumerate(carried)} | {text: texts}
+            arrays = [*(others[c] for c in keep), found.arrow(arrow), pa.array(found.errors, pa.string())]
+            yield pa.RecordBatch.from_arrays(arrays, names=[*keep, "embeddings", "error"])
 
     present = df.filter(F.col(text).isNotNull())
     present = present.repartition(tasks) if tasks else present
-    return present.select(*carried, F.col(text).alias("_text")).mapInPandas(run, schema)
+    return present.select(*carried, F.col(text).alias("_text")).mapInArrow(run, schema)
 
 
 def token_count(text: Column, max_tokens: int | None = None) -> Column:

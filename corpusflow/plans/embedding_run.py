@@ -63,7 +63,7 @@ def shard_status(sharded: DataFrame, done: DataFrame, failed: DataFrame | None =
 
 def refused(encoded: DataFrame) -> DataFrame:
     """Rows per shard the encoder refused, as ``errors``; pass a stored table, not a plan that encodes again."""
-    bad = encoded.filter(F.col("error").isNotNull())
+    bad = encoded.filter(F.col("error").isNotNull() | F.col("embeddings").isNull())
     return bad.groupBy(*shards.SHARD_KEY).agg(F.count(F.lit(1)).alias("errors"))
 
 

@@ -66,6 +66,45 @@ def test_one_bad_text_does_not_take_the_batch_with_it(spark):
     assert all(rows[i]["embeddings"] == [1.0, 1.0] and rows[i]["error"] is None for i in range(8) if i != 3)
 
 
+class Odd:
+    """Gives too few vectors, too wide ones or numbers that are not finite, by words of the text."""
+
+    dim = 2
+
+    def __call__(self):
+        def run(texts):
+            rows = [[np.nan, 0.0] if "nan" in t else [1.0, 2.0] for t in texts]
+            if any("wide" in t for t in texts):
+                rows = [[*r, 3.0] for r in rows]
+            return np.array(rows[:-1] if any("short" in t for t in texts) else rows)
+
+        return run
+
+
+def test_results_that_break_the_contract_are_errors(spark):
+    texts = ["good", "short", "wide", "nan", "good too", ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string").coalesce(1)
+    for batch in (1, 4, 32):
+        rows = {r["id"]: r for r in encode.embed(df, "text", Odd(), batch_size=batch).collect()}
+        assert [rows[i]["embeddings"] for i in range(6)] == [[1.0, 2.0], None, None, None, [1.0, 2.0], [1.0, 2.0]]
+        assert [rows[i]["error"] is None for i in range(6)] == [True, False, False, False, True, True]
+    told = encode.embed(df, "text", Picky(), width=3).collect()
+    assert all(r["embeddings"] is None and "3 expected" in r["error"] for r in told)
+
+
+def test_floats_take_half_the_bytes(spark, tmp_path):
+    df = spark.range(2000).select("id", F.concat(F.lit("text "), "id").alias("text")).coalesce(1)
+    sizes = {}
+    for numbers in ("double", "float"):
+        out = str(tmp_path / numbers)
+        encode.embed(df, "text", numbers=numbers).select("embeddings").write.option("compression", "none").option(
+            "parquet.enable.dictionary", "false"
+        ).parquet(out)
+        sizes[numbers] = sum(f.stat().st_size for f in (tmp_path / numbers).glob("*.parquet"))
+        assert spark.read.parquet(out).schema["embeddings"].dataType.elementType.simpleString() == numbers
+    assert sizes["float"] < 0.6 * sizes["double"]
+
+
 def test_masked_mean_ignores_padding():
     states = np.array([[[1.0, 2.0], [3.0, 4.0], [100.0, 100.0]]])
     assert encode.masked_mean(states, np.array([[1, 1, 0]])).tolist() == [[2.0, 3.0]]
