@@ -246,6 +246,9 @@ ORACLES: dict[str, str] = {
     "shard_assign_text": f"""WITH {SAMPLES}, keyed AS (SELECT dataset, split, md5(doc_id::VARCHAR) AS uuid FROM samples),
         {_sharded('keyed', str(SHARDS), 'uuid')} SELECT uuid, shard_id, original_index FROM sharded""",
     "resume_pending": f"WITH {SAMPLES} SELECT dataset, split, doc_id FROM samples WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
+    "resume_committed": f"""WITH {RUN} SELECT dataset, split, shard_id, any_value(k)::BIGINT AS total_shards FROM sharded
+        GROUP BY dataset, split, shard_id
+        HAVING count(text) > 0 AND (dataset = 'src2' OR dataset = 'src1' AND count(text) FILTER (original_index % 2 = 1) > 0)""",
     "resume_skipped": f"WITH {SAMPLES} SELECT dataset, split, doc_id FROM samples WHERE doc_id IN (SELECT doc_id FROM labels)",
     "shard_status": f"""WITH {RUN}, per_shard AS (SELECT dataset, split, shard_id, count(text) AS n,
           count(*) FILTER (length(text) % 97 = 0) AS e FROM sharded GROUP BY ALL)

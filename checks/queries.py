@@ -197,6 +197,20 @@ def resume_pending(spark, sf_dir):
     return shards.pending(inputs.samples(spark, sf_dir).select("dataset", "split", "doc_id"), done, ["doc_id"])
 
 
+@registered
+def resume_committed(spark, sf_dir):
+    """What is to be done again after one dataset's shards were half overwritten and another's cut anew."""
+    root = fresh_path(spark, "committed")
+    rows = _sharded_run(spark, sf_dir, resume=False).embeddings
+    writers.write_shards(rows, root)
+    writers.write_embeddings(rows.filter("dataset = 'src1' AND original_index % 2 = 0"), root)
+    other = rows.filter("dataset = 'src2'").withColumn("total_shards", F.col("total_shards") + 1)
+    writers.write_shards(other, root)
+    plan = rows.select(*shards.SHARD_KEY, "total_shards").distinct()
+    todo = shards.pending(plan, writers.committed_shards(spark, root, plan))
+    return todo.select("dataset", "split", *_long("shard_id", "total_shards"))
+
+
 @registered
 def resume_skipped(spark, sf_dir):
     done = inputs.table(spark, sf_dir, "labels")

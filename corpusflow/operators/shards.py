@@ -42,21 +42,32 @@ def assign(
     ).drop("_idx", "_n", "_k")
 
 
+def matched(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """A join on keys of which some may be missing: no split is a split of its own."""
+    named = right.select(*[F.col(c).alias(f"_on_{c}") if c in keys else F.col(c) for c in right.columns])
+    return left.join(named, [F.col(c).eqNullSafe(F.col(f"_on_{c}")) for c in keys], how).drop(*[f"_on_{c}" for c in keys])
+
+
 def pending(work: DataFrame, done: DataFrame, keys: Sequence[str] = SHARD_KEY) -> DataFrame:
     """Rows of ``work`` whose key is not in ``done``."""
-    return work.join(done.select(*keys), list(keys), "left_anti")
+    return matched(work, done.select(*keys), keys, "left_anti")
 
 
 def skipped(work: DataFrame, done: DataFrame, keys: Sequence[str] = SHARD_KEY) -> DataFrame:
     """Rows of ``work`` whose key is already in ``done``."""
-    return work.join(done.select(*keys), list(keys), "left_semi")
+    return matched(work, done.select(*keys), keys, "left_semi")
 
 
-def done_from_files(files: DataFrame) -> DataFrame:
-    """Shards whose ``…-00003-of-00010.parquet`` file was found valid, with their samples.
+def done_from_files(files: DataFrame, plan: DataFrame) -> DataFrame:
+    """Shards of ``plan`` whose ``…-00003-of-00010.parquet`` file was found valid, with their samples.
 
-    Files that cannot be read are not listed, so their shards are done again.
+    ``plan`` has ``dataset, split, total_shards``: a file of another number of shards is no part
+    of it. Files that cannot be read are not listed, so their shards are done again.
     """
-    shard = F.regexp_extract("file", r"-(\d+)-of-\d+\.parquet$", 1)
-    named = files.filter(F.col("valid") & (shard != ""))
-    return named.groupBy("dataset", "split", shard.cast("int").alias("shard_id")).agg(F.sum("rows").alias("samples"))
+    part = [F.regexp_extract("file", r"-(\d+)-of-(\d+)\.parquet$", i) for i in (1, 2)]
+    named = files.filter(F.col("valid") & (part[0] != ""))
+    found = named.groupBy(
+        "dataset", "split", part[0].cast("int").alias("shard_id"), part[1].cast("int").alias("total_shards")
+    ).agg(F.sum("rows").alias("samples"))
+    planned = plan.select("dataset", "split", "total_shards").distinct()
+    return matched(found, planned, ["dataset", "split", "total_shards"], "left_semi").drop("total_shards")

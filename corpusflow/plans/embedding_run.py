@@ -43,9 +43,9 @@ def shard_status(sharded: DataFrame, done: DataFrame, failed: DataFrame | None =
     """
     key = list(shards.SHARD_KEY)
     found = sharded.groupBy(*key).agg(F.count_if("has_text").alias("_texts"))
-    found = found.join(done.select(*key, F.col("samples").alias("_stored")), key, "left")
+    found = shards.matched(found, done.select(*key, F.col("samples").alias("_stored")), key, "left")
     if failed is not None:
-        found = found.join(failed.select(*key, "errors"), key, "left")
+        found = shards.matched(found, failed.select(*key, "errors"), key, "left")
     else:
         found = found.withColumn("errors", F.lit(0))
     errors = F.coalesce("errors", F.lit(0))
@@ -83,7 +83,7 @@ def embed_shards(
     """
     sharded = sharded_texts(samples, key, total_shards)
     todo = shards.pending(sharded, done).filter("has_text")
-    keep = [*shards.SHARD_KEY, "original_index", key]
+    keep = [*shards.SHARD_KEY, "total_shards", "original_index", key]
     encoded = stored(encode.embed(todo, "text", factory, prefix, keep=keep), "encoded")
     return ShardRun(encoded, shard_status(sharded, done, refused(encoded)))
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from corpusflow.operators.blocks import preview
 from corpusflow.operators.fetch import quarantine
-from corpusflow.operators.shards import SHARD_KEY
+from corpusflow.operators.shards import SHARD_KEY, matched
+from corpusflow.sources.samples import read_shards
 
 ROWS_PER_FILE = 500_000
 
@@ -31,6 +32,49 @@ def write_embeddings(rows: DataFrame, root: str, rows_per_file: int = ROWS_PER_F
     )
 
 
+#: Below the root of the shards; readers of the tree pass over names that begin like this.
+MANIFEST = "_manifest"
+
+
+def write_shards(rows: DataFrame, root: str, rows_per_file: int = ROWS_PER_FILE) -> None:
+    """Write ``rows``, which have ``total_shards``, and then list their shards in the manifest.
+
+    ``rows`` is a stored table: it is read twice. The manifest's entries, one row for each shard
+    with its plan, rows and files, are committed as a single file, after all files of the shards
+    are in place. A shard without an entry, or with other rows than its entry says, is not done.
+    """
+    write_embeddings(rows, root, rows_per_file)
+    spark = rows.sparkSession
+    kept = rows.filter(F.col("embeddings").isNotNull())
+    meant = kept.groupBy(*SHARD_KEY, "total_shards").agg(F.count(F.lit(1)).alias("rows"))
+    there = shard_files(spark, root).withColumnRenamed("rows", "found")
+    entries = matched(meant, there, SHARD_KEY).filter("rows = found").drop("found")
+    entries.withColumn("at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(f"{root}/{MANIFEST}")
+
+
+def shard_files(spark: SparkSession, root: str) -> DataFrame:
+    """Rows and files of each shard's folder, by the files' footers."""
+    path = F.col("_metadata.file_path")
+    return read_shards(spark, root).groupBy(*SHARD_KEY).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct(path).alias("files")
+    )
+
+
+def committed_shards(spark: SparkSession, root: str, plan: DataFrame) -> DataFrame:
+    """``dataset, split, shard_id, samples`` of the shards of ``plan`` that are stored whole.
+
+    ``plan`` has ``dataset, split, total_shards``. The last entry of a shard counts, if it is of
+    this plan and the shard's files still have its rows.
+    """
+    schema = "dataset string, split string, shard_id int, total_shards int, rows long, files long, at timestamp"
+    entries = spark.read.schema(schema).parquet(f"{root}/{MANIFEST}")
+    last = entries.groupBy(*SHARD_KEY).agg(F.max_by(F.struct("total_shards", "rows", "files"), "at").alias("e"))
+    last = last.select(*SHARD_KEY, "e.*")
+    planned = plan.select("dataset", "split", "total_shards").distinct()
+    whole = matched(shard_files(spark, root), last, [*SHARD_KEY, "rows", "files"])
+    return matched(whole, planned, ["dataset", "split", "total_shards"], "left_semi").select(*SHARD_KEY, F.col("rows").alias("samples"))
+
+
 def write_blocks(records: DataFrame, root: str, folder_per_page: bool = False, pages_per_task: int = 64) -> None:
     """Block records as JSON, one folder per document or, on request, per document and page.
 

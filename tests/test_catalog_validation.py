@@ -143,7 +143,8 @@ def test_a_damaged_row_group_makes_its_file_invalid(spark, tmp_path, group):
     assert found["x-00000-of-00002.parquet"]["valid"] and found["x-00000-of-00002.parquet"]["rows"] == n
     broken = found[path.name]
     assert not broken["valid"] and broken["rows"] < n and f"of {n} rows" in broken["errors"][-1]
-    assert [r["shard_id"] for r in shards.done_from_files(files).collect()] == [0]
+    plan = files.select("dataset", "split", F.lit(2).alias("total_shards"))
+    assert [r["shard_id"] for r in shards.done_from_files(files, plan).collect()] == [0]
 
 
 def test_ragged_vectors_and_first_row(spark):

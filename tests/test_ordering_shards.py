@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from corpusflow.operators import encode, ordering, runlog, shards
 from corpusflow.plans import embedding_run
+from corpusflow.sources import writers
 from test_encode import Picky
 
 
@@ -126,7 +127,29 @@ def test_refused_rows_mark_their_shard(spark):
 def test_only_valid_files_count_as_done(spark):
     files = [("d", "s", "d-s-00000-of-00002.parquet", True, 5), ("d", "s", "d-s-00001-of-00002.parquet", False, 4), ("d", "s", "x.parquet", True, 1)]
     df = spark.createDataFrame(files, "dataset string, split string, file string, valid boolean, rows long")
-    assert [tuple(r) for r in shards.done_from_files(df).collect()] == [("d", "s", 0, 5)]
+    for total, done in ((2, [("d", "s", 0, 5)]), (3, [])):
+        plan = spark.createDataFrame([("d", "s", total)], "dataset string, split string, total_shards int")
+        assert [tuple(r) for r in shards.done_from_files(df, plan).collect()] == done
+
+
+def test_only_whole_shards_of_the_plan_are_committed(spark, tmp_path):
+    root = str(tmp_path)
+    rows = [("d", None if k == 2 else "s", k, 4, [1.0], i) for k in range(4) for i in range(10)]
+    schema = "dataset string, split string, shard_id int, total_shards int, embeddings array<double>, original_index long"
+    vectors = spark.createDataFrame(rows, schema)
+    plan = vectors.select(*shards.SHARD_KEY, "total_shards").distinct()
+
+    def todo():
+        return sorted(r["shard_id"] for r in shards.pending(plan, writers.committed_shards(spark, root, plan)).collect())
+
+    writers.write_shards(vectors.filter("shard_id < 3"), root)
+    writers.write_embeddings(vectors.filter("shard_id = 3"), root)
+    assert todo() == [3]  # its files are there, its entry is not
+    writers.write_embeddings(vectors.filter("shard_id = 0 AND original_index < 5"), root)
+    writers.write_shards(vectors.filter("shard_id = 1").withColumn("total_shards", F.lit(5)), root)
+    assert todo() == [0, 1, 3]
+    writers.write_shards(vectors.filter("shard_id <> 2"), root)
+    assert todo() == []
 
 
 def test_running_totals_across_buckets(spark):
