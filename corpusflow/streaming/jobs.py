@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from corpusflow.operators import encode, runlog
+from corpusflow.operators.shards import pending
 from corpusflow.operators.text_samples import only_with_text, with_text
 
 
@@ -47,14 +48,34 @@ def embed_new_files(
     )
 
 
-def _keep_latest(result: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    """Write the whole small result of every batch to its own folder; a repeated batch replaces it."""
+def _merged(spark: SparkSession, changed: DataFrame, key: str, out: str, batch_id: int) -> DataFrame:
+    """The rows of ``changed`` and those of the batch before whose key did not change."""
+    if batch_id == 0:
+        return changed
+    schema = T.StructType([*changed.schema.fields, T.StructField("batch", T.LongType())])
+    before = spark.read.schema(schema).parquet(_slot(out, batch_id - 1))
+    before = before.filter(F.col("batch") == batch_id - 1).drop("batch")
+    return changed.unionByName(pending(before, changed, [key]))
+
+
+def _slot(out: str, batch_id: int) -> str:
+    return f"{out}/slot={batch_id % 2}"
+
+
+def _keep_latest(result: DataFrame, key: str, out: str, checkpoint: str) -> StreamingQuery:
+    """Merge what a batch changed into the table of the batch before.
+
+    Tables take turns in two folders, so the one before stays whole until the new one, a single
+    file, is in place, and nothing grows with the number of batches. A batch that is repeated
+    after a failure finds the table before it and replaces its own.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        table = _merged(batch.sparkSession, batch, key, out, batch_id).withColumn("batch", F.lit(batch_id).cast("long"))
+        table.coalesce(1).write.mode("overwrite").parquet(_slot(out, batch_id))
 
     return (
-        result.writeStream.outputMode("complete")
+        result.writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint)
         .foreachBatch(write)
         .trigger(availableNow=True)
@@ -64,19 +85,19 @@ def _keep_latest(result: DataFrame, out: str, checkpoint: str) -> StreamingQuery
 
 def stream_totals(log: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     """Running totals by status; the state holds one row per status."""
-    return _keep_latest(runlog.totals_by_status(log), out, checkpoint)
+    return _keep_latest(runlog.totals_by_status(log), "status", out, checkpoint)
 
 
 def stream_latest(log: DataFrame, out: str, checkpoint: str, key: str = "worker") -> StreamingQuery:
     """Latest state per worker; the state holds one row per worker."""
-    return _keep_latest(runlog.latest(log, key), out, checkpoint)
+    return _keep_latest(runlog.latest(log, key), key, out, checkpoint)
 
 
 def latest_batch(spark: SparkSession, out: str) -> DataFrame:
-    """Result of the last batch written by :func:`stream_totals` or :func:`stream_latest`."""
-    batches = spark.read.parquet(out)
-    last = batches.select(F.max("batch").alias("batch"))
-    return batches.join(F.broadcast(last), "batch", "left_semi").drop("batch")  # a single row
+    """The table after the last batch of :func:`stream_totals` or :func:`stream_latest`."""
+    tables = spark.read.parquet(out)
+    last = tables.select(F.max("batch").alias("batch"))
+    return tables.join(F.broadcast(last), "batch", "left_semi").drop("batch", "slot")  # a single row
 
 
 def run(query: Callable[[], StreamingQuery]) -> None:

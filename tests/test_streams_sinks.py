@@ -48,6 +48,29 @@ def test_streamed_totals_and_states_equal_the_batch(spark, sf, tmp_path):
     assert rows_of(streamed(jobs.stream_latest, "latest")) == rows_of(runlog.latest(log))
 
 
+def test_tables_of_a_stream_do_not_grow_with_its_batches(spark, sf, tmp_path):
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    source, out = tmp_path / "in", tmp_path / "out"
+    events.filter("event_id < 600").repartition(12).write.parquet(str(source))
+
+    def run():
+        stream = inputs.as_run_log(jobs.file_stream(spark, str(source), events.schema, files_per_batch=1))
+        jobs.run(lambda: jobs.stream_latest(stream, str(out), str(tmp_path / "state")))
+        return {p.name for p in out.iterdir()}, len(list(out.rglob("*.parquet")))
+
+    assert run() == ({"slot=0", "slot=1"}, 2)
+    events.filter("event_id >= 600").repartition(9).write.mode("append").parquet(str(source))
+    assert run() == ({"slot=0", "slot=1"}, 2)
+    found = spark.read.parquet(str(out))
+    assert found.agg(F.max("batch")).first()[0] == 20
+    assert rows_of(jobs.latest_batch(spark, str(out))) == rows_of(runlog.latest(inputs.as_run_log(events)))
+
+    # A batch that was cut off while it wrote is repeated from the table before it.
+    log = runlog.latest(inputs.as_run_log(events))
+    again = jobs._merged(spark, log.limit(0), "worker", str(out), 21)
+    assert rows_of(again) == rows_of(log)
+
+
 def test_rewriting_a_shard_leaves_the_others(spark, tmp_path):
     schema = "dataset string, split string, shard_id int, embeddings array<double>, original_index long"
     root = str(tmp_path / "e")
