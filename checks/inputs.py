@@ -7,11 +7,12 @@ import json
 import zipfile
 from collections.abc import Iterator
 
-import pandas as pd
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from corpusflow.operators.encode import TokenHashEncoder
+from corpusflow.session import fresh_path
 from corpusflow.sources.archives import MEMBER
 
 # Labels that the page parser gives.
@@ -329,3 +330,22 @@ def as_run_log(events: DataFrame) -> DataFrame:
 
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_run_log(table(spark, sf_dir, "events"))
+
+
+def saved(files: DataFrame, name: str) -> str:
+    """Write rows ``(path, content)`` as files below a new shared folder, and name the folder."""
+    root = fresh_path(files.sparkSession, name)
+
+    def save(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import pyarrow.fs as pafs
+
+        store, base = pafs.FileSystem.from_uri(root)
+        for batch in batches:
+            for path, content in zip(batch["path"], batch["content"]):
+                store.create_dir(f"{base}/{path}".rpartition("/")[0])
+                with store.open_output_stream(f"{base}/{path}") as out:
+                    out.write(content)
+            yield pd.DataFrame({"n": [len(batch)]})
+
+    files.select("path", F.col("content").cast("binary").alias("content")).mapInPandas(save, "n long").agg(F.sum("n")).collect()
+    return root

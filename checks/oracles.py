@@ -432,3 +432,6 @@ ORACLES: dict[str, str] = {
     "stream_totals": STATUS,
     "stream_latest": f"WITH {WORKERS}",
 }
+ORACLES["read_archives"] = ORACLES["read_structured"] = ORACLES["archive_elements"]
+ORACLES["read_block_pages"] = f"""WITH {BLOCKS} SELECT document, page, count(*) AS n, sum(length(text))::BIGINT AS n_chars
+  FROM blocks GROUP BY ALL"""

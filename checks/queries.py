@@ -603,6 +603,38 @@ def archive_elements(spark, sf_dir):
     return found.select("document", *_long("elements", "text_n", "table_n"))
 
 
+def _zips(spark: SparkSession, sf_dir: str) -> str:
+    return inputs.saved(inputs.archives(spark, sf_dir).select(F.concat("document", F.lit(".zip")).alias("path"), "content"), "zips")
+
+
+def _counted(structured: DataFrame) -> DataFrame:
+    found = blocks.element_counts(archives.parsed(structured).filter("ok"))
+    return found.select("document", *_long("elements", "text_n", "table_n"))
+
+
+@registered
+def read_archives(spark, sf_dir):
+    """ZIP files with their contents in a column."""
+    return _counted(archives.structured_json(archives.read_archives(spark, _zips(spark, sf_dir))))
+
+
+@registered
+def read_structured(spark, sf_dir):
+    """ZIP files of which only one member is read."""
+    return _counted(archives.read_structured(spark, _zips(spark, sf_dir), bytes_per_task=100_000))
+
+
+@registered
+def read_block_pages(spark, sf_dir):
+    """A JSON list for each page, in a folder for each document."""
+    records = blocks.records(inputs.blocks(spark, sf_dir))
+    record = F.struct([c for c in records.columns if c != "document"])
+    pages = records.groupBy("document", "page").agg(F.to_json(F.sort_array(F.collect_list(record))).alias("content"))
+    root = inputs.saved(pages.select(F.concat_ws("", "document", F.lit("/page_"), "page", F.lit(".json")).alias("path"), "content"), "pages")
+    found = sources.read_block_pages(spark, root).groupBy("document", "page")
+    return found.agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("n_chars")).select("document", *_long("page"), "n", "n_chars")
+
+
 @registered
 def extraction_totals(spark, sf_dir):
     return blocks.extraction_totals(archives.elements(inputs.archives(spark, sf_dir)))

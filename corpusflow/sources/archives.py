@@ -4,16 +4,21 @@ from __future__ import annotations
 
 import io
 import json
+import math
 import zipfile
 from collections.abc import Iterator
+from typing import IO
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from corpusflow.schemas import ARCHIVE
+from corpusflow.sources.samples import list_files, opened
 
 # Fixed value: archive member with the extracted structure.
 MEMBER = "structuredData.json"
+#: Bytes of archives that one task opens.
+BYTES_PER_TASK = 128 * 1024 * 1024
 
 
 def read_archives(spark: SparkSession, root: str) -> DataFrame:
@@ -24,14 +29,18 @@ def read_archives(spark: SparkSession, root: str) -> DataFrame:
         .option("recursiveFileLookup", "true")
         .load(root)
     )
-    name = F.element_at(F.split("path", "/"), -1)
-    return files.select(F.regexp_replace(name, r"\.zip$", "").alias("document"), "content")
+    return files.select(_document(), "content")
 
 
-def _member(content: bytes | None) -> tuple[str, str | None]:
+def _document() -> Column:
+    """The file's name without its ending."""
+    return F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"\.zip$", "").alias("document")
+
+
+def _member(file: IO[bytes]) -> tuple[str, str | None]:
     """Status and text of the member: an archive without it is in order, an unreadable one is not."""
     try:
-        with zipfile.ZipFile(io.BytesIO(content)) as archive:
+        with zipfile.ZipFile(file) as archive:
             if MEMBER not in archive.namelist():
                 return "no_member", None
             data = archive.read(MEMBER)
@@ -45,20 +54,48 @@ def _member(content: bytes | None) -> tuple[str, str | None]:
     return "ok", text
 
 
+_STRUCTURED = "document string, status string, json string"
+
+
 def structured_json(archives: DataFrame) -> DataFrame:
     """``(document, status, json)`` per archive; status is ok, no_member, bad_zip or bad_json, json NULL unless ok."""
 
     def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [_member(content) for content in batch["content"]]
+            found = [_member(io.BytesIO(content or b"")) for content in batch["content"]]
             status, text = ([f[i] for f in found] for i in (0, 1))
             yield pd.DataFrame({"document": batch["document"], "status": status, "json": text}, dtype=object)
 
-    return archives.select("document", "content").mapInPandas(unpack, "document string, status string, json string")
+    return archives.select("document", "content").mapInPandas(unpack, _STRUCTURED)
 
 
-def elements(archives: DataFrame) -> DataFrame:
+def read_structured(spark: SparkSession, root: str, bytes_per_task: int = BYTES_PER_TASK) -> DataFrame:
+    """``structured_json`` of the ZIP files below ``root``, of which only directory and member are read.
+
+    Files are dealt to as many tasks as their bytes need. One archive is open at a time, and an
+    archive's pages and pictures are never in memory, whatever its size.
+    """
+    files = list_files(spark, root, "*.zip").select(_document(), "path", "length")
+    total = files.agg(F.sum("length").alias("n")).first()["n"] or 0
+
+    def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for document, path in zip(batch["document"], batch["path"]):
+                with opened(path) as file:
+                    status, text = _member(file)
+                yield pd.DataFrame({"document": [document], "status": [status], "json": [text]}, dtype=object)
+
+    dealt = files.select("document", "path").repartition(max(1, math.ceil(total / bytes_per_task)))
+    return dealt.mapInPandas(unpack, _STRUCTURED)
+
+
+def parsed(structured: DataFrame) -> DataFrame:
     """Parsed archives ``(document, ok, status, elements)``; those without the member are ok, with no elements."""
-    parsed = structured_json(archives).withColumn("_data", F.from_json("json", ARCHIVE))
+    rows = structured.withColumn("_data", F.from_json("json", ARCHIVE))
     ok = F.col("status").isin("ok", "no_member")
-    return parsed.select("document", ok.alias("ok"), "status", F.col("_data.elements").alias("elements"))
+    return rows.select("document", ok.alias("ok"), "status", F.col("_data.elements").alias("elements"))
+
+
+def elements(archives: DataFrame) -> DataFrame:
+    """``parsed`` archives of a table with their contents."""
+    return parsed(structured_json(archives))

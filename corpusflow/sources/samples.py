@@ -83,15 +83,20 @@ def read_shards(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(T.StructType([*schemas.EMBEDDING.fields, *keys])).parquet(root)
 
 
-def _footer_problem(path: str) -> str | None:
+def opened(path: str):
+    """A file of any store as a seekable stream, of which only what is asked for is read."""
     import pyarrow.fs as pafs
+
+    files, name = pafs.FileSystem.from_uri(re.sub("^file:/+", "file:///", path))
+    return files.open_input_file(name)
+
+
+def _footer_problem(path: str) -> str | None:
     import pyarrow.parquet as pq
 
     try:
-        uri = re.sub("^file:/+", "file:///", path)
-        files, name = pafs.FileSystem.from_uri(uri)
-        with files.open_input_file(name) as opened:
-            columns = pq.ParquetFile(opened).schema_arrow.names
+        with opened(path) as file:
+            columns = pq.ParquetFile(file).schema_arrow.names
     except Exception as failure:
         return f"Error reading file: {failure}"
     return None if "embeddings" in columns else "Missing 'embeddings' column"

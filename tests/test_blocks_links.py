@@ -125,6 +125,9 @@ def test_archives(spark, tmp_path):
         "bad": (False, "bad_json"),
         "stream": (False, "bad_zip"),
     }
+    for bytes_per_task in (1, 1 << 30):
+        members = archives.parsed(archives.read_structured(spark, str(tmp_path), bytes_per_task))
+        assert sorted(map(str, members.collect())) == sorted(map(str, parsed.collect()))
     counts = {r["document"]: tuple(r)[1:] for r in blocks.element_counts(parsed).collect()}
     assert counts == {"good": (5, 2, 1)} | dict.fromkeys(["other", "broken", "bad", "stream"], (0, 0, 0))
     assert tuple(blocks.extraction_totals(parsed).first()) == (2, 3)
