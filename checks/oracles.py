@@ -435,3 +435,4 @@ ORACLES: dict[str, str] = {
 ORACLES["read_archives"] = ORACLES["read_structured"] = ORACLES["archive_elements"]
 ORACLES["read_block_pages"] = f"""WITH {BLOCKS} SELECT document, page, count(*) AS n, sum(length(text))::BIGINT AS n_chars
   FROM blocks GROUP BY ALL"""
+ORACLES["validate_changed"] = ORACLES["validate_tree"]

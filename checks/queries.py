@@ -25,7 +25,7 @@ from corpusflow.operators import (
 )
 from corpusflow.plans import embedding_run, layout_run
 from corpusflow.schemas import BBOX
-from corpusflow.session import fresh_path
+from corpusflow.session import fresh_path, stored
 from corpusflow.sources import archives, responses, samples as sources, writers
 from corpusflow.streaming import jobs
 
@@ -367,16 +367,18 @@ def validate_files(spark, sf_dir):
     )
 
 
-@registered
-def validate_tree(spark, sf_dir):
-    """A tree of good, odd and empty files and of files without vectors, written and checked."""
+def _tree(spark: SparkSession, sf_dir: str) -> tuple[str, Callable[[], None]]:
+    """A tree of good, odd and empty files, and what adds files without vectors to it."""
     root = fresh_path(spark, "tree")
     kept = ["embeddings", "original_index"]
-    inputs.vector_tree(spark, sf_dir).select(*kept).write.parquet(f"{root}/good/s0")
+    good = inputs.vector_tree(spark, sf_dir).select(*kept)
+    good.write.parquet(f"{root}/good/s0")
     inputs.vector_tree(spark, sf_dir, broken=True).select(*kept).write.parquet(f"{root}/odd/s0")
-    inputs.vector_tree(spark, sf_dir).select(*kept).filter("false").write.parquet(f"{root}/empty/s0")
-    inputs.vector_tree(spark, sf_dir).select("original_index").write.parquet(f"{root}/bare/s0")
-    files = embedding_run.validate_tree(spark, root)
+    good.filter("false").write.parquet(f"{root}/empty/s0")
+    return root, lambda: good.select("original_index").write.parquet(f"{root}/bare/s0")
+
+
+def _told(files: DataFrame) -> DataFrame:
     return files.groupBy("dataset", "split").agg(
         F.sum("rows").alias("rows"), *[F.sum(c).cast("long").alias(c) for c in ("nan_n", "inf_n")],
         F.bool_and("valid").alias("valid"), F.array_join(F.array_sort(F.collect_set(F.get("errors", F.lit(0)))), "; ").alias("errors"),
@@ -384,6 +386,22 @@ def validate_tree(spark, sf_dir):
     )
 
 
+@registered
+def validate_tree(spark, sf_dir):
+    root, add = _tree(spark, sf_dir)
+    add()
+    return _told(embedding_run.validate_tree(spark, root))
+
+
+@registered
+def validate_changed(spark, sf_dir):
+    """The same tree, of which a part was checked before the rest was there."""
+    root, add = _tree(spark, sf_dir)
+    known = stored(embedding_run.validate_changed(spark, root), "known")
+    add()
+    return _told(embedding_run.validate_changed(spark, root, known))
+
+
 @registered
 def validate_rollup(spark, sf_dir):
     return validation.report(_checked(spark, sf_dir)).select(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -88,15 +89,37 @@ def embed_shards(
     return ShardRun(encoded, shard_status(sharded, done, refused(encoded)))
 
 
+def _results(spark: SparkSession, where: str | Sequence[str], listed: DataFrame, check_values: bool) -> DataFrame:
+    """Result rows of the listed files. They are stored: a later choice of columns would skip damaged pages."""
+    files = stored(validation.validate_files(sources.read_embedding_tree(spark, where), check_values=check_values), "files")
+    every = files.unionByName(sources.unread_files(listed, files))
+    return validation.whole_files(every, sources.stored_rows(spark, where))
+
+
 def validate_tree(spark: SparkSession, root: str, check_values: bool = True) -> DataFrame:
     """Result row of every file of ``root/dataset/split/*.parquet``, empty and broken ones included.
 
-    A file that gave fewer rows than its footer states is invalid. The results, a row per file,
-    are stored: a later choice of columns would skip damaged pages and count their rows.
+    A file that gave fewer rows than its footer states is invalid.
+    """
+    return _results(spark, root, sources.list_files(spark, root, "*.parquet"), check_values)
+
+
+def validate_changed(spark: SparkSession, root: str, known: DataFrame | None = None, check_values: bool = True) -> DataFrame:
+    """``validate_tree`` with ``path, length, modified`` of each file, reading only what changed.
+
+    ``known`` is an earlier result, stored by the caller. A file it has with the same length and
+    time of change keeps its result and is not opened; files that are gone are left out.
     """
-    files = stored(validation.validate_files(sources.read_embedding_tree(spark, root), check_values=check_values), "files")
-    every = files.unionByName(sources.unread_files(spark, root, files))
-    return validation.whole_files(every, sources.stored_rows(spark, root))
+    now = sources.listing(spark, root, "*.parquet")
+    state = ["path", "length", "modified"]
+    changed = now if known is None else now.join(known.select(*state), state, "left_anti")
+    paths = [row["path"] for row in changed.select("path").collect()]  # Spark takes the files to read as a list
+    if known is not None and not paths:
+        return known.join(now, state, "left_semi")
+    results = _results(spark, paths or root, changed, check_values)
+    named = changed.select(*sources.file_names(F.col("path")), *state)
+    checked = results.join(named, list(validation.FILE_KEY))
+    return checked if known is None else checked.unionByName(known.join(now, state, "left_semi"))
 
 
 def validation_report(embeddings: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -32,41 +32,50 @@ def list_files(spark: SparkSession, root: str, pattern: str) -> DataFrame:
     )
 
 
+def listing(spark: SparkSession, root: str, pattern: str) -> DataFrame:
+    """Path, length and time of the last change of the files below ``root``; contents are not read."""
+    files = (
+        spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(root)
+    )
+    return files.select("path", "length", F.col("modificationTime").alias("modified"))
+
+
 def _path_part(path: Column, from_end: int) -> Column:
     """Part of a path counted from the end, with any ``name=`` of a partition folder taken off."""
     return F.regexp_replace(F.element_at(F.split(path, "/"), -from_end), "^[^=]*=", "")
 
 
-def _names(path: Column) -> list[Column]:
+def file_names(path: Column) -> list[Column]:
     """Dataset, split and file of ``…/dataset/split/file``."""
     file = F.element_at(F.split(path, "/"), -1).alias("file")
     return [_path_part(path, 3).alias("dataset"), _path_part(path, 2).alias("split"), file]
 
 
-def _embedding_tree(spark: SparkSession, root: str) -> DataFrame:
+def _embedding_tree(spark: SparkSession, root: str | Sequence[str]) -> DataFrame:
+    """All files below ``root``, or the files listed."""
     return (
         spark.read.schema(schemas.EMBEDDING)
         .option("ignoreCorruptFiles", "true")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.parquet")
-        .parquet(root)
+        .parquet(*([root] if isinstance(root, str) else root))
     )
 
 
-def stored_rows(spark: SparkSession, root: str) -> DataFrame:
+def stored_rows(spark: SparkSession, root: str | Sequence[str]) -> DataFrame:
     """Rows that each readable footer of a tree states, as ``stored``: a scan of no column reads no page."""
     files = _embedding_tree(spark, root).groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count(F.lit(1)).alias("stored"))
-    return files.select(*_names(F.col("path")), "stored")
+    return files.select(*file_names(F.col("path")), "stored")
 
 
-def read_embedding_tree(spark: SparkSession, root: str) -> DataFrame:
+def read_embedding_tree(spark: SparkSession, root: str | Sequence[str]) -> DataFrame:
     """Embedding rows of ``root/dataset/split/*.parquet``, tagged with their file and its size.
 
     A damaged file gives the rows before the damage only: hold them against :func:`stored_rows`.
     """
     path = F.col("_metadata.file_path")
     return _embedding_tree(spark, root).select(
-        *_names(path),
+        *file_names(path),
         F.col("_metadata.file_size").alias("file_size"),
         "embeddings",
         "original_index",
@@ -102,8 +111,8 @@ def _footer_problem(path: str) -> str | None:
     return None if "embeddings" in columns else "Missing 'embeddings' column"
 
 
-def unread_files(spark: SparkSession, root: str, seen: DataFrame) -> DataFrame:
-    """Result rows for the files of a tree that gave no rows: empty ones are valid, others are not.
+def unread_files(files: DataFrame, seen: DataFrame) -> DataFrame:
+    """Result rows for the listed ``files(path, length)`` that gave no rows: empty ones are valid, others are not.
 
     Only the footers of those files are read, in parallel.
     """
@@ -112,9 +121,8 @@ def unread_files(spark: SparkSession, root: str, seen: DataFrame) -> DataFrame:
         for batch in batches:
             yield batch.drop(columns="path").assign(problem=batch["path"].map(_footer_problem))
 
-    files = list_files(spark, root, "*.parquet")
     key = ["dataset", "split", "file"]
-    named = files.select(*_names(F.col("path")), F.col("length").alias("file_bytes"), "path")
+    named = files.select(*file_names(F.col("path")), F.col("length").alias("file_bytes"), "path")
     unread = named.join(seen.select(*key).distinct(), key, "left_anti")
     schema = "dataset string, split string, file string, file_bytes long, problem string"
     problem = F.col("problem")

@@ -4,7 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusflow.operators import catalog, provenance, shards, validation
+from corpusflow.plans import embedding_run
 from corpusflow.plans.embedding_run import validate_tree
+from corpusflow.session import stored
 
 ROWS = [
     ("v1", "hub/one", None, "one", "old"),
@@ -147,6 +149,33 @@ def test_a_damaged_row_group_makes_its_file_invalid(spark, tmp_path, group):
     assert [r["shard_id"] for r in shards.done_from_files(files, plan).collect()] == [0]
 
 
+def test_only_changed_files_are_read_again(spark, tmp_path, monkeypatch):
+    table = pa.table({"embeddings": pa.array([[1.0, 2.0]] * 3, pa.list_(pa.float64())), "original_index": pa.array(range(3), pa.int64())})
+    for name in ("a.parquet", "b.parquet", "c.parquet"):
+        _write(tmp_path, "d", "s", name, table)
+    read = []
+    for reader in ("read_embedding_tree", "stored_rows"):
+        plain = getattr(embedding_run.sources, reader)
+        monkeypatch.setattr(embedding_run.sources, reader, lambda s, where, f=plain: read.append(where) or f(s, where))
+    root = str(tmp_path)
+
+    def checked(known):
+        del read[:]
+        found = stored(embedding_run.validate_changed(spark, root, known))
+        return found, {r["file"]: (r["valid"], r["rows"]) for r in found.collect()}
+
+    first, report = checked(None)
+    assert report == dict.fromkeys(["a.parquet", "b.parquet", "c.parquet"], (True, 3)) and len(read) == 2
+    again, same = checked(first)
+    assert same == report and read == []  # no file of an unchanged tree is opened
+    _write(tmp_path, "d", "s", "b.parquet", table.slice(0, 2))
+    _write(tmp_path, "d", "t", "new.parquet", table)
+    (tmp_path / "d" / "s" / "c.parquet").unlink()
+    _, later = checked(again)
+    assert later == {"a.parquet": (True, 3), "b.parquet": (True, 2), "new.parquet": (True, 3)}
+    assert all(sorted(p.rpartition("/")[2] for p in where) == ["b.parquet", "new.parquet"] for where in read)
+
+
 def test_ragged_vectors_and_first_row(spark):
     rows = [("d", "s", "f", [1.0], 5), ("d", "s", "f", [1.0, 2.0, 3.0], 2), ("d", "s", "g", None, 0), ("d", "s", "g", [1.0], 1)]
     df = spark.createDataFrame(rows, "dataset string, split string, file string, embeddings array<double>, original_index long")
