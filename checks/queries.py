@@ -770,6 +770,16 @@ def roundtrip_blocks(spark, sf_dir):
     )
 
 
+@registered
+def roundtrip_block_store(spark, sf_dir):
+    root = fresh_path(spark, "block-store")
+    writers.write_block_store(blocks.records(inputs.blocks(spark, sf_dir)), root, rows_per_file=1000)
+    every = sources.read_block_store(spark, root).groupBy("document", "page")
+    one = sources.read_block_store(spark, root, "src1").agg(F.count("*").alias("n_src1"))
+    found = every.agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("n_chars"))
+    return found.select("document", *_long("page"), "n", "n_chars").join(F.broadcast(one))
+
+
 @registered
 def roundtrip_preview(spark, sf_dir):
     root = fresh_path(spark, "preview")

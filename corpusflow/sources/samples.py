@@ -179,6 +179,13 @@ def read_block_table(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(T.StructType([*schemas.BLOCK_RECORD.fields, *keys])).json(root)
 
 
+def read_block_store(spark: SparkSession, root: str, document: str | None = None) -> DataFrame:
+    """Block records written by :func:`corpusflow.sources.writers.write_block_store`, of one document or of all."""
+    schema = T.StructType([*schemas.BLOCK_RECORD.fields, T.StructField("document", T.StringType())])
+    records = spark.read.schema(schema).parquet(root)
+    return records.filter(F.col("document") == document) if document is not None else records
+
+
 def read_fetched(spark: SparkSession, path: str) -> DataFrame:
     """Fetched objects stored as ``(url, content_type, body)``."""
     return spark.read.schema("url string, content_type string, body binary").parquet(path)

@@ -93,6 +93,23 @@ def write_blocks(records: DataFrame, root: str, folder_per_page: bool = False, p
     )
 
 
+def write_block_store(records: DataFrame, root: str, rows_per_file: int = ROWS_PER_FILE) -> None:
+    """Block records as Parquet files that each hold a range of documents, pages and blocks.
+
+    Files are bounded in rows, however many documents there are and however long one is. The
+    files' statistics tell which of them hold a document, see :func:`corpusflow.sources.samples.read_block_store`.
+    """
+    order = ["document", "page", "block_id"]
+    files = max(1, -(-records.count() // rows_per_file))
+    (
+        records.repartitionByRange(files, *order)
+        .sortWithinPartitions(*order)
+        .write.mode("overwrite")
+        .option("maxRecordsPerFile", rows_per_file)
+        .parquet(root)
+    )
+
+
 def write_embedding_json(rows: DataFrame, root: str, metadata: Column, rows_per_object: int = 1_000) -> None:
     """Rows ``(dataset, split, text, embedding, original_index)`` as ``{embeddings, metadata}`` objects.
 

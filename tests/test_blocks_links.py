@@ -276,3 +276,23 @@ def test_point_table_and_fetched_table(spark, tmp_path):
     fetched = spark.createDataFrame([("u", "pdf", b"%PDF")], "url string, content_type string, body binary")
     fetched.write.parquet(str(tmp_path / "f"))
     assert sources.read_fetched(spark, str(tmp_path / "f")).collect() == fetched.collect()
+
+
+def test_a_document_of_the_block_store_is_in_few_files(spark, tmp_path):
+    schema = "page int, block_id int, text string, document string"
+    rows = spark.range(6000).selectExpr(
+        "cast(id % 40 as int) AS page", "cast(id div 40 as int) AS block_id", "concat('t', id) AS text",
+        "if(id % 3 = 0, 'hot', concat('doc', id % 50)) AS document",
+    )
+    assert rows.schema.simpleString() == spark.createDataFrame([], schema).schema.simpleString()
+    root = tmp_path / "store"
+    writers.write_block_store(rows, str(root), rows_per_file=500)
+    held = spark.read.parquet(str(root)).groupBy(F.input_file_name().alias("file")).agg(
+        F.count("*").alias("n"), F.min("document").alias("low"), F.max("document").alias("high")
+    ).collect()
+    assert len(held) >= 12 and max(r["n"] for r in held) <= 500
+    files = {d: [r["file"] for r in held if r["low"] <= d <= r["high"]] for d in ("doc1", "doc31", "hot")}
+    assert len(files["doc1"]) <= 3 and len(files["doc31"]) <= 3 and 4 <= len(files["hot"]) <= 12
+    one = sources.read_block_store(spark, str(root), "doc1")
+    assert one.count() == rows.filter("document = 'doc1'").count()
+    assert "PushedFilters: [IsNotNull(document), EqualTo(document,doc1)]" in one._jdf.queryExecution().toString()
