@@ -39,6 +39,8 @@ ROWS_PER_SHARD = 30
 ROWS_PER_BUCKET = 100
 LOG_ROWS_PER_BUCKET = 1000
 ITEMS_PER_OBJECT = 5
+#: A quarter of the layout's own epochs, each of which takes about a second on this machine.
+EPOCHS = 50
 #: The epoch that is compared with SQL.
 STEP_EPOCH = 3
 #: Small, so that neighbours are searched over many blocks at every size of the tables.
@@ -530,7 +532,7 @@ def plot_points(spark, sf_dir):
 @registered
 def layout_2d(spark, sf_dir):
     vectors = inputs.table(spark, sf_dir, "embeddings")
-    positions = projection.layout_2d(vectors, "vec_id", "embedding", block_rows=BLOCK_ROWS)
+    positions = projection.layout_2d(vectors, "vec_id", "embedding", epochs=EPOCHS, block_rows=BLOCK_ROWS)
     return projection.point_table(positions, _described(spark, sf_dir), ["vec_id"])
 
 
