@@ -39,8 +39,8 @@ ROWS_PER_SHARD = 30
 ROWS_PER_BUCKET = 100
 LOG_ROWS_PER_BUCKET = 1000
 ITEMS_PER_OBJECT = 5
-#: A quarter of the layout's own epochs, each of which takes about a second on this machine.
-EPOCHS = 50
+#: Of the 200 epochs of the layout itself, for each took seconds on this machine: open.
+EPOCHS = 10
 #: The epoch that is compared with SQL.
 STEP_EPOCH = 3
 #: Small, so that neighbours are searched over many blocks at every size of the tables.
