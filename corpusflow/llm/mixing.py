@@ -1,49 +1,55 @@
 """Mixing sources to target weights by Pfair scheduling.
 
-Each source is cut into blocks of rows in the order of a hash. With weight p / T, the j-th
-block of a source is released at floor((j - 1) T / p) and due at ceil(j T / p); in every slot
-the released block with the earliest deadline runs. Then a source is never a whole block away
-from its share. The schedule repeats after T slots, so one period is worked out, and rows
-find their slot by arithmetic. Only DataFrame functions are used.
-
-A period's rounded shares drift from the weights as it repeats, and one task works it out. Where
-a source would end a block or more off its weight, or the sources are many, the slots are halved
-in a tree instead: each node deals its slots to its two halves of the sources by their weights,
-and a block finds its slot by arithmetic from its source up to the root. No list of all sources
-is made, and the distance from the weights does not grow with the rows.
+Each source is cut into blocks of rows in the order of a hash. With weight p / P, the j-th
+block of a source is released at floor((j - 1) P / p) and due at ceil(j P / p); in every slot
+the released block with the earliest deadline runs, sources in order of name breaking ties.
+Then no source is a whole block away from its share, at any size and for any number of sources.
+Once a source has run out, slots would stay empty: they go to the block with the earliest
+deadline, released or not, so the others keep their proportions and every slot has a block.
+
+The schedule knows one counter for each source. It is worked out in stretches of slots, each of
+which starts from the counters that the one before stored; the rows themselves are numbered and
+find their slots in parallel. Only DataFrame functions are used.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from corpusflow.session import stored
+from corpusflow.session import fresh_path, stored
 
-#: Slots of a period, about: every source gets its rounded share of them, one at least.
-PERIOD = 1000
 BLOCK_ROWS = 32
 #: Rows that are numbered in one task.
 BUCKET_ROWS = 200_000
-#: One task works out a period in time that grows with the slots and the sources: more go by the tree.
-MAX_SOURCES = 2000
-#: Parts of a node's weight in the tree: rounding stays below a block for as many slots.
+#: Weights are whole parts of about this total, one at least: as many slots stay within a block of the weights.
 WHOLE = 1 << 31
-#: Lesser shares of the total weight, zero included, count as this in the tree.
-LEAST_SHARE = 2.0**-30
+#: Slots of a run of the schedule's inner loop, and runs of a stretch.
+RUN_SLOTS = 512
+RUNS = 128
 
-_EDF = """
+#: The counters and the slots' sources after a run from slot ``first`` on: early blocks last, then by deadline.
+_RUN = f"""
 aggregate(
-  sequence(0, period - 1),
-  named_struct('next', transform(parts, p -> 1L), 'chosen', cast(array() AS array<int>)),
-  (s, t) -> transform(
-    array(array_min(transform(parts, (p, i) -> if(
-      s.next[i] <= p AND ((s.next[i] - 1) * period) div p <= t,
-      named_struct('deadline', (s.next[i] * period + p - 1) div p, 'i', i),
+  sequence(first, least(first + {RUN_SLOTS}, slots) - 1),
+  named_struct('next', s.next, 'chosen', cast(array() AS array<int>)),
+  (r, t) -> transform(
+    array(array_min(transform(sources, (x, i) -> if(
+      r.next[i] <= x.blocks,
+      named_struct(
+        'early', ((r.next[i] - 1) * period) div x.part > t,
+        'deadline', (r.next[i] * period + x.part - 1) div x.part,
+        'i', i),
       NULL)))),
     c -> named_struct(
-      'next', transform(s.next, (j, i) -> if(i = c.i, j + 1, j)),
-      'chosen', concat(s.chosen, array(c.i))))[0],
-  s -> s.chosen)
+      'next', transform(r.next, (j, i) -> if(i = c.i, j + 1, j)),
+      'chosen', concat(r.chosen, array(c.i))))[0],
+  r -> named_struct('next', r.next, 'runs', concat(s.runs, array(r.chosen))))
+"""
+_STRETCH = f"""
+aggregate(
+  sequence(start, least(start + {RUN_SLOTS * RUNS}, slots) - 1, {RUN_SLOTS}L),
+  named_struct('next', next, 'runs', cast(array() AS array<array<int>>)),
+  (s, first) -> {_RUN})
 """
 
 
@@ -52,125 +58,105 @@ def square_root_weights(sizes: DataFrame) -> DataFrame:
     return sizes.select("src", F.sqrt("rows").alias("weight"))
 
 
-def _shares(weights: DataFrame, period: int = PERIOD) -> DataFrame:
-    """``src, share, parts``: each weight as a share of their total, and in rounded slots of a period."""
-    total = weights.agg(F.sum("weight").alias("total"))
-    share = F.col("weight") / F.col("total")
-    parts = F.greatest(F.lit(1), F.round(period * F.col("weight") / F.col("total"))).cast("long")
-    return weights.join(F.broadcast(total)).select("src", share.alias("share"), parts.alias("parts"))  # one row
-
-
-def schedule(weights: DataFrame, period: int = PERIOD) -> DataFrame:
-    """``src, parts, slots, period``: the slots of each source in one period, ascending."""
-    listed = _shares(weights, period).agg(F.array_sort(F.collect_list(F.struct("src", "parts"))).alias("sources"))
-    listed = listed.select("sources", F.expr("transform(sources, s -> s.parts)").alias("parts")).withColumn(
-        "period", F.expr("aggregate(parts, 0L, (a, p) -> a + p)")
-    )
-    chosen = listed.filter("size(sources) > 0").select("sources", "period", F.expr(_EDF).alias("chosen"))
-    return chosen.select("period", "chosen", F.posexplode("sources").alias("i", "s")).select(
-        F.col("s.src").alias("src"),
-        F.col("s.parts").alias("parts"),
-        F.expr("filter(sequence(0L, period - 1), t -> chosen[int(t)] = i)").alias("slots"),
-        "period",
-    )
-
-
-def halvings(weights: DataFrame) -> DataFrame:
-    """``src, path``: the nodes of the tree above each source, from the lowest to the root.
+def schedule(sources: DataFrame) -> DataFrame:
+    """``src, block, slot`` for each block, from 0, of ``sources`` (``src, weight, blocks``).
 
-    The sources lie side by side, the heaviest first, and each node is a halved interval that
-    holds the middles of two or more. ``path`` has ``level, right, part``: whether the source is
-    in the right half, and the left half's part of the node's weight, of ``WHOLE``.
+    A weight that is zero or NULL counts as the least one, a part of ``WHOLE``. All sources are
+    listed in one row, so their number must be one that a task can hold; blocks may be any
+    number. A slot takes time that grows with the sources, and stretches follow one another.
     """
-    least = _shares(weights).select("src", F.greatest("share", F.lit(LEAST_SHARE)).alias("w"))
-    total = least.agg(F.sum("w").alias("total"))
-    shares = least.join(F.broadcast(total)).select("src", (F.col("w") / F.col("total")).alias("w"))  # one row
-    until = F.sum("w").over(Window.orderBy(F.desc("w"), "src").rowsBetween(Window.unboundedPreceding, 0))
-    shares = stored(shares.withColumn("middle", F.least(until - F.col("w") / 2, F.lit(1 - 2.0**-40))), "shares")
-
-    levels = F.explode(F.sequence(F.lit(0), F.ceil(F.log2(2 / F.col("w"))).cast("int"))).alias("level")
-    half = F.floor(F.col("middle") * F.pow(F.lit(2.0), F.col("level") + 1))
-    placed = shares.select("src", "w", "middle", levels).withColumn("half", half)
-    placed = placed.select("src", "w", "level", F.expr("half div 2").alias("node"), (F.col("half") % 2).alias("right"))
-    left = F.sum(F.when(F.col("right") == 0, F.col("w")))
-    nodes = placed.groupBy("level", "node").agg((left / F.sum("w")).alias("left"), F.count_distinct("right").alias("halves"))
-    part = F.least(F.greatest(F.round(F.col("left") * WHOLE).cast("long"), F.lit(1)), F.lit(WHOLE - 1))
-    nodes = nodes.filter("halves = 2").select("level", "node", part.alias("part"))
-    paths = placed.join(nodes, ["level", "node"]).groupBy("src")
-    paths = paths.agg(F.sort_array(F.collect_list(F.struct("level", "right", "part")), asc=False).alias("path"))
-    return shares.select("src").join(paths, "src", "left").select(  # a single source has no node
-        "src", F.coalesce("path", F.array().cast("array<struct<level:int,right:bigint,part:bigint>>")).alias("path")
+    spark = sources.sparkSession
+    total = sources.agg(F.sum("weight").alias("total"))
+    share = F.coalesce(F.try_divide(F.lit(WHOLE) * F.col("weight"), F.col("total")), F.lit(0.0))
+    part = F.greatest(F.lit(1), F.round(share).cast("long")).alias("part")
+    parts = sources.join(F.broadcast(total)).select("src", part, F.col("blocks").cast("long").alias("blocks"))  # one row
+    listed = parts.agg(F.array_sort(F.collect_list(F.struct("src", "part", "blocks"))).alias("sources"))
+    state = stored(
+        listed.select(
+            "sources",
+            F.expr("aggregate(sources, 0L, (a, s) -> a + s.part)").alias("period"),
+            F.expr("aggregate(sources, 0L, (a, s) -> a + s.blocks)").alias("slots"),
+            F.expr("transform(sources, s -> 1L)").alias("next"),
+        ),
+        "sources",
     )
-
-
-#: From a block's place among those of its source up to its place among all, from 1: the first
-#: place m of the node at which its half, ``part * m / WHOLE`` rounded or the rest, has as many.
-_UP = f"""
-aggregate(
-  path, block + 1L,
-  (m, s) -> if(s.right = 0,
-    (cast(2 * m - 1 AS decimal(20, 0)) * {WHOLE}BD + cast(2 * s.part - 1 AS decimal(20, 0))) div cast(2 * s.part AS decimal(20, 0)),
-    (cast(2 * m - 1 AS decimal(20, 0)) * {WHOLE}BD) div cast(2 * ({WHOLE} - s.part) AS decimal(20, 0)) + 1L),
-  m -> m - 1)
-"""
-
-
-def _follows(counts: DataFrame, weights: DataFrame, block_rows: int) -> bool:
-    """Whether each source ends less than a block off its weight when a rounded period repeats."""
-    shares = _shares(weights)
-    period = shares.agg(F.sum("parts").alias("period"), F.count("*").alias("sources"))
-    blocks = counts.groupBy("src").agg(F.ceil(F.sum("n") / block_rows).alias("blocks"))
-    off = F.col("blocks") * F.abs(1 - F.col("share") * F.col("period") / F.col("parts"))
-    found = shares.join(F.broadcast(period)).join(blocks, "src")  # one row
-    found = found.agg(F.max(off).alias("off"), F.max("sources").alias("sources")).first()
-    return found["off"] is None or (found["off"] < 1 and found["sources"] <= MAX_SOURCES)
+    slots = state.first()["slots"]
+    path = fresh_path(spark, "schedule")
+    schema = "src string, block long, slot long"
+    spark.createDataFrame([], schema).write.parquet(path)
+    for start in range(0, slots, RUN_SLOTS * RUNS):
+        run = state.withColumn("start", F.lit(start).cast("long")).withColumn("run", F.expr(_STRETCH))
+        run = stored(run, "stretch")
+        chosen = run.select("sources", "next", "start", F.posexplode(F.flatten("run.runs")).alias("at", "i"))
+        slot, src, first = (F.col("start") + F.col("at"), F.expr("sources[i].src"), F.expr("next[i]"))
+        chosen = chosen.select("i", slot.alias("slot"), src.alias("src"), first.alias("first"))
+        within = F.row_number().over(Window.partitionBy("i").orderBy("slot")) - 2
+        chosen.select("src", (F.col("first") + within).alias("block"), "slot").write.mode("append").parquet(path)
+        state = run.select("sources", "period", "slots", F.col("run.next").alias("next"))
+    return spark.read.schema(schema).parquet(path)
 
 
 def mix(docs: DataFrame, source: str = "source", weights: DataFrame | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """``row, src, slot, place``: each row, its source, its block's slot and its place in the block.
 
-    Sorted by ``slot, place`` the rows are the mixture; none is dropped or repeated. ``weights``
-    holds ``src, weight`` for every source (``src`` is the text of the source); without it the
-    square roots of the row counts are the targets. When a source has run out its slots stay
-    empty, and the others keep their proportions.
+    Sorted by ``slot, place`` the rows are the mixture; none is dropped or repeated, and the slots
+    are the numbers from 0 on. ``weights`` holds ``src, weight`` (``src`` is the text of the
+    source); a source without a weight comes last. Without ``weights`` the square roots of the
+    row counts are the targets.
 
     ``row`` is a struct of all columns of ``docs``, so other columns may have any name. Rows
     without a source share one, named by the empty text; rows of one source with equal ids are
-    interchangeable. NULL ids are ids of their own. An empty table gives no rows, a single
-    source every slot. Any number of sources is mixed.
+    interchangeable. Rows without an id are spread by the hash of their other columns. An empty
+    table gives no rows, a single source every slot.
     """
+    columns = [F.col(f"`{c}`") for c in docs.columns]
     text_id = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    hashed = [F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    spread = F.when(F.col("doc_id").isNull(), F.xxhash64(*hashed)).otherwise(0)
     keyed = docs.select(
         F.coalesce(F.col(source).cast("string"), F.lit("")).alias("src"),
         F.md5(F.concat(F.lit("mix:"), text_id)).alias("h"),
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        spread.alias("spread"),
+        F.struct(*columns).alias("row"),
     )
     buckets = max(1, -(-docs.count() // BUCKET_ROWS))
     upper = F.conv(F.substring("h", 1, 8), 16, 10).cast("long")
-    keyed = keyed.withColumn("bucket", F.shiftright(upper * buckets, 32))
+    # Rows without an id share one hash, hence one bucket: there they are cut by their spread, others follow by hash.
+    part = (
+        F.when(F.col("row.doc_id").isNull(), F.pmod(F.shiftright("spread", 32), F.lit(buckets)))
+        .when(F.col("h") <= F.md5(F.lit("mix:")), 0)
+        .otherwise(buckets)
+    )
+    keyed = keyed.withColumn("bucket", F.shiftright(upper * buckets, 32)).withColumn("part", part)
 
-    counts = stored(keyed.groupBy("src", "bucket").agg(F.count("*").alias("n")), "counts")
-    before = F.sum("n").over(Window.partitionBy("src").orderBy("bucket")) - F.col("n")
+    counts = stored(keyed.groupBy("src", "bucket", "part").agg(F.count("*").alias("n")), "counts")
+    before = F.sum("n").over(Window.partitionBy("src").orderBy("bucket", "part")) - F.col("n")
+    sizes = counts.groupBy("src").agg(F.sum("n").alias("rows"))
     if weights is None:
-        weights = square_root_weights(counts.groupBy("src").agg(F.sum("n").alias("rows")))
-    periodic = _follows(counts, weights, block_rows)
-    plan = stored(schedule(weights) if periodic else halvings(weights), "schedule")
-    starts = counts.select("src", "bucket", before.alias("before")).join(plan, "src")
-
-    in_bucket = F.row_number().over(Window.partitionBy("src", "bucket").orderBy("h", "row.doc_id")) - 1
-    numbered = keyed.withColumn("n", in_bucket).join(starts, ["src", "bucket"])
+        weights = square_root_weights(sizes)
+    blocks = F.ceil(F.col("rows") / block_rows).alias("blocks")
+    planned = schedule(sizes.join(weights, "src", "left").select("src", "weight", blocks))
+
+    starts = counts.select("src", "bucket", "part", "n", before.alias("before"))
+    first, last = F.expr(f"before div {block_rows}"), F.expr(f"(before + n - 1) div {block_rows}")
+    starts = starts.withColumn("first", first).withColumn("block", F.explode(F.sequence(first, last)))
+    starts = starts.join(planned, ["src", "block"]).groupBy("src", "bucket", "part", "before", "first")
+    starts = starts.agg(F.expr("transform(array_sort(collect_list(struct(block, slot))), b -> b.slot)").alias("slots"))
+
+    in_bucket = F.row_number().over(Window.partitionBy("src", "bucket", "part").orderBy("h", "row.doc_id", "spread")) - 1
+    numbered = keyed.withColumn("n", in_bucket).join(starts, ["src", "bucket", "part"])
     numbered = numbered.withColumn("number", F.col("before") + F.col("n"))
-    return numbered.withColumn("block", F.expr(f"number div {block_rows}")).select(
+    return numbered.select(
         "row",
         "src",
-        F.expr("(block div parts) * period + slots[int(block % parts)]" if periodic else _UP).alias("slot"),
+        F.expr(f"slots[int(number div {block_rows} - first)]").alias("slot"),
         (F.col("number") % block_rows).alias("place"),
     )
 
 
 def mixture(docs: DataFrame, source: str = "source") -> DataFrame:
     """The rows of ``docs``, all columns, in the order of the mixture."""
-    return mix(docs, source).orderBy("slot", "place", "src").select("row.*")
+    return mix(docs, source).orderBy("slot", "place").select("row.*")
 
 
 def positions(docs: DataFrame) -> DataFrame:
@@ -183,26 +169,30 @@ ORACLE = f"""
 WITH RECURSIVE sizes AS (
   SELECT coalesce(source, '') AS src, count(*) AS n FROM documents GROUP BY 1
 ), shares AS (
-  SELECT src, greatest(1, round({PERIOD} * sqrt(n) / (SELECT sum(sqrt(n)) FROM sizes)))::BIGINT AS p FROM sizes
+  SELECT src, greatest(1, round({WHOLE} * sqrt(n) / (SELECT sum(sqrt(n)) FROM sizes)))::BIGINT AS p,
+    ((n + {BLOCK_ROWS - 1}) // {BLOCK_ROWS})::BIGINT AS blocks
+  FROM sizes
 ), listed AS (
-  SELECT list(src ORDER BY src) AS srcs, list(p ORDER BY src) AS parts, sum(p)::BIGINT AS period FROM shares
+  SELECT list(src ORDER BY src) AS srcs, list(p ORDER BY src) AS parts, list(blocks ORDER BY src) AS blocks,
+    sum(p)::BIGINT AS period, sum(blocks)::BIGINT AS slots
+  FROM shares
 ), run AS (
   SELECT -1::BIGINT AS t, list_transform(parts, lambda p: 1::BIGINT) AS nxt, 0::BIGINT AS i FROM listed
   UNION ALL
   SELECT t, list_transform(nxt, lambda j, k: CASE WHEN k = i THEN j + 1 ELSE j END), i
   FROM (
     SELECT run.t + 1 AS t, run.nxt, list_min(list_filter(list_transform(parts, lambda p, k:
-      CASE WHEN nxt[k] <= p AND ((nxt[k] - 1) * period) // p <= run.t + 1
-      THEN {{'deadline': (nxt[k] * period + p - 1) // p, 'i': k::BIGINT}} END), lambda x: x IS NOT NULL)).i AS i
-    FROM run, listed WHERE run.t + 1 < period)
+      CASE WHEN nxt[k] <= blocks[k]
+      THEN {{'early': ((nxt[k] - 1) * period) // p > run.t + 1, 'deadline': (nxt[k] * period + p - 1) // p, 'i': k::BIGINT}} END),
+      lambda x: x IS NOT NULL)).i AS i
+    FROM run, listed WHERE run.t + 1 < slots)
 ), slots AS (
-  SELECT srcs[i] AS src, t, row_number() OVER (PARTITION BY i ORDER BY t) - 1 AS k FROM run, listed WHERE t >= 0
+  SELECT srcs[i] AS src, t, row_number() OVER (PARTITION BY i ORDER BY t) - 1 AS block FROM run, listed WHERE t >= 0
 ), numbered AS (
   SELECT doc_id, source, coalesce(source, '') AS src, row_number() OVER (
     PARTITION BY coalesce(source, '') ORDER BY md5('mix:' || coalesce(doc_id::VARCHAR, '')), doc_id) - 1 AS number
   FROM documents
 )
-SELECT doc_id, source, (number // {BLOCK_ROWS} // p) * period + t AS slot, number % {BLOCK_ROWS} AS place
-FROM numbered JOIN shares USING (src), listed, slots
-WHERE slots.src = numbered.src AND slots.k = (number // {BLOCK_ROWS}) % p
+SELECT doc_id, source, t AS slot, number % {BLOCK_ROWS} AS place
+FROM numbered JOIN slots ON slots.src = numbered.src AND slots.block = number // {BLOCK_ROWS}
 """
