@@ -7,13 +7,13 @@ are joined back by position, and decoding joins ids to the pieces of the vocabul
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import cache, partial
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from corpusflow.llm.blocks import (
     ANSWER, MESSAGE, OWN, blocks, hashes, messages, narrow, pack, pack_object, settled, shard_count, shard_of,
@@ -49,7 +49,7 @@ def _pieces(path: str) -> list[str]:
 
 
 def _joined(sent: pd.DataFrame, path: str) -> Iterator[tuple]:
-    """Per document its id, the number of tokens, the ids and the pieces, both joined by spaces."""
+    """Per document its columns, the number of tokens, the ids and the pieces, both joined by spaces."""
     (run, ends, shard, rows), answers = split_messages(sent)
     pieces = _pieces(path)
     spelled: list[str] = [""] * len(shard)
@@ -65,41 +65,56 @@ def _joined(sent: pd.DataFrame, path: str) -> Iterator[tuple]:
             spelled[word] = " ".join(map(str, ids))
             decoded[word] = " ".join([pieces[i] for i in ids])
     start = 0
-    for (doc_id,), end in zip(unpack_object(rows), ends.tolist()):
+    for row, end in zip(unpack_object(rows), ends.tolist()):
         words = run[start:end]
         words = words[counts[words] > 0]
         total, words = int(counts[words].sum()), words.tolist()
-        yield doc_id, total, " ".join([spelled[w] for w in words]), " ".join([decoded[w] for w in words])
+        yield *row, total, " ".join([spelled[w] for w in words]), " ".join([decoded[w] for w in words])
         start = end
 
 
-def _texts(sent: pd.DataFrame, path: str) -> pd.DataFrame:
-    rows = [(d, n, [int(i) for i in ids.split()], text) for d, n, ids, text in _joined(sent, path)]
-    return pd.DataFrame(rows, columns=["doc_id", "n_tokens", "ids", "decoded"], dtype=object)
+def _sha256(text: str) -> str:
+    return hashlib.sha256(text.encode()).hexdigest()
 
 
-def _digests(sent: pd.DataFrame, path: str) -> pd.DataFrame:
-    def digest(text: str) -> str:
-        return hashlib.sha256(text.encode()).hexdigest()
+#: Result columns: their types, and how they come from the ids and the decoded text.
+_RESULTS = {
+    "ids": ("array<int>", lambda ids, text: np.array(ids.split(), np.int32)),
+    "decoded": ("string", lambda ids, text: text),
+    "ids_sha256": ("string", lambda ids, text: _sha256(ids)),
+    "decoded_sha256": ("string", lambda ids, text: _sha256(text)),
+}
+TEXTS, DIGESTS = ("ids", "decoded"), ("ids_sha256", "decoded_sha256")
 
-    rows = [(d, n, digest(ids), digest(text)) for d, n, ids, text in _joined(sent, path)]
-    return pd.DataFrame(rows, columns=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"], dtype=object)
 
+def _results(sent: pd.DataFrame, path: str, columns: list[str], results: Sequence[str]) -> pd.DataFrame:
+    made = [_RESULTS[r][1] for r in results]
+    rows = [(*row, *[make(ids, text) for make in made]) for *row, ids, text in _joined(sent, path)]
+    return pd.DataFrame(rows, columns=[*columns, "n_tokens", *results], dtype=object)
 
-def encode_decode(docs: DataFrame, path: str, digests: bool = False, stable: bool = False) -> DataFrame:
-    """Encode each whole text and decode it again: ``doc_id, n_tokens, ids, decoded``.
+
+def encode_decode(
+    docs: DataFrame,
+    path: str,
+    results: Sequence[str] = TEXTS,
+    stable: bool = False,
+    keep: Sequence[str] = (),
+) -> DataFrame:
+    """Encode each whole text and decode it again: ``doc_id``, the columns ``keep``, ``n_tokens`` and ``results``.
 
     ``path`` names a file of the ``tokenizers`` library without a decoder of its own: decoding
-    joins the pieces by spaces, special tokens included; no special token is added. With
-    ``digests`` the last two columns are SHA-256 digests (of the decimal ids joined by one
-    space, of the decoded text) and neither leaves the Python workers.
+    joins the pieces by spaces, special tokens included; no special token is added. ``results``
+    are of ``ids``, ``decoded`` and the SHA-256 digests ``ids_sha256`` (of the decimal ids joined
+    by one space) and ``decoded_sha256``; what is not asked for does not leave the Python
+    workers. Columns to ``keep`` have plain types.
 
     One row per input row, repeated rows and NULL ids included; a NULL text counts as empty:
     no ids and an empty text. An empty table gives no rows; other columns are ignored. ``docs``
     are written to the shared folder first, unless they are ``stable`` (see ``blocks.settled``).
     """
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    texts = settled(docs.select("doc_id", "text"), stable)
+    columns = ["doc_id", *keep]
+    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns)
+    texts = settled(docs.select(*[F.col(f"`{c}`") for c in columns], "text"), stable)
     shards = shard_count(texts)
     encoded = (
         texts.mapInArrow(partial(distinct_units, shards=shards), MESSAGE)
@@ -107,8 +122,5 @@ def encode_decode(docs: DataFrame, path: str, digests: bool = False, stable: boo
         .applyInPandas(lambda key, sent: _ids(key, sent, path), MESSAGE)
     )
     messages_ = texts.mapInArrow(partial(_positions, shards=shards), MESSAGE).unionByName(encoded).groupBy("to")
-    if digests:
-        schema = f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-        return messages_.applyInPandas(lambda sent: _digests(sent, path), schema)
-    schema = f"doc_id {kind}, n_tokens long, ids array<int>, decoded string"
-    return messages_.applyInPandas(lambda sent: _texts(sent, path), schema)
+    schema = ", ".join([kinds, "n_tokens long", *[f"{r} {_RESULTS[r][0]}" for r in results]])
+    return messages_.applyInPandas(lambda sent: _results(sent, path, columns, results), schema)

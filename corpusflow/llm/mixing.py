@@ -159,6 +159,22 @@ def mixture(docs: DataFrame, source: str = "source") -> DataFrame:
     return mix(docs, source).orderBy("slot", "place").select("row.*")
 
 
+def written_places(docs: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFrame]:
+    """``columns`` of ``docs``, read from Parquet files, with ``file, at``; and the files: ``file, before``.
+
+    Sorted rows are written in order of the files' numbers, and in order within each file: a row's
+    place among all is ``before + at``, however a reader splits the files. One task numbers the
+    files, not the rows.
+    """
+    path = F.col("_metadata.file_path")
+    file, at = F.xxhash64(path).alias("file"), F.col("_metadata.row_index").alias("at")
+    number = F.regexp_extract(path, r"part-(\d+)[^/]*$", 1).try_cast("long").alias("number")
+    files = docs.select(path.alias("path"), number, file, at).groupBy("number", "path", "file")
+    files = files.agg((F.max("at") + 1).alias("n"))
+    before = F.sum("n").over(Window.orderBy("number", "path")) - F.col("n")
+    return docs.select(*columns, file, at), stored(files.select("file", before.alias("before")), "files")
+
+
 def positions(docs: DataFrame) -> DataFrame:
     """``doc_id, source, slot, place`` per row."""
     return mix(docs.select("doc_id", "source")).select("row.doc_id", "row.source", "slot", "place")

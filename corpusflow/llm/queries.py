@@ -34,7 +34,7 @@ def op1_token_counts(spark, sf_dir):
 @registered
 def op8_bpe(spark, sf_dir):
     path = public_tokenizers.path("word_bpe_49k.json")
-    return bpe.encode_decode(_table(spark, sf_dir, "documents"), path, digests=True, stable=True)
+    return bpe.encode_decode(_table(spark, sf_dir, "documents"), path, bpe.DIGESTS, stable=True)
 
 
 @registered

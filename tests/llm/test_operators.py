@@ -92,7 +92,7 @@ def test_bpe_round_trip_is_the_library_s(docs):
         sha = [hashlib.sha256(x.encode()).hexdigest() for x in (" ".join(map(str, ids)), text)]
         digests.append((d, len(ids), *sha))
     assert collected(bpe.encode_decode(docs, WORD)) == sorted(expected, key=repr)
-    assert collected(bpe.encode_decode(docs, WORD, digests=True)) == sorted(digests, key=repr)
+    assert collected(bpe.encode_decode(docs, WORD, bpe.DIGESTS)) == sorted(digests, key=repr)
 
 
 def test_packed_arrays_come_back():

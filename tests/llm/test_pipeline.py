@@ -1,11 +1,14 @@
 """The stages of the pipeline on the smallest tables, each on what the one before kept."""
 
+import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from __spark_entry__ import oracle_sql, queries
 from corpusflow.llm import line_rules, mixing
-from corpusflow.session import stored
+from corpusflow.session import fresh_path, stored
 from llm.test_operators import brute_fingerprint, components
 from tools.compare import connect, differences
 
@@ -31,11 +34,36 @@ def test_stages_keep_the_columns_and_follow_each_other(stages):
     assert encoded.count() == mixed.count()
 
 
-def test_mixture_is_in_order(stages):
-    _, _, _, single, mixed, _ = stages
+def test_mixture_is_in_order(spark, stages):
+    _, _, _, single, mixed, encoded = stages
     place = {r["row"]["doc_id"]: (r["slot"], r["place"]) for r in mixing.mix(single).collect()}
-    order = [place[r["doc_id"]] for r in mixed.collect()]
-    assert sorted(order) == sorted(place.values())
+    rows = sorted((r["position"], r["doc_id"]) for r in encoded.collect())
+    assert [p for p, _ in rows] == list(range(len(place)))
+    order = [place[d] for _, d in rows]
+    assert order == sorted(order) and len({d for _, d in rows}) == len(place)
+
+
+def test_positions_are_those_of_the_written_rows(spark):
+    split = spark.newSession()
+    split.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.sha2(F.col("id").cast("string"), 512).alias("text"))
+    path = fresh_path(spark, "sorted")
+    docs.orderBy(F.xxhash64("doc_id")).write.option("maxRecordsPerFile", 300).parquet(path)
+    order = [r["doc_id"] for r in docs.orderBy(F.xxhash64("doc_id")).collect()]
+    written = split.read.parquet(path)
+    assert len(written.inputFiles()) > 8
+    placed, files = mixing.written_places(written, ["doc_id"])
+    found = placed.join(files, "file").select((F.col("before") + F.col("at")).alias("p"), "doc_id")
+    assert sorted(map(tuple, found.collect())) == list(enumerate(order))
+
+
+def test_tokens_are_the_library_s(stages):
+    model = Tokenizer.from_file(public_tokenizers.path(corpus_pipeline.TOKENIZER))
+    model.no_truncation()
+    model.no_padding()
+    texts = {r["doc_id"]: r["text"] or "" for r in stages[-2].collect()}
+    for r in stages[-1].collect():
+        assert list(r["ids"]) == model.encode(texts[r["doc_id"]], add_special_tokens=False).ids and r["n_tokens"] == len(r["ids"])
 
 
 def test_pipeline_is_its_stages(spark, sf, stages):
