@@ -8,7 +8,7 @@ from __future__ import annotations
 from pathlib import Path
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusflow.llm import bpe, line_dedup, line_rules, mixing, simhash
 from corpusflow.session import ship, stored
@@ -39,15 +39,24 @@ def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents in the order of the mixture, which the written files keep."""
+    """The documents in the order of the mixture, which the written files keep and ``encode`` reads as positions."""
     _shipped(spark)
     return mixing.mixture(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids and decoded texts as digests, with the number of tokens."""
+    """Token ids of each document, digests of them and of the decoded text, and its ``position``.
+
+    Positions count from 0 in the order in which the stage before wrote the documents: sorted by them,
+    the rows are the mixture. ``docs`` must be read from its Parquet files.
+    """
     _shipped(spark)
-    return bpe.encode_decode(docs, public_tokenizers.path(TOKENIZER), digests=True, stable=True)
+    placed, files = mixing.written_places(docs, ["doc_id", "text"])
+    results = ["ids", *bpe.DIGESTS]
+    path = public_tokenizers.path(TOKENIZER)
+    encoded = bpe.encode_decode(placed, path, results, stable=True, keep=["file", "at"])
+    position = (F.col("before") + F.col("at")).alias("position")
+    return encoded.join(files, "file").select("doc_id", position, "n_tokens", *results)
 
 
 STAGES = [
