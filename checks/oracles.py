@@ -438,3 +438,4 @@ ORACLES["read_block_pages"] = f"""WITH {BLOCKS} SELECT document, page, count(*)
 ORACLES["validate_changed"] = ORACLES["validate_tree"]
 ORACLES["roundtrip_block_store"] = f"""WITH {BLOCKS} SELECT document, page, count(*) AS n, sum(length(text))::BIGINT AS n_chars,
   (SELECT count(*) FROM blocks WHERE document = 'src1') AS n_src1 FROM blocks GROUP BY ALL"""
+ORACLES["roundtrip_large_json"] = ORACLES["roundtrip_json"]

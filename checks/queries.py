@@ -26,7 +26,7 @@ from corpusflow.operators import (
 from corpusflow.plans import embedding_run, layout_run
 from corpusflow.schemas import BBOX
 from corpusflow.session import fresh_path, stored
-from corpusflow.sources import archives, responses, samples as sources, writers
+from corpusflow.sources import archives, large_json, responses, samples as sources, writers
 from corpusflow.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -812,8 +812,7 @@ def roundtrip_points(spark, sf_dir):
     )
 
 
-@registered
-def roundtrip_json(spark, sf_dir):
+def _json_round_trip(spark: SparkSession, sf_dir: str, read: Callable[[str], DataFrame]) -> DataFrame:
     root = fresh_path(spark, "embedding-json")
     texts = inputs.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("original_index"), "text")
     kept = F.when(F.col("original_index") % 6 != 0, F.col("embeddings"))
@@ -825,14 +824,24 @@ def roundtrip_json(spark, sf_dir):
     items = F.json_array_length(F.get_json_object("value", "$.embeddings")).cast("long")
     objects = spark.read.text(root).select(first.alias("f"), items.alias("items")).groupBy("f.dataset", "f.split")
     objects = objects.agg(F.count(F.lit(1)).alias("objects"), F.max("items").alias("largest"))
-    stored = sources.read_embedding_json(spark, root, multi_line=False)
-    return stored.groupBy("dataset", "split").agg(
+    return read(root).groupBy("dataset", "split").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(F.length("text")).alias("n_chars"),
         F.round(F.sum(F.get("embedding", F.lit(1))), DIGITS).alias("x1"),
     ).join(objects, ["dataset", "split"])
 
 
+@registered
+def roundtrip_json(spark, sf_dir):
+    return _json_round_trip(spark, sf_dir, lambda root: sources.read_embedding_json(spark, root, multi_line=False))
+
+
+@registered
+def roundtrip_large_json(spark, sf_dir):
+    """The same files by byte ranges, which objects and items cross."""
+    return _json_round_trip(spark, sf_dir, lambda root: large_json.read_large_embedding_json(spark, root, 1 << 16))
+
+
 # Streams
 
 

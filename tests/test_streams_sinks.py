@@ -7,7 +7,7 @@ from checks import inputs
 from corpusflow.operators import encode, runlog, shards
 from corpusflow.plans import layout_run
 from corpusflow.plans.projection_run import points_of_json
-from corpusflow.sources import samples as sources, writers
+from corpusflow.sources import large_json, samples as sources, writers
 from corpusflow.streaming import jobs
 
 
@@ -144,3 +144,24 @@ def test_latest_state_and_run_totals(spark):
     status = {r["status"]: (r["shards"], r["samples"], r["rate"]) for r in runlog.status_summary(log).collect()}
     assert status == {"success": (1, 5, 5.0), "skipped": (1, 7, 7.0), "error": (1, 0, 0.0), "all": (3, 12, 6.0)}
     assert [r["rate"] for r in runlog.shard_rates(log).orderBy("event_id").collect()] == [5.0, 7.0, 0.0]
+
+
+@pytest.mark.parametrize("indent", [None, 2])
+@pytest.mark.parametrize("range_bytes", [37, 1000])
+def test_a_large_object_is_read_in_ranges(spark, tmp_path, indent, range_bytes):
+    odd = ['a "quoted" [word', "back\\slash\\\\", '}, {"embedding": [1.0], "text": "no"}', "é日本語 ]", "", 'ends in \\"', None]
+    items = [
+        {"text": f"{i} {t}" if t is not None else None, "embedding": [i / 2, -1.5e-3] if i % 5 else None, "split": "train", "dataset": "d{"}
+        for i, t in enumerate(odd * 4)
+    ]
+    metadata = {"model": 'm"]', "embedding_dimension": 2}
+    objects = [
+        {"embeddings": items, "metadata": metadata},
+        {"metadata": metadata, "other": [{"embedding": [9.0]}], "more": {"x": {"embedding": [8.0]}}, "embeddings": items[:9]},
+        {"embeddings": [], "metadata": metadata},
+    ]
+    for n, value in enumerate(objects):
+        (tmp_path / f"{n}.json").write_text(json.dumps(value, indent=indent, ensure_ascii=bool(n)))
+    expected = sources.read_embedding_json(spark, str(tmp_path)).collect()
+    found = large_json.read_large_embedding_json(spark, str(tmp_path), range_bytes).collect()
+    assert sorted(map(repr, found)) == sorted(map(repr, expected)) and len(found) > 25
