@@ -194,3 +194,13 @@ def test_rows_without_a_group_are_a_group(spark):
         expected.setdefault((i % 3 > 0, i % 2 > 0), []).append(i)
     at = {i: (k, len(ids)) for ids in expected.values() for k, i in enumerate(ids)}
     assert {r["id"]: (r["idx"], r["n"]) for r in found} == at
+
+
+def test_thousands_of_buckets(spark):
+    """As many as large tables have: the plan must not grow with their number, nor may each be a task."""
+    rows = spark.range(20_000).select(((F.col("id") * 7919) % 20_000).alias("k"))
+    buckets = ordering.bucketed(rows, ["k"], rows_per_bucket=2)
+    assert ordering.borders(rows, ["k"], 20_000, 2).count() == 10_000
+    assert buckets.groupBy("_bucket").count().agg(F.max("count")).first()[0] == 2
+    found = ordering.running(rows, [], ["k"], {"n": F.lit(1)}, rows_per_bucket=2)
+    assert found.filter("n <> k + 1").count() == 0 and found.count() == 20_000
