@@ -10,6 +10,8 @@ from corpusflow.operators.shards import SHARD_KEY, matched
 from corpusflow.sources.samples import read_shards
 
 ROWS_PER_FILE = 500_000
+#: Rows of smaller files that one task writes.
+ROWS_PER_TASK = 250_000
 
 
 def write_embeddings(rows: DataFrame, root: str, rows_per_file: int = ROWS_PER_FILE) -> None:
@@ -96,13 +98,14 @@ def write_blocks(records: DataFrame, root: str, folder_per_page: bool = False, p
 def write_block_store(records: DataFrame, root: str, rows_per_file: int = ROWS_PER_FILE) -> None:
     """Block records as Parquet files that each hold a range of documents, pages and blocks.
 
-    Files are bounded in rows, however many documents there are and however long one is. The
+    Files are bounded in rows, however many documents there are and however long one is. A task
+    writes one file after the other: for each range of its own Spark would sample keys on the driver. The
     files' statistics tell which of them hold a document, see :func:`corpusflow.sources.samples.read_block_store`.
     """
     order = ["document", "page", "block_id"]
-    files = max(1, -(-records.count() // rows_per_file))
+    tasks = max(1, -(-records.count() // max(rows_per_file, ROWS_PER_TASK)))
     (
-        records.repartitionByRange(files, *order)
+        records.repartitionByRange(tasks, *order)
         .sortWithinPartitions(*order)
         .write.mode("overwrite")
         .option("maxRecordsPerFile", rows_per_file)

@@ -296,3 +296,10 @@ def test_a_document_of_the_block_store_is_in_few_files(spark, tmp_path):
     one = sources.read_block_store(spark, str(root), "doc1")
     assert one.count() == rows.filter("document = 'doc1'").count()
     assert "PushedFilters: [IsNotNull(document), EqualTo(document,doc1)]" in one._jdf.queryExecution().toString()
+
+
+def test_small_files_of_the_block_store_are_no_tasks_of_their_own(spark, tmp_path):
+    rows = spark.range(6000).selectExpr("cast(id as int) AS page", "0 AS block_id", "'t' AS text", "concat('doc', id % 50) AS document")
+    writers.write_block_store(rows, str(tmp_path / "store"), rows_per_file=500)
+    files = [f.name for f in (tmp_path / "store").glob("part-*.parquet")]
+    assert len(files) == 12 and len({name.split("-")[1] for name in files}) == 1
