@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -99,6 +100,30 @@ def test_copies_grow_with_the_root_of_the_blocks(spark):
             assert sent <= 1024 * 48 * 8 * side, block_rows
 
 
+def test_strips_give_few_neighbours_each(spark):
+    """Far vectors of a strip are no neighbours to be ranked, though nothing is nearer there."""
+    matrix = np.random.default_rng(5).normal(size=(3000, 24))
+    cells = cells_of(spark, matrix, 32)
+    probes, targets = neighbors.grid(cells, 5)
+    found = neighbors._across(probes, targets, 5, 24, neighbors._Bounds(cells.pivots, cells.low, cells.high))
+    strips = targets.select("strip").distinct().count()
+    assert strips >= 9 and found.count() < 0.75 * 3000 * 5 * strips
+
+
+@pytest.mark.parametrize("far", [0.0, 1e4, 1e17])
+def test_rough_comparisons_lose_no_neighbour(far):
+    """Vectors whose differences single precision does not hold."""
+    rng = np.random.default_rng(6)
+    matrix = rng.normal(size=(700, 8)) * (1 if far < 1e17 else 1e16) + far
+    targets = pd.DataFrame({"cell": [0, 3], "chunk": [0, 0], "ids": [np.arange(300), np.arange(300, 700)]})
+    targets["data"] = [matrix[ids].tobytes() for ids in targets["ids"]]
+    away = np.zeros((700, 2))
+    i, j, d = neighbors._Strip(targets, 8).nearest(np.arange(700), matrix, np.full(700, np.inf), away, 6)
+    exact = np.linalg.norm(matrix[:, None] - matrix[None], axis=2)
+    np.fill_diagonal(exact, np.inf)
+    assert ({*zip(i.tolist(), j.tolist())} >= {(a, int(b)) for a in range(700) for b in np.argsort(exact[a])[:5]})
+
+
 def test_ids_of_any_type(spark):
     rng = np.random.default_rng(7)
     matrix, ids = rng.normal(size=(60, 4)), rng.permutation(900)[:60]
