@@ -152,6 +152,15 @@ def test_descent_finds_nearly_all(spark, kind):
     assert all(d == pytest.approx(np.linalg.norm(matrix[i] - matrix[j]), abs=2e-6) for i in range(0, 1500, 97) for j, d in found[i])
 
 
+def test_descent_goes_on_until_it_finds_nearly_all(spark):
+    """Vectors without structure, for which the first lists are too short."""
+    matrix = np.random.default_rng(9).normal(size=(1200, 48))
+    exact = brute_force(range(1200), matrix, 5)
+    found = graph_of(neighbors.knn_descent(frame(spark, range(1200), matrix), "id", "v", 5, pool=6, block_rows=50))
+    hits = sum(d <= exact[i][-1][1] + 1e-6 for i, near in found.items() for _, d in near)
+    assert hits >= 0.9 * 6000
+
+
 def test_fuzzy_weights(spark):
     rng = np.random.default_rng(4)
     matrix = rng.normal(size=(60, 5))
