@@ -1,4 +1,5 @@
 import datetime
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -115,3 +116,13 @@ def test_micros_do_not_depend_on_the_zone_of_the_session(spark):
     at = int(expected.timestamp()) * 1_000_000 + 250001
     assert (row["a"], row["b"]) == (at, at)
     assert value(spark, seconds(F.lit(at), F.lit(at + 1_500_000))) == 1.5
+
+
+def test_invalid_bytes_are_left_out_without_python(spark):
+    rng = random.Random(1)
+    odd = [bytes(rng.choice(b"aZ\x00\x80\x9f\xa0\xbf\xc1\xc3\xe0\xe2\xed\xef\xf0\xf4\xf5\xff") for _ in range(12)) for _ in range(3000)]
+    odd += ["é日😀\ufffd$1\\".encode()[:n] for n in range(16)] + [b"\xff" + b"x" * 200_000 + b"\xc3", b"\xff" + "é".encode() * 50_000]
+    rows = spark.createDataFrame([(i, bytearray(b)) for i, b in enumerate(odd)], "i int, body binary")
+    found = rows.select("i", T.decoded(rows, "body").alias("text"))
+    assert "Python" not in found._jdf.queryExecution().toString()
+    assert {r["i"]: r["text"] for r in found.collect()} == {i: b.decode(errors="ignore") for i, b in enumerate(odd)}
