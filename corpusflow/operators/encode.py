@@ -16,6 +16,8 @@ EncoderFactory = Callable[[], Encoder]
 
 _EPS = 1e-12
 _VOCABULARY_LIMIT = 200_000
+#: Rows of an Arrow batch that are encoded at a time.
+PIECE_ROWS = 1024
 _built: dict[str, Encoder] = {}
 
 
@@ -153,6 +155,13 @@ def _by_length(encoder: Encoder, texts: list[str], batch_size: int, width: int |
     return out
 
 
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, bool]]:
+    """Batches in pieces whose texts are in memory at a time, and whether a piece of the same batch came before."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, PIECE_ROWS):
+            yield batch.slice(start, PIECE_ROWS), start > 0
+
+
 def embed(
     df: DataFrame,
     text: str,
@@ -187,9 +196,10 @@ def embed(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(factory)
-        for batch in batches:
+        for batch, of_batch in _pieces(batches):
             texts = batch.column(len(carried))
-            found = _by_length(encoder, [prefix + t for t in texts.to_pylist()], batch_size, width)
+            known = width or (found.width if of_batch else None)
+            found = _by_length(encoder, [prefix + t for t in texts.to_pylist()], batch_size, known)
             others = {c: batch.column(i) for i, c in enumerate(carried)} | {text: texts}
             arrays = [*(others[c] for c in keep), found.arrow(arrow), pa.array(found.errors, pa.string())]
             yield pa.RecordBatch.from_arrays(arrays, names=[*keep, "embeddings", "error"])

@@ -1,6 +1,7 @@
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -143,3 +144,12 @@ def test_vector_columns(spark):
     assert (rows[3]["nan"], rows[3]["inf"]) == (2, 2) and (rows[1]["nan"], rows[1]["inf"]) == (0, 0)
     pooled = spark.range(1).select(V.mean_of(F.expr("array(array(1D, 2D), array(3D, 6D))")).alias("m")).first()
     assert pooled["m"] == [2.0, 4.0]
+
+
+def test_long_batches_are_encoded_in_pieces(spark):
+    batch = pa.RecordBatch.from_pydict({"n": list(range(2500))})
+    pieces = list(encode._pieces(iter([batch, batch.slice(0, 10)])))
+    assert [(p.num_rows, later) for p, later in pieces] == [(1024, False), (1024, True), (452, True), (10, False)]
+    rows = spark.range(2500, numPartitions=1).select("id", F.concat(F.lit("a "), F.col("id").cast("string")).alias("text"))
+    found = {r["id"]: r["embeddings"] for r in encode.embed(rows, "text", keep=["id"]).collect()}
+    assert len(found) == 2500 and np.allclose(found[2400], by_hand("a 2400"))
