@@ -19,6 +19,10 @@ from corpusflow.sources.samples import list_files, opened
 MEMBER = "structuredData.json"
 #: Bytes of archives that one task opens.
 BYTES_PER_TASK = 128 * 1024 * 1024
+#: Characters of members that a task holds before it passes them on.
+CHARS_PER_TABLE = 1024 * 1024
+#: Tasks of fewer bytes than that, on request, for each core.
+TASKS_PER_CORE = 16
 
 
 def read_archives(spark: SparkSession, root: str) -> DataFrame:
@@ -72,7 +76,7 @@ def structured_json(archives: DataFrame) -> DataFrame:
 def read_structured(spark: SparkSession, root: str, bytes_per_task: int = BYTES_PER_TASK) -> DataFrame:
     """``structured_json`` of the ZIP files below ``root``, of which only directory and member are read.
 
-    Files are dealt to as many tasks as their bytes need. One archive is open at a time, and an
+    Files are dealt to as many tasks as their bytes need; small tasks are no more than 16 for each core. One archive is open at a time, and an
     archive's pages and pictures are never in memory, whatever its size.
     """
     files = list_files(spark, root, "*.zip").select(_document(), "path", "length")
@@ -80,12 +84,18 @@ def read_structured(spark: SparkSession, root: str, bytes_per_task: int = BYTES_
 
     def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            rows, size = [], 0
             for document, path in zip(batch["document"], batch["path"]):
                 with opened(path) as file:
-                    status, text = _member(file)
-                yield pd.DataFrame({"document": [document], "status": [status], "json": [text]}, dtype=object)
-
-    dealt = files.select("document", "path").repartition(max(1, math.ceil(total / bytes_per_task)))
+                    rows.append((document, *_member(file)))
+                size += len(rows[-1][2] or "")
+                if size >= CHARS_PER_TABLE:
+                    yield pd.DataFrame(rows, columns=["document", "status", "json"], dtype=object)
+                    rows, size = [], 0
+            yield pd.DataFrame(rows, columns=["document", "status", "json"], dtype=object)
+
+    most = max(TASKS_PER_CORE * spark.sparkContext.defaultParallelism, math.ceil(total / BYTES_PER_TASK))
+    dealt = files.select("document", "path").repartition(max(1, min(most, math.ceil(total / bytes_per_task))))
     return dealt.mapInPandas(unpack, _STRUCTURED)
 
 

@@ -303,3 +303,12 @@ def test_small_files_of_the_block_store_are_no_tasks_of_their_own(spark, tmp_pat
     writers.write_block_store(rows, str(tmp_path / "store"), rows_per_file=500)
     files = [f.name for f in (tmp_path / "store").glob("part-*.parquet")]
     assert len(files) == 12 and len({name.split("-")[1] for name in files}) == 1
+
+
+def test_many_small_archives_share_tasks(spark, tmp_path):
+    for i in range(300):
+        with zipfile.ZipFile(tmp_path / f"{i}.zip", "w") as archive:
+            archive.writestr(archives.MEMBER, json.dumps({"elements": [{"Text": str(i)}]}))
+    found = archives.read_structured(spark, str(tmp_path), bytes_per_task=100)
+    assert found.rdd.getNumPartitions() <= 16 * spark.sparkContext.defaultParallelism
+    assert {r["document"]: json.loads(r["json"])["elements"][0]["Text"] for r in found.collect()} == {str(i): str(i) for i in range(300)}
