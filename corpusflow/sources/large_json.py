@@ -9,6 +9,7 @@ third the items that begin in each range, which are read on beyond its end where
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -182,7 +183,10 @@ def read_large_embedding_json(spark: SparkSession, root: str, range_bytes: int =
     starts = F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(range_bytes).cast("long")))
     ranges = stored(files.select("path", "length", starts.alias("start")), "ranges")
     ranges = ranges.withColumn("stop", F.least(F.col("start") + range_bytes, "length"))
-    tasks = max(1, ranges.count())
+    # Tasks hold one range at a time: small ones share a task, if there are enough for all cores.
+    size = ranges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("stop") - F.col("start")).alias("length")).first()
+    least = max(4 * spark.sparkContext.defaultParallelism, math.ceil((size["length"] or 0) / RANGE_BYTES))
+    tasks = max(1, min(size["n"], least))
     kind = "path string, start long, stop long, escaped boolean, odd int, outside long, inside long"
     effects = stored(ranges.repartition(tasks).mapInPandas(_effects, kind), "effects")
 
@@ -204,9 +208,11 @@ def read_large_embedding_json(spark: SparkSession, root: str, range_bytes: int =
         F.max(F.when(listed, F.coalesce("last", F.lit((1 << 63) - 1)))).alias("last"),
         F.max_by("value", F.when(F.col("key") == "metadata", F.col("at"))).alias("metadata"),
     )
-    spans = spans.filter("first IS NOT NULL").withColumnRenamed("path", "of")
-    meets = (F.col("path") == F.col("of")) & (F.col("first") < F.col("stop")) & (F.col("last") > F.col("start"))
-    within = states.join(spans, meets).groupBy(*states.columns)
+    # Each range that a span meets, not each range and span of a file.
+    spans = spans.filter("first IS NOT NULL").join(ranges.filter("start = 0").select("path", "length"), "path")
+    n = f"{int(range_bytes)}L"
+    met = F.expr(f"explode(sequence(first div {n} * {n}, (least(last, length) - 1) div {n} * {n}, {n})) AS start")
+    within = states.join(spans.select("path", "first", "last", "metadata", met), ["path", "start"]).groupBy(*states.columns)
     within = within.agg(F.collect_list(F.struct("first", "last", "metadata")).alias("spans"))
     items = within.repartition(tasks).mapInPandas(_items, "item string, metadata string")
 

@@ -165,3 +165,21 @@ def test_a_large_object_is_read_in_ranges(spark, tmp_path, indent, range_bytes):
     expected = sources.read_embedding_json(spark, str(tmp_path)).collect()
     found = large_json.read_large_embedding_json(spark, str(tmp_path), range_bytes).collect()
     assert sorted(map(repr, found)) == sorted(map(repr, expected)) and len(found) > 25
+
+
+def test_small_ranges_share_tasks(spark, tmp_path):
+    item = {"text": "t", "embedding": [1.0], "split": "s", "dataset": "d"}
+    lines = [json.dumps({"embeddings": [item] * 3, "metadata": {"model": "m"}}) for _ in range(40)]
+    (tmp_path / "0.json").write_text("\n".join(lines))
+    found = large_json.read_large_embedding_json(spark, str(tmp_path), 64)
+    assert found.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism and found.count() == 120
+
+
+def test_larger_tables_arrive_in_more_files(spark, sf, monkeypatch):
+    from checks import queries
+
+    monkeypatch.setattr(queries, "ROWS_PER_ARRIVING_FILE", 50)
+    seen = []
+    queries._arriving(spark, sf, "events", "event_id", lambda root, files: seen.append((sources.list_files(spark, root, "*.parquet").count(), files)))
+    rows = spark.read.parquet(f"{sf}/events.parquet").count()
+    assert [n for n, _ in seen] == [2 * seen[0][1], 4 * seen[0][1]] and seen[0][1] == 1 + rows // 200
