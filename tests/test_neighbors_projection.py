@@ -100,6 +100,23 @@ def test_copies_grow_with_the_root_of_the_blocks(spark):
             assert sent <= 1024 * 48 * 8 * side, block_rows
 
 
+def test_larger_tables_have_no_more_strips_than_their_bytes_need():
+    pivots = np.random.default_rng(4).normal(size=(1024, 64))
+    for blocks in (1, 10):  # of 64 vectors around each pivot
+        _, width = neighbors._strips(pivots, np.full(1024, blocks), 64, 64)
+        strips = math.ceil(1024 * blocks / width)
+        assert strips <= max(10, math.ceil(1024 * blocks * 64 * 64 * 8 / 2**25))
+
+
+def test_a_radius_within_the_sample_holds_enough_of_it():
+    rng = np.random.default_rng(6)
+    for scale, offset in ((1.0, 0.0), (1e-3, 100.0), (1e16, 0.0)):
+        sample, m = rng.normal(size=(500, 8)) * scale + offset, rng.normal(size=(64, 8)) * scale + offset
+        exact = np.sort(np.sqrt(((m[:, None] - sample[None]) ** 2).sum(-1)), axis=1)[:, 4]
+        assert (neighbors._SampleRadius(sample)(m, 5) >= exact).all()
+    assert np.isinf(neighbors._SampleRadius(sample[:5])(m, 5)).all()
+
+
 def test_strips_give_few_neighbours_each(spark):
     """Far vectors of a strip are no neighbours to be ranked, though nothing is nearer there."""
     matrix = np.random.default_rng(5).normal(size=(3000, 24))
