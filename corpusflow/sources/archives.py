@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from corpusflow.schemas import ARCHIVE
+from corpusflow.session import small_files
 from corpusflow.sources.samples import list_files, opened
 
 # Fixed value: archive member with the extracted structure.
@@ -28,7 +29,8 @@ TASKS_PER_CORE = 16
 def read_archives(spark: SparkSession, root: str) -> DataFrame:
     """ZIP files below ``root`` as ``(document, content)``."""
     files = (
-        spark.read.format("binaryFile")
+        small_files(spark)
+        .read.format("binaryFile")
         .option("pathGlobFilter", "*.zip")
         .option("recursiveFileLookup", "true")
         .load(root)

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from corpusflow import schemas
 from corpusflow.operators.provenance import TEXT_CHARS
+from corpusflow.session import small_files
 
 
 def read_samples(
@@ -24,7 +25,8 @@ def read_samples(
 def list_files(spark: SparkSession, root: str, pattern: str) -> DataFrame:
     """Path and size of the files below ``root``; contents are not read."""
     return (
-        spark.read.format("binaryFile")
+        small_files(spark)
+        .read.format("binaryFile")
         .option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", "true")
         .load(root)
@@ -89,7 +91,7 @@ def read_shards(spark: SparkSession, root: str) -> DataFrame:
         T.StructField("split", T.StringType()),
         T.StructField("shard_id", T.IntegerType()),
     ]
-    return spark.read.schema(T.StructType([*schemas.EMBEDDING.fields, *keys])).parquet(root)
+    return small_files(spark).read.schema(T.StructType([*schemas.EMBEDDING.fields, *keys])).parquet(root)
 
 
 def opened(path: str):
@@ -164,7 +166,8 @@ def read_embedding_json(spark: SparkSession, path: str, multi_line: bool = True)
 def read_block_pages(spark: SparkSession, root: str) -> DataFrame:
     """Block records of ``root/document/page_*.json`` files, each a JSON list."""
     rows = (
-        spark.read.schema(schemas.BLOCK_RECORD)
+        small_files(spark)
+        .read.schema(schemas.BLOCK_RECORD)
         .option("multiLine", "true")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.json")
