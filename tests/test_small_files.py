@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusflow.session import small_files
-from corpusflow.sources import archives
+from corpusflow.sources import archives, samples
 
 
 @pytest.fixture
@@ -45,3 +45,14 @@ def test_small_archives_share_tasks(spark, small_tasks, tmp_path):
     assert sorted(int(r["elements"][0]["Text"]) for r in texts.collect()) == list(range(200))
     structured = archives.read_structured(spark, str(tmp_path))
     assert structured.filter("status = 'ok'").count() == 200
+
+
+def test_small_pages_share_tasks(spark, small_tasks, tmp_path):
+    for i in range(200):
+        folder = tmp_path / f"d{i % 3}"
+        folder.mkdir(exist_ok=True)
+        (folder / f"page_{i}.json").write_text(f'[{{"page": {i}, "block_id": 0, "text": "t"}}, {{"page": {i}, "block_id": 1}}]')
+    found = samples.read_block_pages(spark, str(tmp_path))
+    assert tasks(found) <= 2 * spark.sparkContext.defaultParallelism
+    counts = {r["document"]: r["count"] for r in found.groupBy("document").count().collect()}
+    assert counts == {"d0": 134, "d1": 134, "d2": 132}
