@@ -19,8 +19,6 @@ from corpusflow.session import stored
 #: One edit in five words is a similarity of 0.8.
 MIN_WORDS = 5
 
-#: Buckets of line hashes that go on to the second scan: a bound for what is broadcast.
-BUCKETS = 1 << 20
 _LINE = ["k1", "k2"]
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -114,20 +112,32 @@ def _one_edit(a: Column, b: Column) -> Column:
     return (F.abs(F.size(a) - F.size(b)) <= 1) & (same >= longest - 1)
 
 
+def _words_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``wanted(k1, k2, rank)`` with the words of each line, from where it is first: no other line is cut into words."""
+    doc = F.struct("rank.doc_id", "rank.text_key").alias("doc")
+    places = wanted.groupBy(doc).agg(F.collect_list(F.struct("rank", *_LINE)).alias("places"))
+    own = F.struct(F.col("doc_id"), F.xxhash64("text").alias("text_key")).alias("own")
+    found = docs.select(own, "text").join(places, F.col("own").eqNullSafe(F.col("doc")))
+
+    def lines(parts: Column) -> Column:
+        def words(at: Column) -> Column:
+            return _words(F.regexp_replace(F.get(parts, at["rank"]["no"]), r"[\t\x0B-\r]", " "))
+
+        return F.transform("places", lambda at: F.struct(at["rank"].alias("rank"), *[at[k].alias(k) for k in _LINE], words(at).alias("words")))
+
+    parts = F.split(F.coalesce("text", F.lit("")), "\n")
+    rows = found.select(F.explode(F.transform(F.array(parts), lines)[0]).alias("line")).select("line.*")
+    # Equal rows are one document.
+    return rows.filter((F.col("k1") == F.xxhash64("words")) & (F.col("k2") == F.xxhash64(F.lit("line"), "words"))).dropDuplicates(_LINE)
+
+
 def _near_earlier(docs: DataFrame, lines: DataFrame, distinct: DataFrame) -> DataFrame:
     """Keys of the distinct lines that are one edit away from an earlier line."""
     halves = lines.select(*_LINE, F.explode("halves").alias("half"))
     shared = halves.groupBy("half").agg(F.min("k1").alias("a"), F.max("k1").alias("b")).filter("a <> b").select("half")
-    wanted = stored(halves.join(shared, "half", "left_semi").select(*_LINE).distinct(), "wanted")
-
-    # The words of wanted lines. Most others fall into buckets without any, of which there are few.
-    def bucket() -> Column:
-        return F.pmod(F.col("k1"), F.lit(BUCKETS)).alias("bucket")
-
-    buckets = F.broadcast(wanted.select(bucket()).distinct())  # at most BUCKETS rows
-    again = _lines(docs).select("k1", "words", bucket()).join(buckets, "bucket", "left_semi")
-    again = again.select("k1", _second_key(), "words").join(wanted, _LINE, "left_semi").dropDuplicates(_LINE)
-    known = stored(again.select(*_LINE, "words").join(distinct.select(*_LINE, "rank"), _LINE), "words")
+    wanted = halves.join(shared, "half", "left_semi").select(*_LINE).distinct()
+    wanted = stored(wanted.join(distinct.select(*_LINE, "rank"), _LINE), "wanted")
+    known = stored(_words_of(docs, wanted), "words")
 
     members = stored(known.select("rank", _neighbourhood().alias("m")).select("rank", "m.key", "m.cut", "m.longer"), "members")
     met = members.groupBy("key", "cut").agg(F.count("*").alias("n")).filter("n > 1").select("key", "cut")

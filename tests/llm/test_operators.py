@@ -404,6 +404,17 @@ def test_line_dedup_is_the_sql(spark, docs):
     assert kept.columns == docs.columns and kept.count() == len(rows()) - 2
 
 
+def test_line_dedup_cuts_only_wanted_lines_into_words(spark):
+    rows = [(None, "One  two\n\tThree\x0bfour", "x"), (7, None, "x"), (7, "a b\nc d\nA b", "x"), (7, "a b\nc d\nA b", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, more string")
+    rank = F.struct("doc_id", "text_key", "no").alias("rank")
+    lines = line_dedup._lines(docs).select("k1", line_dedup._second_key(), rank, "words")
+    wanted = lines.filter("size(words) > 0 AND rank.no = 1").select("k1", "k2", "rank").distinct()
+    found = line_dedup._words_of(docs, wanted).collect()
+    assert sorted(r["words"] for r in found) == [["c", "d"], ["three", "four"]]
+    assert {(r["rank"]["doc_id"], r["rank"]["no"]) for r in found} == {(None, 1), (7, 1)}
+
+
 def test_line_dedup_edits(spark):
     lines = ["a b c d e f", "a b x d e f", "a b c d e", "b a c d e f", "a b c d", "a b c", "A  b c d e f", "q a b c d e f z"]
     docs = spark.createDataFrame(rows(lines)[: len(lines)], SCHEMA)
