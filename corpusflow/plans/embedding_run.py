@@ -14,6 +14,9 @@ from corpusflow.operators.text_samples import with_text
 from corpusflow.session import stored
 from corpusflow.sources import samples as sources
 
+#: Rows numbered together on the way to the encoder: the task that numbers them encodes them too.
+ROWS_PER_BUCKET = 20_000
+
 
 @dataclass(frozen=True)
 class ShardRun:
@@ -79,10 +82,11 @@ def embed_shards(
     """Embed every shard that is not done yet.
 
     One pass: text, position, resume filter, encoder. The shuffle that numbers the rows is
-    the only one on the way to the encoder. The vectors are stored before the status is made,
+    the only one on the way to the encoder, so its buckets are small and a large split is encoded
+    by many tasks. The vectors are stored before the status is made,
     which counts the rows the encoder refused without encoding twice.
     """
-    sharded = sharded_texts(samples, key, total_shards)
+    sharded = sharded_texts(samples, key, total_shards, ROWS_PER_BUCKET)
     todo = shards.pending(sharded, done).filter("has_text")
     keep = [*shards.SHARD_KEY, "total_shards", "original_index", key]
     encoded = stored(encode.embed(todo, "text", factory, prefix, keep=keep), "encoded")

@@ -18,13 +18,16 @@ def write_embeddings(rows: DataFrame, root: str, rows_per_file: int = ROWS_PER_F
     """One folder per dataset, split and shard; only the folders written now are replaced.
 
     Rows are spread by shard and by stretch of the shard, so a shard of any size is written
-    by as many tasks as it has files. Rows the encoder refused have no vector and are not written.
+    by as many tasks as it has files. Small shards cost their files, not their bytes: the number of
+    tasks is given, for Spark would merge tasks of few bytes until one writes thousands of files. Rows
+    the encoder refused have no vector and are not written.
     """
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     stretch = F.expr(f"original_index div {int(rows_per_file)}")
     (
         rows.filter(F.col("embeddings").isNotNull())
         .select(*SHARD_KEY, "embeddings", "original_index")
-        .repartition(*SHARD_KEY, stretch)
+        .repartition(tasks, *SHARD_KEY, stretch)
         .sortWithinPartitions(*SHARD_KEY, "original_index")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

@@ -6,8 +6,9 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
+from corpusflow.plans import embedding_run
 from corpusflow.session import small_files
-from corpusflow.sources import archives, samples
+from corpusflow.sources import archives, samples, writers
 
 
 @pytest.fixture
@@ -30,6 +31,8 @@ def test_settings_are_kept(spark, small_tasks):
     assert session.conf.get("spark.sql.session.timeZone") == spark.conf.get("spark.sql.session.timeZone")
     assert session.conf.get("spark.sql.files.openCostInBytes") == str(64 * 1024)
     assert spark.conf.get("spark.sql.files.openCostInBytes") != str(64 * 1024)
+    listing = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    assert int(session.conf.get(listing)) <= 4 * spark.sparkContext.defaultParallelism < int(spark.conf.get(listing))
 
 
 def test_small_archives_share_tasks(spark, small_tasks, tmp_path):
@@ -56,3 +59,26 @@ def test_small_pages_share_tasks(spark, small_tasks, tmp_path):
     assert tasks(found) <= 2 * spark.sparkContext.defaultParallelism
     counts = {r["document"]: r["count"] for r in found.groupBy("document").count().collect()}
     assert counts == {"d0": 134, "d1": 134, "d2": 132}
+
+
+def test_many_small_shards_are_written_by_many_tasks(spark, tmp_path):
+    rows = spark.range(400).selectExpr(
+        "'d' AS dataset", "'s' AS split", "cast(id div 2 AS int) AS shard_id", "array(1.0D) AS embeddings", "id % 2 AS original_index"
+    )
+    writers.write_embeddings(rows, str(tmp_path / "e"))
+    files = list((tmp_path / "e").rglob("*.parquet"))
+    assert len(files) == 200 and len({file.name.split("-")[1] for file in files}) > 2
+    assert samples.read_shards(spark, str(tmp_path / "e")).count() == 400
+
+
+def test_a_large_split_is_encoded_by_many_tasks(spark):
+    rows = spark.range(60_000).selectExpr("'d' AS dataset", "'s' AS split", "id", "'t' AS text")
+    done = spark.createDataFrame([], "dataset string, split string, shard_id int, samples long")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # rows of this test are few bytes
+    try:
+        found = embedding_run.embed_shards(rows, "id", F.lit(7), done).embeddings
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = found.groupBy(F.input_file_name()).count().collect()
+    assert len(files) > 1 and max(r["count"] for r in files) < 60_000
+    assert found.select("shard_id", "original_index").distinct().count() == 60_000
