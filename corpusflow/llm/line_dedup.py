@@ -12,6 +12,9 @@ half of the words alone, so only lines that share a half with another line go on
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from corpusflow.session import stored
@@ -23,46 +26,66 @@ _LINE = ["k1", "k2"]
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def _words(line: Column) -> Column:
+def _plain(line: Column) -> Column:
+    """The words of a line joined by one space, A-Z in lower case."""
     # Only characters that are neither ASCII nor lower case keep lower() from changing just A-Z.
-    other = line.rlike(r"[^\x00-\x7F\p{Ll}]")
-    lower = F.when(other, F.translate(line, _UPPER, _LOWER)).otherwise(F.lower(line))
-    return F.array_remove(F.split(lower, " "), "")
+    other = (F.octet_length(line) != F.char_length(line)) & line.rlike(r"[^\x00-\x7F\p{Ll}]")
+    words = F.trim(F.when(F.contains(line, F.lit("  ")), F.regexp_replace(line, " +", " ")).otherwise(line))
+    return F.when(other, F.translate(words, _UPPER, _LOWER)).otherwise(F.lower(words))
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """A row per line: its document, its number and its words. Empty texts have one empty line.
+    """A row per line: its document, its number and its words, joined and as an array. Empty texts have one empty line.
 
-    The words are made before the rows, so that later columns do not make them again.
+    The text's hash is made before the rows, so that the text is not carried along with each of its lines. Keys are
+    made of the joined words: arrays of them are only made where ``words`` is asked for.
     """
     text = F.coalesce("text", F.lit(""))
-    text = F.when(text.rlike(r"[\t\x0B-\r]"), F.regexp_replace(text, r"[\t\x0B-\r]", " ")).otherwise(text)
-    lines = F.posexplode(F.transform(F.split(text, "\n"), _words)).alias("no", "words")
-    rows = docs.select("doc_id", F.xxhash64("text").alias("text_key"), lines)
-    return rows.withColumn("k1", F.xxhash64("words"))
+    blank = reduce(or_, [F.contains(text, F.lit(c)) for c in "\t\x0B\f\r"])
+    text = F.when(blank, F.regexp_replace(text, r"[\t\x0B-\r]", " ")).otherwise(text)
+    texts = docs.select("doc_id", F.xxhash64("text").alias("text_key"), text.alias("text"))
+    # Split here: for an array that is a column, Spark adds a filter that splits the text a second time.
+    rows = texts.select("doc_id", "text_key", F.posexplode(F.split("text", "\n")).alias("no", "part"))
+    rows = rows.select("doc_id", "text_key", "no", _plain(F.col("part")).alias("line"))
+    return rows.select("*", F.array_remove(F.split("line", " "), "").alias("words"), _first_key())
+
+
+def _first_key() -> Column:
+    return F.xxhash64("line").alias("k1")
 
 
 def _second_key() -> Column:
-    return F.xxhash64(F.lit("line"), "words").alias("k2")
+    return F.xxhash64(F.lit("line"), "line").alias("k2")
+
+
+def _size(line: Column) -> Column:
+    """Number of words of a line that has a word."""
+    return F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "), F.lit(""))) + 1
 
 
-def _halves(words: Column) -> Column:
-    """Keys of the first and the last half, and for odd numbers of words of the shorter half:
+def _halves(line: Column, n: Column) -> Column:
+    """Keys of the first and the last half, and for even numbers of words of the shorter half:
     a line and the same line with one more word have halves of one length in common."""
-    n = F.size(words)
 
     def keys(length: Column) -> Column:
         return F.array(
-            F.xxhash64(F.lit("first"), F.slice(words, 1, length)),
-            F.xxhash64(F.lit("last"), F.slice(words, n - length + 1, length)),
+            F.xxhash64(F.lit("first"), F.call_function("substring_index", line, F.lit(" "), length)),
+            F.xxhash64(F.lit("last"), F.call_function("substring_index", line, F.lit(" "), -length)),
         )
 
     half, less = F.floor(n / 2).cast("int"), F.floor((n - 1) / 2).cast("int")
     return F.when(n >= MIN_WORDS, F.when(half == less, keys(half)).otherwise(F.concat(keys(half), keys(less))))
 
 
-def _neighbourhood() -> Column:
-    """Keys of a line's words: without the one at each place (``cut``), and split at each place.
+def _keyed(docs: DataFrame) -> DataFrame:
+    """A row per line: its document, its number, its keys, whether it has a word, and the keys of its halves."""
+    line = F.col("line")
+    lines = _lines(docs).select("*", _size(line).alias("n"))
+    return lines.select("doc_id", "text_key", "no", "k1", _second_key(), (line != "").alias("any"), _halves(line, F.col("n")).alias("halves"))
+
+
+def _members(known: DataFrame) -> DataFrame:
+    """``rank, key, cut``: keys of a line's words without the one at each place (``cut``), and split at each place.
 
     A line without its word at ``cut`` has the key of a line that is split there, if it is what
     remains. So the members of a group, by key and place, are one edit from each other.
@@ -82,22 +105,13 @@ def _neighbourhood() -> Column:
         start = F.array(F.array(F.lit(0).cast("long")))
         return F.flatten(F.aggregate(F.sequence(F.lit(0), n - 1, size), start, block))
 
-    n = F.size("words")
-    whole = F.struct(running(F.col("words")).alias("from_start"), running(F.reverse("words")).alias("from_end"))
-
-    def keys(h: Column) -> Column:
-        def key(first: Column, last: Column, cut: Column, longer: bool) -> Column:
-            return F.struct(
-                F.xxhash64(h["from_start"][first], h["from_end"][last]).alias("key"),
-                cut.alias("cut"),
-                F.lit(longer).alias("longer"),
-            )
-
-        without = F.transform(F.sequence(F.lit(0), n - 1), lambda i: key(i, n - 1 - i, i, True))
-        split = F.transform(F.sequence(F.lit(0), n), lambda i: key(i, n - i, i, False))
-        return F.concat(without, split)
-
-    return F.explode(F.transform(F.array(whole), keys)[0])
+    hashed = known.select("rank", running(F.col("words")).alias("before"), F.reverse(running(F.reverse("words"))).alias("after"))
+    # A place has the hash of the words before it, of those from it on, and of those behind its word (none at the end).
+    behind = F.slice("after", 2, F.size("after"))
+    places = hashed.select("rank", F.posexplode(F.arrays_zip("before", "after", behind.alias("behind"))).alias("cut", "at"))
+    places = places.select("rank", "cut", "at.*")
+    keys = F.array(F.xxhash64("before", "after"), F.when(F.col("behind").isNotNull(), F.xxhash64("before", "behind")))
+    return places.select("rank", "cut", F.explode(keys).alias("key")).filter("key IS NOT NULL")
 
 
 def _one_edit(a: Column, b: Column) -> Column:
@@ -120,15 +134,16 @@ def _words_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     found = docs.select(own, "text").join(places, F.col("own").eqNullSafe(F.col("doc")))
 
     def lines(parts: Column) -> Column:
-        def words(at: Column) -> Column:
-            return _words(F.regexp_replace(F.get(parts, at["rank"]["no"]), r"[\t\x0B-\r]", " "))
+        def line(at: Column) -> Column:
+            return _plain(F.regexp_replace(F.get(parts, at["rank"]["no"]), r"[\t\x0B-\r]", " "))
 
-        return F.transform("places", lambda at: F.struct(at["rank"].alias("rank"), *[at[k].alias(k) for k in _LINE], words(at).alias("words")))
+        return F.transform("places", lambda at: F.struct(at["rank"].alias("rank"), *[at[k].alias(k) for k in _LINE], line(at).alias("line")))
 
     parts = F.split(F.coalesce("text", F.lit("")), "\n")
     rows = found.select(F.explode(F.transform(F.array(parts), lines)[0]).alias("line")).select("line.*")
     # Equal rows are one document.
-    return rows.filter((F.col("k1") == F.xxhash64("words")) & (F.col("k2") == F.xxhash64(F.lit("line"), "words"))).dropDuplicates(_LINE)
+    rows = rows.filter((F.col("k1") == _first_key()) & (F.col("k2") == _second_key())).dropDuplicates(_LINE)
+    return rows.select("rank", *_LINE, F.split("line", " ").alias("words"))
 
 
 def _near_earlier(docs: DataFrame, lines: DataFrame, distinct: DataFrame) -> DataFrame:
@@ -139,15 +154,15 @@ def _near_earlier(docs: DataFrame, lines: DataFrame, distinct: DataFrame) -> Dat
     wanted = stored(wanted.join(distinct.select(*_LINE, "rank"), _LINE), "wanted")
     known = stored(_words_of(docs, wanted), "words")
 
-    members = stored(known.select("rank", _neighbourhood().alias("m")).select("rank", "m.key", "m.cut", "m.longer"), "members")
+    members = stored(_members(known), "members")
     met = members.groupBy("key", "cut").agg(F.count("*").alias("n")).filter("n > 1").select("key", "cut")
     met = stored(members.join(met, ["key", "cut"]), "met")
-    groups = met.groupBy("key", "cut").agg(F.min(F.struct("rank", "longer")).alias("least"))
+    groups = met.groupBy("key", "cut").agg(F.min("rank").alias("least"))
     # Lines of repeated words meet at many places: a pair is verified once.
     candidates = (
         met.join(groups, ["key", "cut"])
-        .filter(F.col("least.rank") < F.col("rank"))
-        .select("rank", F.col("least.rank").alias("other"))
+        .filter(F.col("least") < F.col("rank"))
+        .select("rank", F.col("least").alias("other"))
         .distinct()
     )
     own = known.select(*_LINE, "rank", "words")
@@ -167,9 +182,7 @@ def dropped_lines(docs: DataFrame) -> DataFrame:
     order, ids that are equal in the order of the hashes of their texts; a NULL or empty text
     has one line, without a word. An empty table gives no rows; other columns are ignored.
     """
-    lines = _lines(docs)
-    lines = lines.select("doc_id", "text_key", "no", "k1", _second_key(), (F.size("words") > 0).alias("any"), _halves(F.col("words")).alias("halves"))
-    lines = stored(lines, "lines")
+    lines = stored(_keyed(docs), "lines")
 
     rank = F.struct("doc_id", "text_key", "no")
     full = lines.filter("any").select(rank.alias("at"), *_LINE)

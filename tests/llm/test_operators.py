@@ -415,6 +415,25 @@ def test_line_dedup_cuts_only_wanted_lines_into_words(spark):
     assert {(r["rank"]["doc_id"], r["rank"]["no"]) for r in found} == {(None, 1), (7, 1)}
 
 
+def test_line_dedup_makes_keys_without_arrays_of_words(spark):
+    texts = ["A b C D  e f\n\u00c9 b\x0bc\td e \n", " a B c\rd e f \n\u00e9 b c d e\n \t", "a b c x e f\na b c d e f g\n\u00c9 B c d E", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    keyed = line_dedup._keyed(docs)
+    plan = keyed._jdf.queryExecution().executedPlan().toString()
+    assert "lambda" not in plan and plan.count("split(") == 1
+    carried = re.search(r"Generate posexplode\(.*?\), \[(.*?)\], false", plan, re.S)[1]
+    assert "text_key#" in carried and "text#" not in carried
+    found = {(r["doc_id"], r["no"]): r for r in keyed.collect()}
+    one = [found[at] for at in [(0, 0), (1, 0)]]
+    accented = [found[at] for at in [(0, 1), (2, 2)]]
+    for a, b in (one, accented):
+        assert (a["k1"], a["k2"], a["halves"]) == (b["k1"], b["k2"], b["halves"])
+    assert found[1, 1]["k1"] != found[0, 1]["k1"]
+    assert [at for at, r in sorted(found.items()) if not r["any"]] == [(0, 2), (1, 2), (3, 0)]
+    assert len(one[0]["halves"]) == 4 and len(accented[0]["halves"]) == 2
+    assert set(one[0]["halves"]) & set(found[2, 0]["halves"]) and set(one[0]["halves"]) & set(found[2, 1]["halves"])
+
+
 def test_line_dedup_edits(spark):
     lines = ["a b c d e f", "a b x d e f", "a b c d e", "b a c d e f", "a b c d", "a b c", "A  b c d e f", "q a b c d e f z"]
     docs = spark.createDataFrame(rows(lines)[: len(lines)], SCHEMA)
