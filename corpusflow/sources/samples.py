@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import json
+import os
 import re
 from collections.abc import Iterator, Sequence
+from functools import reduce
+from itertools import islice
+from math import ceil
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F, types as T
 
 from corpusflow import schemas
 from corpusflow.operators.provenance import TEXT_CHARS
-from corpusflow.session import small_files
+from corpusflow.session import LISTING_WAVES, OPEN_BYTES, small_files, stored
 
 
 def read_samples(
@@ -163,17 +168,122 @@ def read_embedding_json(spark: SparkSession, path: str, multi_line: bool = True)
     )
 
 
+#: Files of up to so many bytes are read whole, many by a task; Spark's reader streams the larger ones.
+WHOLE_BYTES = 64 * 1024 * 1024
+#: Bytes of contents, and number of names, that a task passes on at once.
+_BATCH_BYTES, _BATCH_NAMES = 4 * 1024 * 1024, 10_000
+#: Bytes of a task's files, where each file counts as ``OPEN_BYTES`` more.
+_TASK_BYTES = 128 * 1024 * 1024
+
+
+def _store(root: str):
+    """The file system of a folder, and the folder's path in it."""
+    import pyarrow.fs as pafs
+
+    return pafs.FileSystem.from_uri(re.sub("^file:/+", "file:///", root))
+
+
+def _known_store(root: str) -> bool:
+    import pyarrow as pa
+
+    try:
+        _store(root)
+    except (pa.ArrowException, OSError):
+        return False
+    return True
+
+
+def _entries(store, folder: str) -> Iterator[tuple[str, bool, int]]:
+    """Name of what lies in a folder, whether it is a folder, and its size; names of a mounted folder are not held all at once."""
+    import pyarrow.fs as pafs
+
+    if isinstance(store, pafs.LocalFileSystem):
+        with os.scandir(folder) as found:
+            for entry in found:
+                yield (entry.name, True, 0) if entry.is_dir() else (entry.name, False, entry.stat().st_size)
+    else:
+        for entry in store.get_file_info(pafs.FileSelector(folder)):
+            yield entry.base_name, entry.type == pafs.FileType.Directory, entry.size or 0
+
+
+def _hidden(name: str) -> bool:
+    """Names that Spark's readers leave out."""
+    return name.startswith(".") or name.startswith("_") and "=" not in name or name.endswith("._COPYING_")
+
+
+def _files_below(spark: SparkSession, root: str, ending: str) -> DataFrame:
+    """``at, length`` of files below ``root``: folders are listed by tasks, a level at a time, and nothing is kept on the driver."""
+
+    def entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        store, base = _store(root)
+        for batch in batches:
+            for folder in batch["at"]:
+                found = _entries(store, base + folder)
+                shown = ((f"{folder}/{n}", is_folder, size) for n, is_folder, size in found if not _hidden(n) and (is_folder or n.endswith(ending)))
+                while some := list(islice(shown, _BATCH_NAMES)):
+                    yield pd.DataFrame(some, columns=["at", "folder", "length"])
+
+    folders, levels = spark.createDataFrame([("",)], "at string"), []
+    while folders is not None:
+        found = stored(folders.mapInPandas(entries, "at string, folder boolean, length long"), "listed")
+        levels.append(found.filter(~F.col("folder")).select("at", "length"))
+        below = found.filter("folder").select("at")
+        folders = below.repartition(LISTING_WAVES * spark.sparkContext.defaultParallelism, "at") if below.head(1) else None
+    return reduce(DataFrame.unionByName, levels)
+
+
+def _contents(spark: SparkSession, root: str, files: DataFrame, total: Row) -> DataFrame:
+    """``at, content`` of small files, dealt over tasks by their number and bytes."""
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        store, base = _store(root)
+        rows, n_bytes = [], 0
+        for batch in batches:
+            for at in batch["at"]:
+                with store.open_input_file(base + at) as file:
+                    content = file.read()
+                encoding = json.detect_encoding(content)
+                rows.append((at, content if encoding == "utf-8" else content.decode(encoding, "replace").encode()))
+                n_bytes += len(content)
+                if n_bytes >= _BATCH_BYTES:
+                    yield pd.DataFrame(rows, columns=["at", "content"])
+                    rows, n_bytes = [], 0
+        if rows:
+            yield pd.DataFrame(rows, columns=["at", "content"])
+
+    tasks = ceil(((total["bytes"] or 0) + total["n"] * OPEN_BYTES) / _TASK_BYTES)
+    dealt = files.select("at").repartition(max(tasks, spark.sparkContext.defaultParallelism), "at")
+    return dealt.mapInPandas(read, "at string, content binary")
+
+
+def _streamed_pages(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Records by Spark's reader: its index of files is on the driver."""
+    reader = small_files(spark).read.schema(schemas.BLOCK_RECORD).option("multiLine", "true")
+    rows = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").json(paths)
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    return rows.withColumn("document", _path_part(path, 2))
+
+
 def read_block_pages(spark: SparkSession, root: str) -> DataFrame:
-    """Block records of ``root/document/page_*.json`` files, each a JSON list."""
-    rows = (
-        small_files(spark)
-        .read.schema(schemas.BLOCK_RECORD)
-        .option("multiLine", "true")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.json")
-        .json(root)
-    )
-    return rows.withColumn("document", _path_part(F.col("_metadata.file_path"), 2))
+    """Block records of ``root/document/page_*.json`` files, each a JSON list.
+
+    Tasks list the folders and read the files, so that the driver has no index of them. Where pyarrow does not
+    know the store, Spark's reader reads them all, and the driver holds their index.
+    """
+    if not _known_store(root):
+        return _streamed_pages(spark, root)
+    files = _files_below(spark, root, ".json")
+    small, large = files.filter(F.col("length") <= WHOLE_BYTES), files.filter(F.col("length") > WHOLE_BYTES)
+    contents = _contents(spark, root, small, small.agg(F.count("*").alias("n"), F.sum("length").alias("bytes")).first())
+    text = F.col("content").cast("string")
+    listed = F.from_json(text, T.ArrayType(schemas.BLOCK_RECORD))
+    # What is no JSON is a record without fields, as for Spark's reader; a file without a character has none.
+    none = F.array(F.lit(None).cast(schemas.BLOCK_RECORD))
+    records = F.explode(F.when(text.rlike(r"[^ \t\r\n]"), F.coalesce(listed, none))).alias("record")
+    document = _path_part(F.concat(F.lit(root.rstrip("/")), "at"), 2).alias("document")
+    pages = contents.select("at", records).select("record.*", document)
+    paths = [root.rstrip("/") + re.sub(r"([\[\]{}*?\\])", r"\\\1", r["at"]) for r in large.select("at").collect()]
+    return pages.unionByName(_streamed_pages(spark, paths)) if paths else pages
 
 
 def read_block_table(spark: SparkSession, root: str) -> DataFrame:

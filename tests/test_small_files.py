@@ -61,6 +61,38 @@ def test_small_pages_share_tasks(spark, small_tasks, tmp_path):
     assert counts == {"d0": 134, "d1": 134, "d2": 132}
 
 
+def test_pages_are_listed_and_read_by_tasks(spark, tmp_path, monkeypatch):
+    good = '[{"page": 1, "block_id": 0, "text": "t\u00e9"}, {"page": 1, "block_id": 1}]'
+    contents = {
+        "ok": good.encode(), "sp ace": good.encode(), "u%41+": good.encode(), "bom": b"\xef\xbb\xbf" + good.encode(), "u16": good.encode("utf-16"),
+        "empty": b"", "blank": b" \n", "none": b"[]", "one": b'{"page": 3}', "bad": b"hello", "cut": good.encode()[:40],
+        "types": b'[{"page": "x"}, {"page": 2}]', "_hidden": good.encode(),
+    }
+    for name, content in contents.items():
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "page_1.json").write_bytes(content)
+    (tmp_path / "ok" / "deep").mkdir()
+    for path in ("top.json", "ok/deep/page_2.json", "ok/_x.json", "ok/.x.json", "ok/x.txt"):
+        (tmp_path / path).write_text(good)
+    both = [(1, 0, "t\u00e9"), (1, 1, None)]
+    expected = {name: both for name in ("ok", "sp ace", "u%41+", "bom", "u16", "deep", tmp_path.name)}
+    expected |= {"one": [(3, None, None)], "bad": [(None,) * 3], "cut": [(None,) * 3], "types": [(2, None, None), (None,) * 3]}
+
+    def found(root):
+        pages, rows = samples.read_block_pages(spark, root), {}
+        for r in pages.select("document", "page", "block_id", "text").collect():
+            rows.setdefault(r["document"], []).append(tuple(r)[1:])
+        return pages, {name: sorted(them, key=repr) for name, them in rows.items()}
+
+    pages, rows = found(str(tmp_path))
+    assert rows == {name: sorted(them, key=repr) for name, them in expected.items()}
+    assert not any(file.endswith(".json") for file in pages.inputFiles())  # no index of the files on the driver
+    monkeypatch.setattr(samples, "WHOLE_BYTES", 60)  # some are streamed by Spark's reader
+    assert found(f"file:{tmp_path}")[1] == rows
+    monkeypatch.setattr(samples, "_known_store", lambda root: False)
+    assert found(str(tmp_path))[1] == rows
+
+
 def test_many_small_shards_are_written_by_many_tasks(spark, tmp_path):
     rows = spark.range(400).selectExpr(
         "'d' AS dataset", "'s' AS split", "cast(id div 2 AS int) AS shard_id", "array(1.0D) AS embeddings", "id % 2 AS original_index"
