@@ -160,11 +160,14 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _links(distinct: DataFrame) -> DataFrame:
-    """Links that connect what pairs within the limit connect."""
+    """Links that connect what pairs within the limit connect.
+
+    Joins of exploded rows are merged: Spark sizes those by the rows before, and would broadcast them.
+    """
     p, q = _distances(F.col("bits"))
     members = distinct.select("bits", p.alias("p"), q.alias("q")).select(_groups(F.col("bits")).alias("key"), "bits", "p", "q")
     sizes = members.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    grouped = stored(members.join(sizes, "key"), "groups")
+    grouped = stored(members.join(sizes.hint("merge"), "key"), "groups")
     small = grouped.filter(F.col("n") <= GROUP).select("key", "bits", "p", "q")
     near = small.repartition("key").sortWithinPartitions("key").mapInArrow(_stars, "a long, b long")
 
@@ -173,7 +176,7 @@ def _links(distinct: DataFrame) -> DataFrame:
     hot = grouped.filter(F.col("n") > GROUP).select("bits").distinct()
     variants = hot.select("bits", F.explode(F.transform(masks, lambda m: F.col("bits").bitwiseXOR(m))).alias("variant"))
     centres = variants.groupBy("variant").agg(F.min("bits").alias("b"))
-    met = variants.join(centres, "variant").select(F.col("bits").alias("a"), "b").filter("a <> b")
+    met = variants.join(centres.hint("merge"), "variant").select(F.col("bits").alias("a"), "b").filter("a <> b")
     return near.unionByName(met).distinct()
 
 

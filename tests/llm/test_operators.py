@@ -18,6 +18,7 @@ from tokenizers import Tokenizer
 from corpusflow.llm import (
     blocks, bpe, imatch, language_model, line_dedup, line_rules, mixing, quality, secrets, simhash, token_counts,
 )
+from corpusflow.session import stored
 
 BYTE, WORD = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "word_bpe_49k.json"))
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, key string, `to` long, row string, src int"
@@ -195,6 +196,23 @@ def test_links_connect_what_pairs_connect(spark, monkeypatch, group):
     assert sorted(map(sorted, found.values())) == sorted(map(sorted, expected.values()))
 
 
+def test_exploded_fingerprints_are_not_broadcast(spark, monkeypatch):
+    """Spark sizes exploded rows by the few before them: however many they are, they seem small enough."""
+    plans = []
+
+    def ran(df):
+        df.collect()
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+
+    monkeypatch.setattr(simhash, "GROUP", 2)
+    monkeypatch.setattr(simhash, "stored", lambda df, name: stored(ran(df), name))
+    distinct = spark.createDataFrame([(1 << i,) for i in range(5)], "bits long").groupBy("bits").count().select("bits")
+    assert ran(simhash._links(distinct)).count() > 0
+    assert len(plans) == 2 and all("Generate" in plan and "SortMergeJoin" in plan for plan in plans)
+    assert not any("Broadcast" in plan for plan in plans)
+
+
 def test_line_rules_measures():
     text = "a b c\na b c\n\n x*y | a b c\na  b c"
     n_words, chars, symbols, dup, repeat, lines, sizes = line_rules.measures(text)
