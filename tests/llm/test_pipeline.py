@@ -7,7 +7,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from __spark_entry__ import oracle_sql, queries
-from corpusflow.llm import line_rules, mixing
+from corpusflow.llm import line_rules, mixing, simhash
 from corpusflow.session import fresh_path, stored
 from llm.test_operators import brute_fingerprint, components
 from tools.compare import connect, differences
@@ -70,6 +70,33 @@ def test_pipeline_is_its_stages(spark, sf, stages):
     assert sorted(map(tuple, queries()["pipeline"](spark, sf).collect())) == sorted(map(tuple, stages[-1].collect()))
 
 
+def test_stage_of_near_duplicates_broadcasts_no_exploded_rows(spark, sf, stages, monkeypatch):
+    """Rows that were exploded after the last exchange are many more than Spark takes them to be."""
+
+    def below_broadcasts(plan):
+        lines, found = plan.split("== Initial Plan ==")[0].splitlines(), []
+        depth = [len(line) - len(line.lstrip(" :+-")) for line in lines]
+        for i, line in enumerate(lines):
+            if "BroadcastExchange" in line:
+                for d, other in zip(depth[i + 1 :], lines[i + 1 :]):
+                    if d <= depth[i] or " Exchange " in other:
+                        break
+                    found.append(other)
+        return found
+
+    plans = []
+
+    def ran(df):
+        df.collect()
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+
+    monkeypatch.setattr(simhash, "stored", lambda df, name: stored(ran(df), name))
+    ran(corpus_pipeline.dedup_documents(spark, stages[2], sf))
+    assert any("Generate" in plan for plan in plans)
+    assert not any("Generate" in line for plan in plans for line in below_broadcasts(plan))
+
+
 @pytest.mark.parametrize("name", ["op2_mixing", "op7_line_dedup"])
 def test_queries_with_sql(spark, sf, name):
     with connect(sf) as con:
