@@ -1,3 +1,4 @@
+import inspect
 import math
 
 import numpy as np
@@ -5,6 +6,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from checks.queries import QUERIES
 from corpusflow.operators import neighbors, projection
 
 
@@ -259,3 +261,27 @@ def test_hubs_are_cut_into_parts(spark, monkeypatch):
     assert edges.count() == 200
     assert edges.groupBy("vi", "pi").count().agg({"count": "max"}).first()[0] < 30
     assert edges.groupBy("vj", "pj").count().agg({"count": "max"}).first()[0] < 30
+
+
+def test_registered_layout_runs_all_epochs(spark, sf, monkeypatch):
+    run, given = inspect.signature(projection.layout_2d), {}
+
+    def layout(*args, **options):
+        bound = run.bind(*args, **options)
+        bound.apply_defaults()
+        given.update(bound.arguments)
+        return projection.pca_2d(*args[:3])
+
+    monkeypatch.setattr(projection, "layout_2d", layout)
+    assert QUERIES["layout_2d"](spark, sf).count() == 500 and given["epochs"] == 200
+
+
+def test_size_of_the_layout_does_not_grow_with_its_epochs(spark):
+    """Epochs took two to three times as long as those before: sizes of joins are products of those of their sides."""
+    ring = [(i, (i + k) % 50, 0.5) for i in range(50) for k in (1, 49)]
+    edges, parts = projection._split_edges(spark.createDataFrame(ring, "i long, j long, w double"))
+    at = spark.range(50).select(F.col("id").alias("v"), F.sin("id").alias("x"), F.cos("id").alias("y"))
+    at = projection._moved(projection._placed(at, parts), edges, 50, 200, 42, projection._forces(*projection.curve(0.1)), 3)
+    assert [r["epoch"] for r in at.select("epoch").distinct().collect()] == [3] and at.count() == 50
+    size = at._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    assert size < 1_000_000
